@@ -1,12 +1,10 @@
 """The analysis report as a DataFrame of ordered text lines.
 
 ``report_lines`` turns a cleaned catalogue table into rows
-(section int, seq int, line string).  All numbers come from two aggregates
-over the table: one global aggregate (row count, three eight-number
-summaries, centre, correlation: a single scan) and one per-year aggregate
-(counts and means: a single scan and shuffle, reused by every section that
-needs it).  Only finished lines exist afterwards; ``write_report`` writes
-them in order and ``prompt_text`` joins them into a prompt.
+(section int, seq int, line string).  All numbers come from one scan and one
+aggregate (see ``report_lines``).  Only finished lines exist afterwards;
+``write_report`` writes them in order and ``prompt_text`` joins them into a
+prompt.
 """
 
 from __future__ import annotations
@@ -15,16 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablestats.operators.groups import (
-    DEFAULT_COUNT_OUT,
     DEFAULT_KEY,
     DEFAULT_MEANS,
     LAST_COUNTS,
     LAST_STATS,
     MIN_GROUP_ROWS,
-    last_n,
-    peak,
-    per_key,
-    round_and_gate,
 )
 from tablestats.operators.profile import (
     MEDIAN_REL_ERROR,
@@ -72,7 +65,7 @@ def _text(v: Column) -> Column:
 
 
 def _number_text(stat: Column, v: Column, digits: int | None) -> Column:
-    whole = v.cast("long").cast("string")
+    whole = F.coalesce(v, F.lit(0)).cast("long").cast("string")
     if digits is None:
         frac = v.cast("string")
     else:
@@ -122,77 +115,116 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     median price <= price_max, correlation of the scores when there are more
     than ``min_pairs`` pairs).  ``exact`` switches every quantile from the
     sketch to the exact percentile.
+
+    Plan: ONE scan.  Every row is tagged twice (whole-table copy, per-year
+    copy: a two-set grouping) and one aggregate computes the whole-table
+    statistics and the per-year counts and means together; its small result
+    (one row per year, at most 10,000 calendar years) is folded into a single
+    row, from which all lines are generated with array functions.
     """
     price = F.col("price").cast("double")
     user = F.col("user_score").cast("double")
     critic = F.col("metacritic_score").cast("double")
-    kept_price = F.when(price <= price_max, price)
-    pair = critic.isNotNull() & user.isNotNull()
+    whole = F.col("_all")
+    g_price = F.when(whole, price)
+    kept_price = F.when(whole & (price <= price_max), price)
+    pair = whole & critic.isNotNull() & user.isNotNull()
     pc, pu = F.when(pair, critic), F.when(pair, user)
-
-    glob = clean.agg(
+    means = list(DEFAULT_MEANS.items())
+
+    tagged = (clean.select(F.col("name"), price.alias("price"), user.alias("user_score"),
+                           critic.alias("metacritic_score"),
+                           F.col("pct_pos_total").cast("double").alias("pct_pos_total"), F.col(key))
+                   .withColumn("_all", F.explode(F.array(F.lit(True), F.lit(False))))
+                   .withColumn("_k", F.when(~F.col("_all"), F.col(key))))
+    # count/avg/min/max/stddev are cheap for every group; quantile inputs are
+    # null outside the whole-table group, so no per-year sketch is built.
+    per_group = tagged.groupBy("_all", "_k").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        summary_struct(price, exact, accuracy, mean_of=kept_price).alias("s_price"),
-        summary_struct(F.when(user > 0, user), exact, accuracy).alias("s_user"),
-        summary_struct(F.when(critic > 0, critic), exact, accuracy).alias("s_critic"),
+        summary_struct(g_price, exact, accuracy, mean_of=kept_price).alias("s_price"),
+        summary_struct(F.when(whole & (user > 0), user), exact, accuracy).alias("s_user"),
+        summary_struct(F.when(whole & (critic > 0), critic), exact, accuracy).alias("s_critic"),
         F.avg(kept_price).alias("c_mean"),
         median(kept_price, exact, rel_err).alias("c_median"),
         F.count(F.when(pair, F.lit(1))).alias("r_n"),
         F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
+        F.count(F.col("name")).alias("n"),
+        *[F.avg(F.col(src)).alias(out) for out, src in means],
     )
+    glob_fields = ["n_rows", "s_price", "s_user", "s_critic", "c_mean", "c_median", "r_n", "r"]
+    one = per_group.agg(
+        F.first(F.when(whole, F.struct(*glob_fields)), ignorenulls=True).alias("G"),
+        F.array_sort(F.collect_list(F.when(~whole & F.col("_k").isNotNull(), F.struct(
+            F.col("_k").alias("k"), F.col("n").alias("n"),
+            *[F.col(out).alias(out) for out, _ in means])))).alias("Y"),
+    )
+    G, Y = F.col("G"), F.col("Y")
+
+    def gf(name: str) -> Column:
+        return G.getField(name)
+
     cols = clean.columns
     fixed = [
         _line(0, 0, title), _line(0, 1, DOUBLE_RULE), _line(0, 2, ""),
-        _line(0, 3, F.concat(F.lit(TOTAL_ROWS), F.col("n_rows").cast("string"))),
+        _line(0, 3, F.concat(F.lit(TOTAL_ROWS),
+                             F.coalesce(gf("n_rows"), F.lit(0)).cast("string"))),
         _line(0, 4, COLUMNS_USED + str(len(cols))),
         _line(0, 5, COLUMNS + ", ".join(cols)),
         _line(0, 6, ""),
         _line(1, 0, SECTION_COUNTS), _line(1, 1, SINGLE_RULE), _line(1, END_SEQ, ""),
         _line(2, 0, SECTION_PRICE), _line(2, 1, SINGLE_RULE),
-        *_summary_block(2, 2, F.col("s_price"), digits),
+        *_summary_block(2, 2, gf("s_price"), digits),
         _line(2, 10, ""),
         _line(3, 0, SECTION_SCORES), _line(3, 1, SINGLE_RULE), _line(3, 2, USER_SCORE),
-        *_summary_block(3, 3, F.col("s_user"), digits),
+        *_summary_block(3, 3, gf("s_user"), digits),
         _line(3, 11, ""), _line(3, 12, CRITIC_SCORE),
-        *_summary_block(3, 13, F.col("s_critic"), digits),
+        *_summary_block(3, 13, gf("s_critic"), digits),
         _line(3, 21, ""),
         _line(4, 0, SECTION_YEARS), _line(4, 1, SINGLE_RULE), _line(4, END_SEQ, ""),
         _line(5, 0, SECTION_INSIGHTS), _line(5, 1, SINGLE_RULE), _line(5, 2, INSIGHT_RECENT),
-        _line(5, 5, F.when(F.col("c_mean").isNotNull() & F.col("c_median").isNotNull(),
-                           F.format_string(INSIGHT_PRICE, F.col("c_mean"), F.col("c_median")))),
-        _line(5, 6, F.when((F.col("r_n") > min_pairs) & F.col("r").isNotNull(),
-                           F.format_string(INSIGHT_CORR, F.col("r")))),
+        _line(5, 3, F.when(F.size(Y) > 0, F.format_string(
+            INSIGHT_SPAN, F.get(Y, 0).getField("k").cast("string"),
+            F.get(Y, F.size(Y) - 1).getField("k").cast("string")))),
+        _line(5, 4, F.when(F.size(Y) > 0, _peak_text(Y))),
+        _line(5, 5, F.when(gf("c_mean").isNotNull() & gf("c_median").isNotNull(),
+                           F.format_string(INSIGHT_PRICE, gf("c_mean"), gf("c_median")))),
+        _line(5, 6, F.when((gf("r_n") > min_pairs) & gf("r").isNotNull(),
+                           F.format_string(INSIGHT_CORR, gf("r")))),
     ]
-    glob_lines = glob.select(F.inline(F.array(*fixed)))
-
-    yearly = per_key(clean, key, "name", DEFAULT_MEANS, DEFAULT_COUNT_OUT)
-    k, n = F.col(key), F.col(DEFAULT_COUNT_OUT)
-    key_seq = (F.lit(KEY_SEQ) + k).cast("int").alias("seq")
-    count_lines = last_n(yearly.select(key, DEFAULT_COUNT_OUT), key, LAST_COUNTS).select(
-        F.lit(1).alias("section"), key_seq,
-        F.concat(_text(k), F.lit(": "), _text(n)).alias("line"))
-    stats = round_and_gate(yearly, DEFAULT_MEANS, 2, min_count)
-    stat_text = [F.lit(f"{k_}=") if i == 0 else F.lit(f", {k_}=") for i, k_ in
-                 enumerate(["count", *DEFAULT_MEANS])]
-    stat_vals = [n, *[F.col(c) for c in DEFAULT_MEANS]]
-    parts = [k.cast("string"), F.lit(": ")]
-    for label, val in zip(stat_text, stat_vals):
-        parts += [label, _text(val)]
-    year_lines = last_n(stats, key, LAST_STATS).select(
-        F.lit(4).alias("section"), key_seq, F.concat(*parts).alias("line"))
-    span_line = yearly.agg(F.min(k).alias("lo"), F.max(k).alias("hi")).where(
-        F.col("lo").isNotNull()).select(
-        F.lit(5).alias("section"), F.lit(3).alias("seq"),
-        F.format_string(INSIGHT_SPAN, F.col("lo").cast("string"), F.col("hi").cast("string")).alias("line"))
-    peak_line = peak(yearly.select(key, DEFAULT_COUNT_OUT), key, DEFAULT_COUNT_OUT).select(
-        F.lit(5).alias("section"), F.lit(4).alias("seq"),
-        F.format_string(INSIGHT_PEAK, _text(k), _text(n)).alias("line"))
-
-    lines = (glob_lines.unionByName(count_lines).unionByName(year_lines)
-                       .unionByName(span_line).unionByName(peak_line))
+
+    def key_seq(e: Column) -> Column:
+        return (F.lit(KEY_SEQ) + e["k"]).cast("int").alias("seq")
+
+    counts = _last(Y, LAST_COUNTS)
+    count_lines = F.transform(counts, lambda e: F.struct(
+        F.lit(1).alias("section"), key_seq(e),
+        F.concat(_text(e["k"]), F.lit(": "), _text(e["n"])).alias("line")))
+    stats = _last(F.filter(Y, lambda e: e["n"] > min_count), LAST_STATS)
+
+    def stat_line(e: Column) -> Column:
+        parts = [_text(e["k"]), F.lit(": count="), _text(e["n"])]
+        for out, _ in means:
+            parts += [F.lit(f", {out}="), _text(F.round(e[out], 2))]
+        return F.struct(F.lit(4).alias("section"), key_seq(e), F.concat(*parts).alias("line"))
+
+    year_lines = F.transform(stats, stat_line)
+    lines = one.select(F.inline(F.concat(F.array(*fixed), count_lines, year_lines)))
     return lines.where(F.col("line").isNotNull())
 
 
+def _last(arr: Column, n: int) -> Column:
+    """The last ``n`` elements of an ascending array (all of them if fewer)."""
+    return F.slice(arr, F.greatest(F.size(arr) - F.lit(n - 1), F.lit(1)), F.lit(n))
+
+
+def _peak_text(years: Column) -> Column:
+    """Year with the most rows; on ties the earliest year."""
+    best = F.array_max(F.transform(years, lambda e: F.struct(
+        F.coalesce(e["n"], F.lit(0)).alias("n0"), (-e["k"]).alias("neg_k"),
+        e["k"].alias("k"), e["n"].alias("n"))))
+    return F.format_string(INSIGHT_PEAK, _text(best["k"]), _text(best["n"]))
+
+
 def prompt_text(lines: DataFrame, instructions: str, key: str | None = None,
                 order: tuple[str, ...] = ("section", "seq"), text_col: str = "line",
                 out: str = "prompt") -> DataFrame:
