@@ -6,9 +6,10 @@ aggregate-expression builders are shared with the report so that all of its
 global statistics come from one scan.
 
 Quantiles: ``exact=False`` (default) uses the mergeable ``percentile_approx``
-sketch with bounded memory per task; ``exact=True`` uses ``percentile``, which
-interpolates like ``describe()`` but keeps a value -> count map, so its memory
-grows with the number of distinct values.
+sketch with bounded memory per task, inside the same single aggregate;
+``exact=True`` interpolates like ``describe()`` and is computed by
+``exact_quantiles`` (sketch-bracketed ranks, no task holds all values), then
+joined to the moments as a one-row scalar subquery or appended as rows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablestats.operators.filters import band
+from tablestats.operators.quantiles import exact_quantiles
 
 # Statistic names and order of the eight-number summary, the
 # quartile levels, and the default sketch accuracy of the summary.
@@ -42,26 +44,37 @@ def median(x: Column, exact: bool = False, rel_err: float = MEDIAN_REL_ERROR) ->
 
 
 def summary_struct(x: Column, exact: bool = False, accuracy: int = SUMMARY_ACCURACY,
-                   mean_of: Column | None = None) -> Column:
+                   mean_of: Column | None = None, with_quantiles: bool = True) -> Column:
     """Aggregate expression: struct of the eight statistics of ``x``.
 
     ``mean_of`` replaces the input of the mean only (robust summary).  Null
     inputs are ignored, so a filtered summary is the same expression over
-    ``when(cond, x)``.
+    ``when(cond, x)``.  ``with_quantiles=False`` leaves the three quartiles
+    null, to be filled from ``exact_quantiles``.
     """
-    q = quantiles(x, QUARTILES, exact, accuracy)
+    if with_quantiles:
+        q = quantiles(x, QUARTILES, exact, accuracy)
+        q25, q50, q75 = (F.get(q, i).cast("double") for i in range(3))
+    else:
+        q25 = q50 = q75 = F.lit(None).cast("double")
     return F.struct(
         F.count(x).cast("double").alias("count"),
         F.avg(mean_of if mean_of is not None else x).alias("mean"),
         F.stddev_samp(x).alias("stddev"),
         F.min(x).cast("double").alias("min"),
-        F.get(q, 0).cast("double").alias("q25"),
-        F.get(q, 1).cast("double").alias("q50"),
-        F.get(q, 2).cast("double").alias("q75"),
+        q25.alias("q25"),
+        q50.alias("q50"),
+        q75.alias("q75"),
         F.max(x).cast("double").alias("max"),
     )
 
 
+def with_exact_quartiles(s: Column, q: Column) -> Column:
+    """Fill the quartile fields of a summary struct from a quantile array."""
+    return (s.withField("q25", F.get(q, 0)).withField("q50", F.get(q, 1))
+             .withField("q75", F.get(q, 2)))
+
+
 _FIELDS = ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")
 
 
@@ -91,6 +104,17 @@ def column_profile(df: DataFrame) -> DataFrame:
     ])))
 
 
+def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
+             mean_of: Column | None = None) -> DataFrame:
+    if not exact:
+        one = data.agg(summary_struct(x, False, accuracy, mean_of).alias("s"))
+    else:
+        q = exact_quantiles(data, x, QUARTILES).select("q").scalar()
+        one = (data.agg(summary_struct(x, mean_of=mean_of, with_quantiles=False).alias("s"))
+                   .select(with_exact_quartiles(F.col("s"), q).alias("s")))
+    return one.select(F.inline(summary_rows(F.col("s"))))
+
+
 def summary(df: DataFrame, col: str, exact: bool = False, lo: float | None = None,
             hi: float | None = None, lo_open: bool = False, hi_open: bool = False,
             accuracy: int = SUMMARY_ACCURACY) -> DataFrame:
@@ -100,9 +124,7 @@ def summary(df: DataFrame, col: str, exact: bool = False, lo: float | None = Non
     values of ``col`` inside the optional band.
     """
     data = band(df, col, lo, hi, lo_open, hi_open) if (lo is not None or hi is not None) else df
-    x = F.col(col).cast("double")
-    one = data.agg(summary_struct(x, exact, accuracy).alias("s"))
-    return one.select(F.inline(summary_rows(F.col("s"))))
+    return _summary(data, F.col(col).cast("double"), exact, accuracy)
 
 
 def robust_summary(df: DataFrame, col: str, mean_max: float = 1000.0, exact: bool = False,
@@ -113,8 +135,7 @@ def robust_summary(df: DataFrame, col: str, mean_max: float = 1000.0, exact: boo
     filtered summary on the statistic name, without a second scan or a join.
     """
     x = F.col(col).cast("double")
-    one = df.agg(summary_struct(x, exact, accuracy, mean_of=F.when(x <= mean_max, x)).alias("s"))
-    return one.select(F.inline(summary_rows(F.col("s"))))
+    return _summary(df, x, exact, accuracy, mean_of=F.when(x <= mean_max, x))
 
 
 def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool = False,
@@ -122,4 +143,7 @@ def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool
     """(mean, median) of non-null ``col`` values, optionally only those <= max_value."""
     x = F.col(col).cast("double")
     v = F.when(x <= max_value, x) if max_value is not None else x
-    return df.agg(F.avg(v).alias("mean"), median(v, exact, rel_err).alias("median"))
+    if not exact:
+        return df.agg(F.avg(v).alias("mean"), median(v, False, rel_err).alias("median"))
+    med = exact_quantiles(df, v, [0.5]).select(F.get("q", 0)).scalar()
+    return df.agg(F.avg(v).alias("mean")).select("mean", med.alias("median"))

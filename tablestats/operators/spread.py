@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablestats.operators.profile import QUARTILES, SUMMARY_ACCURACY, median, quantiles
+from tablestats.operators.quantiles import exact_quantiles
 
 # Fixed value: whisker reach in inter-quartile ranges (box-plot default).
 WHISKER_IQR = 1.5
@@ -29,13 +30,17 @@ BROADCAST_MAX_BUCKETS = 100_000
 
 
 def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
-                 rel_err: float = 1.0 / SUMMARY_ACCURACY) -> DataFrame:
+                 rel_err: float = 1.0 / SUMMARY_ACCURACY, max_buckets: int | None = None) -> DataFrame:
     """Per non-null bucket: n, mean and median of the non-null values of ``col``."""
     x = F.col(col).cast("double")
-    return (df.where(F.col(bucket).isNotNull() & x.isNotNull())
-              .groupBy(bucket)
-              .agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
-                   median(x, exact, rel_err).alias("median")))
+    data = df.where(F.col(bucket).isNotNull() & x.isNotNull())
+    if not exact:
+        return data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
+                                        median(x, False, rel_err).alias("median"))
+    moments = data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
+    med = exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets).select(
+        bucket, F.get("q", 0).alias("median"))
+    return moments.join(med, on=bucket, how="left")
 
 
 def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
@@ -49,13 +54,12 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     """
     x = F.col(col).cast("double")
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull()).select(F.col(bucket), x.alias("_v"))
-    q = quantiles(F.col("_v"), QUARTILES, exact, accuracy)
-    box = (data.groupBy(bucket)
-               .agg(q.alias("_q"))
-               .select(bucket,
-                       F.get("_q", 0).alias("q1"),
-                       F.get("_q", 1).alias("median"),
-                       F.get("_q", 2).alias("q3")))
+    if exact:
+        box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], max_groups=max_buckets)
+    else:
+        box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, False, accuracy).alias("q"))
+    box = box.select(bucket, F.get("q", 0).alias("q1"), F.get("q", 1).alias("median"),
+                     F.get("q", 2).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     box = box.withColumns({"_lo": F.col("q1") - F.lit(k) * iqr,
                            "_hi": F.col("q3") + F.lit(k) * iqr})

@@ -23,10 +23,11 @@ from tablestats.operators.profile import (
     MEDIAN_REL_ERROR,
     STAT_ORDER,
     SUMMARY_ACCURACY,
+    QUARTILES,
     median,
-    summary_rows,
     summary_struct,
 )
+from tablestats.operators.quantiles import exact_quantiles
 from tablestats.operators.relate import MIN_PAIRS
 
 # Report wording and layout (English report), thresholds.
@@ -91,11 +92,10 @@ def _line(section: int, seq: int, text: Column | str) -> Column:
     return F.struct(F.lit(section).alias("section"), F.lit(seq).alias("seq"), t.alias("line"))
 
 
-def _summary_block(section: int, first_seq: int, s: Column, digits: int | None) -> list[Column]:
-    rows = summary_rows(s)
+def _summary_block(section: int, first_seq: int, values: list[Column],
+                   digits: int | None) -> list[Column]:
     out = []
-    for i, stat in enumerate(STAT_ORDER):
-        value = F.get(rows, i).getField("value")
+    for i, (stat, value) in enumerate(zip(STAT_ORDER, values)):
         text = F.concat(F.lit(stat + ": "), _number_text(F.lit(stat), value, digits))
         out.append(_line(section, first_seq + i, text))
     return out
@@ -141,11 +141,14 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     # null outside the whole-table group, so no per-year sketch is built.
     per_group = tagged.groupBy("_all", "_k").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        summary_struct(g_price, exact, accuracy, mean_of=kept_price).alias("s_price"),
-        summary_struct(F.when(whole & (user > 0), user), exact, accuracy).alias("s_user"),
-        summary_struct(F.when(whole & (critic > 0), critic), exact, accuracy).alias("s_critic"),
+        summary_struct(g_price, False, accuracy, mean_of=kept_price,
+                       with_quantiles=not exact).alias("s_price"),
+        summary_struct(F.when(whole & (user > 0), user), False, accuracy,
+                       with_quantiles=not exact).alias("s_user"),
+        summary_struct(F.when(whole & (critic > 0), critic), False, accuracy,
+                       with_quantiles=not exact).alias("s_critic"),
         F.avg(kept_price).alias("c_mean"),
-        median(kept_price, exact, rel_err).alias("c_median"),
+        (F.lit(None).cast("double") if exact else median(kept_price, False, rel_err)).alias("c_median"),
         F.count(F.when(pair, F.lit(1))).alias("r_n"),
         F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
         F.count(F.col("name")).alias("n"),
@@ -158,8 +161,20 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
             F.col("_k").alias("k"), F.col("n").alias("n"),
             *[F.col(out).alias(out) for out, _ in means])))).alias("Y"),
     )
+    if exact:
+        one = one.withColumn("M", _exact_map(clean, price, user, critic, price_max))
     G, Y = F.col("G"), F.col("Y")
 
+    def block(section: int, first: int, name: str, series: int) -> list[Column]:
+        s = G.getField(name)
+        vals = [s.getField(f) for f in ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")]
+        if exact:
+            q = F.col("M")[series]
+            vals[4:7] = [F.get(q, 0), F.get(q, 1), F.get(q, 2)]
+        return _summary_block(section, first, vals, digits)
+
+    c_median = F.get(F.col("M")[3], 1) if exact else G.getField("c_median")
+
     def gf(name: str) -> Column:
         return G.getField(name)
 
@@ -173,12 +188,12 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
         _line(0, 6, ""),
         _line(1, 0, SECTION_COUNTS), _line(1, 1, SINGLE_RULE), _line(1, END_SEQ, ""),
         _line(2, 0, SECTION_PRICE), _line(2, 1, SINGLE_RULE),
-        *_summary_block(2, 2, gf("s_price"), digits),
+        *block(2, 2, "s_price", 0),
         _line(2, 10, ""),
         _line(3, 0, SECTION_SCORES), _line(3, 1, SINGLE_RULE), _line(3, 2, USER_SCORE),
-        *_summary_block(3, 3, gf("s_user"), digits),
+        *block(3, 3, "s_user", 1),
         _line(3, 11, ""), _line(3, 12, CRITIC_SCORE),
-        *_summary_block(3, 13, gf("s_critic"), digits),
+        *block(3, 13, "s_critic", 2),
         _line(3, 21, ""),
         _line(4, 0, SECTION_YEARS), _line(4, 1, SINGLE_RULE), _line(4, END_SEQ, ""),
         _line(5, 0, SECTION_INSIGHTS), _line(5, 1, SINGLE_RULE), _line(5, 2, INSIGHT_RECENT),
@@ -186,8 +201,8 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
             INSIGHT_SPAN, F.get(Y, 0).getField("k").cast("string"),
             F.get(Y, F.size(Y) - 1).getField("k").cast("string")))),
         _line(5, 4, F.when(F.size(Y) > 0, _peak_text(Y))),
-        _line(5, 5, F.when(gf("c_mean").isNotNull() & gf("c_median").isNotNull(),
-                           F.format_string(INSIGHT_PRICE, gf("c_mean"), gf("c_median")))),
+        _line(5, 5, F.when(gf("c_mean").isNotNull() & c_median.isNotNull(),
+                           F.format_string(INSIGHT_PRICE, gf("c_mean"), c_median))),
         _line(5, 6, F.when((gf("r_n") > min_pairs) & gf("r").isNotNull(),
                            F.format_string(INSIGHT_CORR, gf("r")))),
     ]
@@ -212,6 +227,26 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     return lines.where(F.col("line").isNotNull())
 
 
+def _exact_map(clean: DataFrame, price: Column, user: Column, critic: Column,
+               price_max: float) -> Column:
+    """Exact quartiles of the report's four series, as one map-valued scalar.
+
+    The series (0 price; 1 user score > 0; 2 critic score > 0; 3 price <=
+    price_max) are stacked as (series, value) rows and ranked by
+    ``exact_quantiles`` per series; the four result rows come back as a
+    map series -> [q25, q50, q75] through one scalar subquery.
+    """
+    series = F.explode(F.array(
+        F.struct(F.lit(0).alias("series"), price.alias("v")),
+        F.struct(F.lit(1).alias("series"), F.when(user > 0, user).alias("v")),
+        F.struct(F.lit(2).alias("series"), F.when(critic > 0, critic).alias("v")),
+        F.struct(F.lit(3).alias("series"), F.when(price <= price_max, price).alias("v")),
+    ))
+    stacked = clean.select(series.alias("_s")).select("_s.series", "_s.v")
+    qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], max_groups=4)
+    return qs.agg(F.map_from_entries(F.collect_list(F.struct("series", "q")))).scalar()
+
+
 def _last(arr: Column, n: int) -> Column:
     """The last ``n`` elements of an ascending array (all of them if fewer)."""
     return F.slice(arr, F.greatest(F.size(arr) - F.lit(n - 1), F.lit(1)), F.lit(n))
