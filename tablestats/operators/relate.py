@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Minimum number of pairs for a correlation, points on a fit
@@ -83,13 +83,35 @@ def fit_line(df: DataFrame, x: str, y: str, n: int = LINE_POINTS, min_rows: int
 def sample_n(df: DataFrame, key_cols: Sequence[str] | str, n: int = SAMPLE_ROWS) -> DataFrame:
     """Up to ``n`` rows, chosen by the md5 of the key: the same rows every run.
 
-    A top-n by hash (``TakeOrderedAndProject``): each task keeps n rows, the
-    final merge sees n rows per task.  Ties on the key are broken by the
-    remaining columns, so the chosen multiset is fully determined.
+    The result is exactly ``orderBy(md5(key), key, other columns).limit(n)``
+    (ties on the key are broken by the remaining columns, so the chosen
+    multiset is fully determined), computed without sending n rows from every
+    task to one final merge:
+
+    1. a histogram of the hash's leading zero hex digits (at most 33 groups,
+       combined map-side) gives the largest z such that at least
+       min(n, #rows) hashes start with z zeros; those hashes are exactly the
+       smallest ones, and in expectation there are fewer than 16 n of them;
+    2. only rows with at least z leading zeros enter the top-n
+       (``TakeOrderedAndProject``).
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     texts = [F.col(k).cast("string") for k in keys]
     h = F.md5(texts[0]) if len(texts) == 1 else F.md5(F.concat_ws("\u001f", *texts))
+    hashed = df.withColumn("_h", h).withColumn(
+        "_z", F.length(F.regexp_extract(F.col("_h"), "^0*", 0)))
+
+    hist = hashed.groupBy("_z").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = hist.select("_z", F.sum("_c").over(
+        Window.orderBy(F.col("_z").desc()).rowsBetween(Window.unboundedPreceding,
+                                                       Window.currentRow)).alias("_atleast"),
+        F.sum("_c").over(Window.partitionBy(F.lit(0))).alias("_total"))
+    need = F.least(F.lit(n), F.col("_total"))
+    z = ranked.where(F.col("_atleast") >= need).agg(
+        F.coalesce(F.max("_z"), F.lit(0)).alias("z")).scalar()
+
     rest = [c for c in df.columns if c not in keys]
-    order = [h.asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in keys + rest]
-    return df.orderBy(*order).limit(n)
+    order = [F.col("_h").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in keys + rest]
+    return (hashed.where(F.col("_z") >= z)
+                  .orderBy(*order).limit(n)
+                  .select(*df.columns))

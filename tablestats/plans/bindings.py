@@ -349,6 +349,19 @@ def q_sample_scatter(spark, sf):
     return sample_n(li, ["l_orderkey", "l_linenumber"], 5000)
 
 
+def _scores(spark, sf):
+    return catalog(spark, sf).where(
+        F.col("metacritic_score").isNotNull() & F.col("user_score").isNotNull())
+
+
+def q_scatter_fit(spark, sf):
+    """Scatter chart input as the newest analysis draws it: the fit line over
+    the 5,000-row repeatable sample of score pairs (correlation over all)."""
+    pts = _scores(spark, sf).select("release_date", "tags", "metacritic_score", "user_score")
+    sample = sample_n(pts, ["release_date", "tags"], 5000)
+    return fit_line(sample, "metacritic_score", "user_score").select("i", _r("x"), _r("y"))
+
+
 # -------------------------------------------------------------------- report
 
 def q_summary_lines(spark, sf):
@@ -360,7 +373,8 @@ def q_report_lines(spark, sf):
 
 
 def q_report_prompt(spark, sf):
-    return chat_requests(prompt_text(report_lines(catalog(spark, sf)), DEFAULT_INSTRUCTIONS))
+    lines = report_lines(catalog(spark, sf), digits=2, exact=True)
+    return chat_requests(prompt_text(lines, DEFAULT_INSTRUCTIONS))
 
 
 def q_prompt_text(spark, sf):
@@ -436,6 +450,7 @@ QUERIES = {
     "linear_fit": q_linear_fit,
     "predict": q_predict,
     "fit_line": q_fit_line,
+    "scatter_fit": q_scatter_fit,
     "sample_n": q_sample_n,
     "sample_scatter": q_sample_scatter,
     "summary_lines": q_summary_lines,

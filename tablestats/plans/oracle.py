@@ -175,6 +175,12 @@ def _report_sql() -> str:
     return f"WITH {CLEAN_CTE.strip()},\n{g},\n{y},\nlines AS ({union})\nSELECT section, seq, line FROM lines"
 
 
+def _report_body() -> str:
+    """The report query without the cleaned-catalogue CTE (for nesting)."""
+    full = _report_sql()
+    return "WITH " + full[len(f"WITH {CLEAN_CTE.strip()},"):].lstrip()
+
+
 def _num(x: str) -> str:
     return (f"CASE WHEN regexp_matches({x}, {_lit(PLAIN_NUMBER)}) "
             f"THEN TRY_CAST({x} AS DOUBLE) END")
@@ -307,6 +313,22 @@ SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM p""",
                              else f"printf('%.2f', s{i})") + ", 'None') AS line FROM s"
                           for i, st in enumerate(STATS))),
     "report_lines": _report_sql(),
+    "scatter_fit": _with_clean("""SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM (
+  SELECT CAST(t.i AS INTEGER) AS i,
+         CASE WHEN t.i = 99 THEN hi ELSE t.i * ((hi - lo) / 99.0) + lo END AS x, s, b
+  FROM f CROSS JOIN range(0, 100) AS t(i) WHERE s IS NOT NULL AND n > 1)""",
+        """smp AS (SELECT * FROM clean WHERE metacritic_score IS NOT NULL AND user_score IS NOT NULL
+          ORDER BY md5(concat_ws(chr(31), CAST(release_date AS VARCHAR), tags)), release_date, tags,
+                   metacritic_score, user_score LIMIT 5000)""",
+        """f AS (SELECT regr_slope(user_score, metacritic_score) AS s,
+          regr_intercept(user_score, metacritic_score) AS b, count(*) AS n,
+          min(metacritic_score) AS lo, max(metacritic_score) AS hi FROM smp)"""),
+    "report_prompt": (f"WITH {CLEAN_CTE.strip()}, rep AS ({{report}}) "
+                      f"SELECT prompt, CAST(to_json({{{{'model': {_lit(DEFAULT_MODEL)}, "
+                      "'messages': [{{'role': 'user', 'content': prompt}}], 'temperature': 0.5, "
+                      "'max_tokens': -1, 'stream': false}}) AS VARCHAR) AS request FROM ("
+                      f"SELECT {_lit(DEFAULT_INSTRUCTIONS)} || string_agg(line, chr(10) "
+                      "ORDER BY section, seq, line) || chr(10) AS prompt FROM rep)"),
     "prompt_text": (f"SELECT conv_id, {_lit(DEFAULT_INSTRUCTIONS)} || "
                     "string_agg(text, chr(10) ORDER BY turn, text) || chr(10) AS prompt "
                     "FROM conversations GROUP BY conv_id"),
@@ -320,3 +342,5 @@ SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM p""",
                 WHEN 1 THEN 'no_choices' WHEN 2 THEN 'empty' ELSE 'bad_json' END AS status
 FROM conversations""",
 }
+
+ORACLE_SQL["report_prompt"] = ORACLE_SQL["report_prompt"].format(report=_report_body())

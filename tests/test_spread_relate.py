@@ -114,3 +114,24 @@ def test_sample_n_repeatable(spark):
     assert sample_n(df, "k", 5000).count() == 2000
     plan = sample_n(df, "k", 100)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def _naive_sample(df, key, n):
+    order = [F.md5(F.col(key).cast("string"))] + [F.col(c) for c in [key] + [c for c in df.columns if c != key]]
+    return [tuple(r) for r in df.orderBy(*order).limit(n).collect()]
+
+
+@pytest.mark.parametrize("n", [1, 7, 300, 5000])
+def test_sample_n_equals_naive_top_n_with_hot_key(spark, n):
+    base = spark.range(3000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("v"))
+    hot = spark.range(1500).select(F.lit(17).cast("long").alias("k"), F.col("id").alias("v"))
+    df = base.unionByName(hot)
+    got = [tuple(r) for r in sample_n(df, "k", n).collect()]
+    assert sorted(got) == sorted(_naive_sample(df, "k", n))
+    plan = sample_n(df, "k", n)._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" in plan  # only the smallest-hash rows reach the top-n merge
+
+
+def test_sample_n_empty(spark):
+    df = spark.range(0).select(F.col("id").alias("k"))
+    assert sample_n(df, "k", 10).count() == 0
