@@ -111,7 +111,8 @@ def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
     else:
         q = exact_quantiles(data, x, QUARTILES).select("q").scalar()
         one = (data.agg(summary_struct(x, mean_of=mean_of, with_quantiles=False).alias("s"))
-                   .select(with_exact_quartiles(F.col("s"), q).alias("s")))
+                   .select("s", q.alias("_q"))   # one reference to the subquery
+                   .select(with_exact_quartiles(F.col("s"), F.col("_q")).alias("s")))
     return one.select(F.inline(summary_rows(F.col("s"))))
 
 

@@ -1,29 +1,32 @@
-"""Exact quantiles without gathering all values in one task.
+"""Exact quantiles without gathering all values, or all sketches, in one task.
 
 Spark's exact ``percentile`` aggregate keeps a value -> count map per group
 and merges every map of a group in one final task: memory grows with the
-number of distinct values.  ``exact_quantiles`` computes the same numbers
-(linear interpolation at position p * (n - 1), as ``percentile`` and
-``describe()`` do) in bounded pieces:
-
-1. one aggregate per group: row count n and a mergeable quantile sketch,
-   probed just below and just above each level.  The sketch's rank error is
-   at most n / accuracy, so the probes bracket the exact ranks;
-2. one aggregate keyed per row by its value when it lies inside a bracket,
-   else by the gap between brackets: gap rows collapse to one count (plus
-   the gap's smallest and largest value, so a bracket reaches one element
-   further) map-side, and the inside rows become a (value, count) histogram
-   of at most about 6 n / accuracy distinct values per level (ties, however
-   many, collapse to one row);
-3. a window over that small histogram turns counts into ranks and picks the
-   two order statistics around each position, for all levels at once.
-
-A bracket that does not contain its ranks raises an error instead of giving
-a wrong number.  Groups are attached to their brackets by a join on the group
-keys: a broadcast when the caller proves a bound on the number of groups,
-else left to AQE (runtime broadcast of the small side, or a sort-merge join
-with skewed partitions split).  Without groups the bracket is a scalar
-subquery.
+number of distinct values.  Even a sketch aggregate merges one partial
+buffer per map task in the group's final task.  ``exact_quantiles``
+computes the same numbers as ``percentile`` (linear interpolation at position
+p * (n - 1), as ``describe()`` does) in bounded pieces:
+
+1. bracket: a KLL sketch per group, merged in two levels (map tasks are
+   salted by partition id, each salt merges its tasks' sketches, the group
+   merges the salts), probed just below and just above the ranks each level
+   needs.  ``refine`` more passes sketch only the values inside each bracket
+   and narrow it by the same factor again;
+2. histogram: one aggregate keyed per row by its value when it lies inside a
+   bracket, else by the gap between brackets.  Gap rows collapse to one count
+   (plus the gap's smallest and largest value, so a bracket reaches one
+   element further) map-side; inside rows become a (value, count) histogram
+   whose size is the bracket width (ties, however many, collapse to one row);
+3. a window over that histogram turns counts into ranks and picks the two
+   order statistics around each position, for all levels at once.
+
+The sketch error is probabilistic, so the margins are several times the
+sketch's 99% rank error; a bracket that still misses its ranks raises an
+error instead of giving a wrong number.  Groups are attached to their
+brackets by a join on the group keys: a broadcast when the caller proves a
+bound on the number of groups, else left to AQE (runtime broadcast of the
+small side, or a sort-merge join with skewed partitions split).  Without
+groups the bracket is a scalar subquery.
 """
 
 from __future__ import annotations
@@ -33,13 +36,60 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BRACKET_ACCURACY = 100_000
-BRACKET_MARGIN = 3          # probe levels +- margin / accuracy
+SKETCH_K = 4096             # KLL size parameter (about 7e-4 normalised rank error)
+SALTS = 1024                # first-level merge groups of map tasks
+MARGIN = 3.0                # bracket half-width, in sketch rank errors
+REFINE = 1                  # extra narrowing passes
+GRID = 1024                 # rank grid probed in a refinement pass
 BROADCAST_MAX_GROUPS = 100_000
 
 
+def kll_rank_error(k: int) -> float:
+    """Normalised two-sided rank error of a KLL sketch (99% confidence)."""
+    return 2.296 / k ** 0.9723
+
+
+def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: int,
+                      extra: list[Column], carry: Sequence[str] = ()) -> DataFrame:
+    """Per group: merged KLL sketches of ``values`` plus summed ``extra`` counts.
+
+    Level 1 groups by (group, partition id mod SALTS): each map task feeds a
+    single salt, so each level-1 task merges about #tasks / SALTS sketches;
+    level 2 merges at most SALTS sketches per group.  ``carry`` columns are
+    constant per group and ride along as extra grouping keys.
+    """
+    keys = [*by, *carry]
+    salt = (F.spark_partition_id() % SALTS).alias("_salt")
+    lvl1 = data.groupBy(*keys, salt).agg(
+        *[F.kll_sketch_agg_double(v, k).alias(f"_sk{j}") for j, v in enumerate(values)],
+        *[e.alias(f"_e{j}") for j, e in enumerate(extra)])
+    return lvl1.groupBy(*keys).agg(
+        *[F.kll_merge_agg_double(f"_sk{j}").alias(f"_sk{j}") for j in range(len(values))],
+        *[F.sum(f"_e{j}").alias(f"_e{j}") for j in range(len(extra))])
+
+
+def _quantiles_of(sketch: Column, ranks: Column) -> Column:
+    """Sketch quantiles at constant ranks; null for an empty sketch."""
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0,
+                  F.kll_sketch_get_quantile_double(sketch, ranks))
+
+
+def _attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str],
+            max_groups: int | None) -> DataFrame:
+    """Add the per-group columns of ``side`` to every data row (join or scalar)."""
+    if by:
+        if max_groups is not None and max_groups <= BROADCAST_MAX_GROUPS:
+            side = F.broadcast(side)
+        return data.join(side.select(*by, *cols), on=by, how="inner")
+    # One reference to the subquery (a struct), fields extracted afterwards:
+    # every extra reference could run the subquery again.
+    s = side.select(F.struct(*cols).alias("_s")).scalar()
+    with_s = data.select("*", s.alias("_s"))
+    return with_s.select(*data.columns, *[F.col("_s").getField(c).alias(c) for c in cols])
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
-                    by: Sequence[str] = (), accuracy: int = BRACKET_ACCURACY,
+                    by: Sequence[str] = (), k: int = SKETCH_K, refine: int = REFINE,
                     max_groups: int | None = None) -> DataFrame:
     """Per group: ``n`` (non-null values) and ``q`` (array, one exact quantile per level).
 
@@ -51,38 +101,55 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     n_lv = len(levels)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     data = df.select(*[F.col(b) for b in by], v.alias("_v")).where(F.col("_v").isNotNull())
+    delta = MARGIN * kll_rank_error(k)
+    x = F.col("_v")
 
-    delta = BRACKET_MARGIN / accuracy
-    probes = []
-    for p in levels:
-        probes += [max(p - delta, 0.0), min(p + delta, 1.0)]
-    bounds = data.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx(F.col("_v"), F.array(*[F.lit(x) for x in probes]),
-                            F.lit(accuracy)).alias("_b"))
-
-    if by:
-        side_table = bounds
-        if max_groups is not None and max_groups <= BROADCAST_MAX_GROUPS:
-            side_table = F.broadcast(bounds)
-        joined = data.join(side_table, on=by, how="inner")
-    else:
-        s = bounds.select(F.struct("_n", "_b").alias("_s")).scalar()
-        joined = data.select("_v", s.getField("_n").alias("_n"), s.getField("_b").alias("_b"))
+    # Pass 1: n and a sketch of all values; probes at the constant ranks
+    # p - delta and p + delta bracket each level's ranks.
+    probes = F.array(*[F.lit(min(max(r, 0.0), 1.0)) for p in levels for r in (p - delta, p + delta)])
+    first = _two_level_sketch(data, by, [x], k, [F.count(F.lit(1))])
+    got = _quantiles_of(F.col("_sk0"), probes)
+    cols = {"_n": F.col("_e0")}
+    for j in range(n_lv):
+        cols[f"_lo{j}"], cols[f"_hi{j}"] = F.get(got, 2 * j), F.get(got, 2 * j + 1)
+    state = first.select(*by, *[c.alias(name) for name, c in cols.items()])
+    names = list(cols)
+    n1 = (F.col("_n") - 1).cast("double")
 
-    b = F.col("_b")
-    x = F.col("_v")
-    inside = F.lit(False)
+    # Refinement: sketch only the values inside each bracket and count the
+    # values below it; a grid of GRID + 1 ranks over each inside sketch gives
+    # a bracket about (2 delta + 2 / GRID) as wide as the previous one.
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    for _ in range(refine):
+        rows = _attach(data, state, by, names, max_groups)
+        inside = [F.when((x >= F.col(f"_lo{j}")) & (x <= F.col(f"_hi{j}")), x) for j in range(n_lv)]
+        below = [F.count(F.when(x < F.col(f"_lo{j}"), F.lit(1))) for j in range(n_lv)]
+        ins_n = [F.count(inside[j]) for j in range(n_lv)]
+        sk = _two_level_sketch(rows, by, inside, k, below + ins_n, carry=names)
+        new = {"_n": F.col("_n")}
+        for j, p in enumerate(levels):
+            pos = F.lit(p) * n1
+            cb, m = F.col(f"_e{j}"), F.col(f"_e{n_lv + j}").cast("double")
+            qs = _quantiles_of(F.col(f"_sk{j}"), grid)
+            lo_i = F.floor(((F.floor(pos) - cb) / m - delta) * GRID)
+            hi_i = F.ceil(((F.ceil(pos) - cb + 1) / m + delta) * GRID)
+            lo = F.when(lo_i >= 0, F.get(qs, F.least(lo_i, F.lit(GRID)).cast("int")))
+            hi = F.when(hi_i <= GRID, F.get(qs, F.greatest(hi_i, F.lit(0)).cast("int")))
+            # an edge of the grid, or an empty inside sketch, keeps the old bound
+            new[f"_lo{j}"] = F.coalesce(lo, F.col(f"_lo{j}"))
+            new[f"_hi{j}"] = F.coalesce(hi, F.col(f"_hi{j}"))
+        state = sk.select(*by, *[c.alias(name) for name, c in new.items()])
+
+    # Histogram pass: value inside any bracket, else the gap it falls in.
+    joined = _attach(data, state, by, names, max_groups)
+    inside_any = F.lit(False)
     gap = F.lit(0)
     for j in range(n_lv):
-        lo, hi = F.get(b, 2 * j), F.get(b, 2 * j + 1)
-        inside = inside | ((x >= lo) & (x <= hi))
+        lo, hi = F.col(f"_lo{j}"), F.col(f"_hi{j}")
+        inside_any = inside_any | ((x >= lo) & (x <= hi))
         gap = gap + F.when(x > hi, F.lit(1)).otherwise(F.lit(0))
-    # One key per row: its value inside any bracket, else the gap between
-    # brackets it falls in.  Outside rows of a gap collapse to one count (and
-    # the gap's smallest and largest value) in the map-side partial aggregate.
-    keyed = joined.select(*by, "_n", F.when(inside, x).alias("_x"),
-                          F.when(~inside, gap).alias("_gap"), x.alias("_y"))
+    keyed = joined.select(*by, "_n", F.when(inside_any, x).alias("_x"),
+                          F.when(~inside_any, gap).alias("_gap"), x.alias("_y"))
     hist = keyed.groupBy(*by, "_n", "_x", "_gap").agg(
         F.count(F.lit(1)).alias("_c"), F.min("_y").alias("_ymin"), F.max("_y").alias("_ymax"))
 
@@ -90,31 +157,29 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = hist.withColumn("_end", F.sum("_c").over(w))  # ranks [end - c, end)
     start, end = F.col("_end") - F.col("_c"), F.col("_end")
-    n1 = (F.col("_n") - 1).cast("double")
 
-    def pick(k: Column) -> Column:
-        hit = (start <= k) & (k < end)
-        value = (F.when(F.col("_x").isNotNull(), F.col("_x"))
-                  .when(k == start, F.col("_ymin"))
-                  .when(k == end - 1, F.col("_ymax"))
-                  .otherwise(F.raise_error(F.lit("exact_quantiles: rank outside the sketch bracket"))))
-        return F.when(hit, value)
+    def pick(kk: Column) -> Column:
+        hit = (start <= kk) & (kk < end)
+        chosen = (F.when(F.col("_x").isNotNull(), F.col("_x"))
+                   .when(kk == start, F.col("_ymin"))
+                   .when(kk == end - 1, F.col("_ymax"))
+                   .otherwise(F.raise_error(F.lit("exact_quantiles: rank outside the sketch bracket"))))
+        return F.when(hit, chosen)
 
     aggs = []
     for j, p in enumerate(levels):
         pos = F.lit(p) * n1
-        aggs += [F.max(pick(F.floor(pos))).alias(f"_lo{j}"), F.max(pick(F.ceil(pos))).alias(f"_hi{j}")]
+        aggs += [F.max(pick(F.floor(pos))).alias(f"_a{j}"), F.max(pick(F.ceil(pos))).alias(f"_b{j}")]
     picked = ranked.groupBy(*by, "_n").agg(*aggs)
 
     qs = []
     for j, p in enumerate(levels):
         pos = F.lit(p) * n1
         lower, upper = F.floor(pos), F.ceil(pos)
-        v0, v1 = F.col(f"_lo{j}"), F.col(f"_hi{j}")
+        v0, v1 = F.col(f"_a{j}"), F.col(f"_b{j}")
         qs.append(F.when(lower == upper, v0).otherwise((upper - pos) * v0 + (pos - lower) * v1))
     out = picked.select(*by, F.col("_n").alias("n"), F.array(*qs).alias("q"))
     if not by:
-        # Always one row without groups: n = 0 and null quantiles when empty.
         out = out.agg(F.coalesce(F.first("n"), F.lit(0)).cast("long").alias("n"),
                       F.first("q").alias("q"))
     return out

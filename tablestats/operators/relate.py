@@ -55,9 +55,10 @@ def linear_fit(df: DataFrame, x: str, y: str, min_rows: int = 1) -> DataFrame:
 def predict(df: DataFrame, fit: DataFrame, x: str, out: str = "fitted",
             slope: str = "slope", intercept: str = "intercept") -> DataFrame:
     """Add ``out = slope * x + intercept`` from a one-row fit table."""
-    s = fit.select(slope).scalar()
-    i = fit.select(intercept).scalar()
-    return df.withColumn(out, s * F.col(x).cast("double") + i)
+    line = fit.select(F.struct(F.col(slope).alias("s"), F.col(intercept).alias("i"))).scalar()
+    with_fit = df.select("*", line.alias("_fit"))  # one reference to the subquery
+    return with_fit.select(*df.columns, (F.col("_fit.s") * F.col(x).cast("double")
+                                         + F.col("_fit.i")).alias(out))
 
 
 def fit_line(df: DataFrame, x: str, y: str, n: int = LINE_POINTS, min_rows: int = 1) -> DataFrame:

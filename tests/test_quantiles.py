@@ -33,10 +33,12 @@ def test_exact_groups_hot_value_and_ties(spark):
         np.testing.assert_allclose(got[g].q, brute(vals), rtol=1e-12)
 
 
-def test_exact_many_distinct_uses_brackets(spark):
-    df = spark.range(300000).select((F.rand(5) * 1e6).alias("v"))
+@pytest.mark.parametrize("k,refine", [(64, 0), (64, 1), (200, 2)])
+def test_exact_many_distinct_uses_brackets(spark, k, refine):
+    # small sketches: wide brackets, so the bracket and refinement logic does the work
+    df = spark.range(300000).select((F.rand(5) * 1e6).alias("v")).repartition(7)
     vals = [r.v for r in df.collect()]
-    row = exact_quantiles(df, "v", LEVELS, accuracy=1000).first()  # small sketch: brackets do work
+    row = exact_quantiles(df, "v", LEVELS, k=k, refine=refine).first()
     np.testing.assert_allclose(row.q, brute(vals), rtol=1e-12)
 
 
