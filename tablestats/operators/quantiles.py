@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 SKETCH_K = 4096             # KLL size parameter (about 7e-4 normalised rank error)
 SALTS = 1024                # first-level merge groups of map tasks
 MARGIN = 3.0                # bracket half-width, in sketch rank errors
-REFINE = 1                  # extra narrowing passes
+REFINE = 1                  # extra narrowing passes (large inputs)
+LARGE_INPUT_BYTES = 1 << 30 # Catalyst size estimate above which salting and refinement pay off
 GRID = 1024                 # rank grid probed in a refinement pass
 BROADCAST_MAX_GROUPS = 100_000
 
@@ -49,8 +50,17 @@ def kll_rank_error(k: int) -> float:
     return 2.296 / k ** 0.9723
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (as used for broadcast decisions)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no estimate: treat as large
+        return 1 << 62
+
+
 def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: int,
-                      extra: list[Column], carry: Sequence[str] = ()) -> DataFrame:
+                      extra: list[Column], carry: Sequence[str] = (),
+                      salted: bool = True) -> DataFrame:
     """Per group: merged KLL sketches of ``values`` plus summed ``extra`` counts.
 
     Level 1 groups by (group, partition id mod SALTS): each map task feeds a
@@ -59,6 +69,10 @@ def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: i
     constant per group and ride along as extra grouping keys.
     """
     keys = [*by, *carry]
+    if not salted:
+        return data.groupBy(*keys).agg(
+            *[F.kll_sketch_agg_double(v, k).alias(f"_sk{j}") for j, v in enumerate(values)],
+            *[e.alias(f"_e{j}") for j, e in enumerate(extra)])
     salt = (F.spark_partition_id() % SALTS).alias("_salt")
     lvl1 = data.groupBy(*keys, salt).agg(
         *[F.kll_sketch_agg_double(v, k).alias(f"_sk{j}") for j, v in enumerate(values)],
@@ -89,13 +103,21 @@ def _attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str],
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
-                    by: Sequence[str] = (), k: int = SKETCH_K, refine: int = REFINE,
-                    max_groups: int | None = None) -> DataFrame:
+                    by: Sequence[str] = (), k: int = SKETCH_K, refine: int | None = None,
+                    max_groups: int | None = None, salted: bool | None = None) -> DataFrame:
     """Per group: ``n`` (non-null values) and ``q`` (array, one exact quantile per level).
 
     Groups without any non-null value are absent; without ``by`` there is
     always one row (n = 0 and null quantiles for an empty input).
+
+    ``refine`` / ``salted`` default from Catalyst's size estimate of the
+    input: above ``LARGE_INPUT_BYTES`` the sketches merge in two levels and
+    one refinement pass narrows the brackets; below it one level and no
+    refinement suffice.  Either way the result is exact.
     """
+    large = estimated_bytes(df) > LARGE_INPUT_BYTES
+    refine = (REFINE if large else 0) if refine is None else refine
+    salted = large if salted is None else salted
     by = list(by)
     levels = [float(p) for p in levels]
     n_lv = len(levels)
@@ -107,7 +129,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     # Pass 1: n and a sketch of all values; probes at the constant ranks
     # p - delta and p + delta bracket each level's ranks.
     probes = F.array(*[F.lit(min(max(r, 0.0), 1.0)) for p in levels for r in (p - delta, p + delta)])
-    first = _two_level_sketch(data, by, [x], k, [F.count(F.lit(1))])
+    first = _two_level_sketch(data, by, [x], k, [F.count(F.lit(1))], salted=salted)
     got = _quantiles_of(F.col("_sk0"), probes)
     cols = {"_n": F.col("_e0")}
     for j in range(n_lv):
@@ -125,7 +147,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
         inside = [F.when((x >= F.col(f"_lo{j}")) & (x <= F.col(f"_hi{j}")), x) for j in range(n_lv)]
         below = [F.count(F.when(x < F.col(f"_lo{j}"), F.lit(1))) for j in range(n_lv)]
         ins_n = [F.count(inside[j]) for j in range(n_lv)]
-        sk = _two_level_sketch(rows, by, inside, k, below + ins_n, carry=names)
+        sk = _two_level_sketch(rows, by, inside, k, below + ins_n, carry=names, salted=salted)
         new = {"_n": F.col("_n")}
         for j, p in enumerate(levels):
             pos = F.lit(p) * n1

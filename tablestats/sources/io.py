@@ -37,12 +37,13 @@ def _format_of(path: str, fmt: str | None) -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
-               fmt: str | None = None) -> DataFrame:
+               fmt: str | None = None, infer: bool = False) -> DataFrame:
     """Scan a CSV or Parquet table.
 
-    CSV: header row, quoted multi-line fields, and either the given schema or
-    inferred types (inference costs an extra pass over the file: pass a schema
-    for big inputs).  Parquet: schema from the file footers; filters and
+    CSV: header row, quoted multi-line fields; columns are text unless a
+    schema is given (``clean_table`` parses numbers, counts and dates from
+    text).  ``infer=True`` infers types instead, at the cost of an extra full
+    pass over the input.  Parquet: schema from the file footers; filters and
     column pruning reach the reader.
     """
     kind = _format_of(path, fmt)
@@ -51,7 +52,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
         reader = reader.schema(schema)
     if kind == "csv":
         reader = reader.options(**CSV_OPTIONS)
-        if schema is None:
+        if schema is None and infer:
             reader = reader.option("inferSchema", "true")
         return reader.csv(path)
     return reader.format(kind).load(path)
@@ -65,7 +66,7 @@ def _is_missing_path(err: AnalysisException) -> bool:
 
 def read_or_convert(spark: SparkSession, base: str, name: str,
                     schema: StructType | str | None = None,
-                    refresh: bool = False) -> DataFrame:
+                    refresh: bool = False, infer: bool = False) -> DataFrame:
     """Read ``base/name.parquet``; if it does not exist, convert ``base/name.csv``.
 
     The conversion writes the Parquet copy once (overwrite) and reads it back,
@@ -82,7 +83,7 @@ def read_or_convert(spark: SparkSession, base: str, name: str,
         except AnalysisException as err:
             if not _is_missing_path(err):
                 raise
-    raw = read_table(spark, csv_path, schema=schema, fmt="csv")
+    raw = read_table(spark, csv_path, schema=schema, fmt="csv", infer=infer)
     raw.write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 

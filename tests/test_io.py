@@ -30,6 +30,17 @@ def test_csv_quotes_and_line_breaks(spark, tmp_out):
     assert [r.release_year for r in clean] == [2014, 2015, None]
 
 
+def test_csv_text_or_inferred(spark, tmp_out):
+    path = write_csv(tmp_out)
+    text = dict(read_table(spark, path).dtypes)
+    assert set(text.values()) == {"string"}
+    inferred = dict(read_table(spark, path, infer=True).dtypes)
+    assert inferred["positive"] == "int" and inferred["price"] == "string"
+    a = clean_table(read_table(spark, path)).collect()
+    b = clean_table(read_table(spark, path, infer=True)).collect()
+    assert a == b
+
+
 def test_read_or_convert_creates_and_reuses(spark, tmp_out):
     write_csv(tmp_out)
     first = read_or_convert(spark, tmp_out, "games")

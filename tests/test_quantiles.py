@@ -54,3 +54,15 @@ def test_exact_plan_is_distributed(spark):
     plan = exact_quantiles(df, "v", [0.5], by=["g"])._jdf.queryExecution().executedPlan().toString()
     assert "percentile(" not in plan.replace("percentile_approx", "")
     assert "PythonUDF" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("salted,refine", [(True, 1), (False, 0), (True, 0)])
+def test_exact_paths_agree(spark, salted, refine):
+    df = spark.range(20000).select((F.col("id") % 13).alias("g"), (F.rand(2) * 50).alias("v")).repartition(5)
+    vals = {}
+    for r in df.collect():
+        vals.setdefault(r.g, []).append(r.v)
+    got = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], salted=salted,
+                                                refine=refine).collect()}
+    for g, vs in vals.items():
+        np.testing.assert_allclose(got[g], brute(vs), rtol=1e-12)
