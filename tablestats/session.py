@@ -2,8 +2,8 @@
 
 The library itself never changes session settings; operators only build
 DataFrames.  These helpers give a local session the settings a cluster job
-would carry (AQE, skew-join splitting, no UI) and find the shared folder for
-lineage cuts.
+would carry (AQE, skew-join splitting, no UI) and find the shared checkpoint
+folder (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
@@ -51,8 +51,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
