@@ -40,6 +40,8 @@ def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
     moments = data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
     med = exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets).select(
         bucket, F.get("q", 0).alias("median"))
+    if max_buckets is not None and max_buckets <= BROADCAST_MAX_BUCKETS:
+        med = F.broadcast(med)
     return moments.join(med, on=bucket, how="left")
 
 

@@ -288,7 +288,7 @@ def _era(clean):
 
 
 def q_bucket_stats(spark, sf):
-    return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True).select(
+    return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True, max_buckets=2).select(
         "era", "n", _r("mean"), _r("median"))
 
 
