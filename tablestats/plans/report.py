@@ -70,7 +70,8 @@ def _number_text(stat: Column, v: Column, digits: int | None) -> Column:
     if digits is None:
         frac = v.cast("string")
     else:
-        frac = F.format_string(f"%.{digits}f", v)
+        # format_string turns null into the text "null" (cut to the precision)
+        frac = F.when(v.isNotNull(), F.format_string(f"%.{digits}f", v))
     return F.coalesce(F.when(stat == "count", whole).otherwise(frac), F.lit("None"))
 
 
