@@ -5,8 +5,11 @@ small final merge), turned into long rows with ``inline`` afterwards.  The
 aggregate-expression builders are shared with the report so that all of its
 global statistics come from one scan.
 
-Quantiles: ``exact=False`` (default) uses the mergeable ``percentile_approx``
-sketch with bounded memory per task, inside the same single aggregate;
+Quantiles: ``exact=False`` (default) uses a sketch.  ``sketch='gk'`` is
+Spark's ``percentile_approx`` inside the same single aggregate (deterministic,
+the accuracy of ``summary()``), but its buffers are merged per group in one
+task; ``sketch='kll'`` merges KLL sketches in two levels (``approx_quantiles``)
+for very many map tasks; ``None`` picks by Catalyst's size estimate.
 ``exact=True`` interpolates like ``describe()`` and is computed by
 ``exact_quantiles`` (sketch-bracketed ranks, no task holds all values), then
 joined to the moments as a one-row scalar subquery or appended as rows.
@@ -18,7 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablestats.operators.filters import band
-from tablestats.operators.quantiles import exact_quantiles
+from tablestats.operators.quantiles import (
+    approx_quantiles,
+    exact_quantiles,
+    rel_err_to_k,
+    sketch_kind,
+)
 
 # Statistic names and order of the eight-number summary, the
 # quartile levels, and the default sketch accuracy of the summary.
@@ -105,11 +113,13 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
-             mean_of: Column | None = None) -> DataFrame:
-    if not exact:
+             mean_of: Column | None = None, sketch: str | None = None) -> DataFrame:
+    if not exact and sketch_kind(data, sketch) == "gk":
         one = data.agg(summary_struct(x, False, accuracy, mean_of).alias("s"))
     else:
-        q = exact_quantiles(data, x, QUARTILES).select("q").scalar()
+        qdf = (exact_quantiles(data, x, QUARTILES) if exact
+               else approx_quantiles(data, x, QUARTILES, k=rel_err_to_k(1.0 / accuracy)))
+        q = qdf.select("q").scalar()
         one = (data.agg(summary_struct(x, mean_of=mean_of, with_quantiles=False).alias("s"))
                    .select("s", q.alias("_q"))   # one reference to the subquery
                    .select(with_exact_quartiles(F.col("s"), F.col("_q")).alias("s")))
@@ -118,33 +128,35 @@ def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
 
 def summary(df: DataFrame, col: str, exact: bool = False, lo: float | None = None,
             hi: float | None = None, lo_open: bool = False, hi_open: bool = False,
-            accuracy: int = SUMMARY_ACCURACY) -> DataFrame:
+            accuracy: int = SUMMARY_ACCURACY, sketch: str | None = None) -> DataFrame:
     """Eight-number summary as long rows (stat string, value double).
 
     count, mean, stddev (sample), min, 25%, 50%, 75%, max of the non-null
     values of ``col`` inside the optional band.
     """
     data = band(df, col, lo, hi, lo_open, hi_open) if (lo is not None or hi is not None) else df
-    return _summary(data, F.col(col).cast("double"), exact, accuracy)
+    return _summary(data, F.col(col).cast("double"), exact, accuracy, sketch=sketch)
 
 
 def robust_summary(df: DataFrame, col: str, mean_max: float = 1000.0, exact: bool = False,
-                   accuracy: int = SUMMARY_ACCURACY) -> DataFrame:
+                   accuracy: int = SUMMARY_ACCURACY, sketch: str | None = None) -> DataFrame:
     """Summary over all rows, except the mean, taken over values <= mean_max.
 
     One pass with a conditional mean: the same result as joining a full and a
     filtered summary on the statistic name, without a second scan or a join.
     """
     x = F.col(col).cast("double")
-    return _summary(df, x, exact, accuracy, mean_of=F.when(x <= mean_max, x))
+    return _summary(df, x, exact, accuracy, mean_of=F.when(x <= mean_max, x), sketch=sketch)
 
 
 def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool = False,
-           rel_err: float = MEDIAN_REL_ERROR) -> DataFrame:
+           rel_err: float = MEDIAN_REL_ERROR, sketch: str | None = None) -> DataFrame:
     """(mean, median) of non-null ``col`` values, optionally only those <= max_value."""
     x = F.col(col).cast("double")
     v = F.when(x <= max_value, x) if max_value is not None else x
-    if not exact:
+    if not exact and sketch_kind(df, sketch) == "gk":
         return df.agg(F.avg(v).alias("mean"), median(v, False, rel_err).alias("median"))
-    med = exact_quantiles(df, v, [0.5]).select(F.get("q", 0)).scalar()
+    qdf = (exact_quantiles(df, v, [0.5]) if exact
+           else approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)))
+    med = qdf.select(F.get("q", 0)).scalar()
     return df.agg(F.avg(v).alias("mean")).select("mean", med.alias("median"))

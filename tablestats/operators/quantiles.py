@@ -205,3 +205,45 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
         out = out.agg(F.coalesce(F.first("n"), F.lit(0)).cast("long").alias("n"),
                       F.first("q").alias("q"))
     return out
+
+
+def approx_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
+                     by: Sequence[str] = (), k: int = SKETCH_K,
+                     salted: bool | None = None) -> DataFrame:
+    """Per group: ``n`` and ``q`` (array): KLL sketch quantiles, merged in two levels.
+
+    The mergeable counterpart of ``percentile_approx`` for very many map
+    tasks: no task merges more than about SALTS sketches.  Normalised rank
+    error about ``kll_rank_error(k)``.  Same row contract as
+    ``exact_quantiles``.
+    """
+    by = list(by)
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    data = df.select(*[F.col(b) for b in by], v.alias("_v")).where(F.col("_v").isNotNull())
+    salted = estimated_bytes(df) > LARGE_INPUT_BYTES if salted is None else salted
+    sk = _two_level_sketch(data, by, [F.col("_v")], k, [F.count(F.lit(1))], salted=salted)
+    ranks = F.array(*[F.lit(float(p)) for p in levels])
+    out = sk.select(*by, F.col("_e0").alias("n"), _quantiles_of(F.col("_sk0"), ranks).alias("q"))
+    if not by:
+        out = out.select(F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), "q")
+    return out
+
+
+def sketch_kind(df: DataFrame, sketch: str | None) -> str:
+    """'gk' (Spark's percentile_approx, one aggregate) or 'kll' (two-level merge).
+
+    ``None`` picks by Catalyst's size estimate: 'kll' above LARGE_INPUT_BYTES,
+    where one task would otherwise merge a sketch buffer from every map task.
+    """
+    if sketch is not None:
+        if sketch not in ("gk", "kll"):
+            raise ValueError("sketch must be 'gk', 'kll' or None")
+        return sketch
+    return "kll" if estimated_bytes(df) > LARGE_INPUT_BYTES else "gk"
+
+
+def rel_err_to_k(rel_err: float, cap: int = SKETCH_K) -> int:
+    """Smallest KLL k whose rank error is at most ``rel_err`` (at most ``cap``,
+    which keeps each map task's sketch small)."""
+    k = int((2.296 / rel_err) ** (1 / 0.9723)) + 1
+    return max(8, min(k, cap))

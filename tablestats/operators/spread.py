@@ -21,7 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablestats.operators.profile import QUARTILES, SUMMARY_ACCURACY, median, quantiles
-from tablestats.operators.quantiles import exact_quantiles
+from tablestats.operators.quantiles import (
+    approx_quantiles,
+    exact_quantiles,
+    rel_err_to_k,
+    sketch_kind,
+)
 
 # Fixed value: whisker reach in inter-quartile ranges (box-plot default).
 WHISKER_IQR = 1.5
@@ -30,16 +35,18 @@ BROADCAST_MAX_BUCKETS = 100_000
 
 
 def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
-                 rel_err: float = 1.0 / SUMMARY_ACCURACY, max_buckets: int | None = None) -> DataFrame:
+                 rel_err: float = 1.0 / SUMMARY_ACCURACY, max_buckets: int | None = None,
+                 sketch: str | None = None) -> DataFrame:
     """Per non-null bucket: n, mean and median of the non-null values of ``col``."""
     x = F.col(col).cast("double")
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull())
-    if not exact:
+    if not exact and sketch_kind(df, sketch) == "gk":
         return data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
                                         median(x, False, rel_err).alias("median"))
     moments = data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
-    med = exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets).select(
-        bucket, F.get("q", 0).alias("median"))
+    qdf = (exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets) if exact
+           else approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)))
+    med = qdf.select(bucket, F.get("q", 0).alias("median"))
     if max_buckets is not None and max_buckets <= BROADCAST_MAX_BUCKETS:
         med = F.broadcast(med)
     return moments.join(med, on=bucket, how="left")
@@ -47,7 +54,7 @@ def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
 
 def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
               exact: bool = False, accuracy: int = SUMMARY_ACCURACY,
-              max_buckets: int | None = None) -> DataFrame:
+              max_buckets: int | None = None, sketch: str | None = None) -> DataFrame:
     """Box-plot numbers per non-null bucket.
 
     Output: bucket, q1, median, q3, whisker_low, whisker_high, n_out, n.
@@ -58,6 +65,8 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull()).select(F.col(bucket), x.alias("_v"))
     if exact:
         box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], max_groups=max_buckets)
+    elif sketch_kind(df, sketch) == "kll":
+        box = approx_quantiles(data, "_v", QUARTILES, by=[bucket], k=rel_err_to_k(1.0 / accuracy))
     else:
         box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, False, accuracy).alias("q"))
     box = box.select(bucket, F.get("q", 0).alias("q1"), F.get("q", 1).alias("median"),

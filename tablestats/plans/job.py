@@ -28,12 +28,14 @@ def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
             base: str | None = None, name: str | None = None,
             spec: Mapping[str, str | Column] | None = None, exact: bool = False,
             write_csv: bool = True, csv_single: bool = False,
-            model: str = DEFAULT_MODEL) -> dict:
+            model: str = DEFAULT_MODEL, sketch: str | None = None) -> dict:
     """Run the analysis; return output paths and the two run times (seconds).
 
     Input: ``raw`` DataFrame, or ``base``/``name`` for ``read_or_convert``.
     ``csv_single`` writes the cleaned CSV as one part through one task (small
-    tables only); by default the part folder is the CSV output.
+    tables only); by default the part folder is the CSV output.  ``exact`` /
+    ``sketch`` choose the report's quantiles (see ``report_lines``); by
+    default a sketch chosen by the size of the cleaned table.
     """
     started = time.perf_counter()
     if raw is None:
@@ -49,7 +51,7 @@ def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
     # The report lines are a small table: written once, then both the text
     # report and the prompt are made from it without recomputing statistics.
     lines_path = os.path.join(out_dir, "report_lines.parquet")
-    write_table(report_lines(clean, exact=exact), lines_path)
+    write_table(report_lines(clean, exact=exact, sketch=sketch), lines_path)
     lines = read_table(spark, lines_path)
     report_path = os.path.join(out_dir, "analysis_results")
     write_report(lines, report_path)

@@ -27,7 +27,12 @@ from tablestats.operators.profile import (
     median,
     summary_struct,
 )
-from tablestats.operators.quantiles import exact_quantiles
+from tablestats.operators.quantiles import (
+    approx_quantiles,
+    exact_quantiles,
+    rel_err_to_k,
+    sketch_kind,
+)
 from tablestats.operators.relate import MIN_PAIRS
 
 # Report wording and layout (English report), thresholds.
@@ -106,7 +111,7 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
                  title: str = TITLE, key: str = DEFAULT_KEY,
                  accuracy: int = SUMMARY_ACCURACY, rel_err: float = MEDIAN_REL_ERROR,
                  min_count: int = MIN_GROUP_ROWS, price_max: float = PRICE_MEAN_MAX,
-                 min_pairs: int = MIN_PAIRS) -> DataFrame:
+                 min_pairs: int = MIN_PAIRS, sketch: str | None = None) -> DataFrame:
     """Report lines (section, seq, line) for a cleaned catalogue table.
 
     Sections: header; counts of the last 10 years; price summary (mean over
@@ -115,7 +120,8 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     than ``min_count`` rows, last 15; insights (year span, peak year, mean and
     median price <= price_max, correlation of the scores when there are more
     than ``min_pairs`` pairs).  ``exact`` switches every quantile from the
-    sketch to the exact percentile.
+    sketch to the exact percentile; ``sketch`` picks the sketch ('gk' inside
+    the one aggregate, 'kll' merged in two levels, None by input size).
 
     Plan: ONE scan.  Every row is tagged twice (whole-table copy, per-year
     copy: a two-set grouping) and one aggregate computes the whole-table
@@ -132,6 +138,9 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     pair = whole & critic.isNotNull() & user.isNotNull()
     pc, pu = F.when(pair, critic), F.when(pair, user)
     means = list(DEFAULT_MEANS.items())
+    # quantiles inside the one aggregate (gk), or from a separate mergeable
+    # pipeline over the four series (exact, or kll for very large inputs)
+    separate = exact or sketch_kind(clean, sketch) == "kll"
 
     tagged = (clean.select(F.col("name"), price.alias("price"), user.alias("user_score"),
                            critic.alias("metacritic_score"),
@@ -143,13 +152,14 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     per_group = tagged.groupBy("_all", "_k").agg(
         F.count(F.lit(1)).alias("n_rows"),
         summary_struct(g_price, False, accuracy, mean_of=kept_price,
-                       with_quantiles=not exact).alias("s_price"),
+                       with_quantiles=not separate).alias("s_price"),
         summary_struct(F.when(whole & (user > 0), user), False, accuracy,
-                       with_quantiles=not exact).alias("s_user"),
+                       with_quantiles=not separate).alias("s_user"),
         summary_struct(F.when(whole & (critic > 0), critic), False, accuracy,
-                       with_quantiles=not exact).alias("s_critic"),
+                       with_quantiles=not separate).alias("s_critic"),
         F.avg(kept_price).alias("c_mean"),
-        (F.lit(None).cast("double") if exact else median(kept_price, False, rel_err)).alias("c_median"),
+        (F.lit(None).cast("double") if separate
+         else median(kept_price, False, rel_err)).alias("c_median"),
         F.count(F.when(pair, F.lit(1))).alias("r_n"),
         F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
         F.count(F.col("name")).alias("n"),
@@ -162,19 +172,20 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
             F.col("_k").alias("k"), F.col("n").alias("n"),
             *[F.col(out).alias(out) for out, _ in means])))).alias("Y"),
     )
-    if exact:
-        one = one.withColumn("M", _exact_map(clean, price, user, critic, price_max))
+    if separate:
+        k_sum = rel_err_to_k(1.0 / accuracy)
+        one = one.withColumn("M", _quantile_map(clean, price, user, critic, price_max, exact, k_sum))
     G, Y = F.col("G"), F.col("Y")
 
     def block(section: int, first: int, name: str, series: int) -> list[Column]:
         s = G.getField(name)
         vals = [s.getField(f) for f in ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")]
-        if exact:
+        if separate:
             q = F.col("M")[series]
             vals[4:7] = [F.get(q, 0), F.get(q, 1), F.get(q, 2)]
         return _summary_block(section, first, vals, digits)
 
-    c_median = F.get(F.col("M")[3], 1) if exact else G.getField("c_median")
+    c_median = F.get(F.col("M")[3], 1) if separate else G.getField("c_median")
 
     def gf(name: str) -> Column:
         return G.getField(name)
@@ -228,14 +239,15 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     return lines.where(F.col("line").isNotNull())
 
 
-def _exact_map(clean: DataFrame, price: Column, user: Column, critic: Column,
-               price_max: float) -> Column:
-    """Exact quartiles of the report's four series, as one map-valued scalar.
+def _quantile_map(clean: DataFrame, price: Column, user: Column, critic: Column,
+                  price_max: float, exact: bool, k: int) -> Column:
+    """Quartiles of the report's four series, as one map-valued scalar.
 
     The series (0 price; 1 user score > 0; 2 critic score > 0; 3 price <=
-    price_max) are stacked as (series, value) rows and ranked by
-    ``exact_quantiles`` per series; the four result rows come back as a
-    map series -> [q25, q50, q75] through one scalar subquery.
+    price_max) are stacked as (series, value) rows and ranked per series by
+    ``exact_quantiles`` (or sketched by ``approx_quantiles``); the four
+    result rows come back as a map series -> [q25, q50, q75] through one
+    scalar subquery.
     """
     series = F.explode(F.array(
         F.struct(F.lit(0).alias("series"), price.alias("v")),
@@ -244,7 +256,10 @@ def _exact_map(clean: DataFrame, price: Column, user: Column, critic: Column,
         F.struct(F.lit(3).alias("series"), F.when(price <= price_max, price).alias("v")),
     ))
     stacked = clean.select(series.alias("_s")).select("_s.series", "_s.v")
-    qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], max_groups=4)
+    if exact:
+        qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], max_groups=4)
+    else:
+        qs = approx_quantiles(stacked, "v", QUARTILES, by=["series"], k=k)
     return qs.agg(F.map_from_entries(F.collect_list(F.struct("series", "q")))).scalar()
 
 

@@ -66,3 +66,40 @@ def test_exact_paths_agree(spark, salted, refine):
                                                 refine=refine).collect()}
     for g, vs in vals.items():
         np.testing.assert_allclose(got[g], brute(vs), rtol=1e-12)
+
+
+def test_kll_sketch_paths_close_to_exact(spark):
+    from tablestats import box_stats, center, report_lines, summary
+    from tablestats.operators.quantiles import approx_quantiles
+    rng = np.random.default_rng(11)
+    vals = rng.normal(100, 30, 20000)
+    df = spark.createDataFrame([(float(v), "ab"[i % 2]) for i, v in enumerate(vals)], "v double, b string")
+    srt = np.sort(vals)
+
+    def rank_ok(x, p, tol=0.01):
+        r = np.searchsorted(srt, x) / len(srt)
+        return abs(r - p) <= tol
+
+    row = approx_quantiles(df, "v", [0.1, 0.5, 0.9]).first()
+    assert row.n == 20000 and all(rank_ok(x, p) for x, p in zip(row.q, [0.1, 0.5, 0.9]))
+    for salted in (True, False):
+        q = approx_quantiles(df, "v", [0.5], by=["b"], salted=salted).collect()
+        assert len(q) == 2
+    s = {r.stat: r.value for r in summary(df, "v", sketch="kll").collect()}
+    assert s["count"] == 20000 and rank_ok(s["25%"], 0.25) and rank_ok(s["75%"], 0.75)
+    assert rank_ok(center(df, "v", sketch="kll").first().median, 0.5)
+    assert {r.b for r in box_stats(df, "b", "v", sketch="kll").collect()} == {"a", "b"}
+    with pytest.raises(ValueError):
+        summary(df, "v", sketch="tdigest")
+
+
+def test_report_kll_matches_gk_layout(spark):
+    from tablestats.plans.bindings import catalog
+    from tablestats import report_lines
+    from conftest import SF001
+    clean = catalog(spark, SF001)
+    a = report_lines(clean, sketch="gk").orderBy("section", "seq").collect()
+    b = report_lines(clean, sketch="kll").orderBy("section", "seq").collect()
+    assert [(r.section, r.seq) for r in a] == [(r.section, r.seq) for r in b]
+    same = [x.line == y.line for x, y in zip(a, b)]
+    assert sum(same) >= len(a) - 10  # only sketch quartile/median lines may differ
