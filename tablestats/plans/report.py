@@ -93,18 +93,31 @@ def summary_lines(summary_df: DataFrame, digits: int | None = None) -> DataFrame
         F.concat(stat, F.lit(": "), _number_text(stat, F.col("value"), digits)).alias("line"))
 
 
-def _line(section: int, seq: int, text: Column | str) -> Column:
-    t = F.lit(text) if isinstance(text, str) else text
-    return F.struct(F.lit(section).alias("section"), F.lit(seq).alias("seq"), t.alias("line"))
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _summary_block(section: int, first_seq: int, values: list[Column],
-                   digits: int | None) -> list[Column]:
-    out = []
-    for i, (stat, value) in enumerate(zip(STAT_ORDER, values)):
-        text = F.concat(F.lit(stat + ": "), _number_text(F.lit(stat), value, digits))
-        out.append(_line(section, first_seq + i, text))
-    return out
+def _line_sql(section: int, seq: int, expr: str) -> str:
+    return f"named_struct('section', {section}, 'seq', {seq}, 'line', {expr})"
+
+
+def _number_sql(stat: str, v: str, digits: int | None) -> str:
+    """SQL text of a summary value: whole count, Spark double text or fixed decimals."""
+    if stat == "count":
+        text = f"cast(cast(coalesce({v}, 0) as bigint) as string)"
+    elif digits is None:
+        text = f"cast({v} as string)"
+    else:
+        # format_string turns null into the text "null" (cut to the precision)
+        text = f"CASE WHEN {v} IS NOT NULL THEN format_string('%.{digits}f', {v}) END"
+    return f"coalesce({text}, 'None')"
+
+
+def _summary_block_sql(section: int, first_seq: int, values: list[str],
+                       digits: int | None) -> list[str]:
+    return [_line_sql(section, first_seq + i,
+                      f"concat({_sql_str(stat + ': ')}, {_number_sql(stat, value, digits)})")
+            for i, (stat, value) in enumerate(zip(STAT_ORDER, values))]
 
 
 def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = False,
@@ -175,49 +188,50 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     if separate:
         k_sum = rel_err_to_k(1.0 / accuracy)
         one = one.withColumn("M", _quantile_map(clean, price, user, critic, price_max, exact, k_sum))
-    G, Y = F.col("G"), F.col("Y")
+    Y = F.col("Y")
+    fields = ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")
 
-    def block(section: int, first: int, name: str, series: int) -> list[Column]:
-        s = G.getField(name)
-        vals = [s.getField(f) for f in ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")]
+    def block(section: int, first: int, name: str, series: int) -> list[str]:
+        vals = [f"G.{name}.{f}" for f in fields]
         if separate:
-            q = F.col("M")[series]
-            vals[4:7] = [F.get(q, 0), F.get(q, 1), F.get(q, 2)]
-        return _summary_block(section, first, vals, digits)
-
-    c_median = F.get(F.col("M")[3], 1) if separate else G.getField("c_median")
-
-    def gf(name: str) -> Column:
-        return G.getField(name)
+            vals[4:7] = [f"get(M[{series}], {i})" for i in range(3)]
+        return _summary_block_sql(section, first, vals, digits)
 
+    c_median = "get(M[3], 1)" if separate else "G.c_median"
     cols = clean.columns
-    fixed = [
-        _line(0, 0, title), _line(0, 1, DOUBLE_RULE), _line(0, 2, ""),
-        _line(0, 3, F.concat(F.lit(TOTAL_ROWS),
-                             F.coalesce(gf("n_rows"), F.lit(0)).cast("string"))),
-        _line(0, 4, COLUMNS_USED + str(len(cols))),
-        _line(0, 5, COLUMNS + ", ".join(cols)),
-        _line(0, 6, ""),
-        _line(1, 0, SECTION_COUNTS), _line(1, 1, SINGLE_RULE), _line(1, END_SEQ, ""),
-        _line(2, 0, SECTION_PRICE), _line(2, 1, SINGLE_RULE),
+
+    def fixed(section: int, seq: int, text: str) -> str:
+        return _line_sql(section, seq, _sql_str(text))
+
+    # All fixed lines as one SQL array expression: one parse on the JVM
+    # instead of thousands of column-building round trips.
+    fixed_lines = [
+        fixed(0, 0, title), fixed(0, 1, DOUBLE_RULE), fixed(0, 2, ""),
+        _line_sql(0, 3, f"concat({_sql_str(TOTAL_ROWS)}, cast(coalesce(G.n_rows, 0) as string))"),
+        fixed(0, 4, COLUMNS_USED + str(len(cols))),
+        fixed(0, 5, COLUMNS + ", ".join(cols)),
+        fixed(0, 6, ""),
+        fixed(1, 0, SECTION_COUNTS), fixed(1, 1, SINGLE_RULE), fixed(1, END_SEQ, ""),
+        fixed(2, 0, SECTION_PRICE), fixed(2, 1, SINGLE_RULE),
         *block(2, 2, "s_price", 0),
-        _line(2, 10, ""),
-        _line(3, 0, SECTION_SCORES), _line(3, 1, SINGLE_RULE), _line(3, 2, USER_SCORE),
+        fixed(2, 10, ""),
+        fixed(3, 0, SECTION_SCORES), fixed(3, 1, SINGLE_RULE), fixed(3, 2, USER_SCORE),
         *block(3, 3, "s_user", 1),
-        _line(3, 11, ""), _line(3, 12, CRITIC_SCORE),
+        fixed(3, 11, ""), fixed(3, 12, CRITIC_SCORE),
         *block(3, 13, "s_critic", 2),
-        _line(3, 21, ""),
-        _line(4, 0, SECTION_YEARS), _line(4, 1, SINGLE_RULE), _line(4, END_SEQ, ""),
-        _line(5, 0, SECTION_INSIGHTS), _line(5, 1, SINGLE_RULE), _line(5, 2, INSIGHT_RECENT),
-        _line(5, 3, F.when(F.size(Y) > 0, F.format_string(
-            INSIGHT_SPAN, F.get(Y, 0).getField("k").cast("string"),
-            F.get(Y, F.size(Y) - 1).getField("k").cast("string")))),
-        _line(5, 4, F.when(F.size(Y) > 0, _peak_text(Y))),
-        _line(5, 5, F.when(gf("c_mean").isNotNull() & c_median.isNotNull(),
-                           F.format_string(INSIGHT_PRICE, gf("c_mean"), c_median))),
-        _line(5, 6, F.when((gf("r_n") > min_pairs) & gf("r").isNotNull(),
-                           F.format_string(INSIGHT_CORR, gf("r")))),
+        fixed(3, 21, ""),
+        fixed(4, 0, SECTION_YEARS), fixed(4, 1, SINGLE_RULE), fixed(4, END_SEQ, ""),
+        fixed(5, 0, SECTION_INSIGHTS), fixed(5, 1, SINGLE_RULE), fixed(5, 2, INSIGHT_RECENT),
+        _line_sql(5, 3, f"CASE WHEN size(Y) > 0 THEN format_string({_sql_str(INSIGHT_SPAN)}, "
+                        "cast(Y[0].k as string), cast(Y[size(Y) - 1].k as string)) END"),
+        _line_sql(5, 5, f"CASE WHEN G.c_mean IS NOT NULL AND {c_median} IS NOT NULL THEN "
+                        f"format_string({_sql_str(INSIGHT_PRICE)}, G.c_mean, {c_median}) END"),
+        _line_sql(5, 6, f"CASE WHEN G.r_n > {int(min_pairs)} AND G.r IS NOT NULL THEN "
+                        f"format_string({_sql_str(INSIGHT_CORR)}, G.r) END"),
     ]
+    peak_line = F.struct(F.lit(5).alias("section"), F.lit(4).alias("seq"),
+                         F.when(F.size(Y) > 0, _peak_text(Y)).alias("line"))
+    fixed_array = F.concat(F.expr("array(" + ", ".join(fixed_lines) + ")"), F.array(peak_line))
 
     def key_seq(e: Column) -> Column:
         return (F.lit(KEY_SEQ) + e["k"]).cast("int").alias("seq")
@@ -235,7 +249,7 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
         return F.struct(F.lit(4).alias("section"), key_seq(e), F.concat(*parts).alias("line"))
 
     year_lines = F.transform(stats, stat_line)
-    lines = one.select(F.inline(F.concat(F.array(*fixed), count_lines, year_lines)))
+    lines = one.select(F.inline(F.concat(fixed_array, count_lines, year_lines)))
     return lines.where(F.col("line").isNotNull())
 
 
