@@ -41,6 +41,7 @@ SALTS = 1024                # first-level merge groups of map tasks
 MARGIN = 3.0                # bracket half-width, in sketch rank errors
 REFINE = 1                  # extra narrowing passes (large inputs)
 LARGE_INPUT_BYTES = 1 << 30 # Catalyst size estimate above which salting and refinement pay off
+SMALL_EXACT_BYTES = 64 << 20  # at most this: one exact percentile aggregate is cheaper
 GRID = 1024                 # rank grid probed in a refinement pass
 BROADCAST_MAX_GROUPS = 100_000
 
@@ -104,18 +105,26 @@ def _attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str],
 
 def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
                     by: Sequence[str] = (), k: int = SKETCH_K, refine: int | None = None,
-                    max_groups: int | None = None, salted: bool | None = None) -> DataFrame:
+                    max_groups: int | None = None, salted: bool | None = None,
+                    method: str | None = None) -> DataFrame:
     """Per group: ``n`` (non-null values) and ``q`` (array, one exact quantile per level).
 
     Groups without any non-null value are absent; without ``by`` there is
     always one row (n = 0 and null quantiles for an empty input).
 
-    ``refine`` / ``salted`` default from Catalyst's size estimate of the
-    input: above ``LARGE_INPUT_BYTES`` the sketches merge in two levels and
-    one refinement pass narrows the brackets; below it one level and no
-    refinement suffice.  Either way the result is exact.
+    ``method`` defaults from Catalyst's size estimate of the input: up to
+    ``SMALL_EXACT_BYTES`` one ``percentile`` aggregate (its map is bounded by
+    the input), above it the bracket method.  ``refine`` / ``salted`` default
+    the same way: above ``LARGE_INPUT_BYTES`` the sketches merge in two
+    levels and one refinement pass narrows the brackets.  Either way the
+    result is exact.
     """
-    large = estimated_bytes(df) > LARGE_INPUT_BYTES
+    size = estimated_bytes(df)
+    if method is None:
+        method = "percentile" if size <= SMALL_EXACT_BYTES else "bracket"
+    if method not in ("percentile", "bracket"):
+        raise ValueError("method must be 'percentile', 'bracket' or None")
+    large = size > LARGE_INPUT_BYTES
     refine = (REFINE if large else 0) if refine is None else refine
     salted = large if salted is None else salted
     by = list(by)
@@ -123,6 +132,13 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     n_lv = len(levels)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     data = df.select(*[F.col(b) for b in by], v.alias("_v")).where(F.col("_v").isNotNull())
+    if method == "percentile":
+        # Proven small input: Spark's exact percentile in one aggregate (its
+        # value -> count map is bounded by the input size).
+        res = data.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in levels])).alias("q"))
+        return res.select(*by, F.col("n").cast("long").alias("n"), "q")
     delta = MARGIN * kll_rank_error(k)
     x = F.col("_v")
 

@@ -15,8 +15,11 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
-                  app: str = "tablestats") -> SparkSession:
-    """A local session configured like the cluster runs (tests, bench)."""
+                  app: str = "tablestats", event_log_dir: str | None = None) -> SparkSession:
+    """A local session configured like the cluster runs (tests, bench).
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times).
+    """
     parts = shuffle_partitions or max(int(cpus) if str(cpus).isdigit() else 8, 1)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -29,6 +32,9 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TABLESTATS_DRIVER_MEM", "8g"))
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                          .config("spark.eventLog.dir", event_log_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

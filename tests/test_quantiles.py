@@ -38,7 +38,7 @@ def test_exact_many_distinct_uses_brackets(spark, k, refine):
     # small sketches: wide brackets, so the bracket and refinement logic does the work
     df = spark.range(300000).select((F.rand(5) * 1e6).alias("v")).repartition(7)
     vals = [r.v for r in df.collect()]
-    row = exact_quantiles(df, "v", LEVELS, k=k, refine=refine).first()
+    row = exact_quantiles(df, "v", LEVELS, k=k, refine=refine, method="bracket").first()
     np.testing.assert_allclose(row.q, brute(vals), rtol=1e-12)
 
 
@@ -51,7 +51,8 @@ def test_exact_empty_input(spark):
 
 def test_exact_plan_is_distributed(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("v"), (F.col("id") % 3).alias("g"))
-    plan = exact_quantiles(df, "v", [0.5], by=["g"])._jdf.queryExecution().executedPlan().toString()
+    plan = exact_quantiles(df, "v", [0.5], by=["g"], method="bracket")._jdf.queryExecution() \
+        .executedPlan().toString()
     assert "percentile(" not in plan.replace("percentile_approx", "")
     assert "PythonUDF" not in plan and "CartesianProduct" not in plan
 
@@ -62,7 +63,7 @@ def test_exact_paths_agree(spark, salted, refine):
     vals = {}
     for r in df.collect():
         vals.setdefault(r.g, []).append(r.v)
-    got = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], salted=salted,
+    got = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], salted=salted, method="bracket",
                                                 refine=refine).collect()}
     for g, vs in vals.items():
         np.testing.assert_allclose(got[g], brute(vs), rtol=1e-12)
@@ -103,3 +104,16 @@ def test_report_kll_matches_gk_layout(spark):
     assert [(r.section, r.seq) for r in a] == [(r.section, r.seq) for r in b]
     same = [x.line == y.line for x, y in zip(a, b)]
     assert sum(same) >= len(a) - 10  # only sketch quartile/median lines may differ
+
+
+def test_small_input_method_matches_bracket(spark):
+    df = spark.range(5000).select((F.col("id") % 4).alias("g"), (F.rand(9) * 10).alias("v"))
+    small = exact_quantiles(df, "v", LEVELS, by=["g"])          # proven small: percentile
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" in plan
+    a = {r.g: r.q for r in small.collect()}
+    b = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], method="bracket").collect()}
+    for g in a:
+        np.testing.assert_allclose(a[g], b[g], rtol=1e-13)
+    with pytest.raises(ValueError):
+        exact_quantiles(df, "v", [0.5], method="sorted")
