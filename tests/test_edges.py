@@ -88,3 +88,15 @@ def test_group_threshold_exact_boundary_via_clean_table(spark):
                                 "tags string, release_date string")
     got = [tuple(r)[:3] for r in group_stats(clean_table(raw)).collect()]
     assert got == [(2020, 31, 1.0)]
+
+
+def test_price_cut_boundaries(spark):
+    raw = spark.createDataFrame([(p,) for p in ["100", "100.01", "1000", "1000.01", "0", "-3"]],
+                                "price string")
+    from tablestats import clean_numeric
+    df = clean_numeric(raw, ["price"])
+    assert sorted(r.price for r in band(df, "price", 0, 100).collect()) == [0.0, 3.0, 100.0]
+    got = {r.stat: r.value for r in robust_summary(df, "price", mean_max=1000, exact=True).collect()}
+    assert got["mean"] == (100 + 100.01 + 1000 + 0 + 3) / 5 and got["max"] == 1000.01
+    c = center(df, "price", max_value=1000, exact=True).first()
+    assert c.median == 100.0
