@@ -24,8 +24,8 @@ from tablestats.operators.filters import band
 from tablestats.operators.quantiles import (
     approx_quantiles,
     exact_quantiles,
+    fused_quantiles,
     rel_err_to_k,
-    sketch_kind,
 )
 
 # Statistic names and order of the eight-number summary, the
@@ -114,8 +114,8 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
              mean_of: Column | None = None, sketch: str | None = None) -> DataFrame:
-    if not exact and sketch_kind(data, sketch) == "gk":
-        one = data.agg(summary_struct(x, False, accuracy, mean_of).alias("s"))
+    if fused_quantiles(data, exact, sketch):
+        one = data.agg(summary_struct(x, exact, accuracy, mean_of).alias("s"))
     else:
         qdf = (exact_quantiles(data, x, QUARTILES) if exact
                else approx_quantiles(data, x, QUARTILES, k=rel_err_to_k(1.0 / accuracy)))
@@ -154,8 +154,8 @@ def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool
     """(mean, median) of non-null ``col`` values, optionally only those <= max_value."""
     x = F.col(col).cast("double")
     v = F.when(x <= max_value, x) if max_value is not None else x
-    if not exact and sketch_kind(df, sketch) == "gk":
-        return df.agg(F.avg(v).alias("mean"), median(v, False, rel_err).alias("median"))
+    if fused_quantiles(df, exact, sketch):
+        return df.agg(F.avg(v).alias("mean"), median(v, exact, rel_err).alias("median"))
     qdf = (exact_quantiles(df, v, [0.5]) if exact
            else approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)))
     med = qdf.select(F.get("q", 0)).scalar()

@@ -41,7 +41,7 @@ SALTS = 1024                # first-level merge groups of map tasks
 MARGIN = 3.0                # bracket half-width, in sketch rank errors
 REFINE = 1                  # extra narrowing passes (large inputs)
 LARGE_INPUT_BYTES = 1 << 30 # Catalyst size estimate above which salting and refinement pay off
-SMALL_EXACT_BYTES = 64 << 20  # at most this: one exact percentile aggregate is cheaper
+SMALL_EXACT_BYTES = 1 << 20    # at most this (~100k values): one exact percentile aggregate is cheaper
 GRID = 1024                 # rank grid probed in a refinement pass
 BROADCAST_MAX_GROUPS = 100_000
 
@@ -120,10 +120,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     result is exact.
     """
     size = estimated_bytes(df)
-    if method is None:
-        method = "percentile" if size <= SMALL_EXACT_BYTES else "bracket"
-    if method not in ("percentile", "bracket"):
-        raise ValueError("method must be 'percentile', 'bracket' or None")
+    method = exact_method(df, method, size)
     large = size > LARGE_INPUT_BYTES
     refine = (REFINE if large else 0) if refine is None else refine
     salted = large if salted is None else salted
@@ -245,6 +242,22 @@ def approx_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float]
     return out
 
 
+def exact_method(df: DataFrame, method: str | None = None, size: int | None = None) -> str:
+    """'percentile' (one aggregate, for proven-small inputs) or 'bracket'."""
+    if method is None:
+        size = estimated_bytes(df) if size is None else size
+        method = "percentile" if size <= SMALL_EXACT_BYTES else "bracket"
+    if method not in ("percentile", "bracket"):
+        raise ValueError("method must be 'percentile', 'bracket' or None")
+    return method
+
+
+def fused_quantiles(df: DataFrame, exact: bool, sketch: str | None = None) -> bool:
+    """True when quantiles can be computed inside the caller's own aggregate:
+    a GK sketch, or an exact percentile over a proven-small input."""
+    return exact_method(df) == "percentile" if exact else sketch_kind(df, sketch) == "gk"
+
+
 def sketch_kind(df: DataFrame, sketch: str | None) -> str:
     """'gk' (Spark's percentile_approx, one aggregate) or 'kll' (two-level merge).
 

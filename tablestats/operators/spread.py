@@ -24,8 +24,8 @@ from tablestats.operators.profile import QUARTILES, SUMMARY_ACCURACY, median, qu
 from tablestats.operators.quantiles import (
     approx_quantiles,
     exact_quantiles,
+    fused_quantiles,
     rel_err_to_k,
-    sketch_kind,
 )
 
 # Fixed value: whisker reach in inter-quartile ranges (box-plot default).
@@ -40,9 +40,9 @@ def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
     """Per non-null bucket: n, mean and median of the non-null values of ``col``."""
     x = F.col(col).cast("double")
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull())
-    if not exact and sketch_kind(df, sketch) == "gk":
+    if fused_quantiles(df, exact, sketch):
         return data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
-                                        median(x, False, rel_err).alias("median"))
+                                        median(x, exact, rel_err).alias("median"))
     moments = data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
     qdf = (exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets) if exact
            else approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)))
@@ -63,12 +63,12 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     """
     x = F.col(col).cast("double")
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull()).select(F.col(bucket), x.alias("_v"))
-    if exact:
+    if fused_quantiles(df, exact, sketch):
+        box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, exact, accuracy).alias("q"))
+    elif exact:
         box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], max_groups=max_buckets)
-    elif sketch_kind(df, sketch) == "kll":
-        box = approx_quantiles(data, "_v", QUARTILES, by=[bucket], k=rel_err_to_k(1.0 / accuracy))
     else:
-        box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, False, accuracy).alias("q"))
+        box = approx_quantiles(data, "_v", QUARTILES, by=[bucket], k=rel_err_to_k(1.0 / accuracy))
     box = box.select(bucket, F.get("q", 0).alias("q1"), F.get("q", 1).alias("median"),
                      F.get("q", 2).alias("q3"))
     iqr = F.col("q3") - F.col("q1")

@@ -30,8 +30,8 @@ from tablestats.operators.profile import (
 from tablestats.operators.quantiles import (
     approx_quantiles,
     exact_quantiles,
+    fused_quantiles,
     rel_err_to_k,
-    sketch_kind,
 )
 from tablestats.operators.relate import MIN_PAIRS
 
@@ -151,9 +151,10 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     pair = whole & critic.isNotNull() & user.isNotNull()
     pc, pu = F.when(pair, critic), F.when(pair, user)
     means = list(DEFAULT_MEANS.items())
-    # quantiles inside the one aggregate (gk), or from a separate mergeable
-    # pipeline over the four series (exact, or kll for very large inputs)
-    separate = exact or sketch_kind(clean, sketch) == "kll"
+    # quantiles inside the one aggregate (GK sketch, or exact percentile on a
+    # proven-small input), or from a separate distributed pipeline over the
+    # four series (exact bracket method, or KLL sketch, for large inputs)
+    separate = not fused_quantiles(clean, exact, sketch)
 
     tagged = (clean.select(F.col("name"), price.alias("price"), user.alias("user_score"),
                            critic.alias("metacritic_score"),
@@ -164,15 +165,15 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     # null outside the whole-table group, so no per-year sketch is built.
     per_group = tagged.groupBy("_all", "_k").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        summary_struct(g_price, False, accuracy, mean_of=kept_price,
+        summary_struct(g_price, exact, accuracy, mean_of=kept_price,
                        with_quantiles=not separate).alias("s_price"),
-        summary_struct(F.when(whole & (user > 0), user), False, accuracy,
+        summary_struct(F.when(whole & (user > 0), user), exact, accuracy,
                        with_quantiles=not separate).alias("s_user"),
-        summary_struct(F.when(whole & (critic > 0), critic), False, accuracy,
+        summary_struct(F.when(whole & (critic > 0), critic), exact, accuracy,
                        with_quantiles=not separate).alias("s_critic"),
         F.avg(kept_price).alias("c_mean"),
         (F.lit(None).cast("double") if separate
-         else median(kept_price, False, rel_err)).alias("c_median"),
+         else median(kept_price, exact, rel_err)).alias("c_median"),
         F.count(F.when(pair, F.lit(1))).alias("r_n"),
         F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
         F.count(F.col("name")).alias("n"),
