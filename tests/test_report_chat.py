@@ -78,3 +78,16 @@ def test_chat_content_outcomes(spark):
     got = [(r.content, r.status) for r in chat_content(df).collect()]
     assert got == [("hi", "ok"), (None, "no_choices"), (None, "no_choices"), (None, "empty"),
                    (None, "empty"), (None, "bad_json"), (None, "bad_json")]
+
+
+def test_answer_text_sink(spark, tmp_out):
+    """A9: the model answer text goes out through the ordered text sink."""
+    bodies = ['{"choices":[{"message":{"content":"line one\\nline two"}}]}', "not json"]
+    df = chat_content(spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "k int, body string"))
+    answers = df.where(F.col("status") == "ok").select(
+        F.lit(0).alias("section"), F.col("k").alias("seq"), F.col("content").alias("line"))
+    out = os.path.join(tmp_out, "answer")
+    write_report(answers, out)
+    part = [p for p in os.listdir(out) if p.startswith("part-")][0]
+    with open(os.path.join(out, part), encoding="utf-8") as fh:
+        assert fh.read() == "line one\nline two\n"
