@@ -142,6 +142,11 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     (one row per year, at most 10,000 calendar years) is folded into a single
     row, from which all lines are generated with array functions.
     """
+    key_type = dict(clean.dtypes).get(key)
+    if key_type not in ("tinyint", "smallint", "int", "bigint"):
+        # lines are ordered by KEY_SEQ + key and the per-year table is folded
+        # into one row: the key must be a calendar-year-like integer
+        raise ValueError(f"report key {key!r} must be an integer year column, got {key_type}")
     price = F.col("price").cast("double")
     user = F.col("user_score").cast("double")
     critic = F.col("metacritic_score").cast("double")

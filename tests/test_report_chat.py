@@ -91,3 +91,10 @@ def test_answer_text_sink(spark, tmp_out):
     part = [p for p in os.listdir(out) if p.startswith("part-")][0]
     with open(os.path.join(out, part), encoding="utf-8") as fh:
         assert fh.read() == "line one\nline two\n"
+
+
+def test_report_key_must_be_year_like(spark):
+    import pytest
+    clean = catalog(spark, SF001)
+    with pytest.raises(ValueError):
+        report_lines(clean.withColumn("release_year", F.col("release_year").cast("string")))
