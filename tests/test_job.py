@@ -35,3 +35,28 @@ def test_analyze_from_csv_converts_once(spark, tmp_out):
     out = analyze(spark, os.path.join(tmp_out, "out"), base=src, name="games")
     assert os.path.isdir(os.path.join(src, "games.parquet"))
     assert read_table(spark, out["cleaned"]).count() == 3
+
+
+def test_command_line(spark, tmp_out):
+    from tablestats.__main__ import main
+    from test_io import write_csv
+    src = os.path.join(tmp_out, "src")
+    os.makedirs(src)
+    write_csv(src, "games")
+    res = main(["--base", src, "--name", "games", "--out", os.path.join(tmp_out, "o1"), "--exact",
+                "--csv-single"], spark=spark)
+    assert read_table(spark, res["cleaned"]).count() == 3
+    maps = ["name=nullif(l_returnflag, 'A')", "price=l_extendedprice", "user_score=l_quantity",
+            "metacritic_score=round(l_discount * 100)", "positive=round(l_discount * 100)",
+            "negative=round(l_tax * 100)", "pct_pos_total=l_linenumber", "categories=l_linestatus",
+            "genres=l_returnflag", "tags=cast(l_suppkey as string)", "release_date=l_shipdate"]
+    args = ["--input", os.path.join(SF001, "lineitem.parquet"), "--out", os.path.join(tmp_out, "o2"),
+            "--no-csv"]
+    for m in maps:
+        args += ["--map", m]
+    res = main(args, spark=spark)
+    assert not os.path.exists(os.path.join(tmp_out, "o2", "cleaned_csv"))
+    want = read_table(spark, analyze(spark, os.path.join(tmp_out, "o3"),
+                                     raw=table(spark, SF001, "lineitem"),
+                                     spec=lineitem_spec())["report_lines"]).collect()
+    assert sorted(read_table(spark, res["report_lines"]).collect()) == sorted(want)
