@@ -1,6 +1,7 @@
 """Command line: run the whole catalogue analysis as one Spark application.
 
-    spark-submit -m tablestats ...        (or)    python -m tablestats ...
+    python -m tablestats ...
+    spark-submit --py-files tablestats.zip tablestats/__main__.py ...   (on a cluster)
 
     --input PATH          a .csv or Parquet table, read directly
     --base DIR --name N   DIR/N.parquet if present, else DIR/N.csv converted once
