@@ -88,7 +88,8 @@ def test_kll_sketch_paths_close_to_exact(spark):
         assert len(q) == 2
     s = {r.stat: r.value for r in summary(df, "v", sketch="kll").collect()}
     assert s["count"] == 20000 and rank_ok(s["25%"], 0.25) and rank_ok(s["75%"], 0.75)
-    assert rank_ok(center(df, "v", sketch="kll").first().median, 0.5)
+    # center's sketch follows rel_err=0.01 (k about 270): allow three times that
+    assert rank_ok(center(df, "v", sketch="kll").first().median, 0.5, tol=0.03)
     assert {r.b for r in box_stats(df, "b", "v", sketch="kll").collect()} == {"a", "b"}
     with pytest.raises(ValueError):
         summary(df, "v", sketch="tdigest")
