@@ -83,3 +83,11 @@ def test_oracle_match(spark, duck, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
+
+
+def test_band_on_cleaned_catalog_reaches_parquet(spark):
+    from tablestats import band
+    from tablestats.plans.bindings import catalog
+    plan = plan_of(band(catalog(spark, SF01), "price", hi=1000.0).select("price"))
+    assert "LessThanOrEqual(l_extendedprice,1000.0)" in plan
+    assert "ReadSchema: struct<l_extendedprice:double>" in plan
