@@ -93,3 +93,14 @@ def test_shape_and_profile(spark):
     prof = [tuple(r) for r in column_profile(df).collect()]
     assert prof == [(0, "a", "int", 2), (1, "b", "string", 2)]
     assert tuple(shape(df.where(F.lit(False))).first()) == (0, 2)
+
+
+@pytest.mark.parametrize("table,col", [("events", "value"), ("lineitem", "l_extendedprice"),
+                                       ("lineitem", "l_quantity")])
+def test_sketch_summary_equals_spark_summary(spark, table, col):
+    """The default sketch reproduces DataFrame.summary() value for value."""
+    df = spark.read.parquet(os.path.join(SF01, f"{table}.parquet"))
+    ref = {r["summary"]: float(r[col]) for r in df.select(col).summary().collect()}
+    ours = as_dict(summary(df, col, sketch="gk"))
+    for stat in STAT_ORDER:
+        assert math.isclose(ours[stat], ref[stat], rel_tol=1e-12), stat
