@@ -104,3 +104,11 @@ def test_sketch_summary_equals_spark_summary(spark, table, col):
     ours = as_dict(summary(df, col, sketch="gk"))
     for stat in STAT_ORDER:
         assert math.isclose(ours[stat], ref[stat], rel_tol=1e-12), stat
+
+
+def test_sketch_median_equals_approx_quantile(spark):
+    df = spark.read.parquet(os.path.join(SF01, "lineitem.parquet"))
+    capped = df.where("l_extendedprice <= 50000")
+    want = capped.approxQuantile("l_extendedprice", [0.5], 0.01)[0]
+    got = center(df, "l_extendedprice", max_value=50000, sketch="gk").first().median
+    assert got == want
