@@ -135,3 +135,14 @@ def test_sample_n_equals_naive_top_n_with_hot_key(spark, n):
 def test_sample_n_empty(spark):
     df = spark.range(0).select(F.col("id").alias("k"))
     assert sample_n(df, "k", 10).count() == 0
+
+
+def test_corr_equals_stat_corr_on_pairs(spark):
+    """On non-null pairs the gated correlation equals DataFrame.stat.corr."""
+    import os
+
+    from conftest import SF01
+    li = spark.read.parquet(os.path.join(SF01, "lineitem.parquet"))
+    want = li.select("l_quantity", "l_extendedprice").dropna().stat.corr("l_quantity", "l_extendedprice")
+    got = corr_gated(li, "l_quantity", "l_extendedprice").first().corr
+    assert math.isclose(got, want, rel_tol=1e-12)
