@@ -11,7 +11,7 @@ from conftest import ROOT, SF01
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as se  # noqa: E402
-from oracle_check import TABLES, digest  # noqa: E402
+from oracle_check import TABLES, digest, type_mismatches  # noqa: E402
 
 NAMES = sorted(se.queries())
 
@@ -77,6 +77,8 @@ def duck():
 def test_oracle_match(spark, duck, name):
     df = se.queries()[name](spark, SF01)
     srows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(se.oracle_sql()[name])
+    assert not type_mismatches(df.dtypes, rel.columns, rel.types)
     res = duck.execute(se.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
