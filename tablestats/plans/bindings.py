@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tablestats.functions import LENIENT_DATE_FORMATS, bucket, corr_label, parse_date, to_number
 from tablestats.operators import (
     add_ratio,
+    approx_quantiles,
+    exact_quantiles,
     add_total,
     add_year,
     band,
@@ -281,6 +283,28 @@ def q_center_capped(spark, sf):
                   exact=True).select(_r("mean"), _r("median"))
 
 
+def q_exact_quartiles_large_path(spark, sf):
+    """Exact quartiles per return flag through the large-input configuration
+    (sketch brackets merged in two levels, one refinement pass, histogram
+    ranks), whatever the input size."""
+    q = exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.25, 0.5, 0.75],
+                        by=["l_returnflag"], method="bracket", salted=True, refine=1)
+    return q.select("l_returnflag", "n", F.posexplode("q").alias("pos", "value")).select(
+        "l_returnflag", "n", "pos", _r("value"))
+
+
+def q_summary_sketch_large_path(spark, sf):
+    """Eight-number summary with the mergeable two-level KLL sketch
+    (approximate and randomised: no oracle)."""
+    return _round_value(summary(table(spark, sf, "lineitem"), "l_extendedprice", sketch="kll"))
+
+
+def q_approx_quartiles_large_path(spark, sf):
+    q = approx_quantiles(table(spark, sf, "lineitem"), "l_quantity", [0.25, 0.5, 0.75],
+                         by=["l_returnflag"], salted=True)
+    return q.select("l_returnflag", "n", F.posexplode("q").alias("pos", "value"))
+
+
 # -------------------------------------------------------------------- spread
 
 def _era(clean):
@@ -441,6 +465,9 @@ QUERIES = {
     "robust_summary": q_robust_summary,
     "center": q_center,
     "center_capped": q_center_capped,
+    "exact_quartiles_large_path": q_exact_quartiles_large_path,
+    "summary_sketch_large_path": q_summary_sketch_large_path,
+    "approx_quartiles_large_path": q_approx_quartiles_large_path,
     "bucket_stats": q_bucket_stats,
     "box_stats_events": q_box_stats_events,
     "box_stats_era": q_box_stats_era,

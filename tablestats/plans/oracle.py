@@ -265,6 +265,11 @@ FROM (SELECT l_orderkey, l_linenumber, CAST(round(l_discount * 100) AS BIGINT) A
     "center_capped": ("SELECT round(avg(l_extendedprice), 4) AS mean, "
                       "round(median(l_extendedprice), 4) AS median FROM lineitem "
                       "WHERE l_extendedprice <= 50000"),
+    "exact_quartiles_large_path": " UNION ALL ".join(
+        f"SELECT l_returnflag, count(*) AS n, {i} AS pos, "
+        f"round(quantile_cont(l_extendedprice, {p}), 4) AS value FROM lineitem "
+        "WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag"
+        for i, p in enumerate((0.25, 0.5, 0.75))),
     "bucket_stats": _with_clean("SELECT era, count(price) AS n, round(avg(price), 4) AS mean, "
                                 "round(median(price), 4) AS median FROM e "
                                 "WHERE era IS NOT NULL AND price IS NOT NULL GROUP BY era",
