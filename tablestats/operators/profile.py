@@ -113,11 +113,12 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
-             mean_of: Column | None = None, sketch: str | None = None) -> DataFrame:
-    if fused_quantiles(data, exact, sketch):
+             mean_of: Column | None = None, sketch: str | None = None,
+             method: str | None = None) -> DataFrame:
+    if fused_quantiles(data, exact, sketch, method):
         one = data.agg(summary_struct(x, exact, accuracy, mean_of).alias("s"))
     else:
-        qdf = (exact_quantiles(data, x, QUARTILES) if exact
+        qdf = (exact_quantiles(data, x, QUARTILES, method=method) if exact
                else approx_quantiles(data, x, QUARTILES, k=rel_err_to_k(1.0 / accuracy)))
         q = qdf.select("q").scalar()
         one = (data.agg(summary_struct(x, mean_of=mean_of, with_quantiles=False).alias("s"))
@@ -128,35 +129,39 @@ def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
 
 def summary(df: DataFrame, col: str, exact: bool = False, lo: float | None = None,
             hi: float | None = None, lo_open: bool = False, hi_open: bool = False,
-            accuracy: int = SUMMARY_ACCURACY, sketch: str | None = None) -> DataFrame:
+            accuracy: int = SUMMARY_ACCURACY, sketch: str | None = None,
+            method: str | None = None) -> DataFrame:
     """Eight-number summary as long rows (stat string, value double).
 
     count, mean, stddev (sample), min, 25%, 50%, 75%, max of the non-null
     values of ``col`` inside the optional band.
     """
     data = band(df, col, lo, hi, lo_open, hi_open) if (lo is not None or hi is not None) else df
-    return _summary(data, F.col(col).cast("double"), exact, accuracy, sketch=sketch)
+    return _summary(data, F.col(col).cast("double"), exact, accuracy, sketch=sketch, method=method)
 
 
 def robust_summary(df: DataFrame, col: str, mean_max: float = 1000.0, exact: bool = False,
-                   accuracy: int = SUMMARY_ACCURACY, sketch: str | None = None) -> DataFrame:
+                   accuracy: int = SUMMARY_ACCURACY, sketch: str | None = None,
+                   method: str | None = None) -> DataFrame:
     """Summary over all rows, except the mean, taken over values <= mean_max.
 
     One pass with a conditional mean: the same result as joining a full and a
     filtered summary on the statistic name, without a second scan or a join.
     """
     x = F.col(col).cast("double")
-    return _summary(df, x, exact, accuracy, mean_of=F.when(x <= mean_max, x), sketch=sketch)
+    return _summary(df, x, exact, accuracy, mean_of=F.when(x <= mean_max, x), sketch=sketch,
+                    method=method)
 
 
 def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool = False,
-           rel_err: float = MEDIAN_REL_ERROR, sketch: str | None = None) -> DataFrame:
+           rel_err: float = MEDIAN_REL_ERROR, sketch: str | None = None,
+           method: str | None = None) -> DataFrame:
     """(mean, median) of non-null ``col`` values, optionally only those <= max_value."""
     x = F.col(col).cast("double")
     v = F.when(x <= max_value, x) if max_value is not None else x
-    if fused_quantiles(df, exact, sketch):
+    if fused_quantiles(df, exact, sketch, method):
         return df.agg(F.avg(v).alias("mean"), median(v, exact, rel_err).alias("median"))
-    qdf = (exact_quantiles(df, v, [0.5]) if exact
+    qdf = (exact_quantiles(df, v, [0.5], method=method) if exact
            else approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)))
     med = qdf.select(F.get("q", 0)).scalar()
     return df.agg(F.avg(v).alias("mean")).select("mean", med.alias("median"))

@@ -252,10 +252,12 @@ def exact_method(df: DataFrame, method: str | None = None, size: int | None = No
     return method
 
 
-def fused_quantiles(df: DataFrame, exact: bool, sketch: str | None = None) -> bool:
+def fused_quantiles(df: DataFrame, exact: bool, sketch: str | None = None,
+                    method: str | None = None) -> bool:
     """True when quantiles can be computed inside the caller's own aggregate:
-    a GK sketch, or an exact percentile over a proven-small input."""
-    return exact_method(df) == "percentile" if exact else sketch_kind(df, sketch) == "gk"
+    a GK sketch, or an exact percentile over a proven-small input (``method``
+    forces the exact method: 'percentile' or 'bracket')."""
+    return exact_method(df, method) == "percentile" if exact else sketch_kind(df, sketch) == "gk"
 
 
 def sketch_kind(df: DataFrame, sketch: str | None) -> str:

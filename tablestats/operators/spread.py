@@ -36,15 +36,16 @@ BROADCAST_MAX_BUCKETS = 100_000
 
 def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
                  rel_err: float = 1.0 / SUMMARY_ACCURACY, max_buckets: int | None = None,
-                 sketch: str | None = None) -> DataFrame:
+                 sketch: str | None = None, method: str | None = None) -> DataFrame:
     """Per non-null bucket: n, mean and median of the non-null values of ``col``."""
     x = F.col(col).cast("double")
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull())
-    if fused_quantiles(df, exact, sketch):
+    if fused_quantiles(df, exact, sketch, method):
         return data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
                                         median(x, exact, rel_err).alias("median"))
     moments = data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
-    qdf = (exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets) if exact
+    qdf = (exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets, method=method)
+           if exact
            else approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)))
     med = qdf.select(bucket, F.get("q", 0).alias("median"))
     if max_buckets is not None and max_buckets <= BROADCAST_MAX_BUCKETS:
@@ -54,7 +55,8 @@ def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
 
 def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
               exact: bool = False, accuracy: int = SUMMARY_ACCURACY,
-              max_buckets: int | None = None, sketch: str | None = None) -> DataFrame:
+              max_buckets: int | None = None, sketch: str | None = None,
+              method: str | None = None) -> DataFrame:
     """Box-plot numbers per non-null bucket.
 
     Output: bucket, q1, median, q3, whisker_low, whisker_high, n_out, n.
@@ -63,10 +65,11 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     """
     x = F.col(col).cast("double")
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull()).select(F.col(bucket), x.alias("_v"))
-    if fused_quantiles(df, exact, sketch):
+    if fused_quantiles(df, exact, sketch, method):
         box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, exact, accuracy).alias("q"))
     elif exact:
-        box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], max_groups=max_buckets)
+        box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], max_groups=max_buckets,
+                              method=method)
     else:
         box = approx_quantiles(data, "_v", QUARTILES, by=[bucket], k=rel_err_to_k(1.0 / accuracy))
     box = box.select(bucket, F.get("q", 0).alias("q1"), F.get("q", 1).alias("median"),

@@ -322,6 +322,14 @@ def q_box_stats_events(spark, sf):
         "n_out", "n")
 
 
+def q_box_stats_events_large_path(spark, sf):
+    """box_stats_events through the distributed exact quantiles (forced)."""
+    return box_stats(table(spark, sf, "events"), "event_type", "value", exact=True,
+                     method="bracket").select(
+        "event_type", _r("q1"), _r("median"), _r("q3"), _r("whisker_low"), _r("whisker_high"),
+        "n_out", "n")
+
+
 def q_box_stats_era(spark, sf):
     clean = band(_era(catalog(spark, sf)), "price", lo=0.0, label="era")
     return box_stats(clean, "era", "price", exact=True, max_buckets=2).select(
@@ -396,6 +404,12 @@ def q_report_lines(spark, sf):
     return report_lines(catalog(spark, sf), digits=2, exact=True)
 
 
+def q_report_lines_large_path(spark, sf):
+    """report_lines with its quartiles and median from the distributed exact
+    quantiles (forced), as for a large input."""
+    return report_lines(catalog(spark, sf), digits=2, exact=True, method="bracket")
+
+
 def q_report_prompt(spark, sf):
     lines = report_lines(catalog(spark, sf), digits=2, exact=True)
     return chat_requests(prompt_text(lines, DEFAULT_INSTRUCTIONS))
@@ -470,6 +484,7 @@ QUERIES = {
     "approx_quartiles_large_path": q_approx_quartiles_large_path,
     "bucket_stats": q_bucket_stats,
     "box_stats_events": q_box_stats_events,
+    "box_stats_events_large_path": q_box_stats_events_large_path,
     "box_stats_era": q_box_stats_era,
     "corr_gated": q_corr_gated,
     "corr_scores": q_corr_scores,
@@ -482,6 +497,7 @@ QUERIES = {
     "sample_scatter": q_sample_scatter,
     "summary_lines": q_summary_lines,
     "report_lines": q_report_lines,
+    "report_lines_large_path": q_report_lines_large_path,
     "report_prompt": q_report_prompt,
     "prompt_text": q_prompt_text,
     "chat_requests": q_chat_requests,

@@ -349,3 +349,7 @@ FROM conversations""",
 }
 
 ORACLE_SQL["report_prompt"] = ORACLE_SQL["report_prompt"].format(report=_report_body())
+
+# The forced large-input paths return exactly what the base queries return.
+ORACLE_SQL["box_stats_events_large_path"] = ORACLE_SQL["box_stats_events"]
+ORACLE_SQL["report_lines_large_path"] = ORACLE_SQL["report_lines"]

@@ -124,7 +124,8 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
                  title: str = TITLE, key: str = DEFAULT_KEY,
                  accuracy: int = SUMMARY_ACCURACY, rel_err: float = MEDIAN_REL_ERROR,
                  min_count: int = MIN_GROUP_ROWS, price_max: float = PRICE_MEAN_MAX,
-                 min_pairs: int = MIN_PAIRS, sketch: str | None = None) -> DataFrame:
+                 min_pairs: int = MIN_PAIRS, sketch: str | None = None,
+                 method: str | None = None) -> DataFrame:
     """Report lines (section, seq, line) for a cleaned catalogue table.
 
     Sections: header; counts of the last 10 years; price summary (mean over
@@ -134,7 +135,8 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     median price <= price_max, correlation of the scores when there are more
     than ``min_pairs`` pairs).  ``exact`` switches every quantile from the
     sketch to the exact percentile; ``sketch`` picks the sketch ('gk' inside
-    the one aggregate, 'kll' merged in two levels, None by input size).
+    the one aggregate, 'kll' merged in two levels, None by input size) and
+    ``method`` the exact method ('percentile', 'bracket', None by size).
 
     Plan: ONE scan.  Every row is tagged twice (whole-table copy, per-year
     copy: a two-set grouping) and one aggregate computes the whole-table
@@ -159,7 +161,7 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     # quantiles inside the one aggregate (GK sketch, or exact percentile on a
     # proven-small input), or from a separate distributed pipeline over the
     # four series (exact bracket method, or KLL sketch, for large inputs)
-    separate = not fused_quantiles(clean, exact, sketch)
+    separate = not fused_quantiles(clean, exact, sketch, method)
 
     tagged = (clean.select(F.col("name"), price.alias("price"), user.alias("user_score"),
                            critic.alias("metacritic_score"),
@@ -193,7 +195,8 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     )
     if separate:
         k_sum = rel_err_to_k(1.0 / accuracy)
-        one = one.withColumn("M", _quantile_map(clean, price, user, critic, price_max, exact, k_sum))
+        one = one.withColumn("M", _quantile_map(clean, price, user, critic, price_max, exact, k_sum,
+                                                method))
     Y = F.col("Y")
     fields = ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")
 
@@ -260,7 +263,7 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
 
 
 def _quantile_map(clean: DataFrame, price: Column, user: Column, critic: Column,
-                  price_max: float, exact: bool, k: int) -> Column:
+                  price_max: float, exact: bool, k: int, method: str | None = None) -> Column:
     """Quartiles of the report's four series, as one map-valued scalar.
 
     The series (0 price; 1 user score > 0; 2 critic score > 0; 3 price <=
@@ -277,7 +280,7 @@ def _quantile_map(clean: DataFrame, price: Column, user: Column, critic: Column,
     ))
     stacked = clean.select(series.alias("_s")).select("_s.series", "_s.v")
     if exact:
-        qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], max_groups=4)
+        qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], max_groups=4, method=method)
     else:
         qs = approx_quantiles(stacked, "v", QUARTILES, by=["series"], k=k)
     return qs.agg(F.map_from_entries(F.collect_list(F.struct("series", "q")))).scalar()
