@@ -83,6 +83,15 @@ def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: i
         *[F.sum(f"_e{j}").alias(f"_e{j}") for j in range(len(extra))])
 
 
+def _non_null(df: DataFrame, by: list[str], value: str | Column) -> DataFrame:
+    """(group keys, _v) rows with a non-null value and non-null group keys."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    keep = F.col("_v").isNotNull()
+    for b in by:
+        keep = keep & F.col(b).isNotNull()
+    return df.select(*[F.col(b) for b in by], v.alias("_v")).where(keep)
+
+
 def _quantiles_of(sketch: Column, ranks: Column) -> Column:
     """Sketch quantiles at constant ranks; null for an empty sketch."""
     return F.when(F.kll_sketch_get_n_double(sketch) > 0,
@@ -109,8 +118,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
                     method: str | None = None) -> DataFrame:
     """Per group: ``n`` (non-null values) and ``q`` (array, one exact quantile per level).
 
-    Groups without any non-null value are absent; without ``by`` there is
-    always one row (n = 0 and null quantiles for an empty input).
+    Rows with a null group key are ignored, and groups without any non-null
+    value are absent; without ``by`` there is always one row (n = 0 and null
+    quantiles for an empty input).
 
     ``method`` defaults from Catalyst's size estimate of the input: up to
     ``SMALL_EXACT_BYTES`` one ``percentile`` aggregate (its map is bounded by
@@ -127,8 +137,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     by = list(by)
     levels = [float(p) for p in levels]
     n_lv = len(levels)
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    data = df.select(*[F.col(b) for b in by], v.alias("_v")).where(F.col("_v").isNotNull())
+    data = _non_null(df, by, value)
     if method == "percentile":
         # Proven small input: Spark's exact percentile in one aggregate (its
         # value -> count map is bounded by the input size).
@@ -231,8 +240,7 @@ def approx_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float]
     ``exact_quantiles``.
     """
     by = list(by)
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    data = df.select(*[F.col(b) for b in by], v.alias("_v")).where(F.col("_v").isNotNull())
+    data = _non_null(df, by, value)
     salted = estimated_bytes(df) > LARGE_INPUT_BYTES if salted is None else salted
     sk = _two_level_sketch(data, by, [F.col("_v")], k, [F.count(F.lit(1))], salted=salted)
     ranks = F.array(*[F.lit(float(p)) for p in levels])

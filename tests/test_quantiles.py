@@ -118,3 +118,13 @@ def test_small_input_method_matches_bracket(spark):
         np.testing.assert_allclose(a[g], b[g], rtol=1e-13)
     with pytest.raises(ValueError):
         exact_quantiles(df, "v", [0.5], method="sorted")
+
+
+@pytest.mark.parametrize("method", ["percentile", "bracket"])
+def test_null_group_keys_are_ignored(spark, method):
+    df = spark.createDataFrame([(1, 1.0), (1, 3.0), (None, 100.0), (None, 200.0), (2, None)],
+                               "g int, v double")
+    got = {r.g: (r.n, r.q) for r in exact_quantiles(df, "v", [0.5], by=["g"], method=method).collect()}
+    assert got == {1: (2, [2.0])}
+    from tablestats.operators.quantiles import approx_quantiles
+    assert [r.g for r in approx_quantiles(df, "v", [0.5], by=["g"]).collect()] == [1]
