@@ -69,7 +69,9 @@ def parse_date(c: Column | str, fmts: Sequence[str] | str = (ISO_DATE,)) -> Colu
 
     With the default single ISO pattern this is the strict parse
     ('2024-1-5', 'Jan 5, 2024', '2024-02-30' and text with a time part are
-    null); pass ``LENIENT_DATE_FORMATS`` for the coercing parse.
+    null); pass ``LENIENT_DATE_FORMATS`` for the coercing parse.  Meant for
+    text: a date or timestamp column only needs ``cast('date')``, which
+    ``clean_table`` applies by type.
     """
     if isinstance(fmts, str):
         fmts = (fmts,)

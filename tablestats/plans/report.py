@@ -306,7 +306,9 @@ def prompt_text(lines: DataFrame, instructions: str, key: str | None = None,
 
     With ``key`` one prompt per key (for example per conversation), else one
     prompt for the whole line table.  Lines are ordered by ``order`` and then
-    by text, inside the aggregate of each key.
+    by text, inside the aggregate of each key.  Each prompt is one string, so
+    the lines of one key are gathered in one task: the input is a report or a
+    conversation, whose size is that of the prompt itself.
     """
     item = F.struct(*[F.col(c) for c in order], F.col(text_col).alias("_t"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["_t"]), "\n")
