@@ -60,3 +60,17 @@ def test_command_line(spark, tmp_out):
                                      raw=table(spark, SF001, "lineitem"),
                                      spec=lineitem_spec())["report_lines"]).collect()
     assert sorted(read_table(spark, res["report_lines"]).collect()) == sorted(want)
+
+
+def test_chart_tables(spark, tmp_out):
+    out = analyze(spark, tmp_out, raw=table(spark, SF001, "lineitem"), spec=lineitem_spec(),
+                  write_csv=False, exact=True)
+    series = read_table(spark, out["price_series"]).collect()
+    assert 0 < len(series) <= 15
+    sample = read_table(spark, out["scatter_sample"])
+    assert sample.columns == ["metacritic_score", "user_score"] and sample.count() == 5000
+    line = read_table(spark, out["scatter_line"]).orderBy("i").collect()
+    assert [r.i for r in line] == list(range(100))
+    # lineitem prices all exceed 100, so the era box has no rows: no buckets
+    assert read_table(spark, out["era_box"]).count() == 0
+    assert read_table(spark, out["era_stats"]).count() == 0
