@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablestats.functions.clean import bucket
-from tablestats.operators.columns import CATALOG_COLUMNS, clean_table
+from tablestats.operators.columns import clean_table
 from tablestats.operators.filters import band
 from tablestats.operators.groups import group_stats, series
 from tablestats.operators.relate import MIN_PAIRS, SAMPLE_ROWS, corr_gated, fit_line, sample_n
@@ -70,8 +70,13 @@ def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
     requests.write.mode("overwrite").json(request_path)
     outputs = {}
     if charts:
-        for label, table in chart_tables(clean, exact=exact, sketch=sketch).items():
+        tables = chart_tables(clean, exact=exact, sketch=sketch)
+        for label, table in tables.items():
             path = os.path.join(out_dir, f"{label}.parquet")
+            if label == "scatter_line":
+                # fitted on the written sample rather than recomputing it
+                table = fit_line(read_table(spark, outputs["scatter_sample"]),
+                                 "metacritic_score", "user_score")
             write_table(table, path)
             outputs[label] = path
     ended = time.perf_counter()
@@ -92,6 +97,8 @@ def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
 ERA_CUT = 2014
 ERA_LABELS = ("old", "new")
 BOX_PRICE_BAND = (0.0, 100.0)
+# Hash key of the scatter sample (other columns break ties deterministically).
+SAMPLE_KEY = ("name", "release_date")
 
 
 def chart_tables(clean: DataFrame, exact: bool = False, sketch: str | None = None) -> dict:
@@ -109,7 +116,7 @@ def chart_tables(clean: DataFrame, exact: bool = False, sketch: str | None = Non
     pairs = clean.where(F.col("metacritic_score").isNotNull() & F.col("user_score").isNotNull())
     enough = corr_gated(pairs, "metacritic_score", "user_score").select(
         F.col("n") > MIN_PAIRS).scalar()
-    sample = sample_n(pairs, list(CATALOG_COLUMNS), SAMPLE_ROWS).where(enough).select(
+    sample = sample_n(pairs, list(SAMPLE_KEY), SAMPLE_ROWS).where(enough).select(
         "metacritic_score", "user_score")
     era = clean.withColumn("era", bucket(F.col("release_year"), [ERA_CUT], list(ERA_LABELS)))
     priced = band(era, "price", *BOX_PRICE_BAND, label="era")
