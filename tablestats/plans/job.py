@@ -91,7 +91,6 @@ def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
     }
 
 
-
 # Era cut (up to 2014 old, later new) and the price band of the
 # box plot.
 ERA_CUT = 2014
