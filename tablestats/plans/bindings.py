@@ -53,7 +53,7 @@ from tablestats.operators import (
     span,
     summary,
 )
-from tablestats.plans.chat import DEFAULT_INSTRUCTIONS, DEFAULT_MODEL, chat_content, chat_requests
+from tablestats.plans.chat import DEFAULT_INSTRUCTIONS, chat_content, chat_requests
 from tablestats.plans.report import prompt_text, report_lines, summary_lines
 
 

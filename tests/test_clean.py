@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablestats import (
     add_ratio, add_total, add_year, bucket, clean_numeric, clean_numeric_col, clean_table,

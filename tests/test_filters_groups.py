@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from tablestats import band, count_by, drop_nulls, group_stats, last_n, peak, series, span

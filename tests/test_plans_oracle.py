@@ -1,6 +1,5 @@
 """Plan checks over every registered query, and the DuckDB oracle at sf0.01."""
 
-import hashlib
 import os
 import sys
 
