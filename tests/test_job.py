@@ -74,3 +74,32 @@ def test_chart_tables(spark, tmp_out):
     # lineitem prices all exceed 100, so the era box has no rows: no buckets
     assert read_table(spark, out["era_box"]).count() == 0
     assert read_table(spark, out["era_stats"]).count() == 0
+
+
+def test_chart_tables_eras(spark):
+    import numpy as np
+
+    from tablestats.plans.job import chart_tables
+    from tablestats import clean_table
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        year = 2010 + i % 10
+        rows.append((f"g{i}", f"${rng.uniform(0, 120):.2f}", str(rng.integers(1, 100)),
+                     str(rng.integers(1, 100)), 5, 1, 80.0, "c", "g", "t", f"{year}-06-01"))
+    raw = spark.createDataFrame(rows, "name string, price string, user_score string, "
+                                "metacritic_score string, positive long, negative long, "
+                                "pct_pos_total double, categories string, genres string, "
+                                "tags string, release_date string")
+    clean = clean_table(raw)
+    t = chart_tables(clean, exact=True)
+    box = {r.era: r for r in t["era_box"].collect()}
+    stats = {r.era: r for r in t["era_stats"].collect()}
+    assert set(box) == {"old", "new"} == set(stats)
+    for era, years in (("old", range(2010, 2015)), ("new", range(2015, 2020))):
+        prices = [float(r[1][1:]) for r in rows if int(r[10][:4]) in years and float(r[1][1:]) <= 100]
+        assert stats[era].n == len(prices) and box[era].n == len(prices)
+        assert abs(stats[era].median - float(np.median(prices))) < 1e-9
+        assert abs(box[era].q1 - float(np.percentile(prices, 25))) < 1e-9
+    assert t["scatter_sample"].count() == 400 and t["scatter_line"].count() == 100
+    assert t["price_series"].count() == 10  # 40 rows per year: every year has more than 30
