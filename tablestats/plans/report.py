@@ -142,7 +142,10 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     copy: a two-set grouping) and one aggregate computes the whole-table
     statistics and the per-year counts and means together; its small result
     (one row per year, at most 10,000 calendar years) is folded into a single
-    row, from which all lines are generated with array functions.
+    row, from which all lines are generated with array functions.  For large
+    inputs the quartiles and median come instead from a distributed pipeline
+    over the four series (exact or mergeable sketch), joined in as one scalar
+    subquery.
     """
     key_type = dict(clean.dtypes).get(key)
     if key_type not in ("tinyint", "smallint", "int", "bigint"):
