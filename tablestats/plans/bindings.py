@@ -293,6 +293,18 @@ def q_exact_quartiles_large_path(spark, sf):
         "l_returnflag", "n", "pos", _r("value"))
 
 
+def q_summary_exact_large_path(spark, sf):
+    """summary_exact with its quartiles from the distributed exact method (forced)."""
+    return _round_value(summary(table(spark, sf, "lineitem"), "l_extendedprice", exact=True,
+                                method="bracket"))
+
+
+def q_center_large_path(spark, sf):
+    """center with its median from the distributed exact method (forced)."""
+    return center(table(spark, sf, "lineitem"), "l_extendedprice", exact=True,
+                  method="bracket").select(_r("mean"), _r("median"))
+
+
 def q_summary_sketch_large_path(spark, sf):
     """Eight-number summary with the mergeable two-level KLL sketch
     (approximate and randomised: no oracle)."""
@@ -322,6 +334,12 @@ def q_box_stats_events(spark, sf):
         "n_out", "n")
 
 
+def q_bucket_stats_large_path(spark, sf):
+    """bucket_stats with medians from the distributed exact method (forced)."""
+    return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True, max_buckets=2,
+                        method="bracket").select("era", "n", _r("mean"), _r("median"))
+
+
 def q_box_stats_events_large_path(spark, sf):
     """box_stats_events through the distributed exact quantiles (forced)."""
     return box_stats(table(spark, sf, "events"), "event_type", "value", exact=True,
@@ -480,10 +498,13 @@ QUERIES = {
     "center": q_center,
     "center_capped": q_center_capped,
     "exact_quartiles_large_path": q_exact_quartiles_large_path,
+    "summary_exact_large_path": q_summary_exact_large_path,
+    "center_large_path": q_center_large_path,
     "summary_sketch_large_path": q_summary_sketch_large_path,
     "approx_quartiles_large_path": q_approx_quartiles_large_path,
     "bucket_stats": q_bucket_stats,
     "box_stats_events": q_box_stats_events,
+    "bucket_stats_large_path": q_bucket_stats_large_path,
     "box_stats_events_large_path": q_box_stats_events_large_path,
     "box_stats_era": q_box_stats_era,
     "corr_gated": q_corr_gated,

@@ -352,4 +352,7 @@ ORACLE_SQL["report_prompt"] = ORACLE_SQL["report_prompt"].format(report=_report_
 
 # The forced large-input paths return exactly what the base queries return.
 ORACLE_SQL["box_stats_events_large_path"] = ORACLE_SQL["box_stats_events"]
+ORACLE_SQL["summary_exact_large_path"] = ORACLE_SQL["summary_exact"]
+ORACLE_SQL["center_large_path"] = ORACLE_SQL["center"]
+ORACLE_SQL["bucket_stats_large_path"] = ORACLE_SQL["bucket_stats"]
 ORACLE_SQL["report_lines_large_path"] = ORACLE_SQL["report_lines"]
