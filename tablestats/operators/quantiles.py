@@ -163,7 +163,10 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     # Refinement: sketch only the values inside each bracket and count the
     # values below it; a grid of GRID + 1 ranks over each inside sketch gives
     # a bracket about (2 delta + 2 / GRID) as wide as the previous one.
-    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    # one constant array expression (a single parse, instead of GRID + 1
+    # literal columns built one by one)
+    grid = F.expr("array(" + ", ".join(f"CAST({i / GRID!r} AS DOUBLE)" for i in range(GRID + 1)) + ")"
+                  ) if refine else None
     for _ in range(refine):
         rows = _attach(data, state, by, names, max_groups)
         inside = [F.when((x >= F.col(f"_lo{j}")) & (x <= F.col(f"_hi{j}")), x) for j in range(n_lv)]
