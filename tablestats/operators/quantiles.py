@@ -31,6 +31,9 @@ groups the bracket is a scalar subquery.
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,12 +54,27 @@ def kll_rank_error(k: int) -> float:
     return 2.296 / k ** 0.9723
 
 
+_SIZE_UNITS = {"": 1, "Ki": 1 << 10, "Mi": 1 << 20, "Gi": 1 << 30, "Ti": 1 << 40,
+               "Pi": 1 << 50, "Ei": 1 << 60}
+_SIZE_RE = re.compile(r"Statistics\(sizeInBytes=([0-9.]+)\s*(Ki|Mi|Gi|Ti|Pi|Ei)?B")
+
+
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (as used for broadcast decisions)."""
+    """Catalyst's size estimate of a plan (as used for broadcast decisions).
+
+    Read from the public cost explain output (the first statistics line is
+    the plan's root); no estimate counts as large.
+    """
+    buf = io.StringIO()
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no estimate: treat as large
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="cost")
+    except Exception:
+        return 1 << 62
+    m = _SIZE_RE.search(buf.getvalue())
+    if not m:
         return 1 << 62
+    return int(float(m.group(1)) * _SIZE_UNITS[m.group(2) or ""])
 
 
 def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: int,
