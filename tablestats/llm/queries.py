@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablestats.llm import decontamination, mixing, quality, sharding, toxicity
+from tablestats.llm import decontamination, extraction, fingerprints, mixing, quality, sharding, toxicity
 from tablestats.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
@@ -26,15 +30,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "position")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_extraction": op2_extraction,
     "op3_decontamination": op3_decontamination,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
+    "op8_fingerprints": op8_fingerprints,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -1,6 +1,6 @@
 """Toxicity by a counterfactual-regularised classifier.
 
-A logistic model over the presence of hashed words.  In every labelled text
+A logistic model over the presence of hashed words and word beginnings.  In every labelled text
 that names an identity group, the identity words are swapped for those of
 another group; the fit penalises the change of the score between the two, so
 the model can't use the mention of a group itself.  An L1 term keeps the model
@@ -34,6 +34,7 @@ from tablestats.llm.labelled import SAMPLE_ROWS, sampled
 BUCKETS = 1 << 18
 MODULUS, HELD_OUT = 5, 0
 WORD = re.compile(r"[^\W_]+")
+STEMS = (3, 4, 5, 6)
 
 #: Identity groups: each list swaps position by position with another list.
 IDENTITY_TERMS = (
@@ -62,8 +63,13 @@ def bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
+def stems(found: set[str]) -> set[str]:
+    """The words and their first letters (marked): inflected forms share a stem."""
+    return {f"{w[:k]}~" for k in STEMS for w in found if len(w) > k} | found
+
+
 def features(found: set[str]) -> np.ndarray:
-    return np.unique(np.fromiter((bucket(w) for w in found), np.int32, len(found)))
+    return np.array(sorted({bucket(w) for w in stems(found)}), np.int32)
 
 
 def swapped(found: set[str], swap: dict[str, str]) -> set[str] | None:
@@ -86,18 +92,26 @@ def _training_rows(swap: dict[str, str]):
     return rows
 
 
-def fit(y: np.ndarray, x: list[np.ndarray], other: list[np.ndarray | None], *, l1: float = 1e-3,
-        counterfactual: float = 5.0, min_docs: int = 5, steps: int = 300) -> dict:
-    """Weights by bucket and the bias: accelerated proximal gradient on
-    class-balanced log loss + ``counterfactual`` * mean squared change of the
+def fit(y: np.ndarray, x: list[np.ndarray], other: list[np.ndarray | None], *, l1: float = 1e-4,
+        counterfactual: float = 5.0, min_docs: int = 3, least_z: float = 4.0, steps: int = 300) -> dict:
+    """Weights by bucket and the bias.
+
+    Buckets take part if their share differs between the classes by
+    ``least_z`` standard errors; then accelerated proximal gradient on
+    partly class-balanced log loss + ``counterfactual`` * mean squared change of the
     margin under the swap + ``l1`` * sum of absolute weights."""
     if len(y) == 0 or y.min() == y.max():
         share = float(np.mean(y)) if len(y) else 0.0
         share = min(max(share, 1e-6), 1 - 1e-6)
         return {"buckets": np.empty(0, np.int64), "weights": np.empty(0), "bias": float(np.log(share / (1 - share)))}
     n = len(y)
-    counts = np.bincount(np.concatenate([*x, np.empty(0, np.int32)]).astype(np.int64), minlength=BUCKETS)
-    used = np.flatnonzero(counts >= min(min_docs, max(1, n // 10)))
+    ones, zeros = (np.bincount(np.concatenate([*(s for s, c in zip(x, y, strict=True) if c == k),
+                                               np.empty(0, np.int32)]).astype(np.int64), minlength=BUCKETS)
+                   for k in (1, 0))
+    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
+    pooled = (ones + zeros + 0.5) / (n + 1)
+    z = np.abs(ones / n1 - zeros / n0) / np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
+    used = np.flatnonzero((ones + zeros >= min_docs) & (z >= least_z))
     place = np.full(BUCKETS, -1, np.int64)
     place[used] = np.arange(len(used))
 
@@ -111,13 +125,12 @@ def fit(y: np.ndarray, x: list[np.ndarray], other: list[np.ndarray | None], *, l
     prow, pcol = rows_of([a for a, _ in pairs] + [b for _, b in pairs])
     sign = np.where(prow < len(pairs), 1.0, -1.0)  # the swapped half is subtracted
     prow = np.where(prow < len(pairs), prow, prow - len(pairs))
-    balance = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    balance = np.where(y == 1, n1**-0.5, n0**-0.5)  # between even rows and even classes
+    balance /= balance.sum()
     m, size = max(1, len(pairs)), len(used)
-    most = float(np.bincount(row, weights=balance[row], minlength=n).dot(np.ones(n))) if len(row) else 0.0
     lengths = np.bincount(row, minlength=n)
     step = 1.0 / (0.25 * float((balance * (lengths + 1)).sum()) + counterfactual * 2.0 * (
         float(np.bincount(prow, minlength=m).max()) if len(prow) else 0.0) + 1e-9)
-    del most
     w, b = np.zeros(size), 0.0
     vw, vb, t = w, b, 1.0
     for _ in range(steps):
@@ -137,8 +150,24 @@ def fit(y: np.ndarray, x: list[np.ndarray], other: list[np.ndarray | None], *, l
     return {"buckets": used[kept], "weights": w[kept], "bias": float(b)}
 
 
-def margin(found: set[str], weights: dict[int, float], bias: float) -> float:
-    return bias + sum(weights.get(k, 0.0) for k in {bucket(w) for w in found})
+class Scorer:
+    """Margins by the model; remembers which buckets of a word carry weight."""
+
+    def __init__(self, model: dict, memory: int = 200_000):
+        self.weights = dict(zip(model["buckets"].tolist(), model["weights"].tolist(), strict=True))
+        self.bias, self.memory, self.seen = model["bias"], memory, {}
+
+    def hits(self, word: str) -> tuple[int, ...]:
+        if len(self.seen) >= self.memory:
+            self.seen.clear()
+        out = self.seen[word] = tuple(b for b in map(bucket, stems({word})) if b in self.weights)
+        return out
+
+    def margin(self, text: str | None) -> float:
+        found, seen = set(), self.seen
+        for word in words(text):
+            found.update(seen[word] if word in seen else self.hits(word))
+        return self.bias + sum(self.weights[b] for b in sorted(found))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, groups=IDENTITY_TERMS, **how) -> dict:
@@ -146,6 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, groups
     found = (sampled(docs, labels, "toxic", MODULUS, HELD_OUT, rows)
              .mapInPandas(_training_rows(swaps(groups)), "doc_id long, y int, x array<int>, swapped array<int>")
              .toPandas().sort_values("doc_id", kind="stable"))
+    found = found[~found["x"].map(tuple).duplicated()]  # copies would count as evidence
     y = found["y"].to_numpy(np.float64)
     as_arrays = [None if v is None else np.asarray(v, np.int32) for v in found["swapped"]]
     return fit(y, [np.asarray(v, np.int32) for v in found["x"]], as_arrays, **how)
@@ -153,12 +183,11 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, groups
 
 def with_score(docs: DataFrame, model: dict) -> DataFrame:
     """All columns of ``docs`` plus ``toxic_score``."""
-    known, bias = dict(zip(model["buckets"].tolist(), model["weights"].tolist(), strict=True)), model["bias"]
-
     @F.pandas_udf(DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(model)
         for batch in batches:
-            z = np.array([margin(words(t), known, bias) for t in batch], np.float64)
+            z = np.array([scorer.margin(t) for t in batch], np.float64)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
     return docs.withColumn("toxic_score", score("text"))
