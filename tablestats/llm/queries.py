@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablestats.llm import decontamination, extraction, fingerprints, mixing, quality, sharding, toxicity
+from tablestats.llm import decontamination, extraction, fingerprints, mixing, ppm, quality, sharding, toxicity
 from tablestats.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_extraction": op2_extraction,
     "op3_decontamination": op3_decontamination,
+    "op4_ppm": op4_ppm,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op8_fingerprints": op8_fingerprints,
