@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablestats.llm import decontamination, extraction, fingerprints, mixing, ppm, quality, sharding, toxicity
+from tablestats.llm import decontamination, extraction, fingerprints, jaccard_join, mixing, ppm, quality, sharding, toxicity
 from tablestats.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op8_fingerprints": op8_fingerprints,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
