@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablestats.llm import decontamination, extraction, fingerprints, jaccard_join, mixing, ppm, quality, sharding, toxicity
+from tablestats.llm import decontamination, extraction, fingerprints, jaccard_join, mixing, ppm, quality, sharding, suffix_dedup, toxicity
 from tablestats.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "position")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op4_ppm": op4_ppm,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_fingerprints": op8_fingerprints,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
