@@ -147,3 +147,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("copy"),
     ).drop("copy")
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated."""
+    found = written(contamination(docs, benchmark, **how).where("contaminated").select(
+        F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct(), "contaminated")
+    return (docs.select("*", same_row().alias("__text"))
+            .join(small_side(found, found.count()),
+                  F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__row")), "left_anti")
+            .drop("__text"))

@@ -257,10 +257,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT,
            frequent_labels: int = FREQUENT_LABELS) -> DataFrame:
-    """``uid, doc_id, n_shingles, key, component_id``: one row per document.
+    """``uid, doc_id, n_shingles, key, component, component_id``: one row per document.
 
-    ``key`` names the class of equal sets, ``uid`` the row in reading order;
-    ``component_id`` is the smallest doc_id reachable over links."""
+    ``key`` names the class of equal sets, ``component`` the linked group,
+    ``uid`` the row in reading order; ``component_id`` is the smallest doc_id
+    reachable over links.  ``docs`` is a stored table: its rows are read more
+    than once and must come alike."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn(
         "uid", F.monotonically_increasing_id())
@@ -306,6 +308,17 @@ def linked(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT,
     comps = components(first.unionByName(second))
 
     lows = classes.select("key", "low").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    lows = lows.join(lows.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("key", "component_id")
+    lows = lows.join(lows.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("key", "comp", "component_id")
     return rows.select("uid", "doc_id", F.col("n").cast("long").alias("n_shingles"), "key").join(lows, "key", "left").select(
-        "uid", "doc_id", "n_shingles", "key", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "uid", "doc_id", "n_shingles", "key", F.coalesce("comp", "key").alias("component"),
+        F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each linked group (null last, then as read)."""
+    rows = written(linked(docs, **how).select("uid", "doc_id", "component"), "components")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("f"))
+    kept = first.select(F.col("f.uid").alias("uid"))
+    gone = written(rows.select("uid").join(kept, "uid", "left_anti").withColumnRenamed("uid", "__uid"), "gone")
+    return (docs.select("*", F.monotonically_increasing_id().alias("__uid"))
+            .join(small_side(gone, gone.count()), "__uid", "left_anti").select(*docs.columns))

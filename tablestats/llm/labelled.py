@@ -8,6 +8,8 @@ never shuffled: the sample is turned into features where it is read.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,3 +37,13 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_o
     """``doc_id, text, y`` of the sampled documents (2 * ``rows`` ids are broadcast)."""
     ids = sample_ids(labels, label, modulus, held_out, rows)
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+
+
+def arrays(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+    """A list column as one numpy array a row, None for null."""
+    out: list[np.ndarray | None] = []
+    for chunk in column.chunks:
+        values, offsets = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        null = chunk.is_null().to_numpy(zero_copy_only=False)
+        out += [None if gone else values[a:b] for a, b, gone in zip(offsets[:-1], offsets[1:], null, strict=True)]
+    return out

@@ -25,7 +25,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablestats.llm.common import text_or_empty, written
+from tablestats.llm.common import small_side, text_or_empty, written
 
 MAX_SOURCES = 100_000
 CAP = 3
@@ -103,16 +103,16 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), cap: int = C
         max_sources: int = MAX_SOURCES) -> tuple[DataFrame, DataFrame]:
     """Rows of the mix and the block quotas.
 
-    First: ``doc_id, size, source, row, source_size, target, position, taken,
-    passes``, one row per document (``taken``: words; ``passes``: how many whole
-    passes begin the document, for mixing whole documents; ``row`` tells
-    documents of one id apart).  Second: ``source, shard, blocks``.  Sources
+    First: ``doc_id, size, source, uid, source_size, target, position, taken,
+    passes``, one row per document (``taken``: words; ``passes``: how many
+    passes begin the document, for mixing whole documents; ``uid``: the row in
+    reading order).  Second: ``source, shard, blocks``.  Sources
     weigh ``weights`` in turn, in order of code points.
     """
     spark = docs.sparkSession
     rows = written(docs.select(
         "doc_id", word_count().alias("size"), source_key().alias("source"),
-        F.xxhash64(F.col("text").isNull(), F.col("text")).alias("row"),
+        F.xxhash64(F.col("text").isNull(), F.col("text")).alias("row"), F.monotonically_increasing_id().alias("uid"),
         F.xxhash64(F.lit(seed), F.col("doc_id")).alias("draw"),
     ).withColumn("cell", F.pmod(F.xxhash64("draw", "row"), F.lit(cells)).cast("int")), "mix-rows")
     sums = rows.groupBy("source").agg(F.sum("size").alias("size"))
@@ -145,7 +145,18 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), cap: int = C
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("position")))
     return placed.select(
         "doc_id", "size", F.when(F.col("source") != "~", F.substring("source", 2, 2**31 - 1)).alias("source"),
-        "row", "source_size", "target", "position",
+        "uid", "source_size", "target", "position",
         (whole * F.col("size") + part).cast("long").alias("taken"),
         (whole + (F.col("position") < rest).cast("long")).cast("int").alias("passes"),
     ), blocks
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with every document as often as the mix begins it: whole documents.
+
+    ``docs`` is a stored table: its rows are read twice and must come alike."""
+    rows, _ = mix(docs, **how)
+    taken = written(rows.where("passes > 0").select(F.col("uid").alias("__uid"), F.col("passes").alias("__passes")), "taken")
+    numbered = docs.select("*", F.monotonically_increasing_id().alias("__uid"))
+    return (numbered.join(small_side(taken, taken.count()), "__uid")
+            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__passes"))).alias("__pass")).drop("__pass"))

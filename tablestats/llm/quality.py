@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tablestats.llm.common import id_remainder
-from tablestats.llm.labelled import SAMPLE_ROWS, sampled
+from tablestats.llm.labelled import SAMPLE_ROWS, arrays, sampled
 
 MODULUS, HELD_OUT = 3, 1
 BINS = 64
@@ -146,11 +146,11 @@ def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, **how) -> dict | float:
     """The forest, or one score for all where the sample has a single class."""
     found = (sampled(docs, labels, "quality", MODULUS, HELD_OUT, rows)
-             .mapInPandas(_training_rows, "doc_id long, y int, x array<double>").toPandas()
-             .sort_values("doc_id", kind="stable"))
-    if found["y"].nunique() < 2:
-        return float(found["y"].mean()) if len(found) else 0.5
-    return grow(np.array(found["x"].tolist()), found["y"].to_numpy(np.float64), **how)
+             .mapInPandas(_training_rows, "doc_id long, y int, x array<double>").toArrow().sort_by("doc_id"))
+    y = found["y"].to_numpy().astype(np.float64)
+    if len(np.unique(y)) < 2:
+        return float(y.mean()) if len(y) else 0.5
+    return grow(np.stack(arrays(found["x"])), y, **how)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:

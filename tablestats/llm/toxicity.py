@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tablestats.llm.common import id_remainder
-from tablestats.llm.labelled import SAMPLE_ROWS, sampled
+from tablestats.llm.labelled import SAMPLE_ROWS, arrays, sampled
 
 BUCKETS = 1 << 18
 MODULUS, HELD_OUT = 5, 0
@@ -174,15 +174,15 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, groups
     """Fit on the sample; its features (2 * ``rows`` short arrays) come to the driver."""
     found = (sampled(docs, labels, "toxic", MODULUS, HELD_OUT, rows)
              .mapInPandas(_training_rows(swaps(groups)), "doc_id long, y int, x array<int>, swapped array<int>")
-             .toPandas().sort_values("doc_id", kind="stable"))
-    found = found[~found["x"].map(tuple).duplicated()]  # copies would count as evidence
-    y = found["y"].to_numpy(np.float64)
-    as_arrays = [None if v is None else np.asarray(v, np.int32) for v in found["swapped"]]
-    return fit(y, [np.asarray(v, np.int32) for v in found["x"]], as_arrays, **how)
+             .toArrow().sort_by("doc_id"))
+    y, x, other = found["y"].to_numpy().astype(np.float64), arrays(found["x"]), arrays(found["swapped"])
+    seen: set[bytes] = set()  # copies would count as evidence
+    once = [i for i, v in enumerate(x) if not (v.tobytes() in seen or seen.add(v.tobytes()))]
+    return fit(y[once], [x[i] for i in once], [other[i] for i in once], **how)
 
 
-def with_score(docs: DataFrame, model: dict) -> DataFrame:
-    """All columns of ``docs`` plus ``toxic_score``."""
+def scorer(model: dict):
+    """The model as a column function of the text: 0 to 1."""
     @F.pandas_udf(DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
@@ -190,12 +190,18 @@ def with_score(docs: DataFrame, model: dict) -> DataFrame:
             z = np.array([scorer.margin(t) for t in batch], np.float64)
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
-    return docs.withColumn("toxic_score", score("text"))
+    return score
 
 
 def classify(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    rows = with_score(docs.select("doc_id", "text"), train(docs, labels, **how))
-    return rows.select("doc_id", (id_remainder("doc_id", MODULUS) == HELD_OUT).alias("held_out"),
-                       F.col("toxic_score").alias("score"),
-                       (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
+    score = scorer(train(docs, labels, **how))
+    return (docs.select("doc_id", (id_remainder("doc_id", MODULUS) == HELD_OUT).alias("held_out"),
+                        score("text").alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that score below 0.5."""
+    score = scorer(train(docs, labels, **how))
+    return docs.select("*", score("text").alias("__score")).where("__score < 0.5").drop("__score")
