@@ -43,6 +43,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--sketch", choices=("gk", "kll"))
     p.add_argument("--csv-single", action="store_true")
     p.add_argument("--no-csv", action="store_true")
+    p.add_argument("--single-line", action="store_true",
+                   help="no CSV field holds a line break: read large files in parallel")
     args = p.parse_args(argv)
     if args.base and not args.name:
         p.error("--base needs --name")
@@ -52,7 +54,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName("tablestats").getOrCreate()
-    raw = read_table(spark, args.input) if args.input else None
+    raw = read_table(spark, args.input, multi_line=not args.single_line) if args.input else None
     spec = None
     if args.map:
         spec = {c: c for c in CATALOG_COLUMNS}
@@ -63,7 +65,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             spec[col] = F.expr(sql)
     result = analyze(spark, args.out, raw=raw, base=args.base, name=args.name, spec=spec,
                      exact=args.exact, sketch=args.sketch, write_csv=not args.no_csv,
-                     csv_single=args.csv_single)
+                     csv_single=args.csv_single, multi_line=not args.single_line)
     print(json.dumps(result))
     return result
 

@@ -23,45 +23,59 @@ ISO_DATE = "yyyy-MM-dd"
 # bare cast to double would accept, stays null.
 PLAIN_NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
-# Patterns tried in order by the lenient date parse (first that parses wins).
-LENIENT_DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-M-d",
-    "yyyy/M/d",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "d MMM, yyyy",
-    "d MMM yyyy",
-    "M/d/yyyy",
-)
+# Patterns tried in order by the lenient date parse (first that parses wins),
+# each with the shape a text must have for the pattern to be tried at all: a
+# failing parse costs far more than a failing match.
+_DATE_SHAPES = {
+    "yyyy-MM-dd": r"^[+]?\d{4,}-\d\d-\d\d$",
+    "yyyy-M-d": r"^[+]?\d{4,}-\d+-\d+$",
+    "yyyy/M/d": r"^[+]?\d{4,}/\d+/\d+$",
+    "yyyy-MM-dd HH:mm:ss": r"^[+]?\d{4,}-\d\d-\d\d \d",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^[+]?\d{4,}-\d\d-\d\d[Tt]\d",
+    "MMM d, yyyy": r"^\D{3} \d+, [+]?\d{4,}$",
+    "MMMM d, yyyy": r"^\D{3,} \d+, [+]?\d{4,}$",
+    "d MMM, yyyy": r"^\d+ \D{3}, [+]?\d{4,}$",
+    "d MMM yyyy": r"^\d+ \D{3} [+]?\d{4,}$",
+    "M/d/yyyy": r"^\d+/\d+/[+]?\d{4,}$",
+}
+LENIENT_DATE_FORMATS = tuple(_DATE_SHAPES)
 
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def known(c: Column | str) -> Column:
+    """NaN as null (a double column)."""
+    v = _as_col(c)
+    return F.when(~F.isnan(v), v)
+
+
+def _finite(c: Column) -> Column:
+    """Infinities (text beyond the range of doubles) as null."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
 def clean_numeric_col(c: Column | str) -> Column:
     """Strip every character but digits and dots, then cast to double.
 
     '$9.99' -> 9.99, '1,299.50' -> 1299.5, '12.5%' -> 12.5.  The sign and an
     exponent are dropped with the other characters ('-3' -> 3.0), exactly as
     the strict cleaning rule does; text left without a valid number ('Free',
-    '.', '1.2.3', '') becomes null.
+    '.', '1.2.3', '') or with one beyond the range of doubles becomes null.
     """
     text = _as_col(c).cast("string")
-    return F.regexp_replace(text, NON_NUMERIC_CHARS, "").try_cast("double")
+    return _finite(F.regexp_replace(text, NON_NUMERIC_CHARS, "").try_cast("double"))
 
 
 def to_number(c: Column | str) -> Column:
     """Coercing conversion: a plain (signed) number, anything else -> null.
 
     '9.99' -> 9.99, '-3' -> -3.0, '1e7' -> 1e7; '$9.99', '1,299.50',
-    '12.5%', 'Free', 'NaN' -> null.
+    '12.5%', 'Free', 'NaN', '1e999' -> null.
     """
     text = _as_col(c).cast("string")
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(PLAIN_NUMBER), _finite(text.try_cast("double")))
 
 
 def parse_date(c: Column | str, fmts: Sequence[str] | str = (ISO_DATE,)) -> Column:
@@ -76,12 +90,14 @@ def parse_date(c: Column | str, fmts: Sequence[str] | str = (ISO_DATE,)) -> Colu
     if isinstance(fmts, str):
         fmts = (fmts,)
     text = _as_col(c).cast("string")
-    parsed = [F.try_to_date(text, f) for f in fmts]
-    return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
+    if len(fmts) == 1:
+        return F.try_to_date(text, fmts[0])
+    return F.coalesce(*[F.when(text.rlike(_DATE_SHAPES[f]), F.try_to_date(text, f)) if f in _DATE_SHAPES
+                        else F.try_to_date(text, f) for f in fmts])
 
 
 def bucket(c: Column | str, cuts: Sequence[float], labels: Sequence[str]) -> Column:
-    """Right-closed bins: label[i] for cuts[i-1] < v <= cuts[i]; null stays null.
+    """Right-closed bins: label[i] for cuts[i-1] < v <= cuts[i]; null and NaN give null.
 
     ``len(labels) == len(cuts) + 1``; the last label takes every value above
     the last cut, so the expression never raises whatever the data range.
@@ -89,7 +105,7 @@ def bucket(c: Column | str, cuts: Sequence[float], labels: Sequence[str]) -> Col
     if len(labels) != len(cuts) + 1:
         raise ValueError("bucket needs exactly one label more than cuts")
     v = _as_col(c)
-    expr = F.when(v <= F.lit(cuts[0]), F.lit(labels[0]))
+    expr = F.when(F.isnan(v.cast("double")), F.lit(None)).when(v <= F.lit(cuts[0]), F.lit(labels[0]))
     for cut, label in zip(cuts[1:], labels[1:-1]):
         expr = expr.when(v <= F.lit(cut), F.lit(label))
     return expr.when(v > F.lit(cuts[-1]), F.lit(labels[-1]))

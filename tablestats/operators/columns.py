@@ -74,10 +74,10 @@ def add_year(df: DataFrame, date_col: str = "release_date", out: str = YEAR_COLU
 
 def add_total(df: DataFrame, a: str = "positive", b: str = "negative",
               out: str = TOTAL_COLUMN, strict: bool = True) -> DataFrame:
-    """``a + b`` as long.  With ``strict=False`` a missing input leaves df as is."""
+    """``a + b`` as long; null where an input or the sum is no long.  With ``strict=False`` a missing input leaves df as is."""
     if not strict and not (a in df.columns and b in df.columns):
         return df
-    return df.withColumn(out, F.col(a).cast("long") + F.col(b).cast("long"))
+    return df.withColumn(out, F.try_add(F.col(a).try_cast("long"), F.col(b).try_cast("long")))
 
 
 def add_ratio(df: DataFrame, part: str = "positive", total: str = TOTAL_COLUMN,
@@ -95,7 +95,7 @@ def _cleaned(name: str, c: Column, dt: T.DataType, date_formats: Sequence[str],
             return c.cast("double")
         return clean_numeric_col(c) if numbers == "strip" else to_number(c)
     if name in COUNT_COLUMNS:
-        return c.cast("long") if _is_numeric(dt) else to_number(c).cast("long")
+        return (c if _is_numeric(dt) else to_number(c)).try_cast("long")
     if name == "pct_pos_total":
         return c.cast("double") if _is_numeric(dt) else to_number(c)
     if name == "release_date":

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 def band(df: DataFrame, col: str, lo: float | None = None, hi: float | None = None,
          lo_open: bool = False, hi_open: bool = False, label: str | None = None) -> DataFrame:
-    """Keep rows whose ``col`` is non-null and inside [lo, hi].
+    """Keep rows whose ``col`` is non-null (and not NaN) and inside [lo, hi].
 
     ``lo_open`` / ``hi_open`` make the bound strict (``lo_open=True, lo=0`` is
     "positive only"); ``label`` additionally requires a non-null label column.
     """
     x = F.col(col)
     cond = x.isNotNull()
+    if hi is None and dict(df.dtypes).get(col) in ("double", "float"):
+        cond = cond & ~F.isnan(x)  # NaN sorts above every number
     if lo is not None:
         cond = cond & ((x > lo) if lo_open else (x >= lo))
     if hi is not None:

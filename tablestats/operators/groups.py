@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablestats.functions.clean import known
+
 # The per-year statistics of the catalogue analysis.
 DEFAULT_MEANS = {
     "avg_price": "price",
@@ -53,7 +55,7 @@ def per_key(df: DataFrame, key: str = DEFAULT_KEY, count_col: str | None = DEFAU
     single scan and a single shuffle.
     """
     aggs = [_count(count_col).alias(count_out)]
-    aggs += [F.avg(F.col(src)).alias(out) for out, src in means.items()]
+    aggs += [F.avg(known(F.col(src).cast("double"))).alias(out) for out, src in means.items()]
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 

@@ -5,14 +5,13 @@ small final merge), turned into long rows with ``inline`` afterwards.  The
 aggregate-expression builders are shared with the report so that all of its
 global statistics come from one scan.
 
-Quantiles: ``exact=False`` (default) uses a sketch.  ``sketch='gk'`` is
-Spark's ``percentile_approx`` inside the same single aggregate (deterministic,
-the accuracy of ``summary()``), but its buffers are merged per group in one
-task; ``sketch='kll'`` merges KLL sketches in two levels (``approx_quantiles``)
-for very many map tasks; ``None`` picks by Catalyst's size estimate.
-``exact=True`` interpolates like ``describe()`` and is computed by
-``exact_quantiles`` (sketch-bracketed ranks, no task holds all values), then
-joined to the moments as a one-row scalar subquery or appended as rows.
+Quantiles: ``exact=False`` (default) merges KLL sketches in two levels
+(``approx_quantiles``) at every size; values may differ between runs within the
+requested rank error.  ``sketch='gk'`` asks for Spark's ``percentile_approx``
+inside the same single aggregate (repeatable, but its buffers are merged per
+group in one task).  ``exact=True`` repeats: it interpolates like ``describe()``
+and is computed by ``exact_quantiles`` (no task holds all values), then joined
+to the moments as a one-row scalar subquery.  NaN counts as null.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablestats.functions.clean import known
 from tablestats.operators.filters import band
 from tablestats.operators.quantiles import (
     approx_quantiles,
@@ -115,7 +115,7 @@ def column_profile(df: DataFrame) -> DataFrame:
 def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
              mean_of: Column | None = None, sketch: str | None = None,
              method: str | None = None) -> DataFrame:
-    if fused_quantiles(data, exact, sketch, method):
+    if fused_quantiles(exact, sketch, method):
         one = data.agg(summary_struct(x, exact, accuracy, mean_of).alias("s"))
     else:
         qdf = (exact_quantiles(data, x, QUARTILES, method=method) if exact
@@ -137,7 +137,7 @@ def summary(df: DataFrame, col: str, exact: bool = False, lo: float | None = Non
     values of ``col`` inside the optional band.
     """
     data = band(df, col, lo, hi, lo_open, hi_open) if (lo is not None or hi is not None) else df
-    return _summary(data, F.col(col).cast("double"), exact, accuracy, sketch=sketch, method=method)
+    return _summary(data, known(F.col(col).cast("double")), exact, accuracy, sketch=sketch, method=method)
 
 
 def robust_summary(df: DataFrame, col: str, mean_max: float = 1000.0, exact: bool = False,
@@ -148,7 +148,7 @@ def robust_summary(df: DataFrame, col: str, mean_max: float = 1000.0, exact: boo
     One pass with a conditional mean: the same result as joining a full and a
     filtered summary on the statistic name, without a second scan or a join.
     """
-    x = F.col(col).cast("double")
+    x = known(F.col(col).cast("double"))
     return _summary(df, x, exact, accuracy, mean_of=F.when(x <= mean_max, x), sketch=sketch,
                     method=method)
 
@@ -157,11 +157,12 @@ def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool
            rel_err: float = MEDIAN_REL_ERROR, sketch: str | None = None,
            method: str | None = None) -> DataFrame:
     """(mean, median) of non-null ``col`` values, optionally only those <= max_value."""
-    x = F.col(col).cast("double")
+    x = known(F.col(col).cast("double"))
     v = F.when(x <= max_value, x) if max_value is not None else x
-    if fused_quantiles(df, exact, sketch, method):
+    if fused_quantiles(exact, sketch, method):
         return df.agg(F.avg(v).alias("mean"), median(v, exact, rel_err).alias("median"))
-    qdf = (exact_quantiles(df, v, [0.5], method=method) if exact
-           else approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)))
-    med = qdf.select(F.get("q", 0)).scalar()
+    if not exact:  # mean and sketch in one pass
+        return approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)).select(
+            "mean", F.get("q", 0).alias("median"))
+    med = exact_quantiles(df, v, [0.5], method=method).select(F.get("q", 0)).scalar()
     return df.agg(F.avg(v).alias("mean")).select("mean", med.alias("median"))

@@ -1,52 +1,49 @@
-"""Exact quantiles without gathering all values, or all sketches, in one task.
+"""Quantiles without gathering all values, or all sketches, in one task.
 
 Spark's exact ``percentile`` aggregate keeps a value -> count map per group
 and merges every map of a group in one final task: memory grows with the
 number of distinct values.  Even a sketch aggregate merges one partial
 buffer per map task in the group's final task.  ``exact_quantiles``
 computes the same numbers as ``percentile`` (linear interpolation at position
-p * (n - 1), as ``describe()`` does) in bounded pieces:
+p * (n - 1), as ``describe()`` does) in bounded pieces, the same way at every
+input size:
 
 1. bracket: a KLL sketch per group, merged in two levels (map tasks are
    salted by partition id, each salt merges its tasks' sketches, the group
    merges the salts), probed just below and just above the ranks each level
-   needs.  ``refine`` more passes sketch only the values inside each bracket
-   and narrow it by the same factor again;
-2. histogram: one aggregate keyed per row by its value when it lies inside a
-   bracket, else by the gap between brackets.  Gap rows collapse to one count
-   (plus the gap's smallest and largest value, so a bracket reaches one
-   element further) map-side; inside rows become a (value, count) histogram
-   whose size is the bracket width (ties, however many, collapse to one row);
-3. a window over that histogram turns counts into ranks and picks the two
-   order statistics around each position, for all levels at once.
-
-The sketch error is probabilistic, so the margins are several times the
-sketch's 99% rank error; a bracket that still misses its ranks raises an
-error instead of giving a wrong number.  Groups are attached to their
-brackets by a join on the group keys: a broadcast when the caller proves a
-bound on the number of groups, else left to AQE (runtime broadcast of the
-small side, or a sort-merge join with skewed partitions split).  Without
-groups the bracket is a scalar subquery.
+   needs;
+2. bins (``refine`` passes): every bracket is cut into ``BINS`` fixed sub-bins
+   and rows are counted per sub-bin, or per gap between brackets, with the
+   smallest and largest value of each.  Ranks are running sums over at most
+   levels * (BINS + 2) rows per group, and each level's bracket shrinks to the
+   sub-bin that holds it.  A bracket that missed its rank falls into a gap,
+   and the gap becomes the bracket: nothing is lost;
+3. histogram: the few values inside the brackets are counted per value, all
+   others per gap, and running sums pick the two order statistics around each
+   position, for all levels at once.
+
+Rows meet the state of their group through a join on the group and a salt
+(the state is repeated ``JOIN_SALTS`` times), and every aggregate sums map-side
+before its exchange, so a group with a third of all rows is spread.  Without
+groups the state is a scalar subquery.
 """
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_K = 4096             # KLL size parameter (about 7e-4 normalised rank error)
-SALTS = 1024                # first-level merge groups of map tasks
-MARGIN = 3.0                # bracket half-width, in sketch rank errors
-REFINE = 1                  # extra narrowing passes (large inputs)
-LARGE_INPUT_BYTES = 1 << 30 # Catalyst size estimate above which salting and refinement pay off
-SMALL_EXACT_BYTES = 1 << 20    # at most this (~100k values): one exact percentile aggregate is cheaper
-GRID = 1024                 # rank grid probed in a refinement pass
-BROADCAST_MAX_GROUPS = 100_000
+from tablestats.functions.clean import known
+
+SKETCH_K = 4096   # KLL size parameter of the brackets (about 7e-4 normalised rank error)
+MAX_K = 65535     # the largest that Spark's sketch takes
+SALTS = 1024      # first-level merge groups of map tasks
+MARGIN = 3.0      # bracket half-width, in sketch rank errors
+REFINE = 1        # passes that cut brackets into sub-bins
+BINS = 1024       # sub-bins of a bracket
+JOIN_SALTS = 64   # copies of a group's state, and parts of its rows
 
 
 def kll_rank_error(k: int) -> float:
@@ -54,29 +51,6 @@ def kll_rank_error(k: int) -> float:
     return 2.296 / k ** 0.9723
 
 
-_SIZE_UNITS = {"": 1, "Ki": 1 << 10, "Mi": 1 << 20, "Gi": 1 << 30, "Ti": 1 << 40,
-               "Pi": 1 << 50, "Ei": 1 << 60}
-_SIZE_RE = re.compile(r"Statistics\(sizeInBytes=([0-9.]+)\s*(Ki|Mi|Gi|Ti|Pi|Ei)?B")
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (as used for broadcast decisions).
-
-    Read from the public cost explain output (the first statistics line is
-    the plan's root); no estimate counts as large.
-    """
-    buf = io.StringIO()
-    try:
-        with contextlib.redirect_stdout(buf):
-            df.explain(mode="cost")
-    except Exception:
-        return 1 << 62
-    m = _SIZE_RE.search(buf.getvalue())
-    if not m:
-        return 1 << 62
-    return int(float(m.group(1)) * _SIZE_UNITS[m.group(2) or ""])
-
-
 def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: int,
                       extra: list[Column], carry: Sequence[str] = (),
                       salted: bool = True) -> DataFrame:
@@ -103,7 +77,7 @@ def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: i
 
 def _non_null(df: DataFrame, by: list[str], value: str | Column) -> DataFrame:
     """(group keys, _v) rows with a non-null value and non-null group keys."""
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    v = known((F.col(value) if isinstance(value, str) else value).cast("double"))
     keep = F.col("_v").isNotNull()
     for b in by:
         keep = keep & F.col(b).isNotNull()
@@ -116,13 +90,14 @@ def _quantiles_of(sketch: Column, ranks: Column) -> Column:
                   F.kll_sketch_get_quantile_double(sketch, ranks))
 
 
-def _attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str],
-            max_groups: int | None) -> DataFrame:
-    """Add the per-group columns of ``side`` to every data row (join or scalar)."""
+def attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str],
+           value: str = "_v") -> DataFrame:
+    """Add the per-group columns of ``side`` to every data row (salted join, or scalar)."""
     if by:
-        if max_groups is not None and max_groups <= BROADCAST_MAX_GROUPS:
-            side = F.broadcast(side)
-        return data.join(side.select(*by, *cols), on=by, how="inner")
+        salt = F.pmod(F.xxhash64(value) + F.spark_partition_id(), F.lit(JOIN_SALTS)).cast("int")
+        copies = side.select(*by, *cols, F.explode(
+            F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_salt"))
+        return data.withColumn("_salt", salt).join(copies, on=[*by, "_salt"]).drop("_salt")
     # One reference to the subquery (a struct), fields extracted afterwards:
     # every extra reference could run the subquery again.
     s = side.select(F.struct(*cols).alias("_s")).scalar()
@@ -130,35 +105,67 @@ def _attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str],
     return with_s.select(*data.columns, *[F.col("_s").getField(c).alias(c) for c in cols])
 
 
+def _sub_bin(x: Column, lo: Column, hi: Column) -> Column:
+    """0 below the bracket, 1..BINS inside, BINS + 1 above; never falls as x grows."""
+    width = hi - lo
+    inner = F.when((width > 0) & (width < F.lit(float("inf"))),
+                   F.least(F.floor((x - lo) / width * BINS), F.lit(BINS - 1)) + 1).otherwise(F.lit(1))
+    return F.when(x < lo, F.lit(0)).when(x > hi, F.lit(BINS + 1)).otherwise(inner).cast("int")
+
+
+def _running(hist: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``_start`` and ``_end``: ranks [start, end) of each row's values."""
+    w = (Window.partitionBy(*by).orderBy(F.col("_ymin"))
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = hist.withColumn("_end", F.sum("_c").over(w))
+    return out.withColumn("_start", F.col("_end") - F.col("_c"))
+
+
+def _narrowed(data: DataFrame, state: DataFrame, by: list[str], levels: list[float]) -> DataFrame:
+    """State with each level's bracket replaced by the sub-bin (or gap) that holds its ranks."""
+    names = [c for c in state.columns if c not in by]
+    rows = attach(data, state, by, names)
+    x, bins = F.col("_v"), [f"_b{j}" for j in range(len(levels))]
+    rows = rows.select(*by, "_n", "_v", *[
+        _sub_bin(x, F.col(f"_lo{j}"), F.col(f"_hi{j}")).alias(b) for j, b in enumerate(bins)])
+    hist = rows.groupBy(*by, "_n", *bins).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_ymin"), F.max("_v").alias("_ymax"))
+    start, end = F.col("_start"), F.col("_end")
+    n1 = (F.col("_n") - 1).cast("double")
+    picks = []
+    for j, p in enumerate(levels):
+        low, high = F.floor(F.lit(p) * n1), F.ceil(F.lit(p) * n1)
+        # The first and last value of a bin have known ranks.
+        lo = F.when((start <= low) & (low < end),
+                    F.when(low == end - 1, F.col("_ymax")).otherwise(F.col("_ymin")))
+        hi = F.when((start <= high) & (high < end),
+                    F.when(high == start, F.col("_ymin")).otherwise(F.col("_ymax")))
+        picks += [F.max(lo).alias(f"_lo{j}"), F.max(hi).alias(f"_hi{j}")]
+    return _running(hist, by).groupBy(*by, "_n").agg(*picks)
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
-                    by: Sequence[str] = (), k: int = SKETCH_K, refine: int | None = None,
-                    max_groups: int | None = None, salted: bool | None = None,
+                    by: Sequence[str] = (), k: int = SKETCH_K, refine: int = REFINE,
+                    max_groups: int | None = None, salted: bool = True,
                     method: str | None = None) -> DataFrame:
     """Per group: ``n`` (non-null values) and ``q`` (array, one exact quantile per level).
 
     Rows with a null group key are ignored, and groups without any non-null
     value are absent; without ``by`` there is always one row (n = 0 and null
-    quantiles for an empty input).
-
-    ``method`` defaults from Catalyst's size estimate of the input: up to
-    ``SMALL_EXACT_BYTES`` one ``percentile`` aggregate (its map is bounded by
-    the input), above it the bracket method.  ``refine`` / ``salted`` default
-    the same way: above ``LARGE_INPUT_BYTES`` the sketches merge in two
-    levels and one refinement pass narrows the brackets.  Either way the
-    result is exact.
+    quantiles for an empty input).  NaN counts as null.
+
+    The result and the way to it are the same at every size.  ``refine`` is the
+    number of sub-bin passes (at least one); ``salted=False`` merges the sketches
+    of a group in one level; ``method='percentile'`` asks for Spark's own
+    aggregate, for inputs known to be small.  ``max_groups`` is accepted for
+    callers that know a bound; nothing depends on it.
     """
-    size = estimated_bytes(df)
-    method = exact_method(df, method, size)
-    large = size > LARGE_INPUT_BYTES
-    refine = (REFINE if large else 0) if refine is None else refine
-    salted = large if salted is None else salted
+    method = exact_method(method)
     by = list(by)
     levels = [float(p) for p in levels]
     n_lv = len(levels)
     data = _non_null(df, by, value)
     if method == "percentile":
-        # Proven small input: Spark's exact percentile in one aggregate (its
-        # value -> count map is bounded by the input size).
         res = data.groupBy(*by).agg(
             F.count(F.lit(1)).alias("n"),
             F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in levels])).alias("q"))
@@ -178,35 +185,11 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     names = list(cols)
     n1 = (F.col("_n") - 1).cast("double")
 
-    # Refinement: sketch only the values inside each bracket and count the
-    # values below it; a grid of GRID + 1 ranks over each inside sketch gives
-    # a bracket about (2 delta + 2 / GRID) as wide as the previous one.
-    # one constant array expression (a single parse, instead of GRID + 1
-    # literal columns built one by one)
-    grid = F.expr("array(" + ", ".join(f"CAST({i / GRID!r} AS DOUBLE)" for i in range(GRID + 1)) + ")"
-                  ) if refine else None
-    for _ in range(refine):
-        rows = _attach(data, state, by, names, max_groups)
-        inside = [F.when((x >= F.col(f"_lo{j}")) & (x <= F.col(f"_hi{j}")), x) for j in range(n_lv)]
-        below = [F.count(F.when(x < F.col(f"_lo{j}"), F.lit(1))) for j in range(n_lv)]
-        ins_n = [F.count(inside[j]) for j in range(n_lv)]
-        sk = _two_level_sketch(rows, by, inside, k, below + ins_n, carry=names, salted=salted)
-        new = {"_n": F.col("_n")}
-        for j, p in enumerate(levels):
-            pos = F.lit(p) * n1
-            cb, m = F.col(f"_e{j}"), F.col(f"_e{n_lv + j}").cast("double")
-            qs = _quantiles_of(F.col(f"_sk{j}"), grid)
-            lo_i = F.floor(((F.floor(pos) - cb) / m - delta) * GRID)
-            hi_i = F.ceil(((F.ceil(pos) - cb + 1) / m + delta) * GRID)
-            lo = F.when(lo_i >= 0, F.get(qs, F.least(lo_i, F.lit(GRID)).cast("int")))
-            hi = F.when(hi_i <= GRID, F.get(qs, F.greatest(hi_i, F.lit(0)).cast("int")))
-            # an edge of the grid, or an empty inside sketch, keeps the old bound
-            new[f"_lo{j}"] = F.coalesce(lo, F.col(f"_lo{j}"))
-            new[f"_hi{j}"] = F.coalesce(hi, F.col(f"_hi{j}"))
-        state = sk.select(*by, *[c.alias(name) for name, c in new.items()])
+    for _ in range(max(1, refine)):
+        state = _narrowed(data, state, by, levels)
 
     # Histogram pass: value inside any bracket, else the gap it falls in.
-    joined = _attach(data, state, by, names, max_groups)
+    joined = attach(data, state, by, names)
     inside_any = F.lit(False)
     gap = F.lit(0)
     for j in range(n_lv):
@@ -216,20 +199,11 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
     keyed = joined.select(*by, "_n", F.when(inside_any, x).alias("_x"),
                           F.when(~inside_any, gap).alias("_gap"), x.alias("_y"))
     hist = keyed.groupBy(*by, "_n", "_x", "_gap").agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_y").alias("_ymin"), F.max("_y").alias("_ymax"))
-
-    w = (Window.partitionBy(*by).orderBy(F.col("_ymin"))
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = hist.withColumn("_end", F.sum("_c").over(w))  # ranks [end - c, end)
-    start, end = F.col("_end") - F.col("_c"), F.col("_end")
+        F.count(F.lit(1)).alias("_c"), F.min("_y").alias("_ymin"))
+    ranked = _running(hist, by)
 
     def pick(kk: Column) -> Column:
-        hit = (start <= kk) & (kk < end)
-        chosen = (F.when(F.col("_x").isNotNull(), F.col("_x"))
-                   .when(kk == start, F.col("_ymin"))
-                   .when(kk == end - 1, F.col("_ymax"))
-                   .otherwise(F.raise_error(F.lit("exact_quantiles: rank outside the sketch bracket"))))
-        return F.when(hit, chosen)
+        return F.when((F.col("_start") <= kk) & (kk < F.col("_end")), F.col("_x"))
 
     aggs = []
     for j, p in enumerate(levels):
@@ -252,58 +226,49 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
 
 def approx_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
                      by: Sequence[str] = (), k: int = SKETCH_K,
-                     salted: bool | None = None) -> DataFrame:
-    """Per group: ``n`` and ``q`` (array): KLL sketch quantiles, merged in two levels.
+                     salted: bool = True) -> DataFrame:
+    """Per group: ``n``, ``q`` (array) and ``mean``: KLL sketch quantiles and the mean, in one pass.
 
-    The mergeable counterpart of ``percentile_approx`` for very many map
-    tasks: no task merges more than about SALTS sketches.  Normalised rank
-    error about ``kll_rank_error(k)``.  Same row contract as
-    ``exact_quantiles``.
+    The sketches are merged in two levels: no task merges more than about
+    SALTS of them.  Normalised rank error about ``kll_rank_error(k)``; the
+    sketch draws at random, so values may differ between runs within that
+    error.  Same row contract as ``exact_quantiles``.
     """
     by = list(by)
     data = _non_null(df, by, value)
-    salted = estimated_bytes(df) > LARGE_INPUT_BYTES if salted is None else salted
-    sk = _two_level_sketch(data, by, [F.col("_v")], k, [F.count(F.lit(1))], salted=salted)
+    sk = _two_level_sketch(data, by, [F.col("_v")], k, [F.count(F.lit(1)), F.sum("_v")], salted=salted)
     ranks = F.array(*[F.lit(float(p)) for p in levels])
-    out = sk.select(*by, F.col("_e0").alias("n"), _quantiles_of(F.col("_sk0"), ranks).alias("q"))
+    out = sk.select(*by, F.col("_e0").alias("n"), _quantiles_of(F.col("_sk0"), ranks).alias("q"),
+                    F.try_divide(F.col("_e1"), F.col("_e0")).alias("mean"))
     if not by:
-        out = out.select(F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), "q")
+        out = out.select(F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), "q", "mean")
     return out
 
 
-def exact_method(df: DataFrame, method: str | None = None, size: int | None = None) -> str:
-    """'percentile' (one aggregate, for proven-small inputs) or 'bracket'."""
-    if method is None:
-        size = estimated_bytes(df) if size is None else size
-        method = "percentile" if size <= SMALL_EXACT_BYTES else "bracket"
-    if method not in ("percentile", "bracket"):
+def exact_method(method: str | None = None) -> str:
+    """'bracket' (the one path, whatever the size), or 'percentile' if asked for by name."""
+    if method not in ("percentile", "bracket", None):
         raise ValueError("method must be 'percentile', 'bracket' or None")
-    return method
+    return method or "bracket"
 
 
-def fused_quantiles(df: DataFrame, exact: bool, sketch: str | None = None,
-                    method: str | None = None) -> bool:
-    """True when quantiles can be computed inside the caller's own aggregate:
-    a GK sketch, or an exact percentile over a proven-small input (``method``
-    forces the exact method: 'percentile' or 'bracket')."""
-    return exact_method(df, method) == "percentile" if exact else sketch_kind(df, sketch) == "gk"
+def sketch_kind(sketch: str | None) -> str:
+    """'kll' (two-level merge, whatever the size), or 'gk' (Spark's
+    ``percentile_approx`` in one aggregate) if asked for by name."""
+    if sketch not in ("gk", "kll", None):
+        raise ValueError("sketch must be 'gk', 'kll' or None")
+    return sketch or "kll"
 
 
-def sketch_kind(df: DataFrame, sketch: str | None) -> str:
-    """'gk' (Spark's percentile_approx, one aggregate) or 'kll' (two-level merge).
+def fused_quantiles(exact: bool, sketch: str | None = None, method: str | None = None) -> bool:
+    """True when the caller named an aggregate that computes quantiles within
+    its own: the GK sketch, or the exact percentile."""
+    return exact_method(method) == "percentile" if exact else sketch_kind(sketch) == "gk"
 
-    ``None`` picks by Catalyst's size estimate: 'kll' above LARGE_INPUT_BYTES,
-    where one task would otherwise merge a sketch buffer from every map task.
-    """
-    if sketch is not None:
-        if sketch not in ("gk", "kll"):
-            raise ValueError("sketch must be 'gk', 'kll' or None")
-        return sketch
-    return "kll" if estimated_bytes(df) > LARGE_INPUT_BYTES else "gk"
-
-
-def rel_err_to_k(rel_err: float, cap: int = SKETCH_K) -> int:
-    """Smallest KLL k whose rank error is at most ``rel_err`` (at most ``cap``,
-    which keeps each map task's sketch small)."""
-    k = int((2.296 / rel_err) ** (1 / 0.9723)) + 1
-    return max(8, min(k, cap))
+
+def rel_err_to_k(rel_err: float) -> int:
+    """Smallest KLL k whose 99 % rank error is at most half of ``rel_err``."""
+    k = int((2 * 2.296 / rel_err) ** (1 / 0.9723)) + 1
+    if k > MAX_K:
+        raise ValueError(f"a rank error of {rel_err} needs a sketch of k = {k}; the largest is {MAX_K}")
+    return max(8, k)

@@ -22,7 +22,12 @@ SAMPLE_ROWS = 5000
 
 
 def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    """Rows with a number on both sides (NaN is none)."""
+    cond = F.col(x).isNotNull() & F.col(y).isNotNull()
+    for c in (x, y):
+        if dict(df.dtypes).get(c) in ("double", "float"):
+            cond = cond & ~F.isnan(F.col(c))
+    return df.where(cond)
 
 
 def corr_gated(df: DataFrame, x: str, y: str, min_rows: int = MIN_PAIRS) -> DataFrame:
@@ -38,7 +43,7 @@ def corr_gated(df: DataFrame, x: str, y: str, min_rows: int = MIN_PAIRS) -> Data
     return raw.select("n", F.when(F.col("n") > min_rows, F.col("_r")).alias("corr"))
 
 
-def linear_fit(df: DataFrame, x: str, y: str, min_rows: int = 1) -> DataFrame:
+def linear_fit(df: DataFrame, x: str, y: str, min_rows: int = MIN_PAIRS) -> DataFrame:
     """(slope, intercept, n): least-squares line y = slope * x + intercept.
 
     Over non-null pairs; null unless n > min_rows and x is not constant.
@@ -61,7 +66,8 @@ def predict(df: DataFrame, fit: DataFrame, x: str, out: str = "fitted",
                                          + F.col("_fit.i")).alias(out))
 
 
-def fit_line(df: DataFrame, x: str, y: str, n: int = LINE_POINTS, min_rows: int = 1) -> DataFrame:
+def fit_line(df: DataFrame, x: str, y: str, n: int = LINE_POINTS,
+             min_rows: int = MIN_PAIRS) -> DataFrame:
     """``n`` evenly spaced points (i, x, y) over [min x, max x] on the fitted line.
 
     Zero rows when no line can be fitted.  The points are generated from the
@@ -85,8 +91,8 @@ def sample_n(df: DataFrame, key_cols: Sequence[str] | str, n: int = SAMPLE_ROWS)
     """Up to ``n`` rows, chosen by the md5 of the key: the same rows every run.
 
     The result is exactly ``orderBy(md5(key), key, other columns).limit(n)``
-    (ties on the key are broken by the remaining columns, so the chosen
-    multiset is fully determined), computed without sending n rows from every
+    (a null key as the empty text, ties on the key broken by the remaining
+    columns, so the chosen multiset is fully determined), computed without sending n rows from every
     task to one final merge:
 
     1. a histogram of the hash's leading zero hex digits (at most 33 groups,
@@ -98,7 +104,8 @@ def sample_n(df: DataFrame, key_cols: Sequence[str] | str, n: int = SAMPLE_ROWS)
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     texts = [F.col(k).cast("string") for k in keys]
-    h = F.md5(texts[0]) if len(texts) == 1 else F.md5(F.concat_ws("\u001f", *texts))
+    # A null key hashes as the empty text (concat_ws leaves nulls out).
+    h = F.md5(F.coalesce(texts[0], F.lit(""))) if len(texts) == 1 else F.md5(F.concat_ws("\u001f", *texts))
     hashed = df.withColumn("_h", h).withColumn(
         "_z", F.length(F.regexp_extract(F.col("_h"), "^0*", 0)))
 

@@ -2,17 +2,11 @@
 
 Nothing is collected: the raw values never leave the executors.  Box numbers
 need each bucket's quartiles before its whiskers, so the quartile table (one
-row per bucket) is joined back to the data:
-
-* when the caller gives a proven bound on the number of buckets (for example
-  a ``bucket()`` column has at most ``len(labels)`` values) and it is small,
-  the quartile table is broadcast and the data is never shuffled;
-* otherwise the join is left to the planner: AQE measures the materialised
-  quartile table and turns the join into a broadcast when it is small, or
-  keeps a sort-merge join whose skewed buckets it splits.
-
-The second aggregate groups by the bucket plus its (constant) quartiles, so
-nothing is joined a second time.
+row per bucket) is joined back to the data on the bucket and a salt
+(``quantiles.attach``): a bucket with a third of all rows is spread over many
+tasks, and each of them aggregates before the exchange on the bucket.  The
+second aggregate groups by the bucket plus its (constant) quartiles, so nothing
+is joined a second time.
 """
 
 from __future__ import annotations
@@ -20,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablestats.functions.clean import known
 from tablestats.operators.profile import QUARTILES, SUMMARY_ACCURACY, median, quantiles
 from tablestats.operators.quantiles import (
     approx_quantiles,
+    attach,
     exact_quantiles,
     fused_quantiles,
     rel_err_to_k,
@@ -30,26 +26,26 @@ from tablestats.operators.quantiles import (
 
 # Fixed value: whisker reach in inter-quartile ranges (box-plot default).
 WHISKER_IQR = 1.5
-# Broadcast the per-bucket quartile table only below this many buckets.
-BROADCAST_MAX_BUCKETS = 100_000
 
 
 def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
                  rel_err: float = 1.0 / SUMMARY_ACCURACY, max_buckets: int | None = None,
                  sketch: str | None = None, method: str | None = None) -> DataFrame:
-    """Per non-null bucket: n, mean and median of the non-null values of ``col``."""
-    x = F.col(col).cast("double")
+    """Per non-null bucket: n, mean and median of the non-null values of ``col``.
+
+    ``max_buckets`` is accepted for callers that know a bound; nothing depends on it.
+    """
+    x = known(F.col(col).cast("double"))
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull())
-    if fused_quantiles(df, exact, sketch, method):
+    if fused_quantiles(exact, sketch, method):
         return data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
                                         median(x, exact, rel_err).alias("median"))
+    if not exact:  # counts, means and sketches in one pass
+        return approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)).select(
+            bucket, "n", "mean", F.get("q", 0).alias("median"))
     moments = data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
-    qdf = (exact_quantiles(data, x, [0.5], by=[bucket], max_groups=max_buckets, method=method)
-           if exact
-           else approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)))
-    med = qdf.select(bucket, F.get("q", 0).alias("median"))
-    if max_buckets is not None and max_buckets <= BROADCAST_MAX_BUCKETS:
-        med = F.broadcast(med)
+    med = exact_quantiles(data, x, [0.5], by=[bucket], method=method).select(
+        bucket, F.get("q", 0).alias("median"))
     return moments.join(med, on=bucket, how="left")
 
 
@@ -63,13 +59,12 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     Whiskers reach the most extreme values within ``k`` IQR of the box (never
     inside the box); ``n_out`` counts the values beyond them.
     """
-    x = F.col(col).cast("double")
+    x = known(F.col(col).cast("double"))
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull()).select(F.col(bucket), x.alias("_v"))
-    if fused_quantiles(df, exact, sketch, method):
+    if fused_quantiles(exact, sketch, method):
         box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, exact, accuracy).alias("q"))
     elif exact:
-        box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], max_groups=max_buckets,
-                              method=method)
+        box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], method=method)
     else:
         box = approx_quantiles(data, "_v", QUARTILES, by=[bucket], k=rel_err_to_k(1.0 / accuracy))
     box = box.select(bucket, F.get("q", 0).alias("q1"), F.get("q", 1).alias("median"),
@@ -77,10 +72,8 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     iqr = F.col("q3") - F.col("q1")
     box = box.withColumns({"_lo": F.col("q1") - F.lit(k) * iqr,
                            "_hi": F.col("q3") + F.lit(k) * iqr})
-    if max_buckets is not None and max_buckets <= BROADCAST_MAX_BUCKETS:
-        box = F.broadcast(box)
     v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
-    out = (data.join(box, on=bucket, how="inner")
+    out = (attach(data, box, [bucket], ["q1", "median", "q3", "_lo", "_hi"])
                .groupBy(bucket, "q1", "median", "q3")
                .agg(F.min(F.when(v >= lo, v)).alias("_wl"),
                     F.max(F.when(v <= hi, v)).alias("_wh"),

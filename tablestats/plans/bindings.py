@@ -53,6 +53,7 @@ from tablestats.operators import (
     span,
     summary,
 )
+from tablestats.operators.quantiles import SKETCH_K, attach, kll_rank_error
 from tablestats.plans.chat import DEFAULT_INSTRUCTIONS, chat_content, chat_requests
 from tablestats.plans.report import prompt_text, report_lines, summary_lines
 
@@ -133,6 +134,57 @@ def q_parse_date_lenient(spark, sf):
     return ev.withColumn("release_date", parse_date(F.col("date_text"), LENIENT_DATE_FORMATS))
 
 
+def q_parse_date_formats(spark, sf):
+    """Each event's day written in one of the ten lenient formats, and parsed."""
+    ev = table(spark, sf, "events")
+    texts = F.array(*[F.date_format("ts", f) for f in LENIENT_DATE_FORMATS])
+    text = F.get(texts, F.pmod(F.col("event_id"), F.lit(len(LENIENT_DATE_FORMATS))).cast("int"))
+    return ev.select("event_id", text.alias("date_text")).withColumn(
+        "release_date", parse_date(F.col("date_text"), LENIENT_DATE_FORMATS))
+
+
+def q_clean_hostile(spark, sf):
+    """Numbers beyond doubles and longs, as text made from the customer key: null, never an error."""
+    key = F.col("c_custkey")
+    kind = F.pmod(key, F.lit(3))
+    text = F.when(kind == 0, key.cast("string")).when(kind == 1, F.lit("1e999")).otherwise(F.repeat(F.lit("9"), 400))
+    raw = table(spark, sf, "customer").select("c_custkey", text.alias("t"), F.when(kind == 1, F.lit("$1.0"))
+                                              .otherwise(text).alias("s"))
+    counts = clean_table(raw, {
+        "name": F.lit("n"), "price": "t", "user_score": "t", "metacritic_score": "t", "positive": "t",
+        "negative": F.lit("1"), "pct_pos_total": F.lit(1.0), "categories": F.lit(""), "genres": F.lit(""),
+        "tags": F.col("c_custkey").cast("string"), "release_date": F.lit("2020-01-01")})
+    return counts.join(clean_numeric(raw, ["s"]), counts["tags"] == F.col("c_custkey").cast("string")).select(
+        "c_custkey", to_number("t").alias("number"), F.col("s").alias("stripped"), "positive", "total_reviews")
+
+
+def q_nan_band(spark, sf):
+    """A column with NaN: summaries, bands and buckets treat it as null."""
+    rows = table(spark, sf, "customer").select(
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias("v"))
+    stats = summary(rows, "v", exact=True)
+    side = bucket(F.col("v"), [0.0], ["low", "high"])
+    counts = rows.agg(F.count_if(side == "low").alias("n_low"), F.count_if(side == "high").alias("n_high"))
+    positive = band(rows, "v", lo=0.0, lo_open=True).agg(F.count(F.lit(1)).alias("n")).scalar()
+    picked = {s: F.max(F.when(F.col("stat") == s, F.col("value"))) for s in ("count", "mean", "max")}
+    one = stats.agg(picked["count"].cast("long").alias("n"), F.round(picked["mean"], 4).alias("mean"),
+                    F.round(picked["max"], 4).alias("max"))
+    both = counts.select(F.struct("n_low", "n_high").alias("c")).scalar()
+    return one.select("n", "mean", "max", positive.alias("n_positive"), both.alias("c")).select(
+        "n", "mean", "max", "n_positive", "c.n_low", "c.n_high")
+
+
+def q_total_guarded(spark, sf):
+    """add_total in tolerant mode: without its inputs the table stays as it is."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.round(F.col("l_discount") * 100).cast("long").alias("positive"),
+        F.round(F.col("l_tax") * 100).cast("long").alias("negative"))
+    without = add_total(li.drop("negative"), strict=False)
+    both = add_total(li, strict=False)
+    assert without.columns == ["l_orderkey", "l_linenumber", "positive"]
+    return add_ratio(both)
+
+
 def q_add_year(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return add_year(li, "l_shipdate", "ship_year")
@@ -260,8 +312,57 @@ def q_summary_positive(spark, sf):
                                 lo=0.0, lo_open=True))
 
 
+def _within(data: DataFrame, value: str, levels: list[float], rel_err: float, got: DataFrame,
+            by: str | None = None) -> DataFrame:
+    """Does each approximate quantile lie within the rank error asked for?
+
+    ``got`` has (``by``,) ``q``; its true ranks are counted from ``data``.  One
+    row per group and level: ``pos``, ``n``, ``within``."""
+    x = F.col(value).cast("double")
+    keys = [by] if by else []
+    rows = data.where(x.isNotNull()).select(*keys, x.alias("_v"))
+    if by:
+        rows = rows.where(F.col(by).isNotNull())
+    rows = attach(rows, got, keys, ["q"])
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[
+        F.struct(F.count_if(F.col("_v") < F.get("q", i)).alias("lt"),
+                 F.count_if(F.col("_v") <= F.get("q", i)).alias("le")).alias(f"r{i}") for i in range(len(levels))])
+    out = F.array(*[F.struct(F.lit(i).alias("pos"), (
+        (F.col(f"r{i}.lt") <= (p + rel_err) * F.col("n")) & (F.col(f"r{i}.le") >= (p - rel_err) * F.col("n"))
+    ).alias("within")) for i, p in enumerate(levels)])
+    return counts.select(*keys, "n", F.inline(out))
+
+
+def _stat_array(df: DataFrame) -> DataFrame:
+    """The quartiles of a long summary as one array ``q``."""
+    return df.agg(F.array(*[F.max(F.when(F.col("stat") == s, F.col("value")))
+                            for s in ("25%", "50%", "75%")]).alias("q"))
+
+
+QUARTILE_LEVELS = [0.25, 0.5, 0.75]
+
+
 def q_summary_approx_events(spark, sf):
-    return _round_value(summary(table(spark, sf, "events"), "value"))
+    ev = table(spark, sf, "events")
+    return _within(ev, "value", QUARTILE_LEVELS, 1e-4, _stat_array(summary(ev, "value")))
+
+
+def q_center_approx(spark, sf):
+    li = table(spark, sf, "lineitem")
+    got = center(li, "l_extendedprice").select(F.array("median").alias("q"))
+    return _within(li, "l_extendedprice", [0.5], 0.01, got)
+
+
+def q_bucket_stats_approx(spark, sf):
+    clean = _era(catalog(spark, sf)).select("era", "price")
+    got = bucket_stats(clean, "era", "price").select("era", F.array("median").alias("q"))
+    return _within(clean, "price", [0.5], 1e-4, got, by="era")
+
+
+def q_box_stats_approx(spark, sf):
+    ev = table(spark, sf, "events").select("event_type", "value")
+    got = box_stats(ev, "event_type", "value").select("event_type", F.array("q1", "median", "q3").alias("q"))
+    return _within(ev, "value", QUARTILE_LEVELS, 1e-4, got, by="event_type")
 
 
 def q_summary_approx_quantity(spark, sf):
@@ -284,9 +385,8 @@ def q_center_capped(spark, sf):
 
 
 def q_exact_quartiles_large_path(spark, sf):
-    """Exact quartiles per return flag through the large-input configuration
-    (sketch brackets merged in two levels, one refinement pass, histogram
-    ranks), whatever the input size."""
+    """Exact quartiles per return flag (sketch brackets merged in two levels,
+    one sub-bin pass, histogram ranks)."""
     q = exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.25, 0.5, 0.75],
                         by=["l_returnflag"], method="bracket", salted=True, refine=1)
     return q.select("l_returnflag", "n", F.posexplode("q").alias("pos", "value")).select(
@@ -294,27 +394,28 @@ def q_exact_quartiles_large_path(spark, sf):
 
 
 def q_summary_exact_large_path(spark, sf):
-    """summary_exact with its quartiles from the distributed exact method (forced)."""
+    """summary_exact with its quartiles from the distributed exact method, by name."""
     return _round_value(summary(table(spark, sf, "lineitem"), "l_extendedprice", exact=True,
                                 method="bracket"))
 
 
 def q_center_large_path(spark, sf):
-    """center with its median from the distributed exact method (forced)."""
+    """center with its median from the distributed exact method, by name."""
     return center(table(spark, sf, "lineitem"), "l_extendedprice", exact=True,
                   method="bracket").select(_r("mean"), _r("median"))
 
 
 def q_summary_sketch_large_path(spark, sf):
-    """Eight-number summary with the mergeable two-level KLL sketch
-    (approximate and randomised: no oracle)."""
-    return _round_value(summary(table(spark, sf, "lineitem"), "l_extendedprice", sketch="kll"))
+    """Quartiles of the summary by the two-level KLL sketch: within the rank error asked for."""
+    li = table(spark, sf, "lineitem")
+    return _within(li, "l_extendedprice", QUARTILE_LEVELS, 1e-4,
+                   _stat_array(summary(li, "l_extendedprice", sketch="kll")))
 
 
 def q_approx_quartiles_large_path(spark, sf):
-    q = approx_quantiles(table(spark, sf, "lineitem"), "l_quantity", [0.25, 0.5, 0.75],
-                         by=["l_returnflag"], salted=True)
-    return q.select("l_returnflag", "n", F.posexplode("q").alias("pos", "value"))
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_quantity")
+    got = approx_quantiles(li, "l_quantity", QUARTILE_LEVELS, by=["l_returnflag"])
+    return _within(li, "l_quantity", QUARTILE_LEVELS, kll_rank_error(SKETCH_K) * 2, got, by="l_returnflag")
 
 
 # -------------------------------------------------------------------- spread
@@ -335,13 +436,13 @@ def q_box_stats_events(spark, sf):
 
 
 def q_bucket_stats_large_path(spark, sf):
-    """bucket_stats with medians from the distributed exact method (forced)."""
+    """bucket_stats with medians from the distributed exact method, by name."""
     return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True, max_buckets=2,
                         method="bracket").select("era", "n", _r("mean"), _r("median"))
 
 
 def q_box_stats_events_large_path(spark, sf):
-    """box_stats_events through the distributed exact quantiles (forced)."""
+    """box_stats_events through the distributed exact quantiles, by name."""
     return box_stats(table(spark, sf, "events"), "event_type", "value", exact=True,
                      method="bracket").select(
         "event_type", _r("q1"), _r("median"), _r("q3"), _r("whisker_low"), _r("whisker_high"),
@@ -405,11 +506,21 @@ def _scores(spark, sf):
 
 
 def q_scatter_fit(spark, sf):
-    """Scatter chart input as the newest analysis draws it: the fit line over
-    the 5,000-row repeatable sample of score pairs (correlation over all)."""
-    pts = _scores(spark, sf).select("release_date", "tags", "metacritic_score", "user_score")
-    sample = sample_n(pts, ["release_date", "tags"], 5000)
-    return fit_line(sample, "metacritic_score", "user_score").select("i", _r("x"), _r("y"))
+    """The scatter chart's line, fitted over all score pairs (only its points are a sample)."""
+    return fit_line(_scores(spark, sf), "metacritic_score", "user_score").select("i", _r("x"), _r("y"))
+
+
+def q_scatter_corr(spark, sf):
+    """The scatter chart's correlation over all pairs, and its wording."""
+    c = corr_gated(_scores(spark, sf), "metacritic_score", "user_score")
+    return c.select("n", _r("corr", 6), corr_label(F.col("corr")).alias("label"))
+
+
+def q_sample_nullable(spark, sf):
+    """A sample on a key that is null for most rows: they take part too."""
+    ev = table(spark, sf, "events").select("event_id", F.when(
+        F.col("event_type") == "click", F.col("user_id").cast("string")).alias("user_key"))
+    return sample_n(ev, "user_key", 9000)
 
 
 # -------------------------------------------------------------------- report
@@ -422,9 +533,16 @@ def q_report_lines(spark, sf):
     return report_lines(catalog(spark, sf), digits=2, exact=True)
 
 
+def q_report_lines_any_key(spark, sf):
+    """The report over a key with negative and very large values."""
+    clean = catalog(spark, sf).withColumn(
+        "release_year", (F.col("release_year").cast("long") - 1995) * F.lit(100_000_000_000))
+    return report_lines(clean, digits=2, exact=True)
+
+
 def q_report_lines_large_path(spark, sf):
     """report_lines with its quartiles and median from the distributed exact
-    quantiles (forced), as for a large input."""
+    quantiles, by name."""
     return report_lines(catalog(spark, sf), digits=2, exact=True, method="bracket")
 
 
@@ -439,7 +557,7 @@ def q_prompt_text(spark, sf):
 
 
 def q_chat_requests(spark, sf):
-    conv = table(spark, sf, "conversations").where(F.col("role") == "user")
+    conv = table(spark, sf, "conversations")
     return chat_requests(conv.select("conv_id", "turn", "text"), prompt="text").select(
         "conv_id", "turn", "request")
 
@@ -469,6 +587,10 @@ QUERIES = {
     "to_number": q_to_number,
     "parse_date": q_parse_date,
     "parse_date_lenient": q_parse_date_lenient,
+    "parse_date_formats": q_parse_date_formats,
+    "clean_hostile": q_clean_hostile,
+    "nan_band": q_nan_band,
+    "total_guarded": q_total_guarded,
     "add_year": q_add_year,
     "add_ratio": q_add_ratio,
     "bucket": q_bucket,
@@ -507,6 +629,9 @@ QUERIES = {
     "bucket_stats_large_path": q_bucket_stats_large_path,
     "box_stats_events_large_path": q_box_stats_events_large_path,
     "box_stats_era": q_box_stats_era,
+    "center_approx": q_center_approx,
+    "bucket_stats_approx": q_bucket_stats_approx,
+    "box_stats_approx": q_box_stats_approx,
     "corr_gated": q_corr_gated,
     "corr_scores": q_corr_scores,
     "corr_label": q_corr_label,
@@ -514,11 +639,14 @@ QUERIES = {
     "predict": q_predict,
     "fit_line": q_fit_line,
     "scatter_fit": q_scatter_fit,
+    "scatter_corr": q_scatter_corr,
+    "sample_nullable": q_sample_nullable,
     "sample_n": q_sample_n,
     "sample_scatter": q_sample_scatter,
     "summary_lines": q_summary_lines,
     "report_lines": q_report_lines,
     "report_lines_large_path": q_report_lines_large_path,
+    "report_lines_any_key": q_report_lines_any_key,
     "report_prompt": q_report_prompt,
     "prompt_text": q_prompt_text,
     "chat_requests": q_chat_requests,

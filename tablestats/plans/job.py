@@ -22,14 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablestats.functions.clean import bucket
+from tablestats.functions.labels import corr_label
 from tablestats.operators.columns import clean_table
 from tablestats.operators.filters import band
 from tablestats.operators.groups import group_stats, series
 from tablestats.operators.relate import MIN_PAIRS, SAMPLE_ROWS, corr_gated, fit_line, sample_n
 from tablestats.operators.spread import box_stats, bucket_stats
-from tablestats.plans.chat import DEFAULT_INSTRUCTIONS, DEFAULT_MODEL, chat_requests
+from tablestats.plans.chat import DEFAULT_INSTRUCTIONS, DEFAULT_MODEL, chat_content, chat_requests
 from tablestats.plans.report import prompt_text, report_lines
-from tablestats.sources.io import read_or_convert, read_table, write_report, write_table
+from tablestats.sources.io import read_or_convert, read_table, write_answers, write_report, write_table
 
 
 def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
@@ -37,19 +38,22 @@ def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
             spec: Mapping[str, str | Column] | None = None, exact: bool = False,
             write_csv: bool = True, csv_single: bool = False,
             model: str = DEFAULT_MODEL, sketch: str | None = None,
-            charts: bool = True) -> dict:
+            charts: bool = True, answers: DataFrame | None = None, body: str = "body",
+            multi_line: bool = True) -> dict:
     """Run the analysis; return output paths and the two run times (seconds).
 
     Input: ``raw`` DataFrame, or ``base``/``name`` for ``read_or_convert``.
     ``csv_single`` writes the cleaned CSV as one part through one task (small
     tables only); by default the part folder is the CSV output.  ``exact`` /
-    ``sketch`` choose the report's quantiles (see ``report_lines``); by
-    default a sketch chosen by the size of the cleaned table.  ``charts``
-    writes the chart inputs (see ``chart_tables``).
+    ``sketch`` choose the report's quantiles (see ``report_lines``).  ``charts``
+    writes the chart inputs (see ``chart_tables``).  ``answers`` is a table of
+    model response bodies (column ``body``): their texts are written too.
+    ``multi_line=False`` reads a CSV without line breaks in its fields in
+    parallel.
     """
     started = time.perf_counter()
     if raw is None:
-        raw = read_or_convert(spark, base, name)
+        raw = read_or_convert(spark, base, name, multi_line=multi_line)
     cleaned_path = os.path.join(out_dir, "cleaned.parquet")
     write_table(clean_table(raw, spec), cleaned_path)
     if write_csv:
@@ -73,12 +77,11 @@ def analyze(spark: SparkSession, out_dir: str, raw: DataFrame | None = None,
         tables = chart_tables(clean, exact=exact, sketch=sketch)
         for label, table in tables.items():
             path = os.path.join(out_dir, f"{label}.parquet")
-            if label == "scatter_line":
-                # fitted on the written sample rather than recomputing it
-                table = fit_line(read_table(spark, outputs["scatter_sample"]),
-                                 "metacritic_score", "user_score")
             write_table(table, path)
             outputs[label] = path
+    if answers is not None:
+        outputs["answers"] = os.path.join(out_dir, "answers")
+        write_answers(chat_content(answers, body=body), outputs["answers"])
     ended = time.perf_counter()
     return {
         **outputs,
@@ -105,9 +108,10 @@ def chart_tables(clean: DataFrame, exact: bool = False, sketch: str | None = Non
 
     * ``price_series``: year -> mean price, last 15 years with more than 30
       rows, null means dropped (bar chart);
-    * ``scatter_sample`` / ``scatter_line``: up to 5,000 (critic, user) score
-      pairs chosen by hash, and 100 points of the line fitted to them, only
-      when there are more than 10 pairs (scatter chart);
+    * ``scatter_sample`` / ``scatter_line`` / ``scatter_corr``: up to 5,000
+      (critic, user) score pairs chosen by hash, 100 points of the line fitted
+      to all pairs, and the correlation of all pairs with its wording; the
+      first two only when there are more than 10 pairs (scatter chart);
     * ``era_box`` / ``era_stats``: box numbers and n / mean / median of
       prices in [0, 100] per era (box plot and its caption).
     """
@@ -122,7 +126,9 @@ def chart_tables(clean: DataFrame, exact: bool = False, sketch: str | None = Non
     return {
         "price_series": series(stats, "release_year", "avg_price"),
         "scatter_sample": sample,
-        "scatter_line": fit_line(sample, "metacritic_score", "user_score"),
+        "scatter_line": fit_line(pairs, "metacritic_score", "user_score"),
+        "scatter_corr": corr_gated(pairs, "metacritic_score", "user_score").withColumn(
+            "label", corr_label(F.col("corr"))),
         "era_box": box_stats(priced, "era", "price", exact=exact, sketch=sketch,
                              max_buckets=len(ERA_LABELS)),
         "era_stats": bucket_stats(priced, "era", "price", exact=exact, sketch=sketch,

@@ -7,7 +7,6 @@ same name in ``bindings.QUERIES``.
 
 from __future__ import annotations
 
-from tablestats.functions.clean import PLAIN_NUMBER
 from tablestats.plans import report as rp
 from tablestats.plans.chat import DEFAULT_INSTRUCTIONS, DEFAULT_MODEL
 
@@ -155,10 +154,10 @@ def _report_sql() -> str:
         "WHERE c_mean IS NOT NULL AND c_median IS NOT NULL",
         f"SELECT 5, 6, printf({_lit(rp.INSIGHT_CORR)}, r) FROM g "
         f"WHERE r_n > {10} AND r IS NOT NULL",
-        f"""SELECT 1, {rp.KEY_SEQ} + release_year, CAST(release_year AS VARCHAR) || ': ' ||
+        f"""SELECT 1, CAST({rp.KEY_SEQ - 1} + row_number() OVER (ORDER BY release_year) AS INTEGER), CAST(release_year AS VARCHAR) || ': ' ||
                CAST(game_count AS VARCHAR)
             FROM (SELECT * FROM y ORDER BY release_year DESC LIMIT 10)""",
-        f"""SELECT 4, {rp.KEY_SEQ} + release_year, CAST(release_year AS VARCHAR) || ': count=' ||
+        f"""SELECT 4, CAST({rp.KEY_SEQ - 1} + row_number() OVER (ORDER BY release_year) AS INTEGER), CAST(release_year AS VARCHAR) || ': count=' ||
                CAST(game_count AS VARCHAR) ||
                ', avg_price=' || coalesce(CAST(round(avg_price, 2) AS VARCHAR), 'None') ||
                ', avg_user_score=' || coalesce(CAST(round(avg_user_score, 2) AS VARCHAR), 'None') ||
@@ -182,8 +181,14 @@ def _report_body() -> str:
 
 
 def _num(x: str) -> str:
-    return (f"CASE WHEN regexp_matches({x}, {_lit(PLAIN_NUMBER)}) "
-            f"THEN TRY_CAST({x} AS DOUBLE) END")
+    """Digits with at most one point, a sign in front, an exponent behind; finite."""
+    body, exponent = f"lower(trim({x}, ' \t\n\r\f\v'))", "[+-]?[0-9]+"
+    mantissa = f"ltrim(split_part({body}, 'e', 1), '+-')"
+    digits = f"replace({mantissa}, '.', '')"
+    return (f"CASE WHEN regexp_full_match({digits}, '[0-9]+') AND length({mantissa}) - length({digits}) <= 1 "
+            f"AND length(split_part({body}, 'e', 1)) - length({mantissa}) <= 1 "
+            f"AND (NOT contains({body}, 'e') OR regexp_full_match(substr({body}, instr({body}, 'e') + 1), "
+            f"'{exponent}')) AND isfinite(TRY_CAST({body} AS DOUBLE)) THEN TRY_CAST({body} AS DOUBLE) END")
 
 
 def _strip(x: str) -> str:
@@ -254,9 +259,6 @@ FROM (SELECT l_orderkey, l_linenumber, CAST(round(l_discount * 100) AS BIGINT) A
     "summary_positive": _summary_long(_summary_aggs("metacritic_score", None, "s"),
                                       "clean WHERE metacritic_score IS NOT NULL AND metacritic_score > 0",
                                       with_clean=True),
-    # summary_approx_events has no oracle: the default sketch (accuracy 10,000)
-    # returns elements within its rank-error bound, not exactly quantile_disc
-    # (tests/test_profile.py checks the bound against a brute-force rank).
     "summary_approx_quantity": _summary_long(_summary_aggs("l_quantity", None, "s"), "lineitem", disc=True),
     "robust_summary": _summary_long(_summary_aggs("l_extendedprice", None, "s",
                                                   mean_where="l_extendedprice <= 50000"), "lineitem"),
@@ -289,8 +291,8 @@ FROM (SELECT l_orderkey, l_linenumber, CAST(round(l_discount * 100) AS BIGINT) A
        WHEN r IS NOT NULL THEN 'Low correlation: Players and critics have different opinions' END AS label
 FROM (SELECT CASE WHEN count(*) > 10 THEN corr(l_quantity, l_extendedprice) END AS r FROM lineitem
       WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL)""",
-    "linear_fit": ("SELECT round(CASE WHEN count(*) > 1 THEN regr_slope(l_extendedprice, l_quantity) END, 4) "
-                   "AS slope, round(CASE WHEN count(*) > 1 THEN regr_intercept(l_extendedprice, l_quantity) "
+    "linear_fit": ("SELECT round(CASE WHEN count(*) > 10 THEN regr_slope(l_extendedprice, l_quantity) END, 4) "
+                   "AS slope, round(CASE WHEN count(*) > 10 THEN regr_intercept(l_extendedprice, l_quantity) "
                    "END, 4) AS intercept, count(*) AS n FROM lineitem "
                    "WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL"),
     "predict": """WITH fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS s,
@@ -304,8 +306,11 @@ FROM lineitem CROSS JOIN fit""",
                   WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
 p AS (SELECT CAST(t.i AS INTEGER) AS i,
              CASE WHEN t.i = 99 THEN hi ELSE t.i * ((hi - lo) / 99.0) + lo END AS x, s, b
-      FROM f CROSS JOIN range(0, 100) AS t(i) WHERE s IS NOT NULL AND n > 1)
+      FROM f CROSS JOIN range(0, 100) AS t(i) WHERE s IS NOT NULL AND n > 10)
 SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM p""",
+    "sample_nullable": ("SELECT event_id, user_key FROM (SELECT event_id, CASE WHEN event_type = 'click' "
+                        "THEN CAST(user_id AS VARCHAR) END AS user_key FROM events) "
+                        "ORDER BY md5(coalesce(user_key, '')), user_key NULLS LAST, event_id LIMIT 9000"),
     "sample_n": "SELECT * FROM events ORDER BY md5(CAST(event_id AS VARCHAR)), event_id LIMIT 5000",
     "sample_scatter": ("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem "
                        "ORDER BY md5(concat_ws(chr(31), CAST(l_orderkey AS VARCHAR), "
@@ -321,13 +326,11 @@ SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM p""",
     "scatter_fit": _with_clean("""SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM (
   SELECT CAST(t.i AS INTEGER) AS i,
          CASE WHEN t.i = 99 THEN hi ELSE t.i * ((hi - lo) / 99.0) + lo END AS x, s, b
-  FROM f CROSS JOIN range(0, 100) AS t(i) WHERE s IS NOT NULL AND n > 1)""",
-        """smp AS (SELECT * FROM clean WHERE metacritic_score IS NOT NULL AND user_score IS NOT NULL
-          ORDER BY md5(concat_ws(chr(31), CAST(release_date AS VARCHAR), tags)), release_date, tags,
-                   metacritic_score, user_score LIMIT 5000)""",
+  FROM f CROSS JOIN range(0, 100) AS t(i) WHERE s IS NOT NULL AND n > 10)""",
         """f AS (SELECT regr_slope(user_score, metacritic_score) AS s,
           regr_intercept(user_score, metacritic_score) AS b, count(*) AS n,
-          min(metacritic_score) AS lo, max(metacritic_score) AS hi FROM smp)"""),
+          min(metacritic_score) AS lo, max(metacritic_score) AS hi
+          FROM clean WHERE metacritic_score IS NOT NULL AND user_score IS NOT NULL)"""),
     "report_prompt": (f"WITH {CLEAN_CTE.strip()}, rep AS ({{report}}) "
                       f"SELECT prompt, CAST(to_json({{{{'model': {_lit(DEFAULT_MODEL)}, "
                       "'messages': [{{'role': 'user', 'content': prompt}}], 'temperature': 0.5, "
@@ -340,7 +343,7 @@ SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM p""",
     "chat_requests": (f"SELECT conv_id, turn, CAST(to_json({{'model': {_lit(DEFAULT_MODEL)}, "
                       "'messages': [{'role': 'user', 'content': text}], 'temperature': 0.5, "
                       "'max_tokens': -1, 'stream': false}) AS VARCHAR) AS request "
-                      "FROM conversations WHERE role = 'user'"),
+                      "FROM conversations"),
     "chat_content": """SELECT conv_id, turn,
   CASE WHEN turn % 4 = 0 AND text <> '' THEN text END AS content,
   CASE turn % 4 WHEN 0 THEN CASE WHEN text = '' THEN 'empty' ELSE 'ok' END
@@ -356,3 +359,55 @@ ORACLE_SQL["summary_exact_large_path"] = ORACLE_SQL["summary_exact"]
 ORACLE_SQL["center_large_path"] = ORACLE_SQL["center"]
 ORACLE_SQL["bucket_stats_large_path"] = ORACLE_SQL["bucket_stats"]
 ORACLE_SQL["report_lines_large_path"] = ORACLE_SQL["report_lines"]
+
+
+def _within_sql(source: str, value: str, levels: tuple[float, ...], by: str | None = None,
+                where: str = "TRUE") -> str:
+    """Every approximate quantile must be within its rank error: rows of TRUE."""
+    key = f"{by}, " if by else ""
+    return " UNION ALL ".join(
+        f"SELECT {key}{i} AS pos, count(*) AS n, TRUE AS within FROM {source} "
+        f"WHERE {value} IS NOT NULL AND {where}" + (f" AND {by} IS NOT NULL GROUP BY {by}" if by else "")
+        for i in range(len(levels)))
+
+
+_QUARTILES = (0.25, 0.5, 0.75)
+ORACLE_SQL["summary_approx_events"] = _within_sql("events", "value", _QUARTILES)
+ORACLE_SQL["summary_sketch_large_path"] = _within_sql("lineitem", "l_extendedprice", _QUARTILES)
+ORACLE_SQL["approx_quartiles_large_path"] = _within_sql("lineitem", "l_quantity", _QUARTILES, "l_returnflag")
+ORACLE_SQL["center_approx"] = _within_sql("lineitem", "l_extendedprice", (0.5,))
+ORACLE_SQL["bucket_stats_approx"] = _with_clean(
+    _within_sql("e", "price", (0.5,), "era"), f"e AS (SELECT *, {ERA} AS era FROM clean)")
+ORACLE_SQL["box_stats_approx"] = _within_sql("events", "value", _QUARTILES, "event_type")
+
+#: Ten ways to write one date, by the remainder of the event's number.
+_DATE_STYLES = ("%Y-%m-%d", "%Y-%-m-%-d", "%Y/%-m/%-d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%b %-d, %Y",
+                "%B %-d, %Y", "%-d %b, %Y", "%-d %b %Y", "%-m/%-d/%Y")
+ORACLE_SQL["parse_date_formats"] = (
+    "SELECT event_id, CASE event_id % 10 " + " ".join(
+        f"WHEN {i} THEN strftime(ts, {_lit(f)})" for i, f in enumerate(_DATE_STYLES))
+    + " END AS date_text, CAST(ts AS DATE) AS release_date FROM events")
+
+#: Text beyond the range of doubles or longs, and NaN, made from given columns.
+ORACLE_SQL["clean_hostile"] = """SELECT c_custkey,
+  CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS DOUBLE) END AS number,
+  CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS DOUBLE)
+       WHEN c_custkey % 3 = 1 THEN 1.0 END AS stripped,
+  CASE WHEN c_custkey % 3 = 0 THEN c_custkey END AS positive,
+  CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1 END AS total_reviews
+FROM customer"""
+ORACLE_SQL["nan_band"] = """SELECT count(*) AS n, round(avg(v), 4) AS mean, round(max(v), 4) AS max,
+  count(*) FILTER (WHERE v > 0) AS n_positive, count(*) FILTER (WHERE v <= 0) AS n_low,
+  count(*) FILTER (WHERE v > 0) AS n_high
+FROM (SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS v FROM customer) WHERE v IS NOT NULL"""
+ORACLE_SQL["total_guarded"] = ORACLE_SQL["add_ratio"].replace(
+    "positive + negative AS total_reviews,\n  CASE", "positive + negative AS total_reviews, CASE")
+ORACLE_SQL["report_lines_any_key"] = ORACLE_SQL["report_lines"].replace(
+    "CAST(year(l_shipdate) AS INTEGER) AS release_year",
+    "(CAST(year(l_shipdate) AS BIGINT) - 1995) * 100000000000 AS release_year")
+ORACLE_SQL["scatter_corr"] = _with_clean(
+    "SELECT n, round(r, 6) AS corr, CASE WHEN r > 0.7 THEN 'High positive correlation: Players and critics tend to agree' "
+    "WHEN r > 0.3 THEN 'Moderate positive correlation: There is some agreement' "
+    "WHEN r IS NOT NULL THEN 'Low correlation: Players and critics have different opinions' END AS label "
+    "FROM (SELECT count(*) AS n, CASE WHEN count(*) > 10 THEN corr(metacritic_score, user_score) END AS r "
+    "FROM clean WHERE metacritic_score IS NOT NULL AND user_score IS NOT NULL)")

@@ -1,8 +1,7 @@
 """The analysis report as a DataFrame of ordered text lines.
 
 ``report_lines`` turns a cleaned catalogue table into rows
-(section int, seq int, line string).  All numbers come from one scan and one
-aggregate (see ``report_lines``).  Only finished lines exist afterwards;
+(section int, seq int, line string); see ``report_lines``.  Only finished lines exist afterwards;
 ``write_report`` writes them in order and ``prompt_text`` joins them into a
 prompt.
 """
@@ -12,12 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablestats.functions.clean import known
+from tablestats.functions.labels import corr_label
 from tablestats.operators.groups import (
     DEFAULT_KEY,
     DEFAULT_MEANS,
     LAST_COUNTS,
     LAST_STATS,
     MIN_GROUP_ROWS,
+    per_key,
 )
 from tablestats.operators.profile import (
     MEDIAN_REL_ERROR,
@@ -59,8 +61,7 @@ INSIGHT_CORR = ("- The correlation between user score (players) and metacritic s
 PRICE_MEAN_MAX = 1000.0
 
 # Line order inside a section: fixed lines use small seq numbers, per-key
-# lines use KEY_SEQ + key (calendar years stay below 10000), a closing blank
-# line uses END_SEQ.
+# lines KEY_SEQ, KEY_SEQ + 1, ... in key order, a closing blank line END_SEQ.
 KEY_SEQ = 10
 END_SEQ = 100000
 
@@ -125,7 +126,7 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
                  accuracy: int = SUMMARY_ACCURACY, rel_err: float = MEDIAN_REL_ERROR,
                  min_count: int = MIN_GROUP_ROWS, price_max: float = PRICE_MEAN_MAX,
                  min_pairs: int = MIN_PAIRS, sketch: str | None = None,
-                 method: str | None = None) -> DataFrame:
+                 method: str | None = None, label_line: bool = False) -> DataFrame:
     """Report lines (section, seq, line) for a cleaned catalogue table.
 
     Sections: header; counts of the last 10 years; price summary (mean over
@@ -133,74 +134,63 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     summaries over scores > 0; per-year count and means for years with more
     than ``min_count`` rows, last 15; insights (year span, peak year, mean and
     median price <= price_max, correlation of the scores when there are more
-    than ``min_pairs`` pairs).  ``exact`` switches every quantile from the
-    sketch to the exact percentile; ``sketch`` picks the sketch ('gk' inside
-    the one aggregate, 'kll' merged in two levels, None by input size) and
-    ``method`` the exact method ('percentile', 'bracket', None by size).
-
-    Plan: ONE scan.  Every row is tagged twice (whole-table copy, per-year
-    copy: a two-set grouping) and one aggregate computes the whole-table
-    statistics and the per-year counts and means together; its small result
-    (one row per year, at most 10,000 calendar years) is folded into a single
-    row, from which all lines are generated with array functions.  For large
-    inputs the quartiles and median come instead from a distributed pipeline
-    over the four series (exact or mergeable sketch), joined in as one scalar
-    subquery.
+    than ``min_pairs`` pairs; with ``label_line`` also the wording of that
+    correlation).  ``exact`` switches every quantile from the sketch to the
+    exact percentile; ``sketch='gk'`` or ``method='percentile'`` ask for
+    Spark's own aggregates instead (see ``profile``).
+
+    Plan: one aggregate over the table (counts, moments, correlation), one per
+    key, and the quantiles of the four series.  Of the per-key table, however
+    many keys it has, only bounded pieces are gathered: the last 10 and the last
+    15 keys (top-n per task) and one row with its ends and its peak.  All lines
+    are made from these one-row results.
     """
     key_type = dict(clean.dtypes).get(key)
     if key_type not in ("tinyint", "smallint", "int", "bigint"):
-        # lines are ordered by KEY_SEQ + key and the per-year table is folded
-        # into one row: the key must be a calendar-year-like integer
         raise ValueError(f"report key {key!r} must be an integer year column, got {key_type}")
-    price = F.col("price").cast("double")
-    user = F.col("user_score").cast("double")
-    critic = F.col("metacritic_score").cast("double")
-    whole = F.col("_all")
-    g_price = F.when(whole, price)
-    kept_price = F.when(whole & (price <= price_max), price)
-    pair = whole & critic.isNotNull() & user.isNotNull()
+    price = known(F.col("price").cast("double"))
+    user = known(F.col("user_score").cast("double"))
+    critic = known(F.col("metacritic_score").cast("double"))
+    kept_price = F.when(price <= price_max, price)
+    pair = critic.isNotNull() & user.isNotNull()
     pc, pu = F.when(pair, critic), F.when(pair, user)
     means = list(DEFAULT_MEANS.items())
-    # quantiles inside the one aggregate (GK sketch, or exact percentile on a
-    # proven-small input), or from a separate distributed pipeline over the
-    # four series (exact bracket method, or KLL sketch, for large inputs)
-    separate = not fused_quantiles(clean, exact, sketch, method)
-
-    tagged = (clean.select(F.col("name"), price.alias("price"), user.alias("user_score"),
-                           critic.alias("metacritic_score"),
-                           F.col("pct_pos_total").cast("double").alias("pct_pos_total"), F.col(key))
-                   .withColumn("_all", F.explode(F.array(F.lit(True), F.lit(False))))
-                   .withColumn("_k", F.when(~F.col("_all"), F.col(key))))
-    # count/avg/min/max/stddev are cheap for every group; quantile inputs are
-    # null outside the whole-table group, so no per-year sketch is built.
-    per_group = tagged.groupBy("_all", "_k").agg(
+    # quantiles inside the aggregate (if asked for by name), or from a pipeline
+    # of their own over the four series
+    separate = not fused_quantiles(exact, sketch, method)
+
+    one = clean.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        summary_struct(g_price, exact, accuracy, mean_of=kept_price,
+        summary_struct(price, exact, accuracy, mean_of=kept_price,
                        with_quantiles=not separate).alias("s_price"),
-        summary_struct(F.when(whole & (user > 0), user), exact, accuracy,
+        summary_struct(F.when(user > 0, user), exact, accuracy,
                        with_quantiles=not separate).alias("s_user"),
-        summary_struct(F.when(whole & (critic > 0), critic), exact, accuracy,
+        summary_struct(F.when(critic > 0, critic), exact, accuracy,
                        with_quantiles=not separate).alias("s_critic"),
         F.avg(kept_price).alias("c_mean"),
         (F.lit(None).cast("double") if separate
          else median(kept_price, exact, rel_err)).alias("c_median"),
         F.count(F.when(pair, F.lit(1))).alias("r_n"),
         F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
-        F.count(F.col("name")).alias("n"),
-        *[F.avg(F.col(src)).alias(out) for out, src in means],
-    )
-    glob_fields = ["n_rows", "s_price", "s_user", "s_critic", "c_mean", "c_median", "r_n", "r"]
-    one = per_group.agg(
-        F.first(F.when(whole, F.struct(*glob_fields)), ignorenulls=True).alias("G"),
-        F.array_sort(F.collect_list(F.when(~whole & F.col("_k").isNotNull(), F.struct(
-            F.col("_k").alias("k"), F.col("n").alias("n"),
-            *[F.col(out).alias(out) for out, _ in means])))).alias("Y"),
     )
+    one = one.select(F.struct(*one.columns).alias("G"))
+
+    keyed = per_key(clean, key, "name", DEFAULT_MEANS, "n").withColumnRenamed(key, "k")
+    entry = F.struct("k", "n", *[out for out, _ in means])
+
+    def top(rows: DataFrame, n: int) -> Column:
+        """The ``n`` largest keys, ascending, as one array."""
+        return rows.orderBy(F.desc("k")).limit(n).agg(F.array_sort(F.collect_list(entry))).scalar()
+
+    # The peak is the smallest of the keys with the most rows.
+    ends = keyed.agg(F.struct(F.min("k").alias("lo"), F.max("k").alias("hi"),
+                              F.min_by(entry, F.struct(-F.col("n"), "k")).alias("peak"))).scalar()
+    one = one.select("G", top(keyed, LAST_COUNTS).alias("Y10"),
+                     top(keyed.where(F.col("n") > min_count), LAST_STATS).alias("Y15"), ends.alias("E"))
     if separate:
         k_sum = rel_err_to_k(1.0 / accuracy)
         one = one.withColumn("M", _quantile_map(clean, price, user, critic, price_max, exact, k_sum,
                                                 method))
-    Y = F.col("Y")
     fields = ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")
 
     def block(section: int, first: int, name: str, series: int) -> list[str]:
@@ -234,33 +224,36 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
         fixed(3, 21, ""),
         fixed(4, 0, SECTION_YEARS), fixed(4, 1, SINGLE_RULE), fixed(4, END_SEQ, ""),
         fixed(5, 0, SECTION_INSIGHTS), fixed(5, 1, SINGLE_RULE), fixed(5, 2, INSIGHT_RECENT),
-        _line_sql(5, 3, f"CASE WHEN size(Y) > 0 THEN format_string({_sql_str(INSIGHT_SPAN)}, "
-                        "cast(Y[0].k as string), cast(Y[size(Y) - 1].k as string)) END"),
+        _line_sql(5, 3, f"CASE WHEN E.lo IS NOT NULL THEN format_string({_sql_str(INSIGHT_SPAN)}, "
+                        "cast(E.lo as string), cast(E.hi as string)) END"),
+        _line_sql(5, 4, f"CASE WHEN E.lo IS NOT NULL THEN format_string({_sql_str(INSIGHT_PEAK)}, "
+                        "cast(E.peak.k as string), cast(E.peak.n as string)) END"),
         _line_sql(5, 5, f"CASE WHEN G.c_mean IS NOT NULL AND {c_median} IS NOT NULL THEN "
                         f"format_string({_sql_str(INSIGHT_PRICE)}, G.c_mean, {c_median}) END"),
         _line_sql(5, 6, f"CASE WHEN G.r_n > {int(min_pairs)} AND G.r IS NOT NULL THEN "
                         f"format_string({_sql_str(INSIGHT_CORR)}, G.r) END"),
     ]
-    peak_line = F.struct(F.lit(5).alias("section"), F.lit(4).alias("seq"),
-                         F.when(F.size(Y) > 0, _peak_text(Y)).alias("line"))
-    fixed_array = F.concat(F.expr("array(" + ", ".join(fixed_lines) + ")"), F.array(peak_line))
-
-    def key_seq(e: Column) -> Column:
-        return (F.lit(KEY_SEQ) + e["k"]).cast("int").alias("seq")
-
-    counts = _last(Y, LAST_COUNTS)
-    count_lines = F.transform(counts, lambda e: F.struct(
-        F.lit(1).alias("section"), key_seq(e),
+    if label_line:
+        label = F.when(F.col("G.r_n") > min_pairs, corr_label(F.col("G.r")))
+        extra = F.array(F.struct(F.lit(5).alias("section"), F.lit(7).alias("seq"), label.alias("line")))
+    fixed_array = F.expr("array(" + ", ".join(fixed_lines) + ")")
+    if label_line:
+        fixed_array = F.concat(fixed_array, extra)
+
+    def key_seq(i: Column) -> Column:
+        return (F.lit(KEY_SEQ) + i).cast("int").alias("seq")
+
+    count_lines = F.transform("Y10", lambda e, i: F.struct(
+        F.lit(1).alias("section"), key_seq(i),
         F.concat(_text(e["k"]), F.lit(": "), _text(e["n"])).alias("line")))
-    stats = _last(F.filter(Y, lambda e: e["n"] > min_count), LAST_STATS)
 
-    def stat_line(e: Column) -> Column:
+    def stat_line(e: Column, i: Column) -> Column:
         parts = [_text(e["k"]), F.lit(": count="), _text(e["n"])]
         for out, _ in means:
             parts += [F.lit(f", {out}="), _text(F.round(e[out], 2))]
-        return F.struct(F.lit(4).alias("section"), key_seq(e), F.concat(*parts).alias("line"))
+        return F.struct(F.lit(4).alias("section"), key_seq(i), F.concat(*parts).alias("line"))
 
-    year_lines = F.transform(stats, stat_line)
+    year_lines = F.transform("Y15", stat_line)
     lines = one.select(F.inline(F.concat(fixed_array, count_lines, year_lines)))
     return lines.where(F.col("line").isNotNull())
 
@@ -283,25 +276,12 @@ def _quantile_map(clean: DataFrame, price: Column, user: Column, critic: Column,
     ))
     stacked = clean.select(series.alias("_s")).select("_s.series", "_s.v")
     if exact:
-        qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], max_groups=4, method=method)
+        qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], method=method)
     else:
         qs = approx_quantiles(stacked, "v", QUARTILES, by=["series"], k=k)
     return qs.agg(F.map_from_entries(F.collect_list(F.struct("series", "q")))).scalar()
 
 
-def _last(arr: Column, n: int) -> Column:
-    """The last ``n`` elements of an ascending array (all of them if fewer)."""
-    return F.slice(arr, F.greatest(F.size(arr) - F.lit(n - 1), F.lit(1)), F.lit(n))
-
-
-def _peak_text(years: Column) -> Column:
-    """Year with the most rows; on ties the earliest year."""
-    best = F.array_max(F.transform(years, lambda e: F.struct(
-        F.coalesce(e["n"], F.lit(0)).alias("n0"), (-e["k"]).alias("neg_k"),
-        e["k"].alias("k"), e["n"].alias("n"))))
-    return F.format_string(INSIGHT_PEAK, _text(best["k"]), _text(best["n"]))
-
-
 def prompt_text(lines: DataFrame, instructions: str, key: str | None = None,
                 order: tuple[str, ...] = ("section", "seq"), text_col: str = "line",
                 out: str = "prompt") -> DataFrame:

@@ -5,6 +5,7 @@
                       once when no copy exists yet (or on ``refresh``).
 * ``write_table``     Parquet or CSV sink, overwrite.
 * ``write_report``    ordered text lines into a single text part.
+* ``write_answers``   model answers as text files, in parallel.
 
 Format is chosen explicitly (never by catching arbitrary errors): only the
 "path not found" condition means "no Parquet copy yet"; every other failure
@@ -17,11 +18,11 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",   # quoted line breaks stay inside one field
     "escape": '"',         # a doubled quote inside a quoted field is one quote
     "mode": "PERMISSIVE",
 }
@@ -37,11 +38,13 @@ def _format_of(path: str, fmt: str | None) -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
-               fmt: str | None = None, infer: bool = False) -> DataFrame:
+               fmt: str | None = None, infer: bool = False, multi_line: bool = True) -> DataFrame:
     """Scan a CSV or Parquet table.
 
-    CSV: header row, quoted multi-line fields; columns are text unless a
-    schema is given (``clean_table`` parses numbers, counts and dates from
+    CSV: header row; quoted line breaks stay inside one field, for which one
+    task must read each file from its start.  ``multi_line=False`` says that
+    no field holds a line break: large files are then split and read in
+    parallel.  Columns are text unless a schema is given (``clean_table`` parses numbers, counts and dates from
     text).  ``infer=True`` infers types instead, at the cost of an extra full
     pass over the input.  Parquet: schema from the file footers; filters and
     column pruning reach the reader.
@@ -51,7 +54,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     if schema is not None:
         reader = reader.schema(schema)
     if kind == "csv":
-        reader = reader.options(**CSV_OPTIONS)
+        reader = reader.options(**CSV_OPTIONS, multiLine=str(multi_line).lower())
         if schema is None and infer:
             reader = reader.option("inferSchema", "true")
         return reader.csv(path)
@@ -64,18 +67,34 @@ def _is_missing_path(err: AnalysisException) -> bool:
     return name == "PATH_NOT_FOUND"
 
 
+def _unfinished(spark: SparkSession, parquet_path: str, csv_path: str) -> bool:
+    """A Parquet folder without success marker beside a CSV to convert again."""
+    sc = spark.sparkContext
+    conf, paths = sc._jsc.hadoopConfiguration(), sc._jvm.org.apache.hadoop.fs
+
+    def there(path: str, folder: bool = False) -> bool:
+        p = paths.Path(path)
+        fs = p.getFileSystem(conf)
+        return fs.exists(p) and (not folder or fs.getFileStatus(p).isDirectory())
+
+    return (there(parquet_path, folder=True) and not there(os.path.join(parquet_path, "_SUCCESS"))
+            and there(csv_path))
+
+
 def read_or_convert(spark: SparkSession, base: str, name: str,
                     schema: StructType | str | None = None,
-                    refresh: bool = False, infer: bool = False) -> DataFrame:
+                    refresh: bool = False, infer: bool = False, multi_line: bool = True) -> DataFrame:
     """Read ``base/name.parquet``; if it does not exist, convert ``base/name.csv``.
 
+    A folder that a conversion left unfinished (no success marker, while the
+    CSV is there) counts as not there.
     The conversion writes the Parquet copy once (overwrite) and reads it back,
     so later scans get column pruning and predicate pushdown.  ``refresh``
     forces a new conversion so a stale copy cannot win.
     """
     parquet_path = os.path.join(base, f"{name}.parquet")
     csv_path = os.path.join(base, f"{name}.csv")
-    if not refresh:
+    if not refresh and not _unfinished(spark, parquet_path, csv_path):
         try:
             df = spark.read.parquet(parquet_path)
             df.schema  # resolves the file listing now
@@ -83,7 +102,7 @@ def read_or_convert(spark: SparkSession, base: str, name: str,
         except AnalysisException as err:
             if not _is_missing_path(err):
                 raise
-    raw = read_table(spark, csv_path, schema=schema, fmt="csv", infer=infer)
+    raw = read_table(spark, csv_path, schema=schema, fmt="csv", infer=infer, multi_line=multi_line)
     raw.write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 
@@ -116,3 +135,9 @@ def write_report(lines: DataFrame, path: str, order: tuple[str, ...] = ("section
           .sortWithinPartitions(*order)
           .select(text_col)
           .write.mode("overwrite").text(path))
+
+
+def write_answers(answers: DataFrame, path: str, text_col: str = "content") -> None:
+    """Write answer texts as text files, in parallel; rows without an answer are left out."""
+    (answers.where(F.col(text_col).isNotNull()).select(text_col)
+            .write.mode("overwrite").text(path))

@@ -107,19 +107,33 @@ def test_report_kll_matches_gk_layout(spark):
     assert sum(same) >= len(a) - 10  # only sketch quartile/median lines may differ
 
 
-def test_small_input_method_matches_bracket(spark):
+def test_one_path_at_every_size(spark):
     df = spark.range(5000).select((F.col("id") % 4).alias("g"), (F.rand(9) * 10).alias("v"))
-    small = exact_quantiles(df, "v", LEVELS, by=["g"])          # proven small: percentile
-    plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "percentile(" in plan
-    a = {r.g: r.q for r in small.collect()}
-    b = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], method="bracket").collect()}
+    own = exact_quantiles(df, "v", LEVELS, by=["g"])  # small, and yet the same path
+    assert "percentile(" not in own._jdf.queryExecution().executedPlan().toString()
+    a = {r.g: r.q for r in own.collect()}
+    b = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], method="percentile").collect()}
     for g in a:
         np.testing.assert_allclose(a[g], b[g], rtol=1e-13)
     with pytest.raises(ValueError):
         exact_quantiles(df, "v", [0.5], method="sorted")
 
 
+def test_accuracy_is_kept_or_refused():
+    from tablestats.operators.quantiles import MAX_K, kll_rank_error, rel_err_to_k
+    assert kll_rank_error(rel_err_to_k(1e-4)) <= 1e-4 and rel_err_to_k(1e-4) <= MAX_K
+    with pytest.raises(ValueError):
+        rel_err_to_k(1e-6)
+
+
+def test_extreme_values(spark):
+    vals = [float("-inf"), -1e308, -1.0, 0.0, 5e-324, 1.0, 1e308, float("inf")] * 50
+    df = spark.createDataFrame([(v,) for v in vals] + [(float("nan"),), (None,)], "v double")
+    row = exact_quantiles(df, "v", [0.2, 0.45, 0.8]).first()
+    srt = sorted(vals)
+    assert row.n == 400 and row.q[0] == srt[80] and row.q[2] == srt[320]
+
+
 @pytest.mark.parametrize("method", ["percentile", "bracket"])
 def test_null_group_keys_are_ignored(spark, method):
     df = spark.createDataFrame([(1, 1.0), (1, 3.0), (None, 100.0), (None, 200.0), (2, None)],

@@ -38,10 +38,15 @@ def test_box_stats_matches_brute_force(spark, max_buckets):
         assert r.n_out == n_out and r.n == len(xs)
 
 
-def test_box_stats_broadcast_only_with_bound(spark):
-    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "b string, x double")
-    bounded = box_stats(df, "b", "x", max_buckets=2)._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in bounded.lower()
+def test_box_stats_spreads_hot_buckets(spark):
+    df = spark.range(5000).selectExpr("if(id % 10 < 9, 'hot', 'b') as b", "cast(id as double) as x")
+    out = box_stats(df, "b", "x", exact=True, max_buckets=2)
+    assert "Statistics" not in out._jdf.queryExecution().optimizedPlan().toString()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan  # no hint on a caller's word
+    joins = [x for x in plan.splitlines() if "Join Inner" in x]
+    assert joins and all("_salt" in x for x in joins)
+    assert {r.b: r.n for r in out.collect()} == {"hot": 4500, "b": 500}
 
 
 def test_bucket_stats(spark):
@@ -59,7 +64,7 @@ def test_corr_and_fit_fixture(spark):
     c = corr_gated(df, "x", "y", min_rows=0).first()
     assert c.n == 3 and math.isclose(c.corr, 0.9999820, abs_tol=1e-7)
     assert corr_gated(df, "x", "y").first().corr is None  # 3 pairs is not more than 10
-    f = linear_fit(df, "x", "y").first()
+    f = linear_fit(df, "x", "y", min_rows=1).first()
     assert math.isclose(f.slope, 2.0642857, abs_tol=1e-7)
     assert math.isclose(f.intercept, -0.05, abs_tol=1e-9) and f.n == 3
     zx, zy = np.array([1, 2, 4.0]), np.array([2, 4.1, 8.2])
@@ -97,7 +102,7 @@ def test_fit_line_matches_linspace(spark):
 
 def test_predict_uses_scalar_fit(spark):
     df = spark.createDataFrame(PAIRS, "x double, y double")
-    fit = linear_fit(df, "x", "y")
+    fit = linear_fit(df, "x", "y", min_rows=1)
     out = predict(df, fit, "x", "yhat")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
