@@ -18,6 +18,9 @@ from tablestats.session import ensure_checkpoint_dir
 #: rows: some tens of MB at most).  Beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
 
+#: Rows per Arrow batch: texts are long, and a batch is held several times over.
+BATCH_ROWS = 1_000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -25,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH_ROWS`` rows, which bounds Python's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; one of its own only where unset."""
     return spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)

@@ -14,11 +14,11 @@ that tokens share make a rare token frequent, which loses nothing.
 
 Groups: documents with equal sets are one class from the start (a shuffle with
 partial aggregation, however many copies).  Classes that share their smallest
-token are verified against the first of them, which joins large groups of near
-copies by one pair a member.  Candidate pairs are then only formed between
+token (by any of ``LABELS`` hashes) are verified against the one of them with most
+copies, which joins large groups of near copies by a few pairs a member.  Candidate pairs are then only formed between
 different components: in each index entry the rows outside of its largest
-component meet all others.  A pair must share as many prefix tokens as the sizes
-of the remainders demand before any set is read for it.
+component meet all others.  A pair must share as many entries as the sizes of
+the remainders demand before any set is read for it.
 
 Scale: texts are read where they lie; sets are built for candidates alone, and
 for those the ids are broadcast within ``BROADCAST_ROWS`` or else shuffled.  The
@@ -42,10 +42,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestats.llm.common import dropped, small_side, written
+from tablestats.llm.common import dropped, small_batches, small_side, written
 
 WIDTH = 3
 PERCENT = 90
+LABELS = 3
 FREQUENT_LABELS = 64
 FREQUENT_TOKENS = 1 << 20
 CLASS_BITS = 24
@@ -59,10 +60,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_SEEDS = _mix(np.arange(1, LABELS + 1, dtype=np.uint64) * _ODD)
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's shingles (words remembered up to a bound)."""
 
-    def __init__(self, width: int = WIDTH, memory: int = 300_000):
+    def __init__(self, width: int = WIDTH, memory: int = 100_000):
         self.width, self.memory, self.seen = width, memory, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -71,7 +75,7 @@ class Shingler:
             return np.empty(0, np.uint64)
         if len(seen) > self.memory:
             seen.clear()
-        for w in set(found) - seen.keys():
+        for w in [w for w in set(found) if w not in seen]:
             seen[w] = xxhash.xxh3_64_intdigest(w)
         h = np.fromiter((seen[w] for w in found), np.uint64, len(found))
         width = min(self.width, len(h))
@@ -120,32 +124,38 @@ def least_size(percent: int) -> int:
     return n
 
 
-def _classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``uid, doc_id, n, key, label, front``: set size, set hash, smallest token, first tokens."""
+def _front(n: int, percent: int) -> int:
+    """How many of the smallest tokens are kept: a prefix, and some in place of frequent ones."""
+    need = slack(n, percent) + 1
+    return need + need // 4 + 8
+
+
+def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``uid, doc_id, n, key, labels, front``: set size, set hash, smallest token by each of
+    ``LABELS`` hashes, first tokens."""
     least = least_size(percent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(width)
         for batch in batches:
-            n, key, label, front = [], [], [], []
+            n, key, labels, front = [], [], [], []
             for uid, text in zip(batch["uid"], batch["text"], strict=True):
                 s = shingles(text)
                 n.append(len(s))
                 key.append(hashlib.blake2b(s.tobytes() if len(s) else b"%d" % uid,
                                            digest_size=16, person=b"set" if len(s) else b"none").digest())
-                label.append(int(s[0].astype(np.int64)) if len(s) else 0)
-                # Twice the prefix: enough when up to half of it turns out frequent.
-                front.append(s[:2 * slack(len(s), percent) + 2].view(np.int64) if len(s) >= least else [])
+                labels.append([int(_mix(s ^ seed).min().astype(np.int64)) for seed in _SEEDS] if len(s) else [])
+                front.append(s[:_front(len(s), percent)].view(np.int64) if len(s) >= least else [])
             yield pd.DataFrame({"uid": batch["uid"], "doc_id": batch["doc_id"], "n": n, "key": key,
-                                "label": label, "front": front})
+                                "labels": labels, "front": front})
 
-    return docs.mapInPandas(run, "uid long, doc_id long, n int, key binary, label long, front array<long>")
+    return docs.mapInPandas(run, "uid long, doc_id long, n int, key binary, labels array<long>, front array<long>")
 
 
-def _frequent(classes: DataFrame, percent: int, labels: int) -> np.ndarray:
+def _frequent(classes: DataFrame, labels: int) -> np.ndarray:
     """Bitmap of the tokens in the prefixes of more than ``labels`` groups of like documents."""
-    first = F.slice("front", F.lit(1), F.greatest(F.lit(0), F.floor(F.size("front") / 2).cast("int")))
-    tokens = (classes.where(F.size("front") > 0).select(F.explode(first).alias("token"), "label").distinct()
+    # Sixteen bits of the label tell groups apart well enough to count to ``labels``.
+    tokens = (classes.select(F.explode("front").alias("token"), F.get("labels", 0).bitwiseAND(0xFFFF).alias("label")).distinct()
               .groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > labels))
     tokens = written(tokens, "frequent")
     while tokens.where(F.col("n") > labels).count() > FREQUENT_TOKENS:
@@ -167,7 +177,7 @@ def _texts_of(docs: DataFrame, uids: DataFrame) -> DataFrame:
 
 
 def _index(docs: DataFrame, classes: DataFrame, bitmap, width: int, percent: int) -> DataFrame:
-    """``sig, key, n, rest`` per class; sets with few rare tokens are read again in full."""
+    """``sig, uid, n, rest`` per class; sets with few rare tokens are read again in full."""
     def from_front(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sig, rest = [], []
@@ -177,23 +187,23 @@ def _index(docs: DataFrame, classes: DataFrame, bitmap, width: int, percent: int
                 whole = len(rare) > slack(n, percent)
                 sig.append(rare.view(np.int64) if whole else [])
                 rest.append(n - len(rare) if whole else -1)
-            yield pd.DataFrame({"uid": batch["uid"], "key": batch["key"], "n": batch["n"], "sig": sig, "rest": rest})
+            yield pd.DataFrame({"uid": batch["uid"], "n": batch["n"], "sig": sig, "rest": rest})
 
     def from_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(width)
         for batch in batches:
-            for key, n, text in zip(batch["key"], batch["n"], batch["text"], strict=True):
+            for uid, n, text in zip(batch["uid"], batch["n"], batch["text"], strict=True):
                 sig, rest = signatures(shingles(text), bitmap.value, percent)
                 for i in range(0, len(sig), 1 << 16):
-                    yield pd.DataFrame({"key": [key], "n": [n], "sig": [sig[i:i + (1 << 16)].view(np.int64)],
+                    yield pd.DataFrame({"uid": [uid], "n": [n], "sig": [sig[i:i + (1 << 16)].view(np.int64)],
                                         "rest": [rest]})
 
-    near = written(classes.where(F.size("front") > 0).select("uid", "key", "n", "front")
-                   .mapInPandas(from_front, "uid long, key binary, n int, sig array<long>, rest int"), "near")
-    far = _texts_of(docs, near.where("rest < 0").select("uid", "key", "n")).select("key", "n", "text").mapInPandas(
-        from_text, "key binary, n int, sig array<long>, rest int")
-    both = near.where("rest >= 0").select("key", "n", "sig", "rest").unionByName(far.select("key", "n", "sig", "rest"))
-    return both.select(F.explode("sig").alias("sig"), "key", "n", "rest")
+    near = written(classes.select("uid", "n", "front").mapInPandas(
+        from_front, "uid long, n int, sig array<long>, rest int"), "near")
+    far = _texts_of(docs, near.where("rest < 0").select("uid", "n")).select("uid", "n", "text").mapInPandas(
+        from_text, "uid long, n int, sig array<long>, rest int")
+    both = near.where("rest >= 0").select("uid", "n", "sig", "rest").unionByName(far)
+    return both.select(F.explode("sig").alias("sig"), "uid", "n", "rest")
 
 
 def _sizes_fit(percent: int):
@@ -205,12 +215,12 @@ def _needed(percent: int):
     return F.ceil((F.col("n") + F.col("other_n")) * percent / F.lit(100 + percent) - 1e-9)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The ``key, other`` of ``pairs`` whose whole sets reach the threshold."""
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the ``uid, other`` pairs whose whole sets reach the threshold."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(width)
         for batch in batches:
-            yield pd.DataFrame({"key": batch["key"], "set": [shingles(t).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"uid": batch["uid"], "set": [shingles(t).tobytes() for t in batch["text"]]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -220,98 +230,101 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
                 both = np.sort(np.concatenate([a, b]), kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield batch.loc[keep, ["key", "other"]]
-
-    nodes = pairs.select("key").unionByName(pairs.select(F.col("other").alias("key"))).distinct()
-    uids = written(nodes.join(classes.select("key", "uid"), "key"), "wanted")
-    whole = written(_texts_of(docs, uids).select("key", "text").mapInPandas(sets, "key binary, set binary"), "sets")
-    rows = (pairs.select("key", "other").join(whole.withColumnRenamed("set", "b").withColumnRenamed("key", "other"), "other")
-            .join(whole.withColumnRenamed("set", "a"), "key"))
-    out = written(rows.select("key", "other", "a", "b").mapInPandas(compare, "key binary, other binary"), "links")
+            yield batch.loc[keep, ["uid", "other"]]
+
+    nodes = written(pairs.select("uid").unionByName(pairs.select(F.col("other").alias("uid"))).distinct(), "nodes")
+    whole = written(_texts_of(docs, nodes).select("uid", "text").mapInPandas(sets, "uid long, set binary"), "sets")
+    rows = (pairs.join(whole.select(F.col("uid").alias("other"), F.col("set").alias("b")), "other")
+            .join(whole.select("uid", F.col("set").alias("a")), "uid"))
+    out = written(rows.select("uid", "other", "a", "b").mapInPandas(compare, "uid long, other long"), "links")
     dropped(whole)
     return out
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``key, comp``: the smallest key reachable, for keys that have a link.
+    """``uid, comp``: the smallest uid reachable, for rows that have a link.
 
     Each round takes the smallest label among the neighbours and then follows
     labels to their own label, so that distances shrink fast."""
-    both = written(links.select("key", "other").unionByName(links.select(F.col("other").alias("key"), F.col("key").alias("other"))).distinct(), "both")
-    labels = written(both.groupBy("key").agg(F.least(F.col("key"), F.min("other")).alias("comp")), "comp")
+    back = links.select(F.col("other").alias("uid"), F.col("uid").alias("other"))
+    both = written(links.select("uid", "other").unionByName(back).distinct(), "both")
+    labels = written(both.groupBy("uid").agg(F.least(F.col("uid"), F.min("other")).alias("comp")), "comp")
     while True:
-        seen = both.join(labels.select(F.col("key").alias("other"), "comp"), "other").groupBy("key").agg(F.min("comp").alias("near"))
-        step = labels.join(seen, "key").select("key", F.least("comp", "near").alias("next"), F.col("comp").alias("was"))
-        step = written(step, "step")
-        jump = labels.select(F.col("key").alias("next"), F.col("comp").alias("up"))
-        new = written(step.join(jump, "next").select("key", F.least("next", "up").alias("comp"),
-                                                     (F.least("next", "up") != F.col("was")).alias("moved")), "comp")
+        seen = (both.join(labels.select(F.col("uid").alias("other"), "comp"), "other")
+                .groupBy("uid").agg(F.min("comp").alias("near")))
+        step = written(labels.join(seen, "uid").select(
+            "uid", F.least("comp", "near").alias("next"), F.col("comp").alias("was")), "step")
+        jump = labels.select(F.col("uid").alias("next"), F.col("comp").alias("up"))
+        new = written(step.join(jump, "next").select(
+            "uid", F.least("next", "up").alias("comp"), (F.least("next", "up") != F.col("was")).alias("moved")), "comp")
         moved = new.where("moved").limit(1).count()
         dropped(step)
         dropped(labels)
         labels = new
         if not moved:
             dropped(both)
-            return labels.select("key", "comp")
+            return labels.select("uid", "comp")
 
 
 def linked(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT,
            frequent_labels: int = FREQUENT_LABELS) -> DataFrame:
-    """``uid, doc_id, n_shingles, key, component, component_id``: one row per document.
+    """``uid, doc_id, n_shingles, component, component_id``: one row per document.
 
-    ``key`` names the class of equal sets, ``component`` the linked group,
-    ``uid`` the row in reading order; ``component_id`` is the smallest doc_id
+    ``component`` names the linked group, ``uid`` the row in reading order; ``component_id`` is the smallest doc_id
     reachable over links.  ``docs`` is a stored table: its rows are read more
     than once and must come alike."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn(
         "uid", F.monotonically_increasing_id())
-    rows = written(_classes(docs, width, percent), "rows")
+    rows = written(_sets(docs, width, percent), "rows")
+    # A class of equal sets goes by its first row.
     classes = written(rows.where("n > 0").groupBy("key").agg(
-        F.min("doc_id").alias("low"), F.min_by(F.struct("uid", "n", "label", "front"), "uid").alias("one"))
-        .select("key", "low", "one.*"), "classes")
-    bitmap = spark.sparkContext.broadcast(_frequent(classes, percent, frequent_labels))
-
-    # Near copies: every class against the first of those with its smallest token.
-    able = classes.where(F.size("front") > 0)
-    pivots = able.groupBy("label").agg(F.min_by(F.struct("key", "n", "front"), F.struct("key")).alias("p"),
-                                       F.count("*").alias("m")).where("m > 1").select(
-        "label", F.col("p.key").alias("other"), F.col("p.n").alias("other_n"), F.col("p.front").alias("other_front"))
-    # ``front`` holds the smallest tokens of each set, so shared ones bound the overlap.
-    shared = F.size(F.array_intersect("front", "other_front"))
-    behind = F.greatest(F.col("n") - F.size("front"), F.col("other_n") - F.size("other_front"))
-    stars = written(able.join(pivots, "label").where((F.col("key") != F.col("other")) & _sizes_fit(percent)
-                                                     & (shared + behind >= _needed(percent))).select("key", "other"), "stars")
-    first = _verified(stars, docs, classes, width, percent)
+        F.min("uid").alias("uid"), F.min("doc_id").alias("low"), F.count("*").alias("copies")), "classes")
+    able = written(rows.where(F.size("front") > 0).select("uid", "n", "labels", "front")
+                   .join(small_side(classes.select("uid", "copies"), classes.count()), "uid"), "able")
+    bitmap = spark.sparkContext.broadcast(_frequent(able, frequent_labels))
+
+    # Near copies: every class against the one with most copies among those that share
+    # a smallest token, which is likely the text that the others were made from.
+    sizes = able.select("uid", "n", "copies", F.explode("labels").alias("label"))
+    pivots = sizes.groupBy("label").agg(F.max(F.struct("copies", -F.col("uid"), "uid", "n")).alias("p"),
+                                        F.count("*").alias("m")).where("m > 1").select(
+        "label", F.col("p.uid").alias("other"), F.col("p.n").alias("other_n"))
+    stars = written(sizes.join(pivots, "label").where((F.col("uid") != F.col("other")) & _sizes_fit(percent))
+                    .select("uid", "other").distinct(), "stars")
+    first = _verified(stars, docs, width, percent)
     start = components(first)
 
     # Then pairs of different components that share an entry of the index.
-    entries = written(_index(docs, classes, bitmap, width, percent).join(start, "key", "left")
-                      .withColumn("comp", F.coalesce("comp", "key")), "index")
+    entries = written(_index(docs, able, bitmap, width, percent).join(start, "uid", "left")
+                      .withColumn("comp", F.coalesce("comp", "uid")), "index")
+    dropped(able)
     per_comp = entries.groupBy("sig", "comp").agg(F.count("*").alias("m"))
-    mixed = per_comp.groupBy("sig").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("m", "comp")).alias("major")
-                                        ).where("comps > 1").select("sig", "major")
+    mixed = per_comp.groupBy("sig").agg(
+        F.count("*").alias("comps"), F.max(F.struct("m", "comp")).alias("top")).where("comps > 1").select(
+        "sig", F.col("top.comp").alias("major"))
     entries = written(entries.join(mixed, "sig"), "mixed")
-    minor = entries.where(F.col("comp") != F.col("major"))
-    others = entries.select("sig", F.col("key").alias("other"), F.col("n").alias("other_n"),
+    minor = entries.where(F.col("comp") != F.col("major")).drop("major")
+    others = entries.select("sig", F.col("uid").alias("other"), F.col("n").alias("other_n"),
                             F.col("rest").alias("other_rest"), F.col("comp").alias("other_comp"),
                             (F.col("comp") == F.col("major")).alias("in_major"))
     met = minor.join(others, "sig").where((F.col("comp") != F.col("other_comp")) & _sizes_fit(percent)
-                                          & (F.col("in_major") | (F.col("key") < F.col("other"))))
-    pairs = (met.select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"),
-                        "n", "other_n", F.greatest("rest", "other_rest").alias("behind"))
-             .withColumns({"n_low": F.least("n", "other_n"), "n_high": F.greatest("n", "other_n")})
-             .groupBy("key", "other", "n_low", "n_high", "behind").agg(F.count("*").alias("shared"))
-             .select("key", "other", F.col("n_low").alias("n"), F.col("n_high").alias("other_n"), "behind", "shared")
-             .where(F.col("shared") + F.col("behind") >= _needed(percent)).select("key", "other"))
-    second = _verified(written(pairs, "pairs"), docs, classes, width, percent)
+                                          & (F.col("in_major") | (F.col("uid") < F.col("other"))))
+    pairs = (met.select(F.least("uid", "other").alias("uid"), F.greatest("uid", "other").alias("other"),
+                        F.least("n", "other_n").alias("n"), F.greatest("n", "other_n").alias("other_n"),
+                        F.greatest("rest", "other_rest").alias("behind"))
+             .groupBy("uid", "other", "n", "other_n", "behind").agg(F.count("*").alias("shared"))
+             .where(F.col("shared") + F.col("behind") >= _needed(percent)).select("uid", "other"))
+    second = _verified(written(pairs, "pairs"), docs, width, percent)
     comps = components(first.unionByName(second))
 
-    lows = classes.select("key", "low").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    lows = lows.join(lows.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("key", "comp", "component_id")
-    return rows.select("uid", "doc_id", F.col("n").cast("long").alias("n_shingles"), "key").join(lows, "key", "left").select(
-        "uid", "doc_id", "n_shingles", "key", F.coalesce("comp", "key").alias("component"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+    lows = classes.join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
+    lows = lows.join(lows.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select(
+        "key", "comp", "component_id")
+    return (rows.select("uid", "doc_id", F.col("n").cast("long").alias("n_shingles"), "key").join(lows, "key", "left")
+            .select("uid", "doc_id", "n_shingles", F.coalesce("comp", -1 - F.col("uid")).alias("component"),
+                    F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
