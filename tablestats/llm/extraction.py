@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tablestats.llm.common import small_batches
+
 #: HTML's element names by what they mean here.
 NEVER = frozenset("head script style noscript template iframe svg canvas object nav footer aside form button select "
                   "textarea menu dialog audio video datalist".split())
@@ -43,6 +45,7 @@ BLOCK = frozenset("address article aside blockquote body br caption center dd de
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
 HOME = frozenset(("article", "main"))
+HOLDERS = frozenset(("article", "main", "section", "div", "td"))
 #: Words of class, id and role that mark an element as no article text.
 BOILER = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie "
                    "cookies consent gdpr notice notices sidebar nav navbar navigation menu breadcrumb breadcrumbs "
@@ -80,19 +83,21 @@ class Page:
     kinds: list[str] = field(default_factory=list)
     sizes: list[int] = field(default_factory=list)
     home: list[int] = field(default_factory=list)  # number of the article element around, 0: none
+    holder: list[int] = field(default_factory=list)  # number of the nearest container around, 0: none
     blocks: list[tuple[int, int, str]] = field(default_factory=list)  # first event, article, text
     homes: int = 0
 
 
 def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
-    stack: list[tuple[str, bool, int]] = []  # name, boilerplate, article number
-    skip, home, parts, first = 0, 0, [], -1
+    stack: list[tuple[str, bool, int, int]] = []  # name, boilerplate, article and container around
+    skip, home, holder, holders, parts, first = 0, 0, 0, 0, [], -1
 
     def event(kind: str, size: int) -> None:
         page.kinds.append(kind)
         page.sizes.append(size)
         page.home.append(home)
+        page.holder.append(holder)
 
     def flush() -> None:
         nonlocal parts, first
@@ -136,13 +141,16 @@ def parse(source: str | None) -> Page:
                 if stack[i][0] == name:
                     flush() if any(x[0] in BLOCK for x in stack[i:]) else None
                     skip -= sum(x[1] for x in stack[i:])
-                    home = stack[i][2]
+                    home, holder = stack[i][2:]
                     del stack[i:]
                     break
         elif name not in VOID and not m["attrs"].endswith("/"):
             out = _boilerplate(name, m["attrs"], bool(home))
-            stack.append((name, out, home))
+            stack.append((name, out, home, holder))
             skip += out
+            if name in HOLDERS and not skip:
+                holders += 1
+                holder = holders
             if name in HOME and not skip:
                 page.homes += 1
                 home = page.homes
@@ -201,7 +209,13 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     if homes:
         chosen = max(homes, key=lambda h: (sum(page.sizes[i] for i in range(a, b) if page.home[i] == h), -h))
         return "\n".join(t for _, h, t in page.blocks if h == chosen)
-    return "\n".join(t for i, _, t in page.blocks if a <= i < b)
+    # Blocks that follow in the same element belong to it, however short.
+    holders = Counter(page.holder[i] for i in range(a, b) if page.kinds[i].startswith("word"))
+    if not holders:
+        return ""
+    first = next(i for i in range(a, b) if page.kinds[i].startswith("word"))
+    held = {h for h in holders if h == page.holder[first]}
+    return "\n".join(t for i, _, t in page.blocks if a <= i < b or page.holder[i] in held)
 
 
 def learn(pages: DataFrame) -> dict[str, float]:
@@ -219,6 +233,7 @@ def learn(pages: DataFrame) -> dict[str, float]:
 
 def main_text(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """``page_id, url, text, n_chars``."""
+    small_batches(pages.sparkSession)
     weights = learn(pages) if weights is None else weights
 
     @F.pandas_udf(StringType())
