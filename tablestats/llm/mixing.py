@@ -70,16 +70,16 @@ def sainte_lague(targets: list[float], seats: int) -> list[int]:
     held = [int(t * seats / total + 0.5) for t in targets]
     missing = seats - sum(held)
     sign = 1 if missing >= 0 else -1  # quotient of the next seat, or of the last one
-    heap = [(-sign * t / (2 * h + sign), i) for i, (t, h) in enumerate(zip(targets, held, strict=True))
+    heap = [(-sign * t / (2 * h + sign), sign * i) for i, (t, h) in enumerate(zip(targets, held, strict=True))
             if sign > 0 or h]
     heapq.heapify(heap)
     for _ in range(abs(missing)):
-        _, i = heap[0]
+        i = abs(heap[0][1])
         held[i] += sign
         if sign < 0 and not held[i]:
             heapq.heappop(heap)
         else:
-            heapq.heapreplace(heap, (-sign * targets[i] / (2 * held[i] + sign), i))
+            heapq.heapreplace(heap, (-sign * targets[i] / (2 * held[i] + sign), sign * i))
     return held
 
 
