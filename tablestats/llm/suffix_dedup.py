@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestats.llm.common import BROADCAST_ROWS, dropped, written
+from tablestats.llm.common import BROADCAST_ROWS, small_batches, written
 
 SPAN = 100
 GRAM = 32
@@ -217,76 +217,92 @@ def _repeated_anchors(docs: DataFrame, span: int, gram: int) -> np.ndarray:
     return out
 
 
+def _bounded(df: DataFrame, array: str) -> DataFrame:
+    """Broadcast within a counted bound of rows and array elements; else as it is."""
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(F.size(array)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and held <= 2 * BROADCAST_ROWS else df
+
+
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
 def _found_runs(docs: DataFrame, bitmap, span: int, gram: int) -> DataFrame:
+    """The runs whose anchor repeats (by the bitmap, or within the context)."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
-            for doc_id, uid, text in zip(batch["doc_id"], batch["uid"], batch["text"], strict=True):
-                data = _bytes(text)
-                anchor, lo, hi, again, digests = runs(data, span, gram)
+            for i, text in enumerate(batch["text"]):
+                anchor, lo, hi, again, digests = runs(_bytes(text), span, gram)
                 if not len(anchor):
                     continue
                 slot = (anchor >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
                 use = np.flatnonzero(again | ((bitmap.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
-                if not len(use):
-                    continue
-                lo, hi, raw = lo[use], hi[use], data.tobytes()
-                parts.append(pd.DataFrame({
-                    "anchor": anchor[use].view(np.int64), "digest": digests(lo, hi).view(np.int64), "again": again[use],
-                    "doc_id": pd.array([None if pd.isna(doc_id) else int(doc_id)] * len(use), "Int64"),
-                    "uid": uid, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32),
-                    "context": [raw[a:b] for a, b in zip(lo, hi, strict=True)]}))
-                if len(parts) >= 500:
-                    yield pd.concat(parts)
-                    parts = []
+                if len(use):
+                    lo, hi = lo[use], hi[use]
+                    parts.append((anchor[use], digests(lo, hi), again[use], np.full(len(use), i), lo, hi))
             if parts:
-                yield pd.concat(parts)
+                anchor, digest, again, i, lo, hi = map(np.concatenate, zip(*parts))
+                yield pd.DataFrame({
+                    "anchor": anchor.view(np.int64), "digest": digest.view(np.int64), "again": again,
+                    "doc": batch["doc"].to_numpy()[i], "uid": batch["uid"].to_numpy()[i],
+                    "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
 
-    return docs.select("doc_id", "uid", "text").mapInPandas(
-        emit, "anchor long, digest long, again boolean, doc_id long, uid long, lo int, hi int, context binary")
+    return docs.select("doc", "uid", "text").mapInPandas(
+        emit, "anchor long, digest long, again boolean, doc long, uid long, lo int, hi int")
 
 
-_SHARD_OUT = "kind int, uid long, lo int, hi int, anchor long, digest long, doc_id long"
+def _contexts(rows: DataFrame) -> DataFrame:
+    """One row per wanted stretch, with its bytes."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for doc, uid, text, at in zip(batch["doc"], batch["uid"], batch["text"], batch["at"], strict=True):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                out += [(r["shard"], r["split"], r["anchor"], doc, uid, r["lo"], raw[r["lo"]:r["hi"]]) for r in at]
+            yield pd.DataFrame(out, columns=["shard", "split", "anchor", "doc", "uid", "lo", "context"])
+
+    return rows.select("doc", "uid", "text", "at").mapInPandas(
+        cut, "shard long, split boolean, anchor long, doc long, uid long, lo int, context binary")
+
+
+_SHARD_OUT = "kind int, uid long, lo int, hi int, anchor long, digest long, doc long"
 
 
 def _sort_shard(span: int):
     """One shard: spans to remove, and for a split anchor the earliest of each window."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "uid", "lo"], kind="stable", na_position="last").reset_index(drop=True)
-        context, offset, group = window_groups(pdf["context"].tolist(), span)
+        pdf = pdf.sort_values(["doc", "uid", "lo"], kind="stable").reset_index(drop=True)
+        contexts = pdf["context"].tolist()
+        context, offset, group = window_groups(contexts, span)
         # Rows are in document order: within one document starts decide.
-        lo, uid = pdf["lo"].to_numpy(np.int64), pdf["uid"].to_numpy(np.int64)
+        lo, uid, doc_id = (pdf[c].to_numpy(np.int64) for c in ("lo", "uid", "doc"))
         start = lo[context] + offset
         doc = np.concatenate([[0], np.cumsum(uid[1:] != uid[:-1])])[context]
         place = np.lexsort((start, doc, group))
-        first = np.empty(len(place), bool)
-        g = group[place]
+        g, d, s = group[place], doc[place], start[place]
         same = np.concatenate([[False], g[1:] == g[:-1]])
         # The same window can lie in two contexts of one document: it is one start.
-        d, s = doc[place], start[place]
         lead = np.maximum.accumulate(np.where(~same, np.arange(len(place)), 0))
+        first = np.empty(len(place), bool)
         first[place] = (d == d[lead]) & (s == s[lead])
-        out = []
         late = np.flatnonzero(~first)
-        for u, part in pd.DataFrame({"uid": uid[context[late]], "lo": start[late]}).groupby("uid"):
-            a, b = _merged(part["lo"].to_numpy(), part["lo"].to_numpy() + span)
-            out.append(pd.DataFrame({"kind": 0, "uid": u, "lo": a, "hi": b, "anchor": 0, "digest": 0, "doc_id": 0}))
+        late = late[np.lexsort((start[late], doc[late]))]
+        d, s = doc[late], start[late]
+        new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + span)])[:len(late)])
+        last = np.append(new[1:], len(late))[:len(new)] - 1
+        out = [pd.DataFrame({"kind": 0, "uid": uid[context[late[new]]], "lo": s[new], "hi": s[last] + span,
+                             "anchor": 0, "digest": 0, "doc": 0})]
         if pdf["split"].iloc[0]:
             keep = np.flatnonzero(first)
-            data = np.frombuffer(b"".join(pdf["context"]), np.uint8)
-            begin = np.concatenate([[0], np.cumsum(pdf["context"].map(len))[:-1]])
+            data = np.frombuffer(b"".join(contexts), np.uint8)
+            begin = np.concatenate([[0], np.cumsum([len(c) for c in contexts])[:-1]])
             at = begin[context[keep]] + offset[keep]
             out.append(pd.DataFrame({
                 "kind": 1, "uid": uid[context[keep]], "lo": start[keep], "hi": start[keep] + span,
                 "anchor": pdf["anchor"].to_numpy()[context[keep]], "digest": Digests(data)(at, at + span).view(np.int64),
-                "doc_id": pdf["doc_id"].astype("Int64").take(context[keep]).reset_index(drop=True)}))
-        if not out:
-            return pd.DataFrame({c.split()[0]: [] for c in _SHARD_OUT.split(", ")})
-        return pd.concat(out).astype({"lo": np.int32, "hi": np.int32, "kind": np.int32, "doc_id": "Int64"})
+                "doc": doc_id[context[keep]]}))
+        return pd.concat(out).astype({"lo": np.int32, "hi": np.int32, "kind": np.int32})
 
     return run
 
@@ -295,19 +311,19 @@ def repeats(docs: DataFrame, *, span: int = SPAN, gram: int = GRAM, shard_classe
             shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``uid, spans``: stretches to remove per row of ``docs`` (which has ``uid``)."""
     spark = docs.sparkSession
+    docs = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
     bitmap = spark.sparkContext.broadcast(_repeated_anchors(docs, span, gram))
     found = written(_found_runs(docs, bitmap, span, gram), "runs")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "lo", "hi")
-    classes = written(found.groupBy("anchor", "digest").agg(
-        F.min(order).alias("first"), F.bool_or("again").alias("again"), F.first("context").alias("context"))
-        .select("anchor", "digest", "again", "context", "first.doc_id", "first.uid", "first.lo"), "classes")
+    place = F.struct("doc", "uid", "lo", "hi")
+    classes = written(found.groupBy("anchor", "digest").agg(F.min(place).alias("first"), F.bool_or("again").alias("again"))
+                      .select("anchor", "digest", "again", "first.*"), "classes")
     firsts = classes.select("anchor", "digest", F.col("uid").alias("first_uid"), F.col("lo").alias("first_lo"))
     whole = (found.select("anchor", "digest", "uid", "lo", "hi").join(firsts, ["anchor", "digest"])
              .where((F.col("uid") != F.col("first_uid")) | (F.col("lo") != F.col("first_lo"))).select("uid", "lo", "hi"))
     several = (classes.groupBy("anchor").agg(F.count("*").alias("n"), F.bool_or("again").alias("some"))
                .where("n > 1 or some").select("anchor", "n"))
-    rows = classes.join(several, "anchor")
-    total = classes.agg(F.coalesce(F.sum(F.octet_length("context")), F.lit(0))).first()[0]
+    rows = written(classes.join(several, "anchor").select("anchor", "digest", "doc", "uid", "lo", "hi", "n"), "firsts")
+    total = rows.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0))).first()[0]
     shards = max(1, total // shard_bytes)
     split = F.col("n") > shard_classes
     parts = F.ceil(F.col("n") / shard_classes)
@@ -315,10 +331,12 @@ def repeats(docs: DataFrame, *, span: int = SPAN, gram: int = GRAM, shard_classe
         "split": split,
         "shard": F.when(split, F.xxhash64("anchor", F.pmod(F.xxhash64("digest"), parts)))
                   .otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))})
-    sorted_ = written(rows.select("shard", "split", "anchor", "doc_id", "uid", "lo", "context")
-                      .groupBy("shard", "split").applyInPandas(_sort_shard(span), _SHARD_OUT), "shards")
+    wanted = written(rows.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi", "anchor", "shard", "split")).alias("at")),
+                     "wanted")
+    texts = docs.select("doc", "uid", "text").join(_bounded(wanted, "at"), "uid")
+    sorted_ = written(_contexts(texts).groupBy("shard", "split").applyInPandas(_sort_shard(span), _SHARD_OUT), "shards")
     windows = sorted_.where("kind = 1")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "lo")
+    place = F.struct("doc", "uid", "lo")
     least = windows.groupBy("anchor", "digest").agg(F.min(place).alias("least"))
     later = (windows.join(least, ["anchor", "digest"])
              .where((F.col("uid") != F.col("least.uid")) | (F.col("lo") != F.col("least.lo"))).select("uid", "lo", "hi"))
@@ -339,12 +357,10 @@ def repeats(docs: DataFrame, *, span: int = SPAN, gram: int = GRAM, shard_classe
 
 def deduplicated(docs: DataFrame, **how) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn(
         "uid", F.monotonically_increasing_id())
-    spans = repeats(docs, **how)
-    rows, ends = spans.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
-    if rows <= BROADCAST_ROWS and ends <= 4 * BROADCAST_ROWS:
-        spans = F.broadcast(spans)
+    spans = _bounded(repeats(docs, **how), "spans")
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
