@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tablestats.llm.common import id_remainder
+from tablestats.llm.common import id_remainder, small_batches
 from tablestats.llm.labelled import SAMPLE_ROWS, arrays, sampled
 
 MODULUS, HELD_OUT = 3, 1
@@ -145,6 +145,7 @@ def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, **how) -> dict | float:
     """The forest, or one score for all where the sample has a single class."""
+    small_batches(docs.sparkSession)
     found = (sampled(docs, labels, "quality", MODULUS, HELD_OUT, rows)
              .mapInPandas(_training_rows, "doc_id long, y int, x array<double>").toArrow().sort_by("doc_id"))
     y = found["y"].to_numpy().astype(np.float64)

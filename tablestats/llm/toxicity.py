@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tablestats.llm.common import id_remainder
+from tablestats.llm.common import id_remainder, small_batches
 from tablestats.llm.labelled import SAMPLE_ROWS, arrays, sampled
 
 BUCKETS = 1 << 18
@@ -172,6 +172,7 @@ class Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, groups=IDENTITY_TERMS, **how) -> dict:
     """Fit on the sample; its features (2 * ``rows`` short arrays) come to the driver."""
+    small_batches(docs.sparkSession)
     found = (sampled(docs, labels, "toxic", MODULUS, HELD_OUT, rows)
              .mapInPandas(_training_rows(swaps(groups)), "doc_id long, y int, x array<int>, swapped array<int>")
              .toArrow().sort_by("doc_id"))
