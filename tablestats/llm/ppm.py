@@ -38,16 +38,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestats.llm.common import id_remainder, written
+from tablestats.llm.common import id_remainder, small_batches, written
 
-ORDER = 6
+ORDER = 5
 BITS = 9  # of a symbol: a byte or END
 END = 256
 SYMBOLS = 257
 MAX_NODES = 2_000_000
-HOT_WORDS = 200_000
+HOT_WORDS = 100_000
 MODULUS, HELD_OUT = 7, 2
-_CHUNK = 1 << 20  # symbols worked on at once
+_CHUNK = 1 << 18  # symbols worked on at once
+#: Distinct grams or words that a task holds before it sends them on.
+_HELD = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,8 +108,10 @@ def count_grams(texts, order: int = ORDER) -> dict[int, tuple[np.ndarray, np.nda
     parts: dict[int, list] = {k: [] for k in range(order + 1)}
     for symbols, known, _ in chunks(texts, order):
         codes = packed(symbols, order)
+        early = np.flatnonzero((known >= 0) & (known < order))
         for k in range(order + 1):
-            parts[k].append(_added(codes[k][known == k]))
+            at = known == order if k == order else early[known[early] == k]
+            parts[k].append(_added(codes[k][at]))
             if len(parts[k]) >= 16:
                 parts[k] = [_added(*map(np.concatenate, zip(*parts[k])))]
     return {k: _added(*map(np.concatenate, zip(*v))) for k, v in parts.items() if v}
@@ -210,7 +214,7 @@ _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def _hashed(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Open-addressing table: keys, places, shift."""
-    bits = max(4, int(len(codes) * 2.5).bit_length())
+    bits = max(4, int(len(codes) * 1.6).bit_length())
     keys, places = np.full(1 << bits, _EMPTY), np.full(1 << bits, -1, np.int32)
     todo = np.arange(len(codes), dtype=np.int64)
     slot = ((codes * _ODD) >> np.uint64(64 - bits)).astype(np.int64)
@@ -260,28 +264,32 @@ def _histogram(counts: DataFrame) -> list[tuple[int, int]]:
 def train(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES) -> Model:
     """The model of ``docs.text``; at most ``max_nodes`` grams reach the driver."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {}
+        held: dict[int, tuple] = {}
+
+        def rows():
+            for k, (codes, n) in with_shorter(held).items():
+                for i in range(0, len(codes), 1 << 17):
+                    yield pd.DataFrame({"level": np.int32(k), "code": codes[i:i + (1 << 17)].astype(np.int64),
+                                        "n": n[i:i + (1 << 17)].astype(np.int64)})
+
         for batch in batches:
             for k, part in count_grams(batch["text"], order).items():
-                held.setdefault(k, []).append(part)
-                if len(held[k]) >= 8:
-                    held[k] = [_added(*map(np.concatenate, zip(*held[k])))]
-        merged = {k: _added(*map(np.concatenate, zip(*parts))) for k, parts in held.items()}
-        for k, (codes, n) in with_shorter(merged).items():
-            for i in range(0, len(codes), 1 << 17):
-                yield pd.DataFrame({"level": np.int32(k), "code": codes[i:i + (1 << 17)].astype(np.int64),
-                                    "n": n[i:i + (1 << 17)].astype(np.int64)})
+                held[k] = _added(*map(np.concatenate, zip(held[k], part, strict=True))) if k in held else part
+            if sum(len(codes) for codes, _ in held.values()) > _HELD:
+                yield from rows()
+                held.clear()
+        yield from rows()
 
     grams = docs.select("text").mapInPandas(count, "level int, code long, n long")
     grams = written(grams.groupBy("level", "code").agg(F.sum("n").alias("n")), "grams")
     floor = least_count(_histogram(grams), max_nodes)
-    kept = grams.where(F.col("n") >= floor).toPandas()
+    kept = grams.where(F.col("n") >= floor).toArrow()
+    levels, codes, counts = (kept[c].to_numpy() for c in ("level", "code", "n"))
     out = {}
     for k in range(order + 1):
-        part = kept[kept["level"] == k]
-        codes = part["code"].to_numpy(np.int64).astype(np.uint64)
-        place = np.argsort(codes)
-        out[k] = codes[place], part["n"].to_numpy(np.int64)[place]
+        at = np.flatnonzero(levels == k)
+        at = at[np.argsort(codes[at])]
+        out[k] = codes[at].astype(np.uint64), counts[at]
     return Model(out)
 
 
@@ -296,7 +304,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 held.update(normal(text).split())
-                if len(held) > 1_000_000:
+                if len(held) > _HELD // 4:
                     yield rows()
                     held.clear()
         if held:
@@ -308,6 +316,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def score(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES, hot_words: int = HOT_WORDS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per document."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"),
                        (id_remainder("doc_id", MODULUS) == HELD_OUT).alias("held_out"))
     learnt = docs.where("not held_out")
@@ -317,7 +326,8 @@ def score(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES, ho
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, kinds = total + ends, kinds + (ends > 0)
     floor = least_count(_histogram(counts), hot_words)
-    hot = spark.sparkContext.broadcast(dict(counts.where(F.col("n") >= floor).toPandas().itertuples(index=False)))
+    often = counts.where(F.col("n") >= floor).toArrow()
+    hot = spark.sparkContext.broadcast(dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = {w.encode("utf-8"): math.log10(n + 1) for w, n in hot.value.items()}
