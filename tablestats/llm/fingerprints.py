@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestats.llm.common import same_row, written
+from tablestats.llm.common import same_row, small_batches, written
 
 SLOT_BITS = 24
 RATES = (2, 4, 6, 8, 10)  # bits: a subset keeps 1 in 2**bits terms
@@ -53,7 +53,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 class Hasher:
     """64-bit term hashes, remembered up to ``memory`` terms."""
 
-    def __init__(self, memory: int = 200_000):
+    def __init__(self, memory: int = 100_000):
         self.seen, self.memory = {}, memory
 
     def __call__(self, text: str) -> np.ndarray:
@@ -61,7 +61,7 @@ class Hasher:
         found, seen = set(_TERM.findall(text.lower())), self.seen
         if len(seen) > self.memory:
             seen.clear()
-        for t in found - seen.keys():
+        for t in [t for t in found if t not in seen]:
             seen[t] = xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"))
         out = np.fromiter((seen[t] for t in found), np.uint64, len(found))
         out.sort()
@@ -163,6 +163,7 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def fingerprints(docs: DataFrame, *, partitions: int | None = None, **band) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     bits = spark.sparkContext.broadcast(lexicon(docs, **band))
 
