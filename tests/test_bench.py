@@ -10,7 +10,7 @@ from conftest import ROOT, SF001
 
 def test_bench_contract(tmp_path):
     env = dict(os.environ, BENCH_SF_DIR=SF001, BENCH_REPEATS="1",
-               BENCH_WARMUP_DIR=str(tmp_path / "none"), BENCH_CPUS="2")
+               BENCH_WARMUP_DIR=str(tmp_path / "none"), BENCH_CPUS="2", BENCH_CORPUS="0")
     proc = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env,
                           capture_output=True, text=True, timeout=900, cwd=str(tmp_path))
     assert proc.returncode == 0, proc.stderr[-2000:]
