@@ -14,9 +14,12 @@ and order.
 
 Counting is a Spark aggregation over all training texts: each task sorts its
 packed grams and adds up those of shorter contexts, one shuffle adds all tasks.
-The broadcast model is bounded: grams below a count are left out, the least
-count for which at most ``MAX_NODES`` remain (a count that holds for a gram holds
-for its suffixes, so the trie stays closed).
+Every counted gram takes part in the scores.  A trie of at most ``MAX_NODES``
+grams is broadcast whole.  A larger one stays a written table: the costs of its
+most frequent grams (``MAX_NODES`` at most) are broadcast, and the distinct grams
+of the texts that are not among them, seen or not, are looked up by shuffle
+joins, order by order from the empty context.  A join key is a gram or a context,
+which at most 257 others extend by one symbol, so no key is hot.
 
 Base scores (word unigrams with add-one smoothing) need the count of every
 word: words among the most frequent (``HOT_WORDS`` at most, broadcast) are summed
@@ -209,6 +212,40 @@ class Model:
         return total
 
 
+class Often:
+    """Costs of frequent grams of a larger trie, each coded in its own context."""
+
+    def __init__(self, grams: dict[int, tuple[np.ndarray, np.ndarray]]):
+        """``grams[k]``: packed grams of order k and the log10 probability of their last symbol."""
+        self.order = max(grams)
+        self.levels = [(_hashed(grams[k][0]), grams[k][1]) for k in range(self.order + 1)]
+
+    def parts(self, texts: list) -> tuple[np.ndarray, pd.DataFrame]:
+        """Sums of the known costs, and ``levels, codes, times`` of each text's other grams."""
+        total, rest = np.zeros(len(texts)), []
+        for symbols, known, owner in chunks(texts, self.order):
+            codes = packed(symbols, self.order)
+            for k, (table, costs) in enumerate(self.levels):
+                at = np.flatnonzero(known == k)
+                code, own = codes[k][at], owner[at]
+                found = _find(table, code)
+                hit = found >= 0
+                total += np.bincount(own[hit], weights=costs[found[hit]], minlength=len(texts))
+                code, own = code[~hit], own[~hit]
+                place = np.lexsort((code, own))
+                code, own = code[place], own[place]
+                new = np.ones(len(code), bool)
+                new[1:] = (code[1:] != code[:-1]) | (own[1:] != own[:-1])
+                starts = np.flatnonzero(new)
+                rest.append((own[starts], np.full(len(starts), k, np.int32), code[starts].astype(np.int64),
+                             np.diff(np.append(starts, len(code)))))
+        own, *columns = map(np.concatenate, zip(*rest)) if rest else [np.empty(0, np.int64)] * 4
+        place = np.argsort(own, kind="stable")
+        cuts = np.searchsorted(own[place], np.arange(1, len(texts)))
+        return total, pd.DataFrame({name: pd.Series(np.split(c[place], cuts), dtype=object)
+                                    for name, c in zip(("levels", "codes", "times"), columns, strict=True)})
+
+
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -261,8 +298,61 @@ def _histogram(counts: DataFrame) -> list[tuple[int, int]]:
     return [(r["low"], r["k"]) for r in counts.groupBy(low.alias("low")).agg(F.count("*").alias("k")).collect()]
 
 
-def train(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES) -> Model:
-    """The model of ``docs.text``; at most ``max_nodes`` grams reach the driver."""
+_CONTEXT = f"shiftright(code, {BITS}) as context"
+_TAIL = f"code & (shiftleft(1L, {BITS} * level) - 1) as tail"  # the gram without its oldest symbol
+
+
+def _contexts(grams: DataFrame) -> DataFrame:
+    """``level, context, den, escape, below, below_escape`` of every context, as in ``Model``."""
+    lower = grams.selectExpr("level + 1 as level", "code as tail", "n as up")
+    sums = written(grams.selectExpr("level", "n", _CONTEXT, _TAIL).join(lower, ["level", "tail"], "left")
+                   .groupBy("level", "context")
+                   .agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("up").alias("up")), "sums")
+    low = sums.selectExpr("level + 1 as level", "context as tail", "total as low_total", "kinds as low_kinds")
+    left = (sums.withColumn("tail", F.expr(f"context & (shiftleft(1L, {BITS} * greatest(level - 1, 0)) - 1)"))
+            .join(low, ["level", "tail"], "left")
+            .withColumn("d", F.col("low_kinds") - F.col("kinds"))
+            .withColumn("rest", F.greatest(F.col("low_total") - F.col("up") + F.col("d"), F.lit(1))))
+    return written(left.select(
+        "level", "context", (F.col("total") + F.col("kinds")).alias("den"),
+        F.log10(F.col("kinds") / (F.col("total") + F.col("kinds"))).alias("escape"),
+        F.when(F.col("level") == 0, F.log10(F.greatest(F.lit(SYMBOLS) - F.col("kinds"), F.lit(1))))
+        .otherwise(F.log10("rest")).alias("below"),
+        F.when(F.col("d") > 0, F.log10(F.col("d") / F.col("rest"))).otherwise(F.lit(0.0)).alias("below_escape")),
+        "contexts")
+
+
+def _looked_up(asked: DataFrame, grams: DataFrame, contexts: DataFrame, order: int) -> DataFrame:
+    """``level, code, cost`` of the distinct grams ``asked`` and their suffixes.
+
+    ``after`` is the cost below a gram's own context once that is left; ``cost``
+    starts at the longest context known."""
+    suffix = F.expr(f"case when k = level then code else code & (shiftleft(1L, {BITS} * (k + 1)) - 1) end")
+    asked = written(asked.distinct().withColumn("k", F.explode(F.sequence(F.lit(0), F.col("level"))))
+                    .select(F.col("k").alias("level"), suffix.alias("code")).distinct(), "asked")
+    out = low = None
+    for k in range(order + 1):
+        at = (asked.where(F.col("level") == k).selectExpr("level", "code", _CONTEXT, _TAIL)
+              .join(grams.where(F.col("level") == k).select("code", "n"), "code", "left")
+              .join(contexts.where(F.col("level") == k).drop("level"), "context", "left"))
+        if low is None:
+            at = at.withColumn("after", -F.col("below")).withColumn("shorter", F.lit(-math.log10(SYMBOLS)))
+        else:
+            at = at.join(low.selectExpr("code as tail", "n as low_n", "after as low_after", "cost as shorter"), "tail")
+            at = at.withColumn("after", F.when(F.col("low_n").isNotNull(), F.log10("low_n") - F.col("below"))
+                               .otherwise(F.col("below_escape") + F.col("low_after")))
+        cost = (F.when(F.col("den").isNull(), F.col("shorter"))
+                .when(F.col("n").isNotNull(), F.log10(F.col("n") / F.col("den")))
+                .otherwise(F.col("escape") + F.col("after")))
+        low = written(at.select("level", "code", "n", "after", cost.alias("cost")), f"costs-{k}")
+        out = low if out is None else out.unionByName(low)
+    return out.select("level", "code", "cost")
+
+
+def train(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[Model | Often, tuple | None]:
+    """The model of ``docs.text``; at most ``max_nodes`` grams reach the driver.
+
+    A trie with more comes as its frequent grams and the tables (grams, contexts) of all."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, tuple] = {}
 
@@ -283,14 +373,19 @@ def train(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES) ->
     grams = docs.select("text").mapInPandas(count, "level int, code long, n long")
     grams = written(grams.groupBy("level", "code").agg(F.sum("n").alias("n")), "grams")
     floor = least_count(_histogram(grams), max_nodes)
-    kept = grams.where(F.col("n") >= floor).toArrow()
-    levels, codes, counts = (kept[c].to_numpy() for c in ("level", "code", "n"))
+    whole, contexts, kept = floor <= 1, None, grams.where(F.col("n") >= floor)
+    if not whole:
+        contexts = _contexts(grams)
+        kept = (kept.selectExpr("level", "code", "n", _CONTEXT).join(contexts, ["level", "context"])
+                .select("level", "code", F.log10(F.col("n") / F.col("den")).alias("n")))
+    kept = kept.toArrow()
+    levels, codes, values = (kept[c].to_numpy() for c in ("level", "code", "n"))
     out = {}
     for k in range(order + 1):
         at = np.flatnonzero(levels == k)
         at = at[np.argsort(codes[at])]
-        out[k] = codes[at].astype(np.uint64), counts[at]
-    return Model(out)
+        out[k] = codes[at].astype(np.uint64), values[at]
+    return (Model(out), None) if whole else (Often(out), (grams, contexts))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -320,7 +415,8 @@ def score(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES, ho
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"),
                        (id_remainder("doc_id", MODULUS) == HELD_OUT).alias("held_out"))
     learnt = docs.where("not held_out")
-    model = spark.sparkContext.broadcast(train(learnt, order=order, max_nodes=max_nodes))
+    trained, tables = train(learnt, order=order, max_nodes=max_nodes)
+    model, whole = spark.sparkContext.broadcast(trained), tables is None
     counts = written(word_counts(learnt), "words")
     ends = learnt.count()
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -343,20 +439,31 @@ def score(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES, ho
                 near.append(float(values[have].sum()))
                 seen.append(int(have.sum()))
                 rare.append([w.decode("utf-8", "replace") for w, v in zip(found, held, strict=True) if v < 0])
-            yield pd.DataFrame({"uid": batch["uid"], "doc_id": batch["doc_id"], "held_out": batch["held_out"],
-                                "n_tokens": n_tokens, "near": near, "seen": seen, "score": model.value.scores(texts),
-                                "rare": rare})
+            out = pd.DataFrame({"uid": batch["uid"], "doc_id": batch["doc_id"], "held_out": batch["held_out"],
+                                "n_tokens": n_tokens, "near": near, "seen": seen, "rare": rare})
+            if whole:
+                yield out.assign(score=model.value.scores(texts), levels=None, codes=None, times=None)
+            else:
+                sums, rest = model.value.parts(texts)
+                yield out.assign(score=sums, **{c: rest[c].tolist() for c in rest})
 
     rows = written(docs.withColumn("uid", F.monotonically_increasing_id()).mapInPandas(
-        run, "uid long, doc_id long, held_out boolean, n_tokens long, near double, seen long, score double, "
-             "rare array<string>"), "scored")
+        run, "uid long, doc_id long, held_out boolean, n_tokens long, near double, seen long, rare array<string>, "
+             "score double, levels array<int>, codes array<long>, times array<long>"), "scored")
     # A word that is not learnt adds log10(1) = 0, so only known words are joined.
     far = (rows.select("uid", F.explode("rare").alias("word"))
            .join(counts.where(F.col("n") < floor), "word")
            .groupBy("uid").agg(F.sum(F.log10(F.col("n") + 1)).alias("far"), F.count("*").alias("met")))
     log_end = math.log10(ends + 1)
     per_token = math.log10(total + kinds + 1)
-    return rows.drop("rare").join(far, "uid", "left").select(
+    scored = rows.drop("rare", "levels", "codes", "times").join(far, "uid", "left")
+    if not whole:
+        rest = (rows.select("uid", F.explode(F.arrays_zip("levels", "codes", "times")).alias("r"))
+                .select("uid", F.col("r.levels").alias("level"), F.col("r.codes").alias("code"), "r.times"))
+        costs = _looked_up(rest.select("level", "code"), *tables, order)
+        more = rest.join(costs, ["level", "code"]).groupBy("uid").agg(F.sum(F.col("times") * F.col("cost")).alias("more"))
+        scored = scored.join(more, "uid", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
+    return scored.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("seen") + F.coalesce("met", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),

@@ -172,6 +172,17 @@ def test_scores_of_awkward_table(spark):
     assert only_held.train_tokens == 0 and only_held.n_known == 0
 
 
+def test_scores_do_not_depend_on_the_broadcast_bound(spark):
+    rows = awkward() + [(i, t) for i, t in enumerate(vocabulary_texts(60, 8), 100)]
+    rows += [(i, f"ünseen {i}{chr(97 + i % 26)} ~~~") for i in range(200, 240)]
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens)
+    whole = sorted(ppm.score(docs(spark, rows)).collect(), key=key)
+    for bound in (3, 400):
+        part = sorted(ppm.score(docs(spark, rows), max_nodes=bound).collect(), key=key)
+        assert [key(r) for r in part] == [key(r) for r in whole]
+        np.testing.assert_allclose([r.score for r in part], [r.score for r in whole], rtol=1e-5)
+
+
 def test_least_count_keeps_within_the_bound():
     assert ppm.least_count([(1, 100), (2, 50), (3, 10)], 200) == 1
     assert ppm.least_count([(1, 100), (2, 50), (3, 10)], 60) == 2
