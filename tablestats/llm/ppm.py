@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tablestats.llm.common import id_remainder, small_batches, written
 
-ORDER = 5
+ORDER = 6
 BITS = 9  # of a symbol: a byte or END
 END = 256
 SYMBOLS = 257
