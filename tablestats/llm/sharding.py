@@ -1,19 +1,23 @@
 """Sharding by balanced label propagation.
 
 Documents that share a link key (here: equal texts) pull each other towards one
-shard.  Labels start from a hash of the document.  Each round counts, per link
-key, how its documents lie on the shards (``groupBy`` with map-side partial
-sums, so a key with a third of all rows is a few rows per task), joins every
-document with its key's majority shard, and admits moves into a shard only up
-to its capacity.  At the end rows over a shard's quota go to shards below it,
-unlinked documents first; counts then differ by one at most and slots follow
-without gaps.
-
-Scale: rounds read and write one narrow row per document.  Keys with at least
-1 / ``HEAVY`` of the rows (so at most ``HEAVY`` keys) are joined by broadcast,
-the others by shuffle, so no task holds a hot key.  Only the shards x shards
-table of wanted moves and shard sizes reach the driver.  Slots are cell offset +
-rank within a cell; cells are hash ranges.
+shard.  Labels start from a hash of the document.  Per link key it is counted how
+its documents lie on the shards (``groupBy`` with map-side partial sums, so a key
+with a third of all rows is a few rows per task).  Keys with at least 1 /
+``HEAVY`` of the rows (so at most ``HEAVY`` keys) are placed first, the largest
+first: whole on the shard that holds most of the key and has room for it, else on
+shards filled one after another.  The other keys then move as a whole, in rounds:
+each wants the shard with most of its documents among those with room, and a
+shard admits what it has room for; a refused key chooses again among the shards
+that still have room.  At the end rows over a shard's quota go to shards below
+it, unlinked documents first and heavy keys never; counts then differ by one at
+most and slots follow without gaps.
+
+Scale: rounds read one row per linked key, not per document.  Rows of heavy keys
+meet their shards by broadcast and their rank within the key, the others by
+shuffle, so no task holds a hot key.  Only counts of heavy keys and shards reach
+the driver.  Slots and ranks are cell offset + rank within a cell; cells are
+hash ranges.
 
 Defined cases: null texts are equal to each other and have size 1 and crc32 0;
 repeated rows are documents of their own; a group larger than a shard is split
@@ -32,6 +36,8 @@ SHARDS = 8
 ROUNDS = 4
 HEAVY = 256
 CELLS = 1024
+#: How a row is held to its shard, in the order of slots.
+HOT, LINKED, UNLINKED = 0, 1, 2
 
 
 def equal_text_key() -> Column:
@@ -44,20 +50,57 @@ def _draw(*cols) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
 
-def _wanted(state: DataFrame, n: int) -> DataFrame:
-    """``state`` with ``linked``, ``heavy`` and ``want``, its key's majority shard."""
-    lies = state.groupBy("link", "shard").agg(F.count("*").alias("n"))
-    keys = (lies.groupBy("link").agg(
-        F.sum("n").alias("total"),
-        F.max_by("shard", F.struct("n", F.xxhash64("link", "shard"))).alias("want"))
-        .where("total > 1"))
-    hot = F.col("total") >= F.lit(max(2, n // HEAVY))
-    heavy = F.broadcast(keys.where(hot).select("link", "want"))  # HEAVY keys at most
-    light = keys.where(~hot).select("link", "want")
-    a = state.join(heavy, "link").withColumns({"linked": F.lit(True), "heavy": F.lit(True)})
-    b = (state.join(heavy, "link", "left_anti").join(light, "link", "left")
-         .withColumns({"linked": F.col("want").isNotNull(), "heavy": F.lit(False)}))
-    return a.unionByName(b)
+def _heavy_places(groups: list[tuple[object, list[int]]], room: list[int]) -> list[tuple[object, int, int, int]]:
+    """``(link, first rank, one past the last, shard)``; takes the rows placed from ``room``."""
+    out = []
+    for link, lies in sorted(groups, key=lambda g: (-sum(g[1]), bytes(g[0]))):
+        left, at = sum(lies), 0
+        while left:
+            whole = [s for s in range(len(room)) if room[s] >= left]
+            if whole:
+                s = max(whole, key=lambda s: (lies[s], -room[s], -s))
+            else:
+                s = max(range(len(room)), key=lambda s: (room[s], lies[s], -s))
+            n = min(left, room[s])
+            out.append((link, at, at + n, s))
+            room[s], left, at = room[s] - n, left - n, at + n
+    return out
+
+
+def _best(lies: Column, link: Column, among: list[int]) -> Column:
+    """The shard of ``among`` with most of a key's documents."""
+    return F.array_max(F.array(*[F.struct(lies[s].alias("n"), F.xxhash64(link, F.lit(s)).alias("h"),
+                                          F.lit(s).alias("s")) for s in among]))["s"]
+
+
+def _light_places(groups: DataFrame, room: list[int], rounds: int) -> Column:
+    """The shard of each key of ``groups`` (``link, lies, total``) within ``room``, as a column."""
+    place = F.lit(None).cast("int")
+    for k in range(rounds):
+        held = groups.groupBy(place.alias("s")).agg(F.sum("total").alias("n")).collect()
+        if all(r["s"] is not None for r in held):
+            return place
+        left = list(room)
+        for r in held:
+            if r["s"] is not None:
+                left[r["s"]] -= r["n"]
+        among = [s for s in range(len(room)) if left[s] > 0]
+        if not among:
+            break
+        want = _best(F.col("lies"), F.col("link"), among)
+        asked = {r["s"]: r["n"] for r in groups.where(place.isNull()).groupBy(want.alias("s"))
+                 .agg(F.sum("total").alias("n")).collect()}
+        if k < rounds - 1:
+            chance = F.element_at(F.array(*[F.lit(min(1.0, max(left[s], 0) / max(asked.get(s, 0), 1)))
+                                            for s in range(len(room))]), want + 1)
+            place = F.coalesce(place, F.when(_draw(F.lit(k), "link") < chance, want))
+        else:  # the last refused keys are dealt out by the room left
+            total, deal = sum(left[s] for s in among), F.lit(among[-1])
+            for s in reversed(among[:-1]):
+                at = sum(left[x] for x in among if x <= s)
+                deal = F.when(_draw(F.lit(k), "link") < F.lit(at / total), F.lit(s)).otherwise(deal)
+            place = F.coalesce(place, deal)
+    return F.coalesce(place, _best(F.col("lies"), F.col("link"), list(range(len(room)))))
 
 
 def propagate(nodes: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, cells: int = CELLS) -> DataFrame:
@@ -69,47 +112,51 @@ def propagate(nodes: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, c
     state = written(nodes.withColumn(
         "shard", F.pmod(F.xxhash64("doc_id", "link"), F.lit(shards)).cast("int")), "labels-0")
     n = state.count()
-    room = -(-n // shards)
-    for k in range(rounds + 1):
-        wanted = written(_wanted(state, n), f"wanted-{k}")
-        dropped(state)
-        if k == rounds:
-            break
-        flow = wanted.where("linked").groupBy("shard", "want").agg(F.count("*").alias("n")).collect()
-        stay, come = [0] * shards, [0] * shards
-        for r in flow:
-            (stay if r["shard"] == r["want"] else come)[r["want"]] += r["n"]
-        # Unlinked documents can leave a shard at no cost, so linked ones may fill it.
-        admit = [1.0 if not come[t] else min(1.0, max(0.0, (room - stay[t]) / come[t])) for t in range(shards)]
-        moved = sum(admit[t] * come[t] for t in range(shards))
-        chance = F.element_at(F.array(*[F.lit(x) for x in admit]), F.col("want") + 1)
-        draw = F.when(F.col("heavy"), _draw(F.lit(k), "doc_id", "link")).otherwise(_draw(F.lit(k), "link"))
-        state = written(wanted.withColumn("shard", F.when(F.col("linked") & (draw < chance), F.col("want"))
-                                          .otherwise(F.col("shard"))).drop("linked", "heavy", "want"), f"labels-{k + 1}")
-        if moved <= n / 1000:
-            wanted = written(_wanted(state, n), "wanted-last")
-            break
-        dropped(wanted)
-    return _balanced(wanted.drop("want"), n, shards, cells)
-
-
-def _balanced(labels: DataFrame, n: int, shards: int, cells: int) -> DataFrame:
-    """Quotas of n // shards or one more: rows past a quota fill other shards' gaps."""
-    spread = F.when(F.col("linked") & ~F.col("heavy"), F.xxhash64("link")).otherwise(F.xxhash64("doc_id", "link"))
-    rows = labels.withColumns({"free": (~F.col("linked")).cast("int"),
-                               "cell": F.pmod(spread, F.lit(cells)).cast("int")}).drop("linked", "heavy")
-    counts = written(rows.groupBy("shard", "free", "cell").agg(F.count("*").alias("n")), "cells")
+    quota = [n // shards + (s < n % shards) for s in range(shards)]
+    groups = written(state.groupBy("link").agg(
+        F.count("*").alias("total"),
+        F.array(*[F.count(F.when(F.col("shard") == s, 1)) for s in range(shards)]).alias("lies"))
+        .where("total > 1"), "groups")
+    hot = F.col("total") >= F.lit(max(2, -(-n // HEAVY)))  # HEAVY keys at most
+    room = list(quota)
+    places = _heavy_places([(r["link"], r["lies"]) for r in groups.where(hot).select("link", "lies").collect()], room)
+    places = F.broadcast(state.sparkSession.createDataFrame(places, "link binary, at long, until long, place int"))
+    light = groups.where(~hot)
+    light = light.select("link", _light_places(light, room, rounds).alias("place"))
+
+    heavy = (state.join(F.broadcast(groups.where(hot).select("link")), "link", "left_semi")
+             .withColumn("cell", F.pmod(F.xxhash64("doc_id", "link"), F.lit(cells)).cast("int")))
+    before = Window.partitionBy("link").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (heavy.groupBy("link", "cell").agg(F.count("*").alias("n"))
+               .select("link", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
+    heavy = (heavy.withColumn("inside", F.row_number().over(Window.partitionBy("link", "cell").orderBy("doc_id")) - 1)
+             .join(offsets, ["link", "cell"]).withColumn("rank", F.col("start") + F.col("inside"))
+             .join(places, "link").where("rank >= at and rank < until")
+             .withColumns({"shard": F.col("place"), "kind": F.lit(HOT)}))
+    others = (state.join(F.broadcast(groups.where(hot).select("link")), "link", "left_anti").join(light, "link", "left")
+              .withColumn("kind", F.when(F.col("place").isNull(), F.lit(UNLINKED)).otherwise(F.lit(LINKED)))
+              .withColumn("shard", F.coalesce("place", "shard")))
+    keep = [*state.columns, "kind"]
+    labels = written(heavy.select(*keep).unionByName(others.select(*keep)), "labels")
+    dropped(state)
+    return _balanced(labels, quota, cells)
+
+
+def _balanced(labels: DataFrame, quota: list[int], cells: int) -> DataFrame:
+    """Rows past a shard's quota fill other shards' gaps: unlinked first, then whole keys."""
+    shards = len(quota)
+    spread = F.when(F.col("kind") == LINKED, F.xxhash64("link")).otherwise(F.xxhash64("doc_id", "link"))
+    rows = labels.withColumn("cell", F.pmod(spread, F.lit(cells)).cast("int"))
+    counts = written(rows.groupBy("shard", "kind", "cell").agg(F.count("*").alias("n")), "cells")
     held = [0] * shards
     for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect():
         held[r["shard"]] = r["n"]
-    larger = sorted(range(shards), key=lambda s: (-held[s], s))[:n % shards]
-    quota = [n // shards + (s in larger) for s in range(shards)]
 
-    before = Window.partitionBy("shard").orderBy("free", "cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "free", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "free", "cell").orderBy("link", "doc_id")
+    before = Window.partitionBy("shard").orderBy("kind", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "kind", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("shard", "kind", "cell").orderBy("link", "doc_id")
     ranked = (rows.withColumn("inside", F.row_number().over(inside) - 1)
-              .join(offsets, ["shard", "free", "cell"])
+              .join(offsets, ["shard", "kind", "cell"])
               .withColumn("slot", (F.col("start") + F.col("inside")).cast("long")))
     at, spare, over = 0, F.lit(None).cast("long"), F.lit(False)
     for s in range(shards):
@@ -125,7 +172,7 @@ def _balanced(labels: DataFrame, n: int, shards: int, cells: int) -> DataFrame:
             shard = F.when(here, F.lit(s)).otherwise(shard)
             slot = F.when(here, F.col("spare") - at + held[s]).otherwise(slot)
             at += quota[s] - held[s]
-    keep = [c for c in labels.columns if c not in ("shard", "linked", "heavy")]
+    keep = [c for c in labels.columns if c not in ("shard", "kind")]
     return ranked.select(*keep, shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
 
 

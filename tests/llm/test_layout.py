@@ -40,6 +40,26 @@ def test_hot_group_spills_over_few_shards(spark):
     assert held[0] == 100  # one shard is filled with it
 
 
+def test_hot_group_and_pairs_lie_on_as_few_shards_as_can_be(spark):
+    texts = ["same"] * 1600 + [f"pair {i // 2}" for i in range(1600)] + [f"alone {i}" for i in range(1600)]
+    rows = sharding.shard_documents(docs(spark, list(enumerate(texts)))).collect()
+    assert {len(v) for v in by_shard(rows).values()} == {600}
+    homes = {}
+    for r in rows:
+        homes.setdefault(texts[r["doc_id"]], set()).add(r["shard"])
+    assert len(homes["same"]) == 3
+    assert sum(len(s) > 1 for t, s in homes.items() if t != "same") <= 16
+
+
+def test_hot_groups_fill_shards_one_after_another():
+    room = [10, 10, 10, 10]
+    got = sharding._heavy_places([(b"a", [5, 5, 5, 8]), (b"b", [0, 6, 0, 0]), (b"c", [0, 0, 3, 4])], room)
+    assert sum(room) == 4 and min(room) >= 0
+    for link, n, most in ((b"a", 23, 3), (b"b", 6, 1), (b"c", 7, 1)):
+        mine = [p for p in got if p[0] == link]
+        assert sum(p[2] - p[1] for p in mine) == n and len(mine) <= most
+
+
 def test_shards_of_awkward_and_empty_tables(spark):
     rows = sharding.shard_documents(docs(spark, awkward())).collect()
     assert len(rows) == 12
