@@ -6,9 +6,10 @@ weights come from labelled pages: a page with one ``article`` (or ``main``)
 element labels its own words and tags as inside or outside, and a kind of tag or
 word seen more often outside scores lower.  Elements that are never article
 text (menus, page headers and footers, sidebars, notices, adverts, forms,
-scripts, comments of readers; by element, role or class word) score nothing and
-give no text.  A region that lies in an article element stands for the whole
-element, so that short paragraphs at its ends are not lost.
+scripts, comments of readers; by element, or by role, class or id whose every
+word says so) score nothing and give no text, unless they hold the article or
+nearly all words of the page.  Marks of headings, paragraphs and other elements
+of text are read for adverts only, and ids only where containers bear them.
 
 Scale: one pass counts the kinds of all labelled pages (a small table: tag
 names are a fixed set), one pass extracts; no page is shuffled.
@@ -54,11 +55,19 @@ BOILER = frozenset("ad ads advert adverts advertisement advertising sponsor spon
                    "toolbar topbar contentinfo complementary search dialog alert".split())
 #: Those that don't count inside an article, where a heading may bear them.
 OUTSIDE_ONLY = frozenset(("header",))
+#: The only ones that count for elements of text (paragraphs, headings, items, inline elements).
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo".split())
+TEXT = INLINE | frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li p pre summary td th".split())
+#: Words that a mark may have besides: any other word ("has-sidebar", "related-work") makes it none.
+PLACES = frozenset("area bar block bottom box col column container content footer global inner item items left link links "
+                   "list main menu outer page panel primary right row secondary section site top wrap wrapper".split())
+#: Elements that NEVER lists but that may stand around a whole page.
+AROUND = frozenset("nav footer aside form menu dialog".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?>[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_MARKS = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -68,57 +77,102 @@ def _kind(name: str) -> str:
     return name if name in BLOCK or name in INLINE or name in NEVER or name in VOID else "other"
 
 
-def _boilerplate(name: str, attrs: str, home: bool) -> bool:
-    if name in NEVER or (name == "header" and not home):
+def _marked(name: str, attrs: str, home: bool) -> bool:
+    """Whether the element says of itself that it is no article text."""
+    if name in AROUND or (name == "header" and not home):
         return True
     if not attrs or name in ("html", "body", "main"):
         return False
-    marks = {w for m in _MARKS.findall(attrs) for w in _SPLIT.split(_CAMEL.sub("-", m.strip("\"'")).lower())}
-    return bool(marks & BOILER) or (not home and bool(marks & OUTSIDE_ONLY)) or bool(_HIDDEN.search(attrs))
+    if _HIDDEN.search(attrs):
+        return True
+    boiler = ADVERTS if name in TEXT else BOILER if home else BOILER | OUTSIDE_ONLY
+    for kind, value in _MARKS.findall(attrs):
+        if kind.lower() == "id" and (name in TEXT or name == "section"):
+            continue  # a place to link to, made from the heading's words
+        for token in _html.unescape(value.strip("\"'")).split():
+            words = {w for w in _SPLIT.split(_CAMEL.sub("-", token).lower()) if w}
+            if words & boiler and words <= boiler | PLACES:
+                return True
+    return False
+
+
+@dataclass
+class Tree:
+    """Marked elements, articles and containers of a page; 0 stands for the page."""
+    parent: list[int] = field(default_factory=lambda: [0])
+    words: list[int] = field(default_factory=lambda: [0])
+    marked: list[bool] = field(default_factory=lambda: [False])
+    home: list[bool] = field(default_factory=lambda: [False])
+    holder: list[bool] = field(default_factory=lambda: [False])
+
+    def dropped(self) -> list[bool]:
+        """Marked elements and all in them, but for those that hold the article (an article
+        element with most of the page's words, or the largest if all are marked and it has a
+        quarter) or at least four of five words."""
+        words, inside, n = list(self.words), list(self.marked), len(self.parent)
+        for i in range(n - 1, 0, -1):
+            words[self.parent[i]] += words[i]
+        for i in range(1, n):
+            inside[i] |= inside[self.parent[i]]
+        homes = [i for i in range(1, n) if self.home[i]]
+        safe = [5 * w >= 4 * words[0] for w in words]
+        for i in homes:
+            safe[i] |= 2 * words[i] > words[0]
+        if homes and all(inside[i] for i in homes):
+            most = max(homes, key=lambda i: (words[i], -i))
+            safe[most] |= 4 * words[most] >= words[0]
+        for i in range(n - 1, 0, -1):
+            safe[self.parent[i]] |= safe[i]
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = out[self.parent[i]] or (self.marked[i] and not safe[i])
+        return out
 
 
 @dataclass
 class Page:
-    """``kinds[i]`` and ``sizes[i]`` of each scored event; blocks of text with their events."""
+    """``kinds[i]``, ``sizes[i]`` and place in ``tree`` of each scored event; blocks of text."""
+    tree: Tree = field(default_factory=Tree)
     kinds: list[str] = field(default_factory=list)
     sizes: list[int] = field(default_factory=list)
-    home: list[int] = field(default_factory=list)  # number of the article element around, 0: none
-    holder: list[int] = field(default_factory=list)  # number of the nearest container around, 0: none
-    blocks: list[tuple[int, int, str]] = field(default_factory=list)  # first event, article, text
+    nodes: list[int] = field(default_factory=list)
+    blocks: list[tuple[int, int, str]] = field(default_factory=list)  # first event, place, text
     homes: int = 0
 
+    def around(self, kind: list[bool]) -> list[int]:
+        """For each place of the tree the innermost one around it that ``kind`` marks, 0: none."""
+        out = [0] * len(kind)
+        for i in range(1, len(kind)):
+            out[i] = i if kind[i] else out[self.tree.parent[i]]
+        return out
+
 
 def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
-    stack: list[tuple[str, bool, int, int]] = []  # name, boilerplate, article and container around
-    skip, home, holder, holders, parts, first = 0, 0, 0, 0, [], -1
+    tree = page.tree
+    stack: list[tuple[str, bool, int, bool]] = []  # name, never text, place and article around
+    skip, node, home, parts, raw_blocks = 0, 0, False, [], []
 
     def event(kind: str, size: int) -> None:
         page.kinds.append(kind)
         page.sizes.append(size)
-        page.home.append(home)
-        page.holder.append(holder)
+        page.nodes.append(node)
 
     def flush() -> None:
-        nonlocal parts, first
+        nonlocal parts
         if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                page.blocks.append((first, home, text))
-            parts, first = [], -1
+            raw_blocks.append(parts)
+            parts = []
 
     def text(raw: str) -> None:
-        nonlocal first
         if skip or not raw:
             return
         raw = _html.unescape(raw) if "&" in raw else raw
         n = len(raw.split())
+        parts.append((len(page.kinds) if n else -1, node, raw))
         if n:
-            inner = stack[-1][0] if stack else "other"
-            if first < 0:
-                first = len(page.kinds)
-            event("word " + _kind(inner), n)
-        parts.append(raw)
+            event("word " + _kind(stack[-1][0] if stack else "other"), n)
+            tree.words[node] += n
 
     at, end = 0, len(source)
     while at < end:
@@ -141,19 +195,20 @@ def parse(source: str | None) -> Page:
                 if stack[i][0] == name:
                     flush() if any(x[0] in BLOCK for x in stack[i:]) else None
                     skip -= sum(x[1] for x in stack[i:])
-                    home, holder = stack[i][2:]
+                    node, home = stack[i][2:]
                     del stack[i:]
                     break
         elif name not in VOID and not m["attrs"].endswith("/"):
-            out = _boilerplate(name, m["attrs"], bool(home))
-            stack.append((name, out, home, holder))
+            out = name in NEVER and name not in AROUND
+            stack.append((name, out, node, home))
             skip += out
-            if name in HOLDERS and not skip:
-                holders += 1
-                holder = holders
-            if name in HOME and not skip:
-                page.homes += 1
-                home = page.homes
+            marked = not skip and _marked(name, m["attrs"], home)
+            if marked or (name in HOLDERS and not skip):
+                for column, value in ((tree.parent, node), (tree.words, 0), (tree.marked, marked),
+                                      (tree.home, name in HOME), (tree.holder, name in HOLDERS)):
+                    column.append(value)
+                node = len(tree.parent) - 1
+                home = home or name in HOME
             if name in RAW:
                 close = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, at)
                 if name == "title":
@@ -163,6 +218,22 @@ def parse(source: str | None) -> Page:
                 skip -= out
                 stack.pop()
     flush()
+    return _without_dropped(page, raw_blocks)
+
+
+def _without_dropped(page: Page, raw_blocks: list[list[tuple[int, int, str]]]) -> Page:
+    gone = page.tree.dropped()
+    keep = [i for i, node in enumerate(page.nodes) if not gone[node]]
+    place = {i: j for j, i in enumerate(keep)}
+    for name in ("kinds", "sizes", "nodes"):
+        column = getattr(page, name)
+        setattr(page, name, [column[i] for i in keep])
+    for parts in raw_blocks:
+        parts = [x for x in parts if not gone[x[1]]]
+        first = next(((place[i], node) for i, node, _ in parts if i >= 0), None)
+        if first:
+            page.blocks.append((*first, " ".join("".join(raw for _, _, raw in parts).split())))
+    page.homes = sum(home and not out for home, out in zip(page.tree.home, gone, strict=True))
     return page
 
 
@@ -184,8 +255,9 @@ def counted(pages: Iterator[str | None]) -> dict[tuple[str, bool], int]:
     for source in pages:
         page = parse(source)
         if page.homes == 1:
-            for kind, size, home in zip(page.kinds, page.sizes, page.home, strict=True):
-                out[kind, home > 0] += size
+            home = page.around(page.tree.home)
+            for kind, size, node in zip(page.kinds, page.sizes, page.nodes, strict=True):
+                out[kind, home[node] > 0] += size
     return out
 
 
@@ -205,17 +277,17 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     scores = [n * weights.get(k, 1.0 if k.startswith("word") else -1.0)
               for k, n in zip(page.kinds, page.sizes, strict=True)]
     a, b = best_region(scores)
-    homes = Counter(page.home[i] for i in range(a, b) if page.home[i] and page.kinds[i].startswith("word"))
+    home, holder = page.around(page.tree.home), page.around(page.tree.holder)
+    words = [i for i in range(a, b) if page.kinds[i].startswith("word")]
+    homes = Counter(home[page.nodes[i]] for i in words if home[page.nodes[i]])
     if homes:
-        chosen = max(homes, key=lambda h: (sum(page.sizes[i] for i in range(a, b) if page.home[i] == h), -h))
-        return "\n".join(t for _, h, t in page.blocks if h == chosen)
+        chosen = max(homes, key=lambda h: (sum(page.sizes[i] for i in range(a, b) if home[page.nodes[i]] == h), -h))
+        return "\n".join(t for _, node, t in page.blocks if home[node] == chosen)
     # Blocks that follow in the same element belong to it, however short.
-    holders = Counter(page.holder[i] for i in range(a, b) if page.kinds[i].startswith("word"))
-    if not holders:
+    if not words:
         return ""
-    first = next(i for i in range(a, b) if page.kinds[i].startswith("word"))
-    held = {h for h in holders if h == page.holder[first]}
-    return "\n".join(t for i, _, t in page.blocks if a <= i < b or page.holder[i] in held)
+    first = holder[page.nodes[words[0]]]
+    return "\n".join(t for i, node, t in page.blocks if a <= i < b or holder[node] == first)
 
 
 def learn(pages: DataFrame) -> dict[str, float]:

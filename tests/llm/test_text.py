@@ -32,6 +32,23 @@ def test_page_without_article_element():
     assert text == ("words " * 30).strip() + "\nend"
 
 
+def test_marks_do_not_drop_the_article_or_its_parts():
+    body = "<h2 id='related-work'>Related</h2><section id='search-and-rescue'><p>" + "words " * 30 + "</p></section>"
+    body += "<p class='dialog'>he said</p>"
+    want = "Related\n" + ("words " * 30).strip() + "\nhe said"
+    for page in (f"<div class='layout has-sidebar'><article>{body}</article></div>",
+                 f"<div id='page' class='no-comments'><article>{body}</article></div>",
+                 f"<article class='post comments-open category-search'>{body}</article>",
+                 f"<div class='sidebar'><article>{body}</article></div><div class='related'>{'x ' * 40}</div>",
+                 f"<form><nav>a b</nav><article>{body}<div class='sidebar-left ad'>buy</div></article></form>",
+                 f"<main>{body}<div id='comments'><article class='comment'>nice</article></div></main>"):
+        assert extraction.extract(page, {}) == want, page
+    page = "<div class='widget'><p>" + "words " * 30 + "</p><p class='dialog'>he said</p></div><div class='ad'>buy</div>"
+    assert extraction.extract(page, {}) == ("words " * 30).strip() + "\nhe said"
+    assert extraction.extract("<div>" + "a " * 30 + "</div><div class='cookie-notice'>we use " + "b " * 30 + "</div>",
+                              {}) == ("a " * 30).strip()
+
+
 def test_odd_pages():
     for page in (None, "", "<", "<!-- open", "<p", "<script>x", "&amp", "<p>" * 2000, "</p></div>", "<a b='c"):
         assert isinstance(extraction.extract(page, {}), str)
