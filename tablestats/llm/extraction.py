@@ -2,14 +2,18 @@
 
 A page is a sequence of tags and words.  Words score above 0 and tags below,
 and one linear scan finds the contiguous region with the highest sum.  The
-weights come from labelled pages: a page with one ``article`` (or ``main``)
-element labels its own words and tags as inside or outside, and a kind of tag or
+weights come from labelled pages: a page with ``article`` (or ``main``)
+elements labels its own words and tags as inside or outside, and a kind of tag or
 word seen more often outside scores lower.  Elements that are never article
 text (menus, page headers and footers, sidebars, notices, adverts, forms,
 scripts, comments of readers; by element, or by role, class or id whose every
 word says so) score nothing and give no text, unless they hold the article or
 nearly all words of the page.  Marks of headings, paragraphs and other elements
 of text are read for adverts only, and ids only where containers bear them.
+A region in an article element stands for the whole outermost one, a region over
+several for the nearest container around them (else for each of them), and one
+outside of any for the nearest container around it, so that short paragraphs and
+sections at its ends are not lost.
 
 Scale: one pass counts the kinds of all labelled pages (a small table: tag
 names are a fixed set), one pass extracts; no page is shuffled.
@@ -139,11 +143,11 @@ class Page:
     blocks: list[tuple[int, int, str]] = field(default_factory=list)  # first event, place, text
     homes: int = 0
 
-    def around(self, kind: list[bool]) -> list[int]:
-        """For each place of the tree the innermost one around it that ``kind`` marks, 0: none."""
+    def outermost(self, kind: list[bool]) -> list[int]:
+        """For each place of the tree the outermost one around it that ``kind`` marks, 0: none."""
         out = [0] * len(kind)
         for i in range(1, len(kind)):
-            out[i] = i if kind[i] else out[self.tree.parent[i]]
+            out[i] = out[self.tree.parent[i]] or (i if kind[i] else 0)
         return out
 
 
@@ -233,7 +237,7 @@ def _without_dropped(page: Page, raw_blocks: list[list[tuple[int, int, str]]]) -
         first = next(((place[i], node) for i, node, _ in parts if i >= 0), None)
         if first:
             page.blocks.append((*first, " ".join("".join(raw for _, _, raw in parts).split())))
-    page.homes = sum(home and not out for home, out in zip(page.tree.home, gone, strict=True))
+    page.homes = len({h for i, h in enumerate(page.outermost(page.tree.home)) if h and not gone[i]})
     return page
 
 
@@ -254,8 +258,8 @@ def counted(pages: Iterator[str | None]) -> dict[tuple[str, bool], int]:
     out: Counter = Counter()
     for source in pages:
         page = parse(source)
-        if page.homes == 1:
-            home = page.around(page.tree.home)
+        if page.homes:
+            home = page.outermost(page.tree.home)
             for kind, size, node in zip(page.kinds, page.sizes, page.nodes, strict=True):
                 out[kind, home[node] > 0] += size
     return out
@@ -277,17 +281,23 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
     scores = [n * weights.get(k, 1.0 if k.startswith("word") else -1.0)
               for k, n in zip(page.kinds, page.sizes, strict=True)]
     a, b = best_region(scores)
-    home, holder = page.around(page.tree.home), page.around(page.tree.holder)
-    words = [i for i in range(a, b) if page.kinds[i].startswith("word")]
-    homes = Counter(home[page.nodes[i]] for i in words if home[page.nodes[i]])
-    if homes:
-        chosen = max(homes, key=lambda h: (sum(page.sizes[i] for i in range(a, b) if home[page.nodes[i]] == h), -h))
-        return "\n".join(t for _, node, t in page.blocks if home[node] == chosen)
-    # Blocks that follow in the same element belong to it, however short.
-    if not words:
+    tree = page.tree
+    home, top = page.outermost(tree.home), page.outermost(tree.holder)
+    inside = {page.nodes[i] for i in range(a, b) if page.kinds[i].startswith("word")}
+    if not inside:
         return ""
-    first = holder[page.nodes[words[0]]]
-    return "\n".join(t for i, node, t in page.blocks if a <= i < b or holder[node] == first)
+    homes = {home[node] for node in inside} - {0}
+    shared = homes or inside
+    under = [int(i in shared) for i in range(len(tree.parent))]
+    for i in range(len(under) - 1, 0, -1):
+        under[tree.parent[i]] += under[i]
+    container = max((i for i, n in enumerate(under) if n == len(shared) and tree.holder[i]), default=0)
+    # Where only the page is around all of it: each article, or each container right below the page.
+    chosen = {container} if container else homes or {top[node] for node in inside} - {0}
+    covered = [False] * len(under)
+    for i in range(1, len(under)):
+        covered[i] = i in chosen or covered[tree.parent[i]]
+    return "\n".join(t for i, node, t in page.blocks if covered[node] or (a <= i < b and not homes))
 
 
 def learn(pages: DataFrame) -> dict[str, float]:

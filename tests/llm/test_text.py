@@ -49,6 +49,23 @@ def test_marks_do_not_drop_the_article_or_its_parts():
                               {}) == ("a " * 30).strip()
 
 
+def test_nested_and_consecutive_articles_and_sibling_sections():
+    long = "words " * 30
+    text = long.strip()
+    for page, want in (
+            (f"<nav>n</nav><main><h1>Title</h1><p>Lead</p><article><p>{long}</article></main>", f"Title\nLead\n{text}"),
+            (f"<article><h1>T</h1><p>{long}</p><article><p>inner</article><p>end</article>", f"T\n{text}\ninner\nend"),
+            (f"<p>x</p><article><p>{long}</article><article><p>{long}</article><p>y", f"{text}\n{text}"),
+            (f"<div><article><p>{long}</article><article><p>{long}</article><article>z</article></div>",
+             f"{text}\n{text}\nz"),
+            (f"<div id=menu>m</div><div><section><p>{long}</section><section><p>{long}</section><section>short</section>"
+             "</div><div>away</div>", f"{text}\n{text}\nshort"),
+            (f"<section><p>{long}</section><section><p>{long}</p><p>end</section>", f"{text}\n{text}\nend")):
+        assert extraction.extract(page, {}) == want, page
+    counts = extraction.counted(["<p>out</p><main><article>in one</article><article>in</article></main>"])
+    assert (counts["word article", True], counts["word p", False]) == (3, 1)
+
+
 def test_odd_pages():
     for page in (None, "", "<", "<!-- open", "<p", "<script>x", "&amp", "<p>" * 2000, "</p></div>", "<a b='c"):
         assert isinstance(extraction.extract(page, {}), str)
