@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tablestats.llm.common import id_remainder, small_batches
-from tablestats.llm.labelled import SAMPLE_ROWS, arrays, sampled
+from tablestats.llm.labelled import SAMPLE_ROWS, arrays, collected, sampled
 
 MODULUS, HELD_OUT = 3, 1
 BINS = 64
@@ -139,15 +139,15 @@ def walk(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"],
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "y": batch["y"],
                             "x": [[float(v) for v in statistics(t)] for t in batch["text"]]})
 
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, **how) -> dict | float:
     """The forest, or one score for all where the sample has a single class."""
     small_batches(docs.sparkSession)
-    found = (sampled(docs, labels, "quality", MODULUS, HELD_OUT, rows)
-             .mapInPandas(_training_rows, "doc_id long, y int, x array<double>").toArrow().sort_by("doc_id"))
+    found = collected(sampled(docs, labels, "quality", MODULUS, HELD_OUT, rows)
+                      .mapInPandas(_training_rows, "doc_id long, key long, y int, x array<double>"))
     y = found["y"].to_numpy().astype(np.float64)
     if len(np.unique(y)) < 2:
         return float(y.mean()) if len(y) else 0.5

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tablestats.llm.common import id_remainder, small_batches
-from tablestats.llm.labelled import SAMPLE_ROWS, arrays, sampled
+from tablestats.llm.labelled import SAMPLE_ROWS, arrays, collected, sampled
 
 BUCKETS = 1 << 18
 MODULUS, HELD_OUT = 5, 0
@@ -88,7 +88,7 @@ def _training_rows(swap: dict[str, str]):
                 other = swapped(found, swap)
                 a.append(features(found).tolist())
                 b.append(None if other is None else features(other).tolist())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "x": a, "swapped": b})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "y": batch["y"], "x": a, "swapped": b})
     return rows
 
 
@@ -173,9 +173,8 @@ class Scorer:
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, groups=IDENTITY_TERMS, **how) -> dict:
     """Fit on the sample; its features (2 * ``rows`` short arrays) come to the driver."""
     small_batches(docs.sparkSession)
-    found = (sampled(docs, labels, "toxic", MODULUS, HELD_OUT, rows)
-             .mapInPandas(_training_rows(swaps(groups)), "doc_id long, y int, x array<int>, swapped array<int>")
-             .toArrow().sort_by("doc_id"))
+    found = collected(sampled(docs, labels, "toxic", MODULUS, HELD_OUT, rows).mapInPandas(
+        _training_rows(swaps(groups)), "doc_id long, key long, y int, x array<int>, swapped array<int>"))
     y, x, other = found["y"].to_numpy().astype(np.float64), arrays(found["x"]), arrays(found["swapped"])
     seen: set[bytes] = set()  # copies would count as evidence
     once = [i for i, v in enumerate(x) if not (v.tobytes() in seen or seen.add(v.tobytes()))]

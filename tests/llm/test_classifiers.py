@@ -1,11 +1,13 @@
 """Classifiers: held-out accuracy, identity swaps, edge tables."""
 
+import zlib
+
 import numpy as np
 import pytest
 
 from conftest import SF01
 from llm.helpers import awkward, docs
-from tablestats.llm import quality, toxicity
+from tablestats.llm import labelled, quality, toxicity
 from tablestats.llm.common import table
 
 
@@ -32,6 +34,17 @@ def test_awkward_and_empty_tables(spark, part):
     assert part.classify(docs(spark, []), some).count() == 0
 
 
+def test_sample_has_one_row_per_id_and_text(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % quality.MODULUS != quality.HELD_OUT]
+    rows = [(i, f"text number {i} " * (i + 1)) for i in ids] + [(ids[0], "hot copy")] * 300
+    rows += [(ids[1], f"another text {k}") for k in range(40)]
+    some = labels(spark, [(i, i % 2, i % 2) for i in ids])
+    seen = []
+    monkeypatch.setattr(quality, "grow", lambda x, y, **how: seen.append(len(y)) or 0.5)
+    quality.train(docs(spark, rows), some)
+    assert seen == [len(ids) + 1 + labelled.TEXTS_PER_ID - 1]
+
+
 def test_swapping_keeps_identity_words_out_of_the_score():
     rng = np.random.default_rng(0)
     swap = toxicity.swaps()
