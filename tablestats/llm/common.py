@@ -40,11 +40,11 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back."""
+def written(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back; ``by``: columns with a folder per value."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._corpus_path = path
     return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablestats.llm import decontamination, extraction, fingerprints, jaccard_join, mixing, ppm, quality, sharding, suffix_dedup, toxicity
+from tablestats.llm import chat_format, decontamination, extraction, fingerprints, jaccard_join, merkle, mixing, ppm, quality, ranked_search, sharding, suffix_dedup, toxicity
 from tablestats.llm.common import table
 
 
@@ -50,6 +50,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents_manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Two turns of a further conversation whose text holds what templates use as marks.
+CONTROL_TURNS = [(-7, turn, role, "\\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
+    return chat_format.digests(*chat_format.formatted(conversations.unionByName(more)))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_extraction": op2_extraction,
@@ -61,5 +79,8 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle": op11_merkle,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_chat_format": op13_chat_format,
 }
 ORACLE_SQL: dict[str, str] = {}
