@@ -10,8 +10,9 @@ Quantiles: ``exact=False`` (default) merges KLL sketches in two levels
 requested rank error.  ``sketch='gk'`` asks for Spark's ``percentile_approx``
 inside the same single aggregate (repeatable, but its buffers are merged per
 group in one task).  ``exact=True`` repeats: it interpolates like ``describe()``
-and is computed by ``exact_quantiles`` (no task holds all values), then joined
-to the moments as a one-row scalar subquery.  NaN counts as null.
+and is computed by ``exact_quantiles`` (no task holds all values; its passes run
+while the result is built), then joined to the moments as a one-row scalar
+subquery.  NaN counts as null.
 """
 
 from __future__ import annotations
@@ -161,8 +162,7 @@ def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool
     v = F.when(x <= max_value, x) if max_value is not None else x
     if fused_quantiles(exact, sketch, method):
         return df.agg(F.avg(v).alias("mean"), median(v, exact, rel_err).alias("median"))
-    if not exact:  # mean and sketch in one pass
-        return approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)).select(
-            "mean", F.get("q", 0).alias("median"))
-    med = exact_quantiles(df, v, [0.5], method=method).select(F.get("q", 0)).scalar()
-    return df.agg(F.avg(v).alias("mean")).select("mean", med.alias("median"))
+    # Count, mean and sketch come from one pass.
+    got = (exact_quantiles(df, v, [0.5], method=method) if exact
+           else approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)))
+    return got.select("mean", F.get("q", 0).alias("median"))

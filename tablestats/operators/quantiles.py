@@ -11,39 +11,49 @@ input size:
 1. bracket: a KLL sketch per group, merged in two levels (map tasks are
    salted by partition id, each salt merges its tasks' sketches, the group
    merges the salts), probed just below and just above the ranks each level
-   needs;
-2. bins (``refine`` passes): every bracket is cut into ``BINS`` fixed sub-bins
-   and rows are counted per sub-bin, or per gap between brackets, with the
-   smallest and largest value of each.  Ranks are running sums over at most
-   levels * (BINS + 2) rows per group, and each level's bracket shrinks to the
-   sub-bin that holds it.  A bracket that missed its rank falls into a gap,
-   and the gap becomes the bracket: nothing is lost;
-3. histogram: the few values inside the brackets are counted per value, all
-   others per gap, and running sums pick the two order statistics around each
-   position, for all levels at once.
-
-Rows meet the state of their group through a join on the group and a salt
-(the state is repeated ``JOIN_SALTS`` times), and every aggregate sums map-side
-before its exchange, so a group with a third of all rows is spread.  Without
-groups the state is a scalar subquery.
+   needs.  Count, mean and ends come from the same scan;
+2. count: the values below, at and between the ends of every bracket are
+   counted, so ranks are exact from here on.  A rank that falls on an end is
+   resolved, however many values are tied there.  A bracket that missed its rank
+   becomes the part that holds it.  Where more than ``bound`` values lie strictly
+   between the ends, the same scan sketches just these, and the bracket is cut at
+   the ranks wanted within it; then the counts are taken again.  Cuts are made
+   by rank, so the shape of the distribution does not matter: each pass leaves
+   about a 150th;
+3. gather: the values strictly inside a bracket (counted: ``bound`` of a group
+   and level at most) are ranked by a window.
+
+The passes are steered by what was counted, so building the result runs Spark
+jobs; only rows per group, ``LOCAL_GROUPS`` at most, reach the driver.  With more
+groups their state is a checkpoint in the shared folder (``spark.checkpoint.dir``).
+
+Rows meet the state of their group through ``attach``: literals without groups,
+a broadcast of counted size up to ``LOCAL_GROUPS`` groups, so that no raw row is
+shuffled; beyond that a join in which only the groups of many rows are salted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablestats.functions.clean import known
+from tablestats.session import ensure_checkpoint_dir
 
 SKETCH_K = 4096   # KLL size parameter of the brackets (about 7e-4 normalised rank error)
 MAX_K = 65535     # the largest that Spark's sketch takes
 SALTS = 1024      # first-level merge groups of map tasks
 MARGIN = 3.0      # bracket half-width, in sketch rank errors
-REFINE = 1        # passes that cut brackets into sub-bins
-BINS = 1024       # sub-bins of a bracket
-JOIN_SALTS = 64   # copies of a group's state, and parts of its rows
+BOUND = 65536     # values of a group and level that a window may rank
+LEAST_BOUND = 64  # smaller bounds can't be met: a cut keeps a few values on both sides
+INNER_K = 256     # least size parameter of the sketches that cut a bracket
+GRID = 1024       # even ranks at which a bracket can be cut
+PASSES = 40       # count passes before giving up (each leaves about a 150th)
+LOCAL_GROUPS = 10_000       # groups whose state is held on the driver and broadcast
+ROWS_PER_COPY = 1_000_000   # rows of a group that meet one copy of its state in a shuffled join
 
 
 def kll_rank_error(k: int) -> float:
@@ -52,176 +62,325 @@ def kll_rank_error(k: int) -> float:
 
 
 def _two_level_sketch(data: DataFrame, by: list[str], values: list[Column], k: int,
-                      extra: list[Column], carry: Sequence[str] = (),
-                      salted: bool = True) -> DataFrame:
-    """Per group: merged KLL sketches of ``values`` plus summed ``extra`` counts.
+                      extra: list[tuple[Column, str]], salted: bool = True) -> DataFrame:
+    """Per group: merged KLL sketches ``_sk0``.. of ``values`` plus aggregates ``_e0``..
 
     Level 1 groups by (group, partition id mod SALTS): each map task feeds a
     single salt, so each level-1 task merges about #tasks / SALTS sketches;
-    level 2 merges at most SALTS sketches per group.  ``carry`` columns are
-    constant per group and ride along as extra grouping keys.
+    level 2 merges at most SALTS sketches per group.  ``extra`` pairs an aggregate with
+    the function ('sum', 'min' or 'max') that merges it.
     """
-    keys = [*by, *carry]
+    first = [F.kll_sketch_agg_double(v, k).alias(f"_sk{j}") for j, v in enumerate(values)]
+    first += [e.alias(f"_e{j}") for j, (e, _) in enumerate(extra)]
     if not salted:
-        return data.groupBy(*keys).agg(
-            *[F.kll_sketch_agg_double(v, k).alias(f"_sk{j}") for j, v in enumerate(values)],
-            *[e.alias(f"_e{j}") for j, e in enumerate(extra)])
+        return data.groupBy(*by).agg(*first)
     salt = (F.spark_partition_id() % SALTS).alias("_salt")
-    lvl1 = data.groupBy(*keys, salt).agg(
-        *[F.kll_sketch_agg_double(v, k).alias(f"_sk{j}") for j, v in enumerate(values)],
-        *[e.alias(f"_e{j}") for j, e in enumerate(extra)])
-    return lvl1.groupBy(*keys).agg(
+    return data.groupBy(*by, salt).agg(*first).groupBy(*by).agg(
         *[F.kll_merge_agg_double(f"_sk{j}").alias(f"_sk{j}") for j in range(len(values))],
-        *[F.sum(f"_e{j}").alias(f"_e{j}") for j in range(len(extra))])
+        *[getattr(F, merge)(f"_e{j}").alias(f"_e{j}") for j, (_, merge) in enumerate(extra)])
 
 
-def _non_null(df: DataFrame, by: list[str], value: str | Column) -> DataFrame:
-    """(group keys, _v) rows with a non-null value and non-null group keys."""
-    v = known((F.col(value) if isinstance(value, str) else value).cast("double"))
-    keep = F.col("_v").isNotNull()
+def _grid() -> str:
+    """``GRID + 1`` even ranks as one constant (a sketch takes no computed ranks)."""
+    return "array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")"
+
+
+def settled(df: DataFrame) -> tuple[DataFrame, list[dict] | None]:
+    """``df`` computed once: its rows if there are ``LOCAL_GROUPS`` at most, else a checkpoint and None."""
+    rows = df.limit(LOCAL_GROUPS + 1).toArrow()
+    if rows.num_rows <= LOCAL_GROUPS:
+        return df.sparkSession.createDataFrame(rows, df.schema), rows.to_pylist()
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(), None
+
+
+def attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str], rows: list[dict] | None = None,
+           weight: str | None = None) -> DataFrame:
+    """Add the per-group columns of ``side`` to every data row whose group it has.
+
+    ``rows``: those of ``side`` if ``settled`` gave them.  Otherwise, without groups
+    the one row is a scalar subquery, and with groups the join shuffles: groups
+    that hold more than ``ROWS_PER_COPY`` rows by the column ``weight`` are
+    spread over as many copies of their state.
+    """
+    if not by:
+        if rows is not None:
+            types = dict(side.dtypes)
+            return data.withColumns({c: F.lit(rows[0][c]).cast(types[c]) for c in cols})
+        # One reference to the subquery (a struct), fields extracted afterwards:
+        # every extra reference could run the subquery again.
+        s = side.select(F.struct(*cols).alias("_s")).scalar()
+        with_s = data.select("*", s.alias("_s"))
+        return with_s.select(*data.columns, *[F.col("_s").getField(c).alias(c) for c in cols])
+    if rows is not None:
+        return data.join(F.broadcast(side.select(*by, *cols)), by)
+    if weight is None:
+        return data.join(side.select(*by, *cols), by)
+    copies = F.ceil(F.col(weight) / ROWS_PER_COPY).cast("int")
+    heavy, found = settled(side.where(F.col(weight) > ROWS_PER_COPY).select(*by, copies.alias("_copies")))
+    spread = data.join(F.broadcast(heavy) if found is not None else heavy, by, "left")
+    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce(F.col("_copies"), F.lit(1))).cast("int")
+    each = side.select(*by, *cols, F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(1)) - 1)).alias("_salt"))
+    return spread.withColumn("_salt", salt).drop("_copies").join(each, [*by, "_salt"]).drop("_salt")
+
+
+class _Targets:
+    """Levels of several series of values, numbered through, and SQL for where each stands.
+
+    The position ``p * (n - 1)`` of a level lies at or between the ranks ``low`` and
+    ``high``.  Column ``_c{4t}`` and the next three count the values below the bracket
+    of target t, at its lower end, strictly inside (ranks ``first`` to ``last - 1``)
+    and at its upper end.
+    """
+
+    def __init__(self, levels: Sequence[Sequence[float]]):
+        self.levels = [[float(p) for p in ps] for ps in levels]
+        self.flat = [(s, p) for s, ps in enumerate(self.levels) for p in ps]
+        self.all = range(len(self.flat))
+
+    def of(self, s: int) -> list[int]:
+        return [t for t, (own, _) in enumerate(self.flat) if own == s]
+
+    def names(self, t: int) -> dict[str, str]:
+        s, p = self.flat[t]
+        pos = f"({p!r}D * cast(_n{s} - 1 as double))"
+        first = f"(_c{4 * t} + _c{4 * t + 1})"
+        return {"x": f"_v{s}", "lo": f"_lo{t}", "hi": f"_hi{t}", "least": f"_min{s}", "most": f"_max{s}", "pos": pos,
+                "low": f"floor({pos})", "high": f"ceil({pos})", "below": f"_c{4 * t}", "first": first,
+                "inside": f"_c{4 * t + 2}", "last": f"({first} + _c{4 * t + 2})", "at_hi": f"_c{4 * t + 3}"}
+
+    def sql(self, t: int, text: str, **more: object) -> str:
+        return text.format(**self.names(t), **more)
+
+    def needed(self, t: int) -> str:
+        """Does a rank fall strictly inside the bracket?"""
+        return self.sql(t, "(({low} >= {first} AND {low} < {last}) OR ({high} >= {first} AND {high} < {last}))")
+
+
+def _values(df: DataFrame, by: list[str], values: Sequence[str | Column]) -> DataFrame:
+    """(group keys, _v0, ...) rows with a value that is known, and non-null group keys."""
+    cols = [known((F.col(v) if isinstance(v, str) else v).cast("double")).alias(f"_v{s}") for s, v in enumerate(values)]
+    keep = reduce(lambda a, b: a | b, [F.col(f"_v{s}").isNotNull() for s in range(len(cols))])
     for b in by:
         keep = keep & F.col(b).isNotNull()
-    return df.select(*[F.col(b) for b in by], v.alias("_v")).where(keep)
-
-
-def _quantiles_of(sketch: Column, ranks: Column) -> Column:
-    """Sketch quantiles at constant ranks; null for an empty sketch."""
-    return F.when(F.kll_sketch_get_n_double(sketch) > 0,
-                  F.kll_sketch_get_quantile_double(sketch, ranks))
-
-
-def attach(data: DataFrame, side: DataFrame, by: list[str], cols: list[str],
-           value: str = "_v") -> DataFrame:
-    """Add the per-group columns of ``side`` to every data row (salted join, or scalar)."""
-    if by:
-        salt = F.pmod(F.xxhash64(value) + F.spark_partition_id(), F.lit(JOIN_SALTS)).cast("int")
-        copies = side.select(*by, *cols, F.explode(
-            F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_salt"))
-        return data.withColumn("_salt", salt).join(copies, on=[*by, "_salt"]).drop("_salt")
-    # One reference to the subquery (a struct), fields extracted afterwards:
-    # every extra reference could run the subquery again.
-    s = side.select(F.struct(*cols).alias("_s")).scalar()
-    with_s = data.select("*", s.alias("_s"))
-    return with_s.select(*data.columns, *[F.col("_s").getField(c).alias(c) for c in cols])
-
-
-def _sub_bin(x: Column, lo: Column, hi: Column) -> Column:
-    """0 below the bracket, 1..BINS inside, BINS + 1 above; never falls as x grows."""
-    width = hi - lo
-    inner = F.when((width > 0) & (width < F.lit(float("inf"))),
-                   F.least(F.floor((x - lo) / width * BINS), F.lit(BINS - 1)) + 1).otherwise(F.lit(1))
-    return F.when(x < lo, F.lit(0)).when(x > hi, F.lit(BINS + 1)).otherwise(inner).cast("int")
-
-
-def _running(hist: DataFrame, by: list[str]) -> DataFrame:
-    """Adds ``_start`` and ``_end``: ranks [start, end) of each row's values."""
-    w = (Window.partitionBy(*by).orderBy(F.col("_ymin"))
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = hist.withColumn("_end", F.sum("_c").over(w))
-    return out.withColumn("_start", F.col("_end") - F.col("_c"))
-
-
-def _narrowed(data: DataFrame, state: DataFrame, by: list[str], levels: list[float]) -> DataFrame:
-    """State with each level's bracket replaced by the sub-bin (or gap) that holds its ranks."""
-    names = [c for c in state.columns if c not in by]
-    rows = attach(data, state, by, names)
-    x, bins = F.col("_v"), [f"_b{j}" for j in range(len(levels))]
-    rows = rows.select(*by, "_n", "_v", *[
-        _sub_bin(x, F.col(f"_lo{j}"), F.col(f"_hi{j}")).alias(b) for j, b in enumerate(bins)])
-    hist = rows.groupBy(*by, "_n", *bins).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_ymin"), F.max("_v").alias("_ymax"))
-    start, end = F.col("_start"), F.col("_end")
-    n1 = (F.col("_n") - 1).cast("double")
-    picks = []
-    for j, p in enumerate(levels):
-        low, high = F.floor(F.lit(p) * n1), F.ceil(F.lit(p) * n1)
-        # The first and last value of a bin have known ranks.
-        lo = F.when((start <= low) & (low < end),
-                    F.when(low == end - 1, F.col("_ymax")).otherwise(F.col("_ymin")))
-        hi = F.when((start <= high) & (high < end),
-                    F.when(high == start, F.col("_ymin")).otherwise(F.col("_ymax")))
-        picks += [F.max(lo).alias(f"_lo{j}"), F.max(hi).alias(f"_hi{j}")]
-    return _running(hist, by).groupBy(*by, "_n").agg(*picks)
+    return df.select(*[F.col(b) for b in by], *cols).where(keep)
+
+
+def _counts(targets: _Targets) -> list[Column]:
+    """Per target: values below the bracket, at its lower end, strictly inside, at its upper end."""
+    return [F.expr(targets.sql(t, f"count_if({where})")) for t in targets.all for where in
+            ("{x} < {lo}", "{x} = {lo}", "{x} > {lo} AND {x} < {hi}", "{x} = {hi} AND {hi} > {lo}")]
+
+
+class _Fences:
+    """Box-plot fences beside the quartiles of series 0 (targets 0, 1, 2).
+
+    The brackets of the quartiles bound both fences.  The count pass also counts what lies
+    beyond these bounds and between them, and finds the nearest value inside the
+    box's reach; what lies between them is gathered, so that whiskers and outliers
+    need no scan of their own.
+    """
+
+    def __init__(self, reach: float):
+        r = repr(float(reach)) + "D"
+        # A hair wider, for the rounding of interpolated quartiles.
+        wide = "1e-9D * (abs(_lo0) + abs(_hi2) + abs(_hi2 - _lo0))"
+        self.low = (f"(_lo0 - {r} * (_hi2 - _lo0) - {wide})", f"(_hi0 - {r} * (_lo2 - _hi0) + {wide})")
+        self.high = (f"(_lo2 + {r} * (_lo2 - _hi0) - {wide})", f"(_hi2 + {r} * (_hi2 - _lo0) + {wide})")
+        self.exact = (f"(q1 - {r} * (q3 - q1))", f"(q3 + {r} * (q3 - q1))")
+        ends = (*self.low, *self.high)
+        self.in_low, self.in_high = (f"(_v0 >= {a} AND _v0 <= {b})" for a, b in (self.low, self.high))
+        self.aggregates = [
+            (F.expr(f"count_if(_v0 < {self.low[0]})"), "sum"), (F.expr(f"count_if{self.in_low}"), "sum"),
+            (F.expr(f"min(CASE WHEN _v0 > {self.low[1]} THEN _v0 END)"), "min"),
+            (F.expr(f"count_if(_v0 > {self.high[1]})"), "sum"), (F.expr(f"count_if{self.in_high}"), "sum"),
+            (F.expr(f"max(CASE WHEN _v0 < {self.high[0]} THEN _v0 END)"), "max")]
+        self.finite = " AND ".join(f"abs({e}) < double('Infinity')" for e in ends)
+
+    def open(self, bound: int) -> str:
+        """Is there more between the bounds than may be gathered?"""
+        return f"_n0 > 0 AND NOT coalesce({self.finite} AND _f1 <= {bound} AND _f4 <= {bound}, false)"
+
+    def answers(self) -> list[str]:
+        """``whisker_low, whisker_high, n_out`` from the quartiles, the counts and the gathered ``_near``."""
+        low, high = self.exact
+        first = f"array_min(array_append(transform(filter(_near, i -> i.t = -1 AND i.x >= {low}), i -> i.x), _f2))"
+        last = f"array_max(array_append(transform(filter(_near, i -> i.t = -2 AND i.x <= {high}), i -> i.x), _f5))"
+        beyond = (f"aggregate(_near, _f0 + _f3, (a, i) -> a + CASE WHEN (i.t = -1 AND i.x < {low}) "
+                  f"OR (i.t = -2 AND i.x > {high}) THEN i.c ELSE 0L END)")
+        return [f"least(coalesce({first}, q1), q1) AS whisker_low", f"greatest(coalesce({last}, q3), q3) AS whisker_high",
+                f"{beyond} AS n_out"]
+
+
+def _narrowed(targets: _Targets, delta: float, bound: int, sketched: bool) -> tuple[list[str], str]:
+    """Each target's bracket after its counts, and whether any has to be counted again (SQL)."""
+    out, again = [], []
+    for t in targets.all:
+        large = f"({targets.needed(t)} AND {targets.names(t)['inside']} > {bound})"
+        # A rank strictly inside is looked up in the sketch of the values there, a little further out.
+        lo, hi = "{lo}", "{hi}"
+        if sketched:
+            rank_lo, rank_hi = f"(({{low}} - {{first}}) / {{inside}} - {delta!r}D)", f"(({{high}} + 1 - {{first}}) / {{inside}} + {delta!r}D)"
+            lo = f"CASE WHEN {large} AND {{low}} >= {{first}} AND {rank_lo} > 0 THEN get(_cuts{t}, cast(floor({rank_lo} * {GRID}) as int)) ELSE {{lo}} END"
+            hi = f"CASE WHEN {large} AND {{high}} < {{last}} AND {rank_hi} < 1 THEN get(_cuts{t}, cast(ceil({rank_hi} * {GRID}) as int)) ELSE {{hi}} END"
+        missed = "({low} < {below} OR {high} >= {last} + {at_hi})"
+        out.append(targets.sql(t, f"CASE WHEN {{low}} < {{below}} THEN {{least}} WHEN {{high}} >= {{last}} + {{at_hi}} THEN {{hi}} ELSE {lo} END AS _lo{t}"))
+        out.append(targets.sql(t, f"CASE WHEN {{low}} < {{below}} THEN {{lo}} WHEN {{high}} >= {{last}} + {{at_hi}} THEN {{most}} ELSE {hi} END AS _hi{t}"))
+        again.append(targets.sql(t, f"coalesce(_n{targets.flat[t][0]} > 0 AND ({missed} OR {large}), false)"))
+    return out, " OR ".join(again) + " AS _again"
+
+
+def _any(df: DataFrame, rows: list[dict] | None, flag: str) -> bool:
+    return any(r[flag] for r in rows) if rows is not None else df.where(flag).limit(1).count() > 0
+
+
+def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence[Sequence[float]],
+                 by: Sequence[str] = (), k: int = SKETCH_K, salted: bool = True, bound: int = BOUND,
+                 fences: _Fences | None = None) -> DataFrame:
+    """Per group, for series ``s`` of ``values``: ``n{s}``, ``mean{s}``, ``q{s}`` (an exact quantile per level).
+
+    All series go through the same scans; see the module for the passes.  Rows with
+    a null group key are ignored, groups without any known value are absent; without
+    ``by`` there is always one row (n = 0 and null quantiles for an empty input).
+    ``fences`` adds ``whisker_low``, ``whisker_high`` and ``n_out``, unless more than
+    ``bound`` values of a group lie where a fence can be.
+    """
+    by, targets = list(by), _Targets(levels)
+    keys = [f"`{b}`" for b in by]
+    n_series = len(levels)
+    data = _values(df, by, values)
+    delta = MARGIN * kll_rank_error(k)
+    inner_k, bound = max(k, INNER_K), max(bound, LEAST_BOUND)
+
+    # Pass 1: count, mean, ends and a sketch; probes around each level's ranks.
+    series = [F.col(f"_v{s}") for s in range(n_series)]
+    extra = [(F.expr(f"{f}(_v{s})"), m) for s in range(n_series) for f, m in
+             (("count", "sum"), ("sum", "sum"), ("min", "min"), ("max", "max"))]
+    first = _two_level_sketch(data, by, series, k, extra, salted)
+    cols = []
+    for s in range(n_series):
+        n, total, least, most = (f"_e{4 * s + i}" for i in range(4))
+        cols += [f"coalesce({n}, 0L) AS _n{s}", f"try_divide({total}, {n}) AS _mean{s}", f"{least} AS _min{s}", f"{most} AS _max{s}"]
+    for t, (s, p) in enumerate(targets.flat):
+        probe = f"CASE WHEN _e{4 * s} > 0 THEN kll_sketch_get_quantile_double(_sk{s}, {{!r}}D) END"
+        cols.append((f"_e{4 * s + 2}" if p - delta <= 0 else probe.format(p - delta)) + f" AS _lo{t}")
+        cols.append((f"_e{4 * s + 3}" if p + delta >= 1 else probe.format(p + delta)) + f" AS _hi{t}")
+    state, rows = settled(first.selectExpr(*keys, *cols))
+    brackets = [f"_{end}{t}" for t in targets.all for end in ("lo", "hi")]
+    kept = [c for c in state.columns if c not in by and c not in brackets]
+
+    # Count passes, until no bracket missed its ranks or holds more than the bound.
+    most_rows = (max((r[f"_n{s}"] for r in rows for s in range(n_series)), default=0) if rows is not None
+                 else max(state.agg(*[F.max(f"_n{s}") for s in range(n_series)]).first()))
+    sketched = 4 * delta * most_rows > bound
+    counts = _counts(targets)
+    numbers = [f"coalesce(_c{i}, 0L) AS _c{i}" for i in range(len(counts))]
+    beside = fences.aggregates if fences else []
+    numbers += [f"_f{i}" for i in range(len(beside))]
+    renamed = [f"_e{i} AS _c{i}" for i in range(len(counts))] + [f"_e{len(counts) + i} AS _f{i}" for i in range(len(beside))]
+    for _ in range(PASSES):
+        met = attach(data, state, by, brackets, rows, "_n0")
+        if sketched:
+            inside = [F.expr(targets.sql(t, "CASE WHEN {x} > {lo} AND {x} < {hi} THEN {x} END")) for t in targets.all]
+            both = _two_level_sketch(met, by, inside, inner_k, [*((c, "sum") for c in counts), *beside], salted)
+            counted = both.selectExpr(*keys, *renamed, *[
+                f"CASE WHEN kll_sketch_get_n_double(_sk{t}) > 0 THEN kll_sketch_get_quantile_double(_sk{t}, {_grid()}) END AS _cuts{t}"
+                for t in targets.all])
+        else:
+            counted = met.groupBy(*by).agg(*[c.alias(f"_c{i}") for i, c in enumerate(counts)],
+                                           *[c.alias(f"_f{i}") for i, (c, _) in enumerate(beside)])
+        ends, again = _narrowed(targets, MARGIN * kll_rank_error(inner_k), bound, sketched)
+        fresh = attach(counted, state, by, [*kept, *brackets], rows)
+        state, rows = settled(fresh.selectExpr(*keys, *kept, *ends, *numbers, again))
+        if not _any(state, rows, "_again"):
+            break
+        sketched = True
+    else:
+        raise RuntimeError("the brackets of exact_quantiles did not close")
+
+    # Gather what lies strictly inside a bracket whose ranks fall there.
+    open_fences = fences.open(bound) if fences else "true"
+    state = state.selectExpr("*", *[f"{targets.needed(t)} AS _need{t}" for t in targets.all], f"{open_fences} AS _open")
+    if rows is not None:
+        state, rows = settled(state)
+    if fences and _any(state, rows, "_open"):
+        fences = None
+    picked, inner = state, False
+    if fences or any(_any(state, rows, f"_need{t}") for t in targets.all):
+        inner = True
+        met = attach(data, state, by, [*brackets, *[f"_need{t}" for t in targets.all]], rows, "_n0")
+        hits = [targets.sql(t, f"_need{t} AND {{x}} > {{lo}} AND {{x}} < {{hi}}") for t in targets.all]
+        each = ", ".join(targets.sql(t, f"CASE WHEN {hits[t]} THEN struct({t} AS t, {{x}} AS x) END") for t in targets.all)
+        if fences:
+            hits += [fences.in_low, fences.in_high]
+            each += "".join(f", CASE WHEN {hit} THEN struct({t} AS t, _v0 AS x) END" for t, hit in ((-1, fences.in_low), (-2, fences.in_high)))
+        hist = (met.where(" OR ".join(f"({h})" for h in hits))
+                .selectExpr(*keys, f"explode(filter(array({each}), i -> i IS NOT NULL)) AS _i")
+                .groupBy(*by, "_i.t", "_i.x").agg(F.count(F.lit(1)).alias("_c")))
+        order = Window.partitionBy(*by, "t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        facts = [c for c in state.columns if c not in by]
+        ranked = attach(hist.withColumn("_end", F.sum("_c").over(order)), state, by,
+                        [c for c in facts if c[:2] in ("_n", "_c") and not c.startswith("_need")], rows)
+        picks = [F.expr(targets.sql(
+            t, f"max(CASE WHEN t = {t} AND {{{rank}}} - {{first}} < _end AND {{{rank}}} - {{first}} >= _end - _c THEN x END)")).alias(f"_{name}{t}")
+            for t in targets.all for name, rank in (("a", "low"), ("b", "high"))]
+        if fences:
+            near = F.collect_list(F.when(F.col("t") < 0, F.struct("t", "x", F.col("_c").alias("c"))))
+            picks.append(near.alias("_near"))
+        picked = ranked.groupBy(*by).agg(*picks)
+        if by:
+            picked = state.join(F.broadcast(picked) if rows is not None else picked, by, "left")
+        else:
+            picked = attach(picked, state, by, facts, rows)
+
+    def quantile(t: int) -> str:
+        a, b = (f"CASE WHEN {{{rank}}} < {{first}} THEN {{lo}} WHEN {{{rank}}} >= {{last}} THEN {{hi}} ELSE "
+                + (f"_{name}{t}" if inner else "null") + " END" for name, rank in (("a", "low"), ("b", "high")))
+        return targets.sql(t, f"CASE WHEN {{low}} = {{high}} THEN {a} ELSE ({{high}} - {{pos}}) * ({a}) + ({{pos}} - {{low}}) * ({b}) END")
+
+    out = [c for s in range(n_series) for c in (
+        f"_n{s} AS n{s}", f"_mean{s} AS mean{s}",
+        f"CASE WHEN _n{s} > 0 THEN array({', '.join(quantile(t) for t in targets.of(s))}) END AS q{s}")]
+    if not fences:
+        return picked.selectExpr(*keys, *out)
+    near = "coalesce(_near, array()) AS _near" if by else "_near"
+    box = picked.selectExpr(*keys, *out, near, *[f"_f{i}" for i in range(len(beside))])
+    return (box.withColumns({"q1": F.get("q0", 0), "q3": F.get("q0", 2)})
+            .selectExpr(*keys, *[c.split(" AS ")[-1] for c in out], *fences.answers()))
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
-                    by: Sequence[str] = (), k: int = SKETCH_K, refine: int = REFINE,
-                    max_groups: int | None = None, salted: bool = True,
-                    method: str | None = None) -> DataFrame:
-    """Per group: ``n`` (non-null values) and ``q`` (array, one exact quantile per level).
+                    by: Sequence[str] = (), k: int = SKETCH_K, salted: bool = True,
+                    method: str | None = None, bound: int = BOUND) -> DataFrame:
+    """Per group: ``n`` (non-null values), ``mean`` and ``q`` (array, one exact quantile per level).
 
     Rows with a null group key are ignored, and groups without any non-null
     value are absent; without ``by`` there is always one row (n = 0 and null
     quantiles for an empty input).  NaN counts as null.
 
-    The result and the way to it are the same at every size.  ``refine`` is the
-    number of sub-bin passes (at least one); ``salted=False`` merges the sketches
-    of a group in one level; ``method='percentile'`` asks for Spark's own
-    aggregate, for inputs known to be small.  ``max_groups`` is accepted for
-    callers that know a bound; nothing depends on it.
+    The result and the way to it are the same at every size; ``bound`` is the number
+    of values of a group and level that a task may rank (``LEAST_BOUND`` at least), ``salted=False`` merges the sketches of a group in
+    one level, and ``method='percentile'`` asks for Spark's own aggregate, for
+    inputs known to be small.
     """
-    method = exact_method(method)
     by = list(by)
-    levels = [float(p) for p in levels]
-    n_lv = len(levels)
-    data = _non_null(df, by, value)
-    if method == "percentile":
-        res = data.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in levels])).alias("q"))
-        return res.select(*by, F.col("n").cast("long").alias("n"), "q")
-    delta = MARGIN * kll_rank_error(k)
-    x = F.col("_v")
-
-    # Pass 1: n and a sketch of all values; probes at the constant ranks
-    # p - delta and p + delta bracket each level's ranks.
-    probes = F.array(*[F.lit(min(max(r, 0.0), 1.0)) for p in levels for r in (p - delta, p + delta)])
-    first = _two_level_sketch(data, by, [x], k, [F.count(F.lit(1))], salted=salted)
-    got = _quantiles_of(F.col("_sk0"), probes)
-    cols = {"_n": F.col("_e0")}
-    for j in range(n_lv):
-        cols[f"_lo{j}"], cols[f"_hi{j}"] = F.get(got, 2 * j), F.get(got, 2 * j + 1)
-    state = first.select(*by, *[c.alias(name) for name, c in cols.items()])
-    names = list(cols)
-    n1 = (F.col("_n") - 1).cast("double")
-
-    for _ in range(max(1, refine)):
-        state = _narrowed(data, state, by, levels)
-
-    # Histogram pass: value inside any bracket, else the gap it falls in.
-    joined = attach(data, state, by, names)
-    inside_any = F.lit(False)
-    gap = F.lit(0)
-    for j in range(n_lv):
-        lo, hi = F.col(f"_lo{j}"), F.col(f"_hi{j}")
-        inside_any = inside_any | ((x >= lo) & (x <= hi))
-        gap = gap + F.when(x > hi, F.lit(1)).otherwise(F.lit(0))
-    keyed = joined.select(*by, "_n", F.when(inside_any, x).alias("_x"),
-                          F.when(~inside_any, gap).alias("_gap"), x.alias("_y"))
-    hist = keyed.groupBy(*by, "_n", "_x", "_gap").agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_y").alias("_ymin"))
-    ranked = _running(hist, by)
-
-    def pick(kk: Column) -> Column:
-        return F.when((F.col("_start") <= kk) & (kk < F.col("_end")), F.col("_x"))
-
-    aggs = []
-    for j, p in enumerate(levels):
-        pos = F.lit(p) * n1
-        aggs += [F.max(pick(F.floor(pos))).alias(f"_a{j}"), F.max(pick(F.ceil(pos))).alias(f"_b{j}")]
-    picked = ranked.groupBy(*by, "_n").agg(*aggs)
-
-    qs = []
-    for j, p in enumerate(levels):
-        pos = F.lit(p) * n1
-        lower, upper = F.floor(pos), F.ceil(pos)
-        v0, v1 = F.col(f"_a{j}"), F.col(f"_b{j}")
-        qs.append(F.when(lower == upper, v0).otherwise((upper - pos) * v0 + (pos - lower) * v1))
-    out = picked.select(*by, F.col("_n").alias("n"), F.array(*qs).alias("q"))
-    if not by:
-        out = out.agg(F.coalesce(F.first("n"), F.lit(0)).cast("long").alias("n"),
-                      F.first("q").alias("q"))
-    return out
+    if exact_method(method) == "percentile":
+        lv = F.array(*[F.lit(float(p)) for p in levels])
+        x = F.col("_v0")
+        return _values(df, by, [value]).groupBy(*by).agg(
+            F.count(x).alias("n"), F.avg(x).alias("mean"), F.percentile(x, lv).alias("q"))
+    out = exact_series(df, [value], [levels], by, k, salted, bound)
+    return out.select(*by, F.col("n0").alias("n"), F.col("mean0").alias("mean"), F.col("q0").alias("q"))
+
+
+def exact_box(df: DataFrame, value: str | Column, by: Sequence[str], reach: float, k: int = SKETCH_K,
+              bound: int = BOUND) -> DataFrame:
+    """Per group: ``n``, ``q`` (the quartiles) and, where three scans give them,
+    ``whisker_low``, ``whisker_high``, ``n_out`` for fences ``reach`` inter-quartile ranges off the box."""
+    by = list(by)
+    out = exact_series(df, [value], [(0.25, 0.5, 0.75)], by, k, True, bound, _Fences(reach))
+    more = [c for c in ("whisker_low", "whisker_high", "n_out") if c in out.columns]
+    return out.select(*by, F.col("n0").alias("n"), F.col("q0").alias("q"), *more)
 
 
 def approx_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
@@ -235,14 +394,12 @@ def approx_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float]
     error.  Same row contract as ``exact_quantiles``.
     """
     by = list(by)
-    data = _non_null(df, by, value)
-    sk = _two_level_sketch(data, by, [F.col("_v")], k, [F.count(F.lit(1)), F.sum("_v")], salted=salted)
+    data, x = _values(df, by, [value]), F.col("_v0")
+    sk = _two_level_sketch(data, by, [x], k, [(F.count(x), "sum"), (F.sum(x), "sum")], salted)
     ranks = F.array(*[F.lit(float(p)) for p in levels])
-    out = sk.select(*by, F.col("_e0").alias("n"), _quantiles_of(F.col("_sk0"), ranks).alias("q"),
-                    F.try_divide(F.col("_e1"), F.col("_e0")).alias("mean"))
-    if not by:
-        out = out.select(F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), "q", "mean")
-    return out
+    q = F.when(F.kll_sketch_get_n_double("_sk0") > 0, F.kll_sketch_get_quantile_double("_sk0", ranks))
+    return sk.select(*by, F.coalesce(F.col("_e0"), F.lit(0)).cast("long").alias("n"), q.alias("q"),
+                     F.try_divide(F.col("_e1"), F.col("_e0")).alias("mean"))
 
 
 def exact_method(method: str | None = None) -> str:

@@ -1,12 +1,11 @@
 """Spread of a value per bucket: mean/median, and box-plot numbers.
 
-Nothing is collected: the raw values never leave the executors.  Box numbers
-need each bucket's quartiles before its whiskers, so the quartile table (one
-row per bucket) is joined back to the data on the bucket and a salt
-(``quantiles.attach``): a bucket with a third of all rows is spread over many
-tasks, and each of them aggregates before the exchange on the bucket.  The
-second aggregate groups by the bucket plus its (constant) quartiles, so nothing
-is joined a second time.
+The raw values never leave the executors, and with up to ``LOCAL_GROUPS`` buckets
+they are not shuffled either: each bucket's state is broadcast (its rows are
+counted) and every task aggregates what it reads, so a bucket with a third of
+all rows is spread.  Exact whiskers come from the scans that find the quartiles
+(``quantiles.exact_box``); only if very many values are tied where a fence lies,
+and with sketch quartiles, does a scan of their own find them.
 """
 
 from __future__ import annotations
@@ -19,9 +18,11 @@ from tablestats.operators.profile import QUARTILES, SUMMARY_ACCURACY, median, qu
 from tablestats.operators.quantiles import (
     approx_quantiles,
     attach,
+    exact_box,
     exact_quantiles,
     fused_quantiles,
     rel_err_to_k,
+    settled,
 )
 
 # Fixed value: whisker reach in inter-quartile ranges (box-plot default).
@@ -29,30 +30,23 @@ WHISKER_IQR = 1.5
 
 
 def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
-                 rel_err: float = 1.0 / SUMMARY_ACCURACY, max_buckets: int | None = None,
-                 sketch: str | None = None, method: str | None = None) -> DataFrame:
-    """Per non-null bucket: n, mean and median of the non-null values of ``col``.
-
-    ``max_buckets`` is accepted for callers that know a bound; nothing depends on it.
-    """
+                 rel_err: float = 1.0 / SUMMARY_ACCURACY, sketch: str | None = None,
+                 method: str | None = None) -> DataFrame:
+    """Per non-null bucket: n, mean and median of the non-null values of ``col``."""
     x = known(F.col(col).cast("double"))
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull())
     if fused_quantiles(exact, sketch, method):
         return data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
                                         median(x, exact, rel_err).alias("median"))
-    if not exact:  # counts, means and sketches in one pass
-        return approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)).select(
-            bucket, "n", "mean", F.get("q", 0).alias("median"))
-    moments = data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"))
-    med = exact_quantiles(data, x, [0.5], by=[bucket], method=method).select(
-        bucket, F.get("q", 0).alias("median"))
-    return moments.join(med, on=bucket, how="left")
+    # Counts, means and sketches in one pass; exact medians take two more.
+    got = (exact_quantiles(data, x, [0.5], by=[bucket], method=method) if exact
+           else approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)))
+    return got.select(bucket, "n", "mean", F.get("q", 0).alias("median"))
 
 
 def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
               exact: bool = False, accuracy: int = SUMMARY_ACCURACY,
-              max_buckets: int | None = None, sketch: str | None = None,
-              method: str | None = None) -> DataFrame:
+              sketch: str | None = None, method: str | None = None) -> DataFrame:
     """Box-plot numbers per non-null bucket.
 
     Output: bucket, q1, median, q3, whisker_low, whisker_high, n_out, n.
@@ -64,16 +58,20 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     if fused_quantiles(exact, sketch, method):
         box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, exact, accuracy).alias("q"))
     elif exact:
-        box = exact_quantiles(data, "_v", QUARTILES, by=[bucket], method=method)
+        box = exact_box(data, "_v", [bucket], k)
     else:
         box = approx_quantiles(data, "_v", QUARTILES, by=[bucket], k=rel_err_to_k(1.0 / accuracy))
+    more = [c for c in ("whisker_low", "whisker_high", "n_out", "n") if "n_out" in box.columns]
     box = box.select(bucket, F.get("q", 0).alias("q1"), F.get("q", 1).alias("median"),
-                     F.get("q", 2).alias("q3"))
+                     F.get("q", 2).alias("q3"), *more)
+    if more:
+        return box
     iqr = F.col("q3") - F.col("q1")
     box = box.withColumns({"_lo": F.col("q1") - F.lit(k) * iqr,
                            "_hi": F.col("q3") + F.lit(k) * iqr})
     v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
-    out = (attach(data, box, [bucket], ["q1", "median", "q3", "_lo", "_hi"])
+    box, rows = settled(box)
+    out = (attach(data, box, [bucket], ["q1", "median", "q3", "_lo", "_hi"], rows)
                .groupBy(bucket, "q1", "median", "q3")
                .agg(F.min(F.when(v >= lo, v)).alias("_wl"),
                     F.max(F.when(v <= hi, v)).alias("_wh"),

@@ -388,7 +388,7 @@ def q_exact_quartiles_large_path(spark, sf):
     """Exact quartiles per return flag (sketch brackets merged in two levels,
     one sub-bin pass, histogram ranks)."""
     q = exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.25, 0.5, 0.75],
-                        by=["l_returnflag"], method="bracket", salted=True, refine=1)
+                        by=["l_returnflag"])
     return q.select("l_returnflag", "n", F.posexplode("q").alias("pos", "value")).select(
         "l_returnflag", "n", "pos", _r("value"))
 
@@ -425,7 +425,7 @@ def _era(clean):
 
 
 def q_bucket_stats(spark, sf):
-    return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True, max_buckets=2).select(
+    return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True).select(
         "era", "n", _r("mean"), _r("median"))
 
 
@@ -437,7 +437,7 @@ def q_box_stats_events(spark, sf):
 
 def q_bucket_stats_large_path(spark, sf):
     """bucket_stats with medians from the distributed exact method, by name."""
-    return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True, max_buckets=2,
+    return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True,
                         method="bracket").select("era", "n", _r("mean"), _r("median"))
 
 
@@ -451,7 +451,7 @@ def q_box_stats_events_large_path(spark, sf):
 
 def q_box_stats_era(spark, sf):
     clean = band(_era(catalog(spark, sf)), "price", lo=0.0, label="era")
-    return box_stats(clean, "era", "price", exact=True, max_buckets=2).select(
+    return box_stats(clean, "era", "price", exact=True).select(
         "era", _r("q1"), _r("median"), _r("q3"), _r("whisker_low"), _r("whisker_high"),
         "n_out", "n")
 

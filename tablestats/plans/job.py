@@ -129,8 +129,6 @@ def chart_tables(clean: DataFrame, exact: bool = False, sketch: str | None = Non
         "scatter_line": fit_line(pairs, "metacritic_score", "user_score"),
         "scatter_corr": corr_gated(pairs, "metacritic_score", "user_score").withColumn(
             "label", corr_label(F.col("corr"))),
-        "era_box": box_stats(priced, "era", "price", exact=exact, sketch=sketch,
-                             max_buckets=len(ERA_LABELS)),
-        "era_stats": bucket_stats(priced, "era", "price", exact=exact, sketch=sketch,
-                                  max_buckets=len(ERA_LABELS)),
+        "era_box": box_stats(priced, "era", "price", exact=exact, sketch=sketch),
+        "era_stats": bucket_stats(priced, "era", "price", exact=exact, sketch=sketch),
     }

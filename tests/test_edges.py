@@ -42,7 +42,7 @@ def operators(df):
         "center": center(df, "price", max_value=1000),
         "center_exact": center(df, "price", max_value=1000, exact=True),
         "bucket_stats": bucket_stats(era, "era", "price"),
-        "bucket_stats_exact": bucket_stats(era, "era", "price", exact=True, max_buckets=1),
+        "bucket_stats_exact": bucket_stats(era, "era", "price", exact=True),
         "box": box_stats(era, "era", "price"),
         "box_exact": box_stats(era, "era", "price", exact=True),
         "corr": corr_gated(df, "metacritic_score", "user_score"),

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tablestats.operators import quantiles
 from tablestats.operators.quantiles import exact_quantiles
 
 LEVELS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -33,12 +34,12 @@ def test_exact_groups_hot_value_and_ties(spark):
         np.testing.assert_allclose(got[g].q, brute(vals), rtol=1e-12)
 
 
-@pytest.mark.parametrize("k,refine", [(64, 0), (64, 1), (200, 2)])
-def test_exact_many_distinct_uses_brackets(spark, k, refine):
-    # small sketches: wide brackets, so the bracket and refinement logic does the work
+@pytest.mark.parametrize("k,bound", [(64, 100), (16, 65536), (200, 1)])
+def test_exact_many_distinct_uses_brackets(spark, k, bound):
+    # small sketches and bounds: wide brackets, so the counted narrowing does the work
     df = spark.range(300000).select((F.rand(5) * 1e6).alias("v")).repartition(7)
     vals = [r.v for r in df.collect()]
-    row = exact_quantiles(df, "v", LEVELS, k=k, refine=refine, method="bracket").first()
+    row = exact_quantiles(df, "v", LEVELS, k=k, bound=bound, method="bracket").first()
     np.testing.assert_allclose(row.q, brute(vals), rtol=1e-12)
 
 
@@ -57,14 +58,14 @@ def test_exact_plan_is_distributed(spark):
     assert "PythonUDF" not in plan and "CartesianProduct" not in plan
 
 
-@pytest.mark.parametrize("salted,refine", [(True, 1), (False, 0), (True, 0)])
-def test_exact_paths_agree(spark, salted, refine):
+@pytest.mark.parametrize("salted,bound", [(True, 65536), (False, 10), (True, 10)])
+def test_exact_paths_agree(spark, salted, bound):
     df = spark.range(20000).select((F.col("id") % 13).alias("g"), (F.rand(2) * 50).alias("v")).repartition(5)
     vals = {}
     for r in df.collect():
         vals.setdefault(r.g, []).append(r.v)
     got = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], salted=salted, method="bracket",
-                                                refine=refine).collect()}
+                                                bound=bound, k=32).collect()}
     for g, vs in vals.items():
         np.testing.assert_allclose(got[g], brute(vs), rtol=1e-12)
 
@@ -142,3 +143,91 @@ def test_null_group_keys_are_ignored(spark, method):
     assert got == {1: (2, [2.0])}
     from tablestats.operators.quantiles import approx_quantiles
     assert [r.g for r in approx_quantiles(df, "v", [0.5], by=["g"]).collect()] == [1]
+
+
+def shapes():
+    rng = np.random.default_rng(7)
+    return {
+        "lognormal": rng.lognormal(0, 12, 60000),
+        "clustered": np.concatenate([1 + 1e-12 * rng.random(40000), 1e9 + rng.random(20000), [-1e300, 1e300]]),
+        "tied": np.concatenate([np.full(40000, 5.0), 5 + 1e-14 * np.arange(300), rng.normal(5, 1e-6, 3000)]),
+        "few values": rng.integers(0, 4, 30000).astype(float),
+    }
+
+
+@pytest.mark.parametrize("shape", list(shapes()))
+def test_no_task_ranks_more_values_than_the_bound(spark, monkeypatch, shape):
+    vals, bound, states = shapes()[shape], 64, []
+    whole = quantiles.settled
+
+    def watched(df):
+        out, rows = whole(df)
+        states.append(rows)
+        return out, rows
+
+    monkeypatch.setattr(quantiles, "settled", watched)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(6)
+    levels = [0.001, 0.25, 0.5, 0.75]
+    got = exact_quantiles(df, "v", levels, k=64, bound=bound).first()
+    np.testing.assert_allclose(got.q, np.percentile(vals, [p * 100 for p in levels]), rtol=1e-12)
+    last = states[-1][0]
+    assert all(last[f"_c{4 * t + 2}"] <= bound for t in range(len(levels)) if last[f"_need{t}"])
+    assert got.n == len(vals) and len(states) >= 3
+
+
+def test_a_missed_bracket_is_mended(spark, monkeypatch):
+    vals = np.random.default_rng(2).normal(0, 1, 20000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(6)
+    whole, calls = quantiles.settled, []
+
+    def misled(df):
+        out, rows = whole(df)
+        calls.append(1)
+        if len(calls) == 1:  # the first brackets lie beside their ranks
+            rows[0] |= {"_lo0": 0.5, "_hi0": 0.6, "_lo1": -2.0, "_hi1": -1.9}
+            return df.sparkSession.createDataFrame([tuple(rows[0].values())], df.schema), rows
+        return out, rows
+
+    monkeypatch.setattr(quantiles, "settled", misled)
+    got = exact_quantiles(df, "v", [0.25, 0.75], bound=500).first()
+    np.testing.assert_allclose(got.q, np.percentile(vals, [25, 75]), rtol=1e-12)
+
+
+def grouped(spark):
+    rng = np.random.default_rng(4)
+    rows = [("hot", float(v)) for v in rng.exponential(9, 6000)] + [(f"g{i % 30}", float(i % 97)) for i in range(3000)]
+    return rows, spark.createDataFrame(rows, "g string, v double").repartition(5)
+
+
+def test_many_groups_go_through_a_checkpoint_and_salted_joins(spark, monkeypatch):
+    rows, df = grouped(spark)
+    monkeypatch.setattr(quantiles, "LOCAL_GROUPS", 4)
+    monkeypatch.setattr(quantiles, "ROWS_PER_COPY", 500)
+    got = {r.g: r.q for r in exact_quantiles(df, "v", LEVELS, by=["g"], k=64, bound=100).collect()}
+    assert len(got) == 31
+    for g, q in got.items():
+        np.testing.assert_allclose(q, brute([v for k, v in rows if k == g]), rtol=1e-12)
+
+
+def test_few_groups_shuffle_no_raw_rows(spark):
+    _, df = grouped(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = exact_quantiles(df, "v", [0.5], by=["g"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "_salt" not in plan and "BroadcastHashJoin" in plan
+    lines = plan.splitlines()
+    dealt = [(line, lines[i + 1]) for i, line in enumerate(lines) if "Exchange hashpartitioning(" in line]
+    assert dealt and all("Aggregate" in below or "Window" in below for _, below in dealt), dealt  # only counts are dealt out
+
+
+def test_several_series_share_their_scans(spark):
+    df = spark.range(4000).select(F.col("id").cast("double").alias("a"), (F.rand(3) * 9).alias("b"))
+    rows = df.collect()
+    r = quantiles.exact_series(df, ["a", F.when(F.col("b") > 4, F.col("b")), F.lit(None)], [[0.5], [0.25, 0.5], [0.5]], k=64, bound=50).first()
+    assert (r.n0, r.q0) == (4000, [1999.5]) and r.n2 == 0 and r.q2 is None
+    big = [x.b for x in rows if x.b > 4]
+    np.testing.assert_allclose(r.q1, np.percentile(big, [25, 50]), rtol=1e-12)
+    assert r.n1 == len(big)
+    assert abs(r.mean1 - np.mean(big)) < 1e-9

@@ -1,3 +1,4 @@
+import functools
 import math
 
 import numpy as np
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablestats import (box_stats, bucket_stats, corr_gated, fit_line, linear_fit, predict,
                         sample_n)
+from tablestats.operators import spread
 
 
 def brute_box(values, k=1.5):
@@ -20,14 +22,15 @@ def brute_box(values, k=1.5):
     return q1, med, q3, wl, wh, n_out
 
 
-@pytest.mark.parametrize("max_buckets", [None, 3])
-def test_box_stats_matches_brute_force(spark, max_buckets):
+@pytest.mark.parametrize("bound", [65536, 64])
+def test_box_stats_matches_brute_force(spark, monkeypatch, bound):
+    monkeypatch.setattr(spread, "exact_box", functools.partial(spread.exact_box, bound=bound))
     rng = np.random.default_rng(3)
     data = {"a": list(rng.normal(10, 2, 400)) + [60.0, -40.0], "b": list(rng.exponential(5, 300)),
             "c": [7.0]}
     rows = [(b, float(x)) for b, xs in data.items() for x in xs] + [(None, 1.0), ("a", None)]
     df = spark.createDataFrame(rows, "b string, x double")
-    got = {r.b: r for r in box_stats(df, "b", "x", exact=True, max_buckets=max_buckets).collect()}
+    got = {r.b: r for r in box_stats(df, "b", "x", exact=True).collect()}
     assert set(got) == {"a", "b", "c"}
     for b, xs in data.items():
         q1, med, q3, wl, wh, n_out = brute_box(xs)
@@ -40,15 +43,34 @@ def test_box_stats_matches_brute_force(spark, max_buckets):
 
 def test_box_stats_spreads_hot_buckets(spark):
     df = spark.range(5000).selectExpr("if(id % 10 < 9, 'hot', 'b') as b", "cast(id as double) as x")
-    out = box_stats(df, "b", "x", exact=True, max_buckets=2)
+    out = box_stats(df, "b", "x", exact=True)
     assert "Statistics" not in out._jdf.queryExecution().optimizedPlan().toString()
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in plan  # no hint on a caller's word
-    joins = [x for x in plan.splitlines() if "Join Inner" in x]
-    assert joins and all("_salt" in x for x in joins)
+    assert "_salt" not in plan  # the counted state of two buckets is broadcast, no raw row is dealt out
     assert {r.b: r.n for r in out.collect()} == {"hot": 4500, "b": 500}
 
 
+@pytest.mark.parametrize("values", [
+    [0.0] * 3 + [1.0] * 5 + [9.0] * 2, [float(i) for i in range(40)] + [1e6, 1e6, -1e6], [3.0], [1.0, 2.0], [5.0] * 50,
+    [float("-inf"), 1.0, 2.0, 3.0, float("inf")], [1.0, 1.0, 1.0, 7.0]])
+def test_whiskers_from_the_scans_of_the_quartiles(spark, values):
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", 2.0 * i) for i in range(9)], "b string, x double")
+    own = {r.b: r for r in box_stats(df, "b", "x", exact=True).collect()}
+    by_name = {r.b: r for r in box_stats(df, "b", "x", exact=True, method="percentile").collect()}
+    for b in ("a", "b"):
+        assert [repr(v) for v in own[b]] == [repr(v) for v in by_name[b]]
+
+
+def test_exact_box_takes_three_scans(spark):
+    from tablestats.operators import quantiles
+    df = spark.range(3000).selectExpr("id % 3 as b", "cast(id * id as double) as x")
+    got = quantiles.exact_box(df, "x", ["b"], 1.5)
+    assert {"whisker_low", "whisker_high", "n_out"} <= set(got.columns)
+    # A box from 10 to 14 whose lower fence, 4, is the value of 200 rows.
+    tied = spark.range(1400).selectExpr("0 as b", "cast(CASE WHEN id < 200 THEN 4 WHEN id < 800 THEN 10 ELSE 14 END as double) as x")
+    assert "n_out" not in quantiles.exact_box(tied, "x", ["b"], 1.5, bound=64).columns
+
+
 def test_bucket_stats(spark):
     rows = [("old", 1.0), ("old", 3.0), ("old", 10.0), ("new", 4.0), ("new", None), (None, 5.0)]
     df = spark.createDataFrame(rows, "era string, price double")
