@@ -157,9 +157,13 @@ class _Targets:
         return self.sql(t, "(({low} >= {first} AND {low} < {last}) OR ({high} >= {first} AND {high} < {last}))")
 
 
+def _value(v: str | Column) -> Column:
+    return known((F.col(v) if isinstance(v, str) else v).cast("double"))
+
+
 def _values(df: DataFrame, by: list[str], values: Sequence[str | Column]) -> DataFrame:
     """(group keys, _v0, ...) rows with a value that is known, and non-null group keys."""
-    cols = [known((F.col(v) if isinstance(v, str) else v).cast("double")).alias(f"_v{s}") for s, v in enumerate(values)]
+    cols = [_value(v).alias(f"_v{s}") for s, v in enumerate(values)]
     keep = reduce(lambda a, b: a | b, [F.col(f"_v{s}").isNotNull() for s in range(len(cols))])
     for b in by:
         keep = keep & F.col(b).isNotNull()
@@ -236,14 +240,16 @@ def _any(df: DataFrame, rows: list[dict] | None, flag: str) -> bool:
 
 def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence[Sequence[float]],
                  by: Sequence[str] = (), k: int = SKETCH_K, salted: bool = True, bound: int = BOUND,
-                 fences: _Fences | None = None) -> DataFrame:
+                 fences: _Fences | None = None, states: Sequence[Column] = ()) -> DataFrame:
     """Per group, for series ``s`` of ``values``: ``n{s}``, ``mean{s}``, ``q{s}`` (an exact quantile per level).
 
     All series go through the same scans; see the module for the passes.  Rows with
     a null group key are ignored, groups without any known value are absent; without
     ``by`` there is always one row (n = 0 and null quantiles for an empty input).
     ``fences`` adds ``whisker_low``, ``whisker_high`` and ``n_out``, unless more than
-    ``bound`` values of a group lie where a fence can be.
+    ``bound`` values of a group lie where a fence can be.  ``states`` are aggregates over
+    the rows of ``df`` that the first scan takes as well; ``s0``, ... are arrays of
+    their values, one for each of at most ``SALTS`` parts of the data.
     """
     by, targets = list(by), _Targets(levels)
     keys = [f"`{b}`" for b in by]
@@ -256,8 +262,11 @@ def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence
     series = [F.col(f"_v{s}") for s in range(n_series)]
     extra = [(F.expr(f"{f}(_v{s})"), m) for s in range(n_series) for f, m in
              (("count", "sum"), ("sum", "sum"), ("min", "min"), ("max", "max"))]
-    first = _two_level_sketch(data, by, series, k, extra, salted)
-    cols = []
+    n_extra = len(extra)
+    extra += [(state, "collect_list") for state in states]
+    rows_read = df.withColumns({f"_v{s}": _value(v) for s, v in enumerate(values)}) if states else data
+    first = _two_level_sketch(rows_read, by, series, k, extra, salted or bool(states))
+    cols = [f"_e{n_extra + i} AS _s{i}" for i in range(len(states))]
     for s in range(n_series):
         n, total, least, most = (f"_e{4 * s + i}" for i in range(4))
         cols += [f"coalesce({n}, 0L) AS _n{s}", f"try_divide({total}, {n}) AS _mean{s}", f"{least} AS _min{s}", f"{most} AS _max{s}"]
@@ -266,6 +275,8 @@ def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence
         cols.append((f"_e{4 * s + 2}" if p - delta <= 0 else probe.format(p - delta)) + f" AS _lo{t}")
         cols.append((f"_e{4 * s + 3}" if p + delta >= 1 else probe.format(p + delta)) + f" AS _hi{t}")
     state, rows = settled(first.selectExpr(*keys, *cols))
+    parts = state.select(*by, *[f"_s{i}" for i in range(len(states))])
+    state = state.drop(*[f"_s{i}" for i in range(len(states))])
     brackets = [f"_{end}{t}" for t in targets.all for end in ("lo", "hi")]
     kept = [c for c in state.columns if c not in by and c not in brackets]
 
@@ -341,6 +352,9 @@ def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence
     out = [c for s in range(n_series) for c in (
         f"_n{s} AS n{s}", f"_mean{s} AS mean{s}",
         f"CASE WHEN _n{s} > 0 THEN array({', '.join(quantile(t) for t in targets.of(s))}) END AS q{s}")]
+    if states:
+        picked = attach(picked, parts, by, [f"_s{i}" for i in range(len(states))])
+    out += [f"_s{i} AS s{i}" for i in range(len(states))]
     if not fences:
         return picked.selectExpr(*keys, *out)
     near = "coalesce(_near, array()) AS _near" if by else "_near"
@@ -396,12 +410,25 @@ def approx_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float]
     by = list(by)
     data, x = _values(df, by, [value]), F.col("_v0")
     sk = _two_level_sketch(data, by, [x], k, [(F.count(x), "sum"), (F.sum(x), "sum")], salted)
-    ranks = F.array(*[F.lit(float(p)) for p in levels])
-    q = F.when(F.kll_sketch_get_n_double("_sk0") > 0, F.kll_sketch_get_quantile_double("_sk0", ranks))
-    return sk.select(*by, F.coalesce(F.col("_e0"), F.lit(0)).cast("long").alias("n"), q.alias("q"),
+    return sk.select(*by, F.coalesce(F.col("_e0"), F.lit(0)).cast("long").alias("n"), _sketched("_sk0", levels).alias("q"),
                      F.try_divide(F.col("_e1"), F.col("_e0")).alias("mean"))
 
 
+def _sketched(sketch: str, levels: Sequence[float]) -> Column:
+    ranks = F.array(*[F.lit(float(p)) for p in levels])
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, ranks))
+
+
+def approx_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence[Sequence[float]],
+                  k: int = SKETCH_K, states: Sequence[Column] = ()) -> DataFrame:
+    """One row: ``q{s}``, sketch quantiles of every series, and ``s{i}``, arrays of the ``states``
+    (as in ``exact_series``); one scan for all of them."""
+    rows = df.withColumns({f"_v{s}": _value(v) for s, v in enumerate(values)})
+    sk = _two_level_sketch(rows, [], [F.col(f"_v{s}") for s in range(len(levels))], k, [(state, "collect_list") for state in states])
+    return sk.select(*[_sketched(f"_sk{s}", own).alias(f"q{s}") for s, own in enumerate(levels)],
+                     *[F.col(f"_e{i}").alias(f"s{i}") for i in range(len(states))])
+
+
 def exact_method(method: str | None = None) -> str:
     """'bracket' (the one path, whatever the size), or 'percentile' if asked for by name."""
     if method not in ("percentile", "bracket", None):

@@ -29,9 +29,10 @@ from tablestats.operators.profile import (
     median,
     summary_struct,
 )
+from tablestats.operators.moments import count_of, mean_of, merged_correlation, merged_moments, moments, pair_moments
 from tablestats.operators.quantiles import (
-    approx_quantiles,
-    exact_quantiles,
+    approx_series,
+    exact_series,
     fused_quantiles,
     rel_err_to_k,
 )
@@ -139,8 +140,9 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     exact percentile; ``sketch='gk'`` or ``method='percentile'`` ask for
     Spark's own aggregates instead (see ``profile``).
 
-    Plan: one aggregate over the table (counts, moments, correlation), one per
-    key, and the quantiles of the four series.  Of the per-key table, however
+    Plan: one aggregate over the table (counts, moments, correlation and the
+    sketches of four series) and one per key; exact quartiles take two more scans,
+    run while the plan is built.  Of the per-key table, however
     many keys it has, only bounded pieces are gathered: the last 10 and the last
     15 keys (top-n per task) and one row with its ends and its peak.  All lines
     are made from these one-row results.
@@ -159,20 +161,19 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     # of their own over the four series
     separate = not fused_quantiles(exact, sketch, method)
 
-    one = clean.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        summary_struct(price, exact, accuracy, mean_of=kept_price,
-                       with_quantiles=not separate).alias("s_price"),
-        summary_struct(F.when(user > 0, user), exact, accuracy,
-                       with_quantiles=not separate).alias("s_user"),
-        summary_struct(F.when(critic > 0, critic), exact, accuracy,
-                       with_quantiles=not separate).alias("s_critic"),
-        F.avg(kept_price).alias("c_mean"),
-        (F.lit(None).cast("double") if separate
-         else median(kept_price, exact, rel_err)).alias("c_median"),
-        F.count(F.when(pair, F.lit(1))).alias("r_n"),
-        F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
-    )
+    series = [price, F.when(user > 0, user), F.when(critic > 0, critic), kept_price]
+    if separate:
+        one = _one_scan(clean, series, (critic, user), exact, rel_err_to_k(1.0 / accuracy))
+    else:
+        one = clean.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            summary_struct(price, exact, accuracy, mean_of=kept_price).alias("s_price"),
+            summary_struct(series[1], exact, accuracy).alias("s_user"),
+            summary_struct(series[2], exact, accuracy).alias("s_critic"),
+            F.avg(kept_price).alias("c_mean"), median(kept_price, exact, rel_err).alias("c_median"),
+            F.count(F.when(pair, F.lit(1))).alias("r_n"),
+            F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
+        )
     one = one.select(F.struct(*one.columns).alias("G"))
 
     keyed = per_key(clean, key, "name", DEFAULT_MEANS, "n").withColumnRenamed(key, "k")
@@ -187,19 +188,12 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
                               F.min_by(entry, F.struct(-F.col("n"), "k")).alias("peak"))).scalar()
     one = one.select("G", top(keyed, LAST_COUNTS).alias("Y10"),
                      top(keyed.where(F.col("n") > min_count), LAST_STATS).alias("Y15"), ends.alias("E"))
-    if separate:
-        k_sum = rel_err_to_k(1.0 / accuracy)
-        one = one.withColumn("M", _quantile_map(clean, price, user, critic, price_max, exact, k_sum,
-                                                method))
     fields = ("count", "mean", "stddev", "min", "q25", "q50", "q75", "max")
 
-    def block(section: int, first: int, name: str, series: int) -> list[str]:
-        vals = [f"G.{name}.{f}" for f in fields]
-        if separate:
-            vals[4:7] = [f"get(M[{series}], {i})" for i in range(3)]
-        return _summary_block_sql(section, first, vals, digits)
+    def block(section: int, first: int, name: str) -> list[str]:
+        return _summary_block_sql(section, first, [f"G.{name}.{f}" for f in fields], digits)
 
-    c_median = "get(M[3], 1)" if separate else "G.c_median"
+    c_median = "G.c_median"
     cols = clean.columns
 
     def fixed(section: int, seq: int, text: str) -> str:
@@ -215,12 +209,12 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
         fixed(0, 6, ""),
         fixed(1, 0, SECTION_COUNTS), fixed(1, 1, SINGLE_RULE), fixed(1, END_SEQ, ""),
         fixed(2, 0, SECTION_PRICE), fixed(2, 1, SINGLE_RULE),
-        *block(2, 2, "s_price", 0),
+        *block(2, 2, "s_price"),
         fixed(2, 10, ""),
         fixed(3, 0, SECTION_SCORES), fixed(3, 1, SINGLE_RULE), fixed(3, 2, USER_SCORE),
-        *block(3, 3, "s_user", 1),
+        *block(3, 3, "s_user"),
         fixed(3, 11, ""), fixed(3, 12, CRITIC_SCORE),
-        *block(3, 13, "s_critic", 2),
+        *block(3, 13, "s_critic"),
         fixed(3, 21, ""),
         fixed(4, 0, SECTION_YEARS), fixed(4, 1, SINGLE_RULE), fixed(4, END_SEQ, ""),
         fixed(5, 0, SECTION_INSIGHTS), fixed(5, 1, SINGLE_RULE), fixed(5, 2, INSIGHT_RECENT),
@@ -258,28 +252,25 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     return lines.where(F.col("line").isNotNull())
 
 
-def _quantile_map(clean: DataFrame, price: Column, user: Column, critic: Column,
-                  price_max: float, exact: bool, k: int, method: str | None = None) -> Column:
-    """Quartiles of the report's four series, as one map-valued scalar.
+def _one_scan(clean: DataFrame, series: list[Column], pair: tuple[Column, Column], exact: bool, k: int) -> DataFrame:
+    """The report's statistics in one row, from one scan (and two narrower ones for exact quartiles).
 
-    The series (0 price; 1 user score > 0; 2 critic score > 0; 3 price <=
-    price_max) are stacked as (series, value) rows and ranked per series by
-    ``exact_quantiles`` (or sketched by ``approx_quantiles``); the four
-    result rows come back as a map series -> [q25, q50, q75] through one
-    scalar subquery.
-    """
-    series = F.explode(F.array(
-        F.struct(F.lit(0).alias("series"), price.alias("v")),
-        F.struct(F.lit(1).alias("series"), F.when(user > 0, user).alias("v")),
-        F.struct(F.lit(2).alias("series"), F.when(critic > 0, critic).alias("v")),
-        F.struct(F.lit(3).alias("series"), F.when(price <= price_max, price).alias("v")),
-    ))
-    stacked = clean.select(series.alias("_s")).select("_s.series", "_s.v")
-    if exact:
-        qs = exact_quantiles(stacked, "v", QUARTILES, by=["series"], method=method)
-    else:
-        qs = approx_quantiles(stacked, "v", QUARTILES, by=["series"], k=k)
-    return qs.agg(F.map_from_entries(F.collect_list(F.struct("series", "q")))).scalar()
+    ``series``: price, user score > 0, critic score > 0, price up to the mean's limit."""
+    states = [F.struct(F.count(F.lit(1)).alias("n")), *[moments(x) for x in series], pair_moments(*pair)]
+    levels = [QUARTILES] * len(series)
+    got = (exact_series(clean, series, levels, states=states) if exact
+           else approx_series(clean, series, levels, k, states))
+    kept_mean = mean_of(F.col("s4"))
+
+    def summary_of(i: int) -> Column:
+        m, q = merged_moments(F.col(f"s{i + 1}")), F.col(f"q{i}")
+        mean = kept_mean if i == 0 else m["mean"]
+        return F.struct(m["count"].alias("count"), mean.alias("mean"), m["stddev"].alias("stddev"), m["min"].alias("min"),
+                        F.get(q, 0).alias("q25"), F.get(q, 1).alias("q50"), F.get(q, 2).alias("q75"), m["max"].alias("max"))
+
+    return got.select(count_of(F.col("s0")).alias("n_rows"), *[summary_of(i).alias(name) for i, name in enumerate(("s_price", "s_user", "s_critic"))],
+                      kept_mean.alias("c_mean"), F.get("q3", 1).alias("c_median"),
+                      count_of(F.col("s5")).alias("r_n"), merged_correlation(F.col("s5")).alias("r"))
 
 
 def prompt_text(lines: DataFrame, instructions: str, key: str | None = None,
