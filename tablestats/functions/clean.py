@@ -52,10 +52,15 @@ def known(c: Column | str) -> Column:
 
 
 def _finite(c: Column) -> Column:
-    """Infinities (text beyond the range of doubles) as null."""
+    """NaN and infinities (text beyond the range of doubles) as null."""
     return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
+def finite_number(c: Column | str) -> Column:
+    """A numeric column as double, as if its text were cleaned: NaN and infinities become null, the sign stays."""
+    return _finite(_as_col(c).cast("double"))
+
+
 def clean_numeric_col(c: Column | str) -> Column:
     """Strip every character but digits and dots, then cast to double.
 

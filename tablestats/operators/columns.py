@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablestats.functions.clean import ISO_DATE, clean_numeric_col, parse_date, to_number
+from tablestats.functions.clean import ISO_DATE, clean_numeric_col, finite_number, parse_date, to_number
 
 # The catalogue columns the analysis uses, in table order, and
 # the names of the derived columns.
@@ -53,7 +53,8 @@ def select_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
 def clean_numeric(df: DataFrame, cols: Sequence[str], reparse: bool = False) -> DataFrame:
     """Strict number cleaning of text columns (see ``clean_numeric_col``).
 
-    Columns that are already numeric pass through as double unless
+    Columns that are already numeric pass through as double (NaN and infinities
+    as null, as in text) unless
     ``reparse`` is set, in which case their text form is cleaned too (the
     sign is lost, as for text).
     """
@@ -61,7 +62,7 @@ def clean_numeric(df: DataFrame, cols: Sequence[str], reparse: bool = False) ->
     out = {}
     for c in cols:
         if _is_numeric(types[c]) and not reparse:
-            out[c] = F.col(c).cast("double")
+            out[c] = finite_number(c)
         else:
             out[c] = clean_numeric_col(F.col(c))
     return df.withColumns(out)
@@ -92,12 +93,12 @@ def _cleaned(name: str, c: Column, dt: T.DataType, date_formats: Sequence[str],
              numbers: str) -> Column:
     if name in MESSY_NUMBER_COLUMNS:
         if _is_numeric(dt):
-            return c.cast("double")
+            return finite_number(c)
         return clean_numeric_col(c) if numbers == "strip" else to_number(c)
     if name in COUNT_COLUMNS:
         return (c if _is_numeric(dt) else to_number(c)).try_cast("long")
     if name == "pct_pos_total":
-        return c.cast("double") if _is_numeric(dt) else to_number(c)
+        return finite_number(c) if _is_numeric(dt) else to_number(c)
     if name == "release_date":
         if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return c.cast("date")

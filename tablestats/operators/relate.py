@@ -9,6 +9,7 @@ user code.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -87,39 +88,68 @@ def fit_line(df: DataFrame, x: str, y: str, n: int = LINE_POINTS,
                .select("i", "x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y")))
 
 
+#: Hex digits that one counting pass of a threshold tells apart, and candidates per row wanted.
+_DIGITS = 3
+_SPARE = 16
+
+
+def _threshold(rows: DataFrame, text: Column, n: int, enough: int) -> tuple[str, int, bool] | None:
+    """The upper end of a range of hash texts that holds the n smallest, ``enough`` rows more at most.
+
+    Also how many of the n lie at that end's own bin, and whether that bin is one text
+    with more rows than ``enough``.  None if there are n rows at most.  Each pass counts
+    the next hex digits (4,096 groups at most) of the bin in which the n-th lies.
+    """
+    bins, prefix = rows.select(text.alias("_t")), ""
+    while True:
+        digits = F.substring("_t", len(prefix) + 1, _DIGITS)
+        counted = (bins.where(F.col("_t").startswith(prefix)).groupBy(digits.alias("_d"))
+                   .agg(F.count(F.lit(1)).alias("c"), F.min("_t").alias("lo"), F.max("_t").alias("hi")).orderBy("_d").collect())
+        if not prefix and sum(r.c for r in counted) <= n:
+            return None
+        for r in counted:
+            if r.c >= n:
+                break
+            n -= r.c
+        if r.c <= enough or r.lo == r.hi:
+            return r.hi, n, r.c > enough
+        prefix = os.path.commonprefix([r.lo, r.hi])
+
+
 def sample_n(df: DataFrame, key_cols: Sequence[str] | str, n: int = SAMPLE_ROWS) -> DataFrame:
     """Up to ``n`` rows, chosen by the md5 of the key: the same rows every run.
 
-    The result is exactly ``orderBy(md5(key), key, other columns).limit(n)``
-    (a null key as the empty text, ties on the key broken by the remaining
-    columns, so the chosen multiset is fully determined), computed without sending n rows from every
-    task to one final merge:
-
-    1. a histogram of the hash's leading zero hex digits (at most 33 groups,
-       combined map-side) gives the largest z such that at least
-       min(n, #rows) hashes start with z zeros; those hashes are exactly the
-       smallest ones, and in expectation there are fewer than 16 n of them;
-    2. only rows with at least z leading zeros enter the top-n
-       (``TakeOrderedAndProject``).
+    The result is exactly ``orderBy(md5(key), key, md5(other columns), other
+    columns).limit(n)`` (a null key as the empty text, so the chosen multiset is fully
+    determined), computed without sending n rows from every task to one final merge:
+
+    1. counting passes over the hash's leading hex digits find an upper bound that
+       the n smallest hashes lie below, with at most 16 n rows;
+    2. if one key alone holds more rows than that (a null or coarse key), the same passes
+       over the hash of the other columns find a bound among the rows of this key;
+    3. only rows within the bounds enter the top-n (``TakeOrderedAndProject``).
+
+    The passes run while the sample is built; each brings 4,096 counts to the driver at most.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    rest = [c for c in df.columns if c not in keys]
+    if n <= 0:
+        return df.limit(0)
     texts = [F.col(k).cast("string") for k in keys]
     # A null key hashes as the empty text (concat_ws leaves nulls out).
     h = F.md5(F.coalesce(texts[0], F.lit(""))) if len(texts) == 1 else F.md5(F.concat_ws("\u001f", *texts))
-    hashed = df.withColumn("_h", h).withColumn(
-        "_z", F.length(F.regexp_extract(F.col("_h"), "^0*", 0)))
-
-    hist = hashed.groupBy("_z").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = hist.select("_z", F.sum("_c").over(
-        Window.orderBy(F.col("_z").desc()).rowsBetween(Window.unboundedPreceding,
-                                                       Window.currentRow)).alias("_atleast"),
-        F.sum("_c").over(Window.partitionBy(F.lit(0))).alias("_total"))
-    need = F.least(F.lit(n), F.col("_total"))
-    z = ranked.where(F.col("_atleast") >= need).agg(
-        F.coalesce(F.max("_z"), F.lit(0)).alias("z")).scalar()
-
-    rest = [c for c in df.columns if c not in keys]
-    order = [F.col("_h").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in keys + rest]
-    return (hashed.where(F.col("_z") >= z)
-                  .orderBy(*order).limit(n)
-                  .select(*df.columns))
+    others = F.md5(F.concat_ws("\u001f", *[F.col(c).cast("string") for c in rest]))
+    found = _threshold(df, h, n, _SPARE * n)
+    kept = df
+    if found is not None:
+        top, left, tied = found
+        within = h < top if tied else h <= top
+        if tied:
+            second = _threshold(df.where(h == top), others, left, _SPARE * n)
+            within = within | ((h == top) & (others <= second[0] if second else F.lit(True)))
+        kept = df.where(within)
+    order = [h, *[F.col(k).asc_nulls_last() for k in keys], others, *[F.col(c).asc_nulls_last() for c in rest]]
+    hidden = [f"_o{i}" for i in range(2)]
+    ranked = kept.withColumns({hidden[0]: h, hidden[1]: others})
+    order[0], order[1 + len(keys)] = F.col(hidden[0]), F.col(hidden[1])
+    return ranked.orderBy(*order).limit(n).select(*df.columns)

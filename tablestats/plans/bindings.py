@@ -18,10 +18,12 @@ last-digit differences between engines do not count.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablestats.functions.clean import finite_number
 from tablestats.functions import LENIENT_DATE_FORMATS, bucket, corr_label, parse_date, to_number
 from tablestats.operators import (
     add_ratio,
@@ -56,6 +58,16 @@ from tablestats.operators import (
 from tablestats.operators.quantiles import SKETCH_K, attach, kll_rank_error
 from tablestats.plans.chat import DEFAULT_INSTRUCTIONS, chat_content, chat_requests
 from tablestats.plans.report import prompt_text, report_lines, summary_lines
+from tablestats.session import ensure_checkpoint_dir
+from tablestats.sources.io import (
+    read_lines,
+    read_or_convert,
+    read_table,
+    split_rejects,
+    write_answers,
+    write_report,
+    write_table,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -144,18 +156,88 @@ def q_parse_date_formats(spark, sf):
 
 
 def q_clean_hostile(spark, sf):
-    """Numbers beyond doubles and longs, as text made from the customer key: null, never an error."""
+    """Numbers beyond doubles and longs, as text made from the customer key, and numeric
+    columns with NaN and infinities: null, never an error."""
     key = F.col("c_custkey")
     kind = F.pmod(key, F.lit(3))
     text = F.when(kind == 0, key.cast("string")).when(kind == 1, F.lit("1e999")).otherwise(F.repeat(F.lit("9"), 400))
+    number = F.when(kind == 0, F.col("c_acctbal")).when(kind == 1, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
     raw = table(spark, sf, "customer").select("c_custkey", text.alias("t"), F.when(kind == 1, F.lit("$1.0"))
-                                              .otherwise(text).alias("s"))
-    counts = clean_table(raw, {
-        "name": F.lit("n"), "price": "t", "user_score": "t", "metacritic_score": "t", "positive": "t",
-        "negative": F.lit("1"), "pct_pos_total": F.lit(1.0), "categories": F.lit(""), "genres": F.lit(""),
-        "tags": F.col("c_custkey").cast("string"), "release_date": F.lit("2020-01-01")})
-    return counts.join(clean_numeric(raw, ["s"]), counts["tags"] == F.col("c_custkey").cast("string")).select(
-        "c_custkey", to_number("t").alias("number"), F.col("s").alias("stripped"), "positive", "total_reviews")
+                                              .otherwise(text).alias("s"), number.alias("x"))
+    cleaned = clean_table(raw, {
+        "name": key.cast("string"), "price": "x", "user_score": "t", "metacritic_score": "t", "positive": "t",
+        "negative": F.lit("1"), "pct_pos_total": "x", "categories": "t", "genres": "s",
+        "tags": F.lit(""), "release_date": F.lit("2020-01-01")})
+    passed = clean_numeric(cleaned.withColumn("passed", -F.lit(float("inf")) * F.when(F.col("price").isNull(), 1.0)), ["genres"])
+    return passed.select(F.col("name").cast("long").alias("c_custkey"), to_number("categories").alias("number"),
+                         F.col("genres").alias("stripped"), "positive", "total_reviews", "price", "pct_pos_total",
+                         F.coalesce(finite_number("passed"), "price").alias("passed"))
+
+
+def _scratch(spark, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}/{name}"
+
+
+def q_sink_roundtrip_parquet(spark, sf):
+    path = _scratch(spark, "customer.parquet")
+    write_table(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), path)
+    return read_table(spark, path)
+
+
+def _messy(spark, sf) -> DataFrame:
+    """Text with commas, quotes, line breaks and backslashes, and nulls."""
+    note = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\n\\ end'))
+    return table(spark, sf, "customer").select("c_custkey", "c_acctbal", F.when(F.col("c_mktsegment") != "BUILDING", note).alias("note"))
+
+
+def q_sink_roundtrip_csv(spark, sf):
+    path = _scratch(spark, "customer_csv")
+    write_table(_messy(spark, sf), path, fmt="csv")
+    return read_table(spark, path, schema="c_custkey long, c_acctbal double, note string", fmt="csv")
+
+
+def q_convert_roundtrip(spark, sf):
+    """A CSV converted to its Parquet copy, which the second call reads."""
+    base = _scratch(spark, "base")
+    write_table(_messy(spark, sf), f"{base}/t.csv", fmt="csv")
+    read_or_convert(spark, base, "t", schema="c_custkey long, c_acctbal double, note string")
+    return read_or_convert(spark, base, "t")
+
+
+def q_sink_roundtrip_report(spark, sf):
+    """Ordered text in four parts, read back: each line with its position."""
+    path = _scratch(spark, "lines")
+    lines = table(spark, sf, "customer").select("c_mktsegment", "c_custkey", F.concat("c_mktsegment", F.lit(": "), "c_name").alias("line"))
+    write_report(lines, path, order=("c_mktsegment", "c_custkey"), parts=4)
+    got = read_lines(spark, path)
+    sizes = got.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # four rows
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy("start", "row"))
+    return (got.withColumn("own", own).join(F.broadcast(before), "part")
+            .select((F.col("before") + F.col("own")).alias("position"), "line"))
+
+
+def q_sink_roundtrip_answers(spark, sf):
+    path = _scratch(spark, "answers")
+    said = F.concat("c_name", F.lit(" says "), "c_mktsegment")
+    write_answers(table(spark, sf, "customer").select(F.when(F.col("c_mktsegment") != "BUILDING", said).alias("content")), path)
+    return read_lines(spark, path).select("line")
+
+
+def q_csv_rejects(spark, sf):
+    """Lines with too few and too many fields and unclosed quotes, told from well-formed ones."""
+    key, name, segment = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")
+    kind = F.pmod("c_custkey", F.lit(5))
+    line = (F.when(kind == 0, F.concat(key, F.lit(',"'), name, F.lit(', x",'), segment))
+            .when(kind == 1, F.concat_ws(",", key, name)).when(kind == 2, F.concat_ws(",", key, name, F.lit("a,b")))
+            .when(kind == 3, F.concat(key, F.lit(',"'), name, F.lit(","), segment))
+            .otherwise(F.concat(key, F.lit(',"say ""'), name, F.lit('""",'), segment)))
+    path = _scratch(spark, "raw")
+    table(spark, sf, "customer").select(line.alias("value")).write.text(path)
+    good, bad = split_rejects(spark, path, f"{path}_good", f"{path}_bad", "k long, n string, v string", multi_line=False, header=False)
+    return good.select(F.col("k").alias("c_custkey"), F.lit(False).alias("rejected"), F.concat_ws("|", "n", "v").alias("content")).unionByName(
+        bad.select(F.col("k").alias("c_custkey"), F.lit(True).alias("rejected"), F.col("record").alias("content")))
 
 
 def q_nan_band(spark, sf):
@@ -385,8 +467,7 @@ def q_center_capped(spark, sf):
 
 
 def q_exact_quartiles_large_path(spark, sf):
-    """Exact quartiles per return flag (sketch brackets merged in two levels,
-    one sub-bin pass, histogram ranks)."""
+    """Exact quartiles per return flag, by counted narrowing."""
     q = exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.25, 0.5, 0.75],
                         by=["l_returnflag"])
     return q.select("l_returnflag", "n", F.posexplode("q").alias("pos", "value")).select(
@@ -394,15 +475,15 @@ def q_exact_quartiles_large_path(spark, sf):
 
 
 def q_summary_exact_large_path(spark, sf):
-    """summary_exact with its quartiles from the distributed exact method, by name."""
+    """summary_exact with Spark's own percentile, asked for by name."""
     return _round_value(summary(table(spark, sf, "lineitem"), "l_extendedprice", exact=True,
-                                method="bracket"))
+                                method="percentile"))
 
 
 def q_center_large_path(spark, sf):
-    """center with its median from the distributed exact method, by name."""
+    """center with Spark's own median, asked for by name."""
     return center(table(spark, sf, "lineitem"), "l_extendedprice", exact=True,
-                  method="bracket").select(_r("mean"), _r("median"))
+                  method="percentile").select(_r("mean"), _r("median"))
 
 
 def q_summary_sketch_large_path(spark, sf):
@@ -436,15 +517,15 @@ def q_box_stats_events(spark, sf):
 
 
 def q_bucket_stats_large_path(spark, sf):
-    """bucket_stats with medians from the distributed exact method, by name."""
+    """bucket_stats with Spark's own median, asked for by name."""
     return bucket_stats(_era(catalog(spark, sf)), "era", "price", exact=True,
-                        method="bracket").select("era", "n", _r("mean"), _r("median"))
+                        method="percentile").select("era", "n", _r("mean"), _r("median"))
 
 
 def q_box_stats_events_large_path(spark, sf):
-    """box_stats_events through the distributed exact quantiles, by name."""
+    """box_stats_events with Spark's own percentile, asked for by name."""
     return box_stats(table(spark, sf, "events"), "event_type", "value", exact=True,
-                     method="bracket").select(
+                     method="percentile").select(
         "event_type", _r("q1"), _r("median"), _r("q3"), _r("whisker_low"), _r("whisker_high"),
         "n_out", "n")
 
@@ -541,9 +622,8 @@ def q_report_lines_any_key(spark, sf):
 
 
 def q_report_lines_large_path(spark, sf):
-    """report_lines with its quartiles and median from the distributed exact
-    quantiles, by name."""
-    return report_lines(catalog(spark, sf), digits=2, exact=True, method="bracket")
+    """report_lines with Spark's own percentile, asked for by name."""
+    return report_lines(catalog(spark, sf), digits=2, exact=True, method="percentile")
 
 
 def q_report_prompt(spark, sf):
@@ -589,6 +669,12 @@ QUERIES = {
     "parse_date_lenient": q_parse_date_lenient,
     "parse_date_formats": q_parse_date_formats,
     "clean_hostile": q_clean_hostile,
+    "sink_roundtrip_parquet": q_sink_roundtrip_parquet,
+    "sink_roundtrip_csv": q_sink_roundtrip_csv,
+    "sink_roundtrip_report": q_sink_roundtrip_report,
+    "sink_roundtrip_answers": q_sink_roundtrip_answers,
+    "convert_roundtrip": q_convert_roundtrip,
+    "csv_rejects": q_csv_rejects,
     "nan_band": q_nan_band,
     "total_guarded": q_total_guarded,
     "add_year": q_add_year,

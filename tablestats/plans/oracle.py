@@ -310,7 +310,7 @@ p AS (SELECT CAST(t.i AS INTEGER) AS i,
 SELECT i, round(x, 4) AS x, round(s * x + b, 4) AS y FROM p""",
     "sample_nullable": ("SELECT event_id, user_key FROM (SELECT event_id, CASE WHEN event_type = 'click' "
                         "THEN CAST(user_id AS VARCHAR) END AS user_key FROM events) "
-                        "ORDER BY md5(coalesce(user_key, '')), user_key NULLS LAST, event_id LIMIT 9000"),
+                        "ORDER BY md5(coalesce(user_key, '')), user_key NULLS LAST, md5(CAST(event_id AS VARCHAR)), event_id LIMIT 9000"),
     "sample_n": "SELECT * FROM events ORDER BY md5(CAST(event_id AS VARCHAR)), event_id LIMIT 5000",
     "sample_scatter": ("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem "
                        "ORDER BY md5(concat_ws(chr(31), CAST(l_orderkey AS VARCHAR), "
@@ -388,13 +388,30 @@ ORACLE_SQL["parse_date_formats"] = (
         f"WHEN {i} THEN strftime(ts, {_lit(f)})" for i, f in enumerate(_DATE_STYLES))
     + " END AS date_text, CAST(ts AS DATE) AS release_date FROM events")
 
-#: Text beyond the range of doubles or longs, and NaN, made from given columns.
+#: Text beyond the range of doubles or longs, NaN and infinities, made from given columns.
 ORACLE_SQL["clean_hostile"] = """SELECT c_custkey,
   CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS DOUBLE) END AS number,
   CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS DOUBLE)
        WHEN c_custkey % 3 = 1 THEN 1.0 END AS stripped,
   CASE WHEN c_custkey % 3 = 0 THEN c_custkey END AS positive,
-  CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1 END AS total_reviews
+  CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1 END AS total_reviews,
+  CASE WHEN c_custkey % 3 = 0 THEN c_acctbal END AS price,
+  CASE WHEN c_custkey % 3 = 0 THEN c_acctbal END AS pct_pos_total,
+  CASE WHEN c_custkey % 3 = 0 THEN c_acctbal END AS passed
+FROM customer"""
+# Sinks: what was written is read back.
+ORACLE_SQL["sink_roundtrip_parquet"] = "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"
+_MESSY = ("CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name || ', \"' || c_mktsegment || '\"' || chr(10) || '\\ end' END")
+ORACLE_SQL["sink_roundtrip_csv"] = f"SELECT c_custkey, c_acctbal, {_MESSY} AS note FROM customer"
+ORACLE_SQL["convert_roundtrip"] = ORACLE_SQL["sink_roundtrip_csv"]
+ORACLE_SQL["sink_roundtrip_report"] = (
+    "SELECT row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS position, c_mktsegment || ': ' || c_name AS line FROM customer")
+ORACLE_SQL["sink_roundtrip_answers"] = (
+    "SELECT c_name || ' says ' || c_mktsegment AS line FROM customer WHERE c_mktsegment <> 'BUILDING'")
+ORACLE_SQL["csv_rejects"] = """SELECT c_custkey, c_custkey % 5 NOT IN (0, 4) AS rejected, CASE c_custkey % 5
+  WHEN 0 THEN c_name || ', x|' || c_mktsegment WHEN 4 THEN 'say "' || c_name || '"|' || c_mktsegment
+  WHEN 1 THEN c_custkey || ',' || c_name WHEN 2 THEN c_custkey || ',' || c_name || ',a,b'
+  ELSE c_custkey || ',"' || c_name || ',' || c_mktsegment END AS content
 FROM customer"""
 ORACLE_SQL["nan_band"] = """SELECT count(*) AS n, round(avg(v), 4) AS mean, round(max(v), 4) AS max,
   count(*) FILTER (WHERE v > 0) AS n_positive, count(*) FILTER (WHERE v <= 0) AS n_low,

@@ -1,4 +1,5 @@
 import functools
+import hashlib
 import math
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tablestats import (box_stats, bucket_stats, corr_gated, fit_line, linear_fit, predict,
                         sample_n)
 from tablestats.operators import spread
+from tablestats.operators.relate import _threshold
 
 
 def brute_box(values, k=1.5):
@@ -144,7 +146,9 @@ def test_sample_n_repeatable(spark):
 
 
 def _naive_sample(df, key, n):
-    order = [F.md5(F.col(key).cast("string"))] + [F.col(c) for c in [key] + [c for c in df.columns if c != key]]
+    rest = [c for c in df.columns if c != key]
+    others = F.md5(F.concat_ws("\u001f", *[F.col(c).cast("string") for c in rest]))
+    order = [F.md5(F.col(key).cast("string")), F.col(key), others, *[F.col(c) for c in rest]]
     return [tuple(r) for r in df.orderBy(*order).limit(n).collect()]
 
 
@@ -156,7 +160,7 @@ def test_sample_n_equals_naive_top_n_with_hot_key(spark, n):
     got = [tuple(r) for r in sample_n(df, "k", n).collect()]
     assert sorted(got) == sorted(_naive_sample(df, "k", n))
     plan = sample_n(df, "k", n)._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" in plan  # only the smallest-hash rows reach the top-n merge
+    assert ("Filter" in plan) == (n < 4500)  # only the smallest-hash rows reach the top-n merge
 
 
 def test_sample_n_empty(spark):
@@ -173,3 +177,36 @@ def test_corr_equals_stat_corr_on_pairs(spark):
     want = li.select("l_quantity", "l_extendedprice").dropna().stat.corr("l_quantity", "l_extendedprice")
     got = corr_gated(li, "l_quantity", "l_extendedprice").first().corr
     assert math.isclose(got, want, rel_tol=1e-12)
+
+
+def test_sample_of_a_mostly_null_key_stays_small(spark):
+    """90 % of the rows share one key value: only about n of them enter the top-n."""
+    df = spark.range(40000).selectExpr("if(id % 10 = 0, cast(id as string), null) as k", "id").repartition(4)
+    rows = [(r.k, r.id) for r in df.collect()]
+
+    def order(r):
+        return (hashlib.md5((r[0] or "").encode()).hexdigest(), r[0] is None, r[0] or "",
+                hashlib.md5(str(r[1]).encode()).hexdigest(), r[1])
+
+    for n in (1, 50, 3000, 36010, 50000):
+        got = sample_n(df, "k", n)
+        assert [tuple(r) for r in got.collect()] == sorted(rows, key=order)[:n]
+    top = _threshold(df, F.md5(F.coalesce("k", F.lit(""))), 50000, 10)
+    assert top is None
+    few = sample_n(df, "k", 3000)
+    entering = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in entering and "Filter" in entering
+    hashes = sorted(order(r)[0] for r in rows)
+    null = hashlib.md5(b"").hexdigest()
+    below = sum(h < null for h in hashes)
+    bound, left, tied = _threshold(df, F.md5(F.coalesce("k", F.lit(""))), below + 100, 1600)
+    assert (bound, left, tied) == (null, 100, True)
+    second, _, _ = _threshold(df.where("k is null"), F.md5(F.col("id").cast("string")), 100, 1600)
+    assert 100 <= df.where("k is null").where(F.md5(F.col("id").cast("string")) <= second).count() <= 1700
+
+
+def test_sample_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "a")] * 300 + [(2, "b")] * 5, "k int, v string")
+    got = [tuple(r) for r in sample_n(df, "k", 4).collect()]
+    want = sorted([(1, "a")] * 300 + [(2, "b")] * 5, key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest())[:4]
+    assert got == want and sample_n(df, "k", 0).count() == 0
