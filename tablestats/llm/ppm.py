@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablestats.llm.common import id_remainder, small_batches, written
+from tablestats.llm.common import dropped, id_remainder, small_batches, written
 
 ORDER = 6
 BITS = 9  # of a symbol: a byte or END
@@ -313,40 +313,55 @@ def _contexts(grams: DataFrame) -> DataFrame:
             .join(low, ["level", "tail"], "left")
             .withColumn("d", F.col("low_kinds") - F.col("kinds"))
             .withColumn("rest", F.greatest(F.col("low_total") - F.col("up") + F.col("d"), F.lit(1))))
-    return written(left.select(
+    out = written(left.select(
         "level", "context", (F.col("total") + F.col("kinds")).alias("den"),
         F.log10(F.col("kinds") / (F.col("total") + F.col("kinds"))).alias("escape"),
         F.when(F.col("level") == 0, F.log10(F.greatest(F.lit(SYMBOLS) - F.col("kinds"), F.lit(1))))
         .otherwise(F.log10("rest")).alias("below"),
         F.when(F.col("d") > 0, F.log10(F.col("d") / F.col("rest"))).otherwise(F.lit(0.0)).alias("below_escape")),
         "contexts")
+    dropped(sums)
+    return out
 
 
-def _looked_up(asked: DataFrame, grams: DataFrame, contexts: DataFrame, order: int) -> DataFrame:
-    """``level, code, cost`` of the distinct grams ``asked`` and their suffixes.
-
-    ``after`` is the cost below a gram's own context once that is left; ``cost``
-    starts at the longest context known."""
-    suffix = F.expr(f"case when k = level then code else code & (shiftleft(1L, {BITS} * (k + 1)) - 1) end")
-    asked = written(asked.distinct().withColumn("k", F.explode(F.sequence(F.lit(0), F.col("level"))))
-                    .select(F.col("k").alias("level"), suffix.alias("code")).distinct(), "asked")
-    out = low = None
-    for k in range(order + 1):
-        at = (asked.where(F.col("level") == k).selectExpr("level", "code", _CONTEXT, _TAIL)
+def _looked_up(asked: DataFrame, grams: DataFrame, contexts: DataFrame, order: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``level, code, cost`` of the distinct grams ``asked``, and the written tables that it reads.
+
+    A counted gram costs what its own context says.  Only grams that were never
+    counted (those of texts not learnt from, as a rule) look at the next shorter one,
+    so downwards each level holds what was asked of it and the tails of what the level
+    above missed.  Upwards, ``after`` is the cost below a missed gram's own context once that is
+    left; ``cost`` starts at the longest context known."""
+    asked = written(asked.distinct(), "asked")
+    tables, found, tails = [asked], {}, None
+    for k in range(order, -1, -1):
+        own = asked.where(F.col("level") == k).select("code")
+        if tails is not None:
+            own = own.union(tails).distinct()
+        at = (own.withColumn("level", F.lit(k)).selectExpr("code", _CONTEXT, _TAIL)
               .join(grams.where(F.col("level") == k).select("code", "n"), "code", "left")
               .join(contexts.where(F.col("level") == k).drop("level"), "context", "left"))
+        cost = F.log10(F.col("n") / F.col("den")).alias("cost")
+        missed = [F.when(F.col("n").isNull(), F.col(c)).alias(c) for c in ("tail", "den", "escape", "below", "below_escape")]
+        found[k] = written(at.select("code", "n", cost, *missed), f"found-{k}")
+        tails = found[k].where("n is null").select(F.col("tail").alias("code"))
+    out = low = None
+    for k in range(order + 1):
+        seen = found[k].where("n is not null").select("code", "n", F.lit(None).cast("double").alias("after"), "cost")
+        at = found[k].where("n is null").drop("cost")
         if low is None:
             at = at.withColumn("after", -F.col("below")).withColumn("shorter", F.lit(-math.log10(SYMBOLS)))
         else:
             at = at.join(low.selectExpr("code as tail", "n as low_n", "after as low_after", "cost as shorter"), "tail")
             at = at.withColumn("after", F.when(F.col("low_n").isNotNull(), F.log10("low_n") - F.col("below"))
                                .otherwise(F.col("below_escape") + F.col("low_after")))
-        cost = (F.when(F.col("den").isNull(), F.col("shorter"))
-                .when(F.col("n").isNotNull(), F.log10(F.col("n") / F.col("den")))
-                .otherwise(F.col("escape") + F.col("after")))
-        low = written(at.select("level", "code", "n", "after", cost.alias("cost")), f"costs-{k}")
-        out = low if out is None else out.unionByName(low)
-    return out.select("level", "code", "cost")
+        cost = F.when(F.col("den").isNull(), F.col("shorter")).otherwise(F.col("escape") + F.col("after"))
+        missed = written(at.select("code", "n", "after", cost.alias("cost")), f"missed-{k}")
+        tables += [found[k], missed]
+        low = seen.unionByName(missed)
+        each = low.select(F.lit(k).alias("level"), "code", "cost")
+        out = each if out is None else out.unionByName(each)
+    return out, tables
 
 
 def train(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[Model | Often, tuple | None]:
@@ -460,8 +475,13 @@ def score(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES, ho
     if not whole:
         rest = (rows.select("uid", F.explode(F.arrays_zip("levels", "codes", "times")).alias("r"))
                 .select("uid", F.col("r.levels").alias("level"), F.col("r.codes").alias("code"), "r.times"))
-        costs = _looked_up(rest.select("level", "code"), *tables, order)
-        more = rest.join(costs, ["level", "code"]).groupBy("uid").agg(F.sum(F.col("times") * F.col("cost")).alias("more"))
+        costs, used = _looked_up(rest.select("level", "code"), *tables, order)
+        for done in tables:
+            dropped(done)
+        more = written(rest.join(costs, ["level", "code"]).groupBy("uid")
+                       .agg(F.sum(F.col("times") * F.col("cost")).alias("more")), "more")
+        for done in used:
+            dropped(done)
         scored = scored.join(more, "uid", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
     return scored.select(
         "doc_id", "held_out", "n_tokens",
