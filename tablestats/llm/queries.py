@@ -65,7 +65,7 @@ CONTROL_TURNS = [(-7, turn, role, "\\### Assistant: </turn> ok") for turn, role
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
-    return chat_format.digests(*chat_format.formatted(conversations.unionByName(more)))
+    return chat_format.digests(*chat_format.formatted(conversations.unionByName(more))).drop("n_tokens", "n_loss_tokens")
 
 
 QUERIES = {
@@ -83,4 +83,36 @@ QUERIES = {
     "op12_ranked_search": op12_ranked_search,
     "op13_chat_format": op13_chat_format,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+#: Scores of all documents, for each item; equal texts under one item_id are one item.
+_RANKED = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents),
+known AS (SELECT r, doc_id, len(words) AS n FROM d WHERE len(words) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM known),
+tf AS (SELECT r, word, count(*) AS tf FROM (SELECT r, unnest(words) AS word FROM d) GROUP BY ALL),
+df AS (SELECT word, count(*) AS df FROM tf GROUP BY word),
+items AS (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark),
+asked AS (SELECT item_id, text, word, count(*) AS times
+  FROM (SELECT item_id, text, unnest({_TERMS}) AS word FROM items) GROUP BY ALL),
+scored AS (SELECT a.item_id, a.text, k.r, k.doc_id, CAST(sum(a.times
+    * CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked a JOIN tf USING (word) JOIN df USING (word) JOIN known k USING (r), total GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST, r) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+#: Digests straight from the turns; lengths by counting what is escaped (19: the marks of a turn).
+_FORMATTED = r"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, role || ' ' || text AS whole FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(18 + length(whole) + length(regexp_replace(whole, '[^\\]', '', 'g'))
+    + 3 * len(regexp_extract_all(whole, '<turn>|<says>|</turn>|<\|endoftext\|>'))) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+ORACLE_SQL: dict[str, str] = {"op12_ranked_search": _RANKED, "op13_chat_format": _FORMATTED}

@@ -107,3 +107,13 @@ def test_tokens_tile_the_text_and_masks_follow_turns(spark):
 
 def test_empty_table(spark):
     assert cf.digests(*cf.formatted(frame(spark, []))).count() == 0
+
+
+def test_registered_sql(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF001}/conversations.parquet'")
+    rel = con.sql(queries.ORACLE_SQL["op13_chat_format"])
+    got = queries.QUERIES["op13_chat_format"](spark, SF001)
+    assert sorted(got.columns) == sorted(rel.columns)
+    assert sorted(tuple(r) for r in got.select(*rel.columns).collect()) == sorted(rel.fetchall())
