@@ -1,7 +1,8 @@
 """tablestats: descriptive analytics of catalogue-like tables on Spark.
 
 Every public function takes and returns Spark DataFrames or Columns built from
-built-in expressions; only the caller runs actions.
+built-in expressions; exact quantiles, samples and converted copies run jobs of
+their own while they are built.
 """
 
 from tablestats.functions import bucket, clean_numeric_col, corr_label, parse_date, to_number
