@@ -62,7 +62,7 @@ def clean_numeric(df: DataFrame, cols: Sequence[str], reparse: bool = False) ->
     out = {}
     for c in cols:
         if _is_numeric(types[c]) and not reparse:
-            out[c] = finite_number(c)
+            out[c] = _number(F.col(c), types[c])
         else:
             out[c] = clean_numeric_col(F.col(c))
     return df.withColumns(out)
@@ -89,16 +89,21 @@ def add_ratio(df: DataFrame, part: str = "positive", total: str = TOTAL_COLUMN,
     return df.withColumn(out, F.when(t > 0, share))
 
 
+def _number(c: Column, dt: T.DataType, finite: bool = True) -> Column:
+    """A numeric column as double; only floats can hold NaN and infinities."""
+    return finite_number(c) if finite and isinstance(dt, (T.FloatType, T.DoubleType)) else c.cast("double")
+
+
 def _cleaned(name: str, c: Column, dt: T.DataType, date_formats: Sequence[str],
-             numbers: str) -> Column:
+             numbers: str, finite: bool) -> Column:
     if name in MESSY_NUMBER_COLUMNS:
         if _is_numeric(dt):
-            return finite_number(c)
+            return _number(c, dt, finite)
         return clean_numeric_col(c) if numbers == "strip" else to_number(c)
     if name in COUNT_COLUMNS:
         return (c if _is_numeric(dt) else to_number(c)).try_cast("long")
     if name == "pct_pos_total":
-        return finite_number(c) if _is_numeric(dt) else to_number(c)
+        return _number(c, dt, finite) if _is_numeric(dt) else to_number(c)
     if name == "release_date":
         if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return c.cast("date")
@@ -108,7 +113,7 @@ def _cleaned(name: str, c: Column, dt: T.DataType, date_formats: Sequence[str],
 
 def clean_table(df: DataFrame, spec: Mapping[str, str | Column] | None = None,
                 date_formats: Sequence[str] | str = (ISO_DATE,),
-                numbers: str = "strip", derive: bool = True) -> DataFrame:
+                numbers: str = "strip", derive: bool = True, finite: bool = True) -> DataFrame:
     """Project the 11 catalogue columns, clean them, derive three more.
 
     ``spec`` maps each catalogue column to a source column name or a Column
@@ -116,7 +121,10 @@ def clean_table(df: DataFrame, spec: Mapping[str, str | Column] | None = None,
     user_score, metacritic_score, positive, negative, pct_pos_total,
     categories, genres, tags, release_date, release_year, total_reviews,
     positive_ratio.  ``numbers='strip'`` is the strict text cleaning,
-    ``'coerce'`` the signed parse.  All of it is one Project over the scan.
+    ``'coerce'`` the signed parse.  NaN and infinities of float columns become
+    null, as text without a number does; ``finite=False`` says that the source holds
+    none, and filters on such columns then reach its reader (they always reach a
+    stored cleaned table's).  All of it is one Project over the scan.
     """
     spec = dict(spec) if spec else {c: c for c in CATALOG_COLUMNS}
     missing = [c for c in CATALOG_COLUMNS if c not in spec]
@@ -129,7 +137,7 @@ def clean_table(df: DataFrame, spec: Mapping[str, str | Column] | None = None,
     types = {f.name: f.dataType for f in projected.schema.fields}
     fmts = (date_formats,) if isinstance(date_formats, str) else tuple(date_formats)
     out = projected.select([
-        _cleaned(c, F.col(c), types[c], fmts, numbers).alias(c) for c in CATALOG_COLUMNS
+        _cleaned(c, F.col(c), types[c], fmts, numbers, finite).alias(c) for c in CATALOG_COLUMNS
     ])
     if not derive:
         return out

@@ -91,9 +91,9 @@ def lineitem_spec() -> dict:
     }
 
 
-def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def catalog(spark: SparkSession, sf_dir: str, finite: bool = True) -> DataFrame:
     """The cleaned 14-column catalogue view of ``lineitem``."""
-    return clean_table(table(spark, sf_dir, "lineitem"), lineitem_spec())
+    return clean_table(table(spark, sf_dir, "lineitem"), lineitem_spec(), finite=finite)
 
 
 def _r(c: str, digits: int = 4):

@@ -92,6 +92,11 @@ def test_oracle_match(spark, duck, name):
 def test_band_on_cleaned_catalog_reaches_parquet(spark):
     from tablestats import band
     from tablestats.plans.bindings import catalog
-    plan = plan_of(band(catalog(spark, SF01), "price", hi=1000.0).select("price"))
+    plan = plan_of(band(catalog(spark, SF01, finite=False), "price", hi=1000.0).select("price"))
     assert "LessThanOrEqual(l_extendedprice,1000.0)" in plan
     assert "ReadSchema: struct<l_extendedprice:double>" in plan
+    # A column that can hold NaN is read whole, and alone; whole numbers are never wrapped.
+    guarded = plan_of(band(catalog(spark, SF01), "price", hi=1000.0).select("price"))
+    assert "ReadSchema: struct<l_extendedprice:double>" in guarded
+    whole = plan_of(band(catalog(spark, SF01), "pct_pos_total", hi=3.0).select("pct_pos_total"))
+    assert "Infinity" not in whole
