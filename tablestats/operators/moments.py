@@ -3,8 +3,8 @@
 ``exact_series`` and ``approx_series`` salt the map tasks and merge their sketches in
 two levels.  A series' count, mean, deviation and ends, or two series'
 correlation, ride along as one struct per salt (``SALTS`` at most), gathered into
-an array and merged here around the common mean, which loses no digits to large
-values.  So a report's statistics and sketches take one scan.
+an array and merged here around the common mean, as Spark merges its own partial
+states, and with as many digits.  So a report's statistics and sketches take one scan.
 """
 
 from __future__ import annotations
