@@ -46,11 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder comes from the session (a shared file system).
     Only when it is unset, as in local tests, a private temporary folder is
-    created and registered.
+    created and registered; on a cluster, whose machines don't share such a
+    folder, that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         folder = configured
+    elif spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     else:
         folder = tempfile.mkdtemp(prefix="tablestats-ckpt-")
         spark.conf.set("spark.checkpoint.dir", folder)
