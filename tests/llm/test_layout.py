@@ -68,6 +68,71 @@ def test_shards_of_awkward_and_empty_tables(spark):
     assert sharding.shard_documents(docs(spark, [])).count() == 0
 
 
+def community_graph(n=400, size=20, seed=2):
+    """Edges of a graph that is no set of cliques: rings with chords, and a few links between rings."""
+    rng, edges = random.Random(seed), set()
+    for c in range(0, n, size):
+        ring = list(range(c, c + size))
+        edges |= {(a, b) for a, b in zip(ring, ring[1:] + ring[:1], strict=True)}
+        edges |= {tuple(rng.sample(ring, 2)) for _ in range(2 * size)}
+    edges |= {(rng.randrange(n), rng.randrange(n)) for _ in range(n // 20)}
+    return sorted({(min(e), max(e)) for e in edges if e[0] != e[1]})
+
+
+def graph_nodes(spark, n, edges):
+    links = {i: [] for i in range(n)}
+    for a, b in edges:
+        for i in (a, b):
+            links[i].append(f"edge {a} {b}".encode())
+    return spark.createDataFrame([(i, f"own {i}".encode(), links[i]) for i in range(n)],
+                                 "doc_id long, link binary, links array<binary>")
+
+
+def test_propagation_cuts_fewer_edges_of_a_graph(spark):
+    n, edges = 400, community_graph()
+    nodes = graph_nodes(spark, n, edges)
+    report = [tuple(r) for r in sharding.propagation_report(nodes, rounds=12).orderBy("round").collect()]
+    assert [r[0] for r in report] == list(range(len(report))) and len(report) > 2
+    assert all(r[2] == len(edges) for r in report) and report[-1][3] == 0
+    first, last = report[0][1], report[-1][1]
+    rows = sharding.propagate(nodes, rounds=12).collect()
+    home = {r["doc_id"]: r["shard"] for r in rows}
+    cut = sum(home[a] != home[b] for a, b in edges)
+    assert {len(v) for v in by_shard(rows).values()} == {50}
+    assert last < 0.75 * first and cut < 0.8 * first, (report, cut)
+
+
+def test_report_counts_cut_pairs(spark):
+    texts = ["a"] * 5 + ["b"] * 3 + ["c"] + [None] * 2
+    nodes = docs(spark, list(enumerate(texts))).select("doc_id", sharding.equal_text_key().alias("link"))
+    state, labels, report = sharding._labelled(nodes, 4, 0)
+    home = {r["doc_id"]: r["shard"] for r in state.join(labels, "row").collect()}
+    pairs = [(a, b) for a in range(11) for b in range(a) if texts[a] == texts[b]]
+    assert report == [(0, sum(home[a] != home[b] for a, b in pairs), len(pairs), 0)]
+
+
+def test_hot_keys_meet_no_single_task_and_none_is_lost(spark):
+    nodes = spark.createDataFrame([(i % 7, b"hub" if i % 3 == 0 else f"x{i}".encode(), [b"all", None, b"all"])
+                                   for i in range(600)], "doc_id long, link binary, links array<binary>")
+    rows = sharding.propagate(nodes).collect()
+    assert len(rows) == 600 and {len(v) for v in by_shard(rows).values()} == {75}
+    assert sorted(r["slot"] for r in rows if r["shard"] == 0) == list(range(75))
+    assert len({r["shard"] for r in rows if r["link"] == b"hub"}) == 3
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_admitted_moves_stay_within_the_room(seed):
+    rng = random.Random(seed)
+    wanted = [[rng.randrange(100) * (a != b) for b in range(6)] for a in range(6)]
+    room = [rng.randrange(-5, 40) for _ in range(6)]
+    share = sharding._admitted(wanted, room)
+    for s in range(6):
+        into = sum(wanted[a][s] * share[a][s] for a in range(6))
+        out = sum(wanted[s][b] * share[s][b] for b in range(6))
+        assert into <= max(room[s] + out, 0) + 1
+    assert sum(map(sum, share)) > 1
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_sainte_lague_is_sequential(seed):
     rng = random.Random(seed)
