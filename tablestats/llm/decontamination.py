@@ -125,7 +125,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     begin = F.col("start") + F.col("at")
     per_doc = hits.groupBy("doc_id", "row").agg(
         F.max("n_words").alias("n_words"), F.count_if(F.col("start") < 0).alias("rows"),
-        F.sort_array(F.collect_list(F.when(F.col("start") >= 0, F.struct(
+        F.sort_array(F.collect_set(F.when(F.col("start") >= 0, F.struct(
             begin.alias("a"), (begin + F.col("length")).alias("b"))))).alias("spans"),
         F.collect_set("class").alias("classes"))
     covered = F.aggregate(

@@ -104,9 +104,10 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), cap: int = C
     """Rows of the mix and the block quotas.
 
     First: ``doc_id, size, source, uid, source_size, target, position, taken,
-    passes``, one row per document (``taken``: words; ``passes``: how many
+    passes, shard_words``, one row per document (``taken``: words; ``passes``: how many
     passes begin the document, for mixing whole documents; ``uid``: the row in
-    reading order).  Second: ``source, shard, blocks``.  Sources
+    reading order; ``shard_words``: the words taken by the quota of each shard of the
+    mix, whose blocks follow each other on the source's line).  Second: ``source, shard, blocks``.  Sources
     weigh ``weights`` in turn, in order of code points.
     """
     spark = docs.sparkSession
@@ -123,10 +124,12 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), cap: int = C
     targets = capped_targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], cap)
     seats = int(sum(targets) / block_tokens + 0.5)
     quotas = shard_quotas(targets, seats, shards)
-    reach = [min(sum(q[i] for q in quotas) * block_tokens, cap * n) for i, n in enumerate(sizes)]
+    # Where each shard's blocks end on the source's line; the last end is all that is taken.
+    ends = [[min(sum(q[i] for q in quotas[:h + 1]) * block_tokens, cap * n) for h in range(shards)]
+            for i, n in enumerate(sizes)]
     plan = spark.createDataFrame(
-        [(s, n, t, r) for (s, n), t, r in zip(totals, targets, reach, strict=True)],
-        "source string, source_size long, target double, reach long")
+        [(s, n, t, e[-1], e) for (s, n), t, e in zip(totals, targets, ends, strict=True)],
+        "source string, source_size long, target double, reach long, ends array<long>")
     blocks = spark.createDataFrame(
         [(s, h, q[i]) for h, q in enumerate(quotas) for i, (s, _) in enumerate(totals)],
         "source string, shard int, blocks long")
@@ -143,11 +146,21 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (1, 2, 3), cap: int = C
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("reach") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("reach") - whole * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("position")))
+
+    def words_before(end: Column) -> Column:
+        """The document's words on the line before ``end``, pass after pass."""
+        full = F.when(F.col("source_size") > 0, F.floor(end / F.col("source_size"))).otherwise(F.lit(0))
+        here = end - full * F.col("source_size") - F.col("position")
+        return (full * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), here))).cast("long")
+
+    by_shard = F.transform("ends", lambda e, h: words_before(e) - F.when(
+        h > 0, words_before(F.get("ends", h - 1))).otherwise(F.lit(0)))
     return placed.select(
         "doc_id", "size", F.when(F.col("source") != "~", F.substring("source", 2, 2**31 - 1)).alias("source"),
         "uid", "source_size", "target", "position",
         (whole * F.col("size") + part).cast("long").alias("taken"),
         (whole + (F.col("position") < rest).cast("long")).cast("int").alias("passes"),
+        by_shard.alias("shard_words"),
     ), blocks
 
 

@@ -31,7 +31,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = mixing.mix(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "position")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "position", "shard_words")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

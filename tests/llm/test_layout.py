@@ -174,6 +174,29 @@ def test_mix_comes_near_targets(spark):
     assert quotas.groupBy("source").sum("blocks").count() == 5
 
 
+@pytest.mark.parametrize("shards", [1, 5])
+def test_blocks_of_a_shard_match_its_quota(spark, shards):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 200)), rng.choice(["a", "b", None, "hot", "hot"])) for i in range(300)]
+    got, quotas = mixing.mix(docs(spark, rows), shards=shards)
+    got = sorted(got.collect(), key=lambda r: (str(r["source"]), r["position"], r["size"]))
+    want = {(r["source"], r["shard"]): r["blocks"] for r in quotas.collect()}
+    for source in ("a", "b", None, "hot"):
+        key = "~" if source is None else "=" + source
+        mine = [r for r in got if r["source"] == source]
+        line = [r["doc_id"] for r in mine for _ in range(r["size"])]  # word by word
+        reach, at = sum(r["taken"] for r in mine), 0
+        for shard in range(shards):
+            end = min(at + want[key, shard] * mixing.BLOCK_TOKENS, mixing.CAP * len(line))
+            held = {}
+            for word in range(at, end):
+                held[line[word % len(line)]] = held.get(line[word % len(line)], 0) + 1
+            assert {r["doc_id"]: r["shard_words"][shard] for r in mine if r["shard_words"][shard]} == held
+            at = end
+        assert at == reach
+    assert all(sum(r["shard_words"]) == r["taken"] for r in got)
+
+
 def test_mix_of_awkward_and_empty_tables(spark):
     got, _ = mixing.mix(docs(spark, awkward()))
     assert got.count() == 12 and got.where("doc_id = 1 and taken <> 0").count() == 0
