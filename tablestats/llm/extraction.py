@@ -3,8 +3,11 @@
 A page is a sequence of tags and words.  Words score above 0 and tags below,
 and one linear scan finds the contiguous region with the highest sum.  The
 weights come from labelled pages: a page with ``article`` (or ``main``)
-elements labels its own words and tags as inside or outside, and a kind of tag or
-word seen more often outside scores lower.  Elements that are never article
+elements labels all its words, tags and class names as inside or outside, menus and
+footers included, and a kind seen more often outside scores lower.  A class name that
+is seen outside twenty times as often as in or around articles takes its
+elements out of the text (not those that hold an article or over a third of the
+page's words), inside an article as well.  Elements that are never article
 text (menus, page headers and footers, sidebars, notices, adverts, forms,
 scripts, comments of readers; by element, or by role, class or id whose every
 word says so) score nothing and give no text, unless they hold the article or
@@ -16,10 +19,12 @@ outside of any for the nearest container around it, so that short paragraphs and
 sections at its ends are not lost.
 
 Scale: one pass counts the kinds of all labelled pages (a small table: tag
-names are a fixed set), one pass extracts; no page is shuffled.
+names are a fixed set, class names fall into ``MARKS`` buckets), one pass extracts;
+no page is shuffled.
 
 Defined cases: a null or empty page gives an empty text; a page without words
-too; unclosed elements end with their parents; unknown tags count as one kind;
+too; very long pages are read whole, in time linear in their length; of regions with one
+score the first counts; unclosed elements end with their parents; unknown tags count as one kind;
 repeated pages are extracted each; further columns are ignored.
 """
 
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -63,8 +69,14 @@ OUTSIDE_ONLY = frozenset(("header",))
 ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo".split())
 TEXT = INLINE | frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li p pre summary td th".split())
 #: Words that a mark may have besides: any other word ("has-sidebar", "related-work") makes it none.
-PLACES = frozenset("area bar block bottom box col column container content footer global inner item items left link links "
-                   "list main menu outer page panel primary right row secondary section site top wrap wrapper".split())
+PLACES = frozenset("area article articles bar block bottom box button buttons col column container content count cta entry "
+                   "feed footer form global icons inner item items left link links list main menu outer page panel post "
+                   "posts primary reader readers right row secondary section site slot slots stories story thread "
+                   "top unit units user users visitor visitors wrap wrapper zone".split())
+#: With one of these a header is the article's own.
+OWN = frozenset("article entry post story".split())
+#: Ids of sections are made from headings as a rule; these name the comments of readers.
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 #: Elements that NEVER lists but that may stand around a whole page.
 AROUND = frozenset("nav footer aside form menu dialog".split())
 
@@ -75,6 +87,9 @@ _MARKS = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: Buckets of class names; the log odds that take an element out.
+MARKS = 1 << 16
+OUTSIDE_ODDS = -3.0
 
 
 def _kind(name: str) -> str:
@@ -91,15 +106,25 @@ def _marked(name: str, attrs: str, home: bool) -> bool:
         return True
     boiler = ADVERTS if name in TEXT else BOILER if home else BOILER | OUTSIDE_ONLY
     for kind, value in _MARKS.findall(attrs):
+        named = boiler
         if kind.lower() == "id" and (name in TEXT or name == "section"):
-            continue  # a place to link to, made from the heading's words
+            if name != "section":
+                continue  # a place to link to, made from the heading's words
+            named = COMMENTS
         for token in _html.unescape(value.strip("\"'")).split():
             words = {w for w in _SPLIT.split(_CAMEL.sub("-", token).lower()) if w}
-            if words & boiler and words <= boiler | PLACES:
+            if words & named and words <= named | PLACES and not (words & named <= OUTSIDE_ONLY and words & OWN):
                 return True
     return False
 
 
+def _class_names(attrs: str) -> tuple[str, ...]:
+    """The kinds ``mark N`` of an element's class names."""
+    names = {token.lower() for kind, value in _MARKS.findall(attrs) if kind.lower() == "class"
+             for token in _html.unescape(value.strip("\"'")).split()}
+    return tuple(f"mark {zlib.crc32(n.encode('utf-8', 'surrogatepass')) % MARKS}" for n in sorted(names))
+
+
 @dataclass
 class Tree:
     """Marked elements, articles and containers of a page; 0 stands for the page."""
@@ -108,11 +133,20 @@ class Tree:
     marked: list[bool] = field(default_factory=lambda: [False])
     home: list[bool] = field(default_factory=lambda: [False])
     holder: list[bool] = field(default_factory=lambda: [False])
+    marks: list[tuple[str, ...]] = field(default_factory=lambda: [()])
+    learned: list[bool] = field(default_factory=lambda: [False])
+
+    def around_homes(self) -> list[bool]:
+        """Article elements and all that hold one."""
+        out = list(self.home)
+        for i in range(len(out) - 1, 0, -1):
+            out[self.parent[i]] |= out[i]
+        return out
 
     def dropped(self) -> list[bool]:
         """Marked elements and all in them, but for those that hold the article (an article
         element with most of the page's words, or the largest if all are marked and it has a
-        quarter) or at least four of five words."""
+        quarter) or at least four of five words; and elements with learned marks, see above."""
         words, inside, n = list(self.words), list(self.marked), len(self.parent)
         for i in range(n - 1, 0, -1):
             words[self.parent[i]] += words[i]
@@ -127,9 +161,10 @@ class Tree:
             safe[most] |= 4 * words[most] >= words[0]
         for i in range(n - 1, 0, -1):
             safe[self.parent[i]] |= safe[i]
-        out = [False] * n
+        out, holds = [False] * n, self.around_homes()
         for i in range(1, n):
-            out[i] = out[self.parent[i]] or (self.marked[i] and not safe[i])
+            learned = self.learned[i] and not holds[i] and 3 * words[i] <= words[0]
+            out[i] = out[self.parent[i]] or (self.marked[i] and not safe[i]) or learned
         return out
 
 
@@ -151,7 +186,9 @@ class Page:
         return out
 
 
-def parse(source: str | None) -> Page:
+def parse(source: str | None, weights: dict[str, float] | None = None, *, whole: bool = False) -> Page:
+    """Events and blocks of a page; ``whole`` keeps those of elements that give no text."""
+    weights = weights or {}
     page, source = Page(), source or ""
     tree = page.tree
     stack: list[tuple[str, bool, int, bool]] = []  # name, never text, place and article around
@@ -208,8 +245,11 @@ def parse(source: str | None) -> Page:
             skip += out
             marked = not skip and _marked(name, m["attrs"], home)
             if marked or (name in HOLDERS and not skip):
+                marks = _class_names(m["attrs"]) if m["attrs"] and name not in HOME else ()
+                learned = any(weights.get(k, 0.0) <= OUTSIDE_ODDS for k in marks)
                 for column, value in ((tree.parent, node), (tree.words, 0), (tree.marked, marked),
-                                      (tree.home, name in HOME), (tree.holder, name in HOLDERS)):
+                                      (tree.home, name in HOME), (tree.holder, name in HOLDERS),
+                                      (tree.marks, marks), (tree.learned, learned)):
                     column.append(value)
                 node = len(tree.parent) - 1
                 home = home or name in HOME
@@ -222,11 +262,10 @@ def parse(source: str | None) -> Page:
                 skip -= out
                 stack.pop()
     flush()
-    return _without_dropped(page, raw_blocks)
+    return _without_dropped(page, raw_blocks, [False] * len(tree.parent) if whole else tree.dropped())
 
 
-def _without_dropped(page: Page, raw_blocks: list[list[tuple[int, int, str]]]) -> Page:
-    gone = page.tree.dropped()
+def _without_dropped(page: Page, raw_blocks: list[list[tuple[int, int, str]]], gone: list[bool]) -> Page:
     keep = [i for i, node in enumerate(page.nodes) if not gone[node]]
     place = {i: j for j, i in enumerate(keep)}
     for name in ("kinds", "sizes", "nodes"):
@@ -257,27 +296,36 @@ def counted(pages: Iterator[str | None]) -> dict[tuple[str, bool], int]:
     """How often each kind lies inside and outside of the article of labelled pages."""
     out: Counter = Counter()
     for source in pages:
-        page = parse(source)
+        page = parse(source, whole=True)
         if page.homes:
-            home = page.outermost(page.tree.home)
+            home, holds = page.outermost(page.tree.home), page.tree.around_homes()
             for kind, size, node in zip(page.kinds, page.sizes, page.nodes, strict=True):
                 out[kind, home[node] > 0] += size
+            for node, marks in enumerate(page.tree.marks):
+                for mark in marks:
+                    out[mark, home[node] > 0 or holds[node]] += 1
     return out
 
 
 def weights_from(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Log odds of inside against outside, held above 0 for words and below for tags."""
+    """Log odds of inside against outside, held above 0 for words and below for tags.
+
+    Class names count where they take elements out."""
     inside = {k: n for (k, home), n in counts.items() if home}
     outside = {k: n for (k, home), n in counts.items() if not home}
     out = {}
     for k in inside.keys() | outside.keys():
         odds = float(np.log((inside.get(k, 0) + 1) / (outside.get(k, 0) + 1)))
+        if k.startswith("mark"):
+            if odds <= OUTSIDE_ODDS:
+                out[k] = odds
+            continue
         out[k] = min(max(odds, 0.1), 3.0) if k.startswith("word") else min(max(odds, -6.0), -0.05)
     return out
 
 
 def extract(source: str | None, weights: dict[str, float]) -> str:
-    page = parse(source)
+    page = parse(source, weights)
     scores = [n * weights.get(k, 1.0 if k.startswith("word") else -1.0)
               for k, n in zip(page.kinds, page.sizes, strict=True)]
     a, b = best_region(scores)
@@ -301,7 +349,7 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
 
 
 def learn(pages: DataFrame) -> dict[str, float]:
-    """Weights from all pages that label themselves; a few hundred counts reach the driver."""
+    """Weights from all pages that label themselves; few counts (``MARKS`` and some) reach the driver."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
         for batch in batches:

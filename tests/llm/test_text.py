@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 
 from llm.helpers import awkward, docs, vocabulary_texts
 from tablestats.llm import decontamination, extraction, ppm
@@ -74,6 +75,46 @@ def test_odd_pages():
     assert extraction.best_region(scores) == (2, 4) and extraction.best_region([-1.0]) == (0, 0)
 
 
+IN_ARTICLE = "<body><article><h1>Title</h1><p>Body words go here.</p><{0}>x y z</{1}><p>End.</p></article></body>"
+
+
+@pytest.mark.parametrize("tag", ["div class='post-comments'", "div class='reader-comments'", "div class='related-posts'",
+                                 "div class='ad-slot'", "div class='share-buttons'", "div class='newsletter-cta'",
+                                 "section id='comments'", "aside", "form"])
+def test_elements_of_others_inside_an_article_give_no_text(tag):
+    page = IN_ARTICLE.format(tag, tag.split()[0])
+    assert extraction.extract(page, {}) == "Title\nBody words go here.\nEnd."
+
+
+@pytest.mark.parametrize("tag", ["h2 id='related-work'", "section id='search-and-rescue'", "p class='dialog'",
+                                 "div class='has-sidebar'", "section id='search'", "div class='posts'",
+                                 "h2 class='comments'", "div class='entry-header'"])
+def test_text_under_like_names_stays(tag):
+    page = IN_ARTICLE.format(tag, tag.split()[0])
+    assert extraction.extract(page, {}) == "Title\nBody words go here.\nx y z\nEnd."
+
+
+def test_learned_class_names_cut_elements_out():
+    rail = "<div class='right-rail'>most read today</div>"
+    labelled = [f"<body><div class='wrap'><article class='wrap'><p>story {i}</p></article></div>{rail}</body>" for i in range(40)]
+    weights = extraction.weights_from(extraction.counted(labelled))
+    assert [k for k in weights if k.startswith("mark")] == list(extraction._class_names("class='right-rail'"))
+    text = "w " * 39 + "w"
+    page = f"<body><div class='wrap'><div class='top'><p>{text}</p></div>{rail}<div class='more'><p>{text}</p></div></div></body>"
+    assert extraction.extract(page, {}) == f"{text}\nmost read today\n{text}"
+    assert extraction.extract(page, weights) == f"{text}\n{text}"
+    inside = f"<body><article><p>{text}</p>{rail}<p>{text}</p></article></body>"
+    assert extraction.extract(inside, weights) == f"{text}\n{text}"
+    # Not where it is most of the page, or holds the article.
+    assert extraction.extract(f"<body><div class='right-rail'><p>{text}</p></div><p>a b</p></body>", weights).startswith(text)
+    assert extraction.extract(f"<body><div class='right-rail'><article>{text}</article></div></body>", weights) == text
+
+
+def test_menus_and_footers_count_as_outside():
+    counts = extraction.counted(["<body><nav><a>x y</a></nav><article><p>in it</p></article><footer>f</footer></body>"])
+    assert counts["word a", False] == 2 and counts["word footer", False] == 1 and counts["word p", True] == 2
+
+
 def test_extraction_query(spark):
     rows = [(1, "u", PAGE), (2, None, None), (2, "v", ""), (None, "w", "<p>hello")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as text")
