@@ -84,8 +84,43 @@ QUERIES = {
     "op13_chat_format": op13_chat_format,
 }
 
-_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+def _words(pattern: str) -> str:
+    return f"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{pattern}')"""
+
+
+#: Every window of every text against the windows of the items.
+_CONTAMINATED = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} AS words FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_words(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} AS words FROM benchmark),
+sized AS (SELECT item, words, least(len(words), 13) AS k FROM b WHERE len(words) > 0),
+asked AS (SELECT DISTINCT k, words[i:i + k - 1] AS w, item
+  FROM (SELECT item, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM sized)),
+known AS (SELECT DISTINCT k, w FROM asked),
+spans AS (SELECT r, i, k, w FROM (
+  SELECT r, i, k, words[i:i + k - 1] AS w
+  FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM asked)))
+  SEMI JOIN known USING (k, w)),
+hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM spans) GROUP BY r),
+found AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM spans JOIN asked USING (k, w)) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN found USING (r)"""
+
+#: All pairs that share a shingle, then what links reach.
+_LINKED = f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_words(r'[^\x20\x09-\x0D]+')} AS words FROM documents),
+shingles AS (SELECT DISTINCT r, w FROM (
+  SELECT r, words[i:i + 2] AS w FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM d WHERE len(words) > 2)
+  UNION ALL SELECT r, words FROM d WHERE len(words) IN (1, 2))),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.w = b.w AND a.r <> b.r GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN sizes s ON s.r = x JOIN sizes t ON t.r = y WHERE 100 * shared >= 90 * (s.n + t.n - shared)),
+reached AS (SELECT r AS x, r AS y FROM d UNION SELECT reached.x, links.y FROM reached JOIN links ON links.x = reached.y)
+SELECT any_value(d.doc_id) AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d JOIN reached ON reached.x = d.r JOIN d o ON o.r = reached.y LEFT JOIN sizes ON sizes.r = d.r GROUP BY d.r"""
+
+_TERMS = _words(r'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')
 
 #: Scores of all documents, for each item; equal texts under one item_id are one item.
 _RANKED = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents),
@@ -115,4 +150,5 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     + 3 * len(regexp_extract_all(whole, '<turn>|<says>|</turn>|<\|endoftext\|>'))) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
 
-ORACLE_SQL: dict[str, str] = {"op12_ranked_search": _RANKED, "op13_chat_format": _FORMATTED}
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": _CONTAMINATED, "op9_jaccard_join": _LINKED,
+                              "op12_ranked_search": _RANKED, "op13_chat_format": _FORMATTED}
