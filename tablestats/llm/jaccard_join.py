@@ -20,6 +20,13 @@ different components: in each index entry the rows outside of its largest
 component meet all others.  A pair must share as many entries as the sizes of
 the remainders demand before any set is read for it.
 
+Every set carries a sketch of ``SKETCH`` bits, the parities of its tokens by hash.
+Two sketches differ in at most as many bits as the sets differ in tokens, so a
+pair whose sketches differ by more than the threshold allows is left out where the
+rows meet, before a row is made for it; no link can be lost by that.  Candidates
+are verified in two rounds: the pair with the nearest sketches of each two
+components, then, of what still lies in different components, all.
+
 Scale: texts are read where they lie; sets are built for candidates alone, and
 for those the ids are broadcast within ``BROADCAST_ROWS`` or else shuffled.  The
 skewed joins (a pivot, a common token) are plain sort-merge joins that Spark splits
@@ -50,6 +57,7 @@ LABELS = 3
 FREQUENT_LABELS = 64
 FREQUENT_TOKENS = 1 << 20
 CLASS_BITS = 24
+SKETCH = 256
 _BITMAP_BITS = 1 << 15
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,6 +93,15 @@ class Shingler:
         return np.unique(out)
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Whether an odd number of tokens falls on each of ``SKETCH`` bits, as longs."""
+    odd = np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+_MARKS = [f"mark{i}" for i in range(SKETCH // 64)]
+
+
 def slack(n: int, percent: int = PERCENT) -> int:
     """How many of n tokens can be missing in a partner."""
     return n + (-percent * n // 100)
@@ -131,14 +148,14 @@ def _front(n: int, percent: int) -> int:
 
 
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``uid, doc_id, n, key, labels, front``: set size, set hash, smallest token by each of
-    ``LABELS`` hashes, first tokens."""
+    """``uid, doc_id, n, key, labels, front, mark0..``: set size, set hash, smallest token by each of
+    ``LABELS`` hashes, first tokens, sketch."""
     least = least_size(percent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(width)
         for batch in batches:
-            n, key, labels, front = [], [], [], []
+            n, key, labels, front, marks = [], [], [], [], []
             for uid, text in zip(batch["uid"], batch["text"], strict=True):
                 s = shingles(text)
                 n.append(len(s))
@@ -146,10 +163,13 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                                            digest_size=16, person=b"set" if len(s) else b"none").digest())
                 labels.append([int(_mix(s ^ seed).min().astype(np.int64)) for seed in _SEEDS] if len(s) else [])
                 front.append(s[:_front(len(s), percent)].view(np.int64) if len(s) >= least else [])
+                marks.append(sketch(s))
+            marks = np.array(marks, np.int64).reshape(len(n), len(_MARKS))
             yield pd.DataFrame({"uid": batch["uid"], "doc_id": batch["doc_id"], "n": n, "key": key,
-                                "labels": labels, "front": front})
+                                "labels": labels, "front": front}).assign(**dict(zip(_MARKS, marks.T, strict=True)))
 
-    return docs.mapInPandas(run, "uid long, doc_id long, n int, key binary, labels array<long>, front array<long>")
+    return docs.mapInPandas(run, "uid long, doc_id long, n int, key binary, labels array<long>, front array<long>, "
+                                 + ", ".join(f"{m} long" for m in _MARKS))
 
 
 def _frequent(classes: DataFrame, labels: int) -> np.ndarray:
@@ -215,6 +235,16 @@ def _needed(percent: int):
     return F.ceil((F.col("n") + F.col("other_n")) * percent / F.lit(100 + percent) - 1e-9)
 
 
+def _apart():
+    """In how many bits the sketches of a pair differ: no more than the sets differ in tokens."""
+    return sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"other_{m}"))) for m in _MARKS), F.lit(0))
+
+
+def _may_link(percent: int):
+    """Sizes and sketches allow the threshold."""
+    return _sizes_fit(percent) & (_apart() <= F.col("n") + F.col("other_n") - 2 * _needed(percent))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the ``uid, other`` pairs whose whole sets reach the threshold."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,6 +296,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("uid", "comp")
 
 
+def _between(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose rows lie in different components, with ``comp, other_comp``."""
+    both = pairs.join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid")).join(
+        comps.select(F.col("uid").alias("other"), F.col("comp").alias("other_comp")), "other", "left")
+    return both.withColumn("other_comp", F.coalesce("other_comp", "other")).where("comp != other_comp")
+
+
 def linked(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT,
            frequent_labels: int = FREQUENT_LABELS) -> DataFrame:
     """``uid, doc_id, n_shingles, component, component_id``: one row per document.
@@ -281,43 +318,53 @@ def linked(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT,
     # A class of equal sets goes by its first row.
     classes = written(rows.where("n > 0").groupBy("key").agg(
         F.min("uid").alias("uid"), F.min("doc_id").alias("low"), F.count("*").alias("copies")), "classes")
-    able = written(rows.where(F.size("front") > 0).select("uid", "n", "labels", "front")
+    able = written(rows.where(F.size("front") > 0).select("uid", "n", "labels", "front", *_MARKS)
                    .join(small_side(classes.select("uid", "copies"), classes.count()), "uid"), "able")
     bitmap = spark.sparkContext.broadcast(_frequent(able, frequent_labels))
 
     # Near copies: every class against the one with most copies among those that share
     # a smallest token, which is likely the text that the others were made from.
-    sizes = able.select("uid", "n", "copies", F.explode("labels").alias("label"))
-    pivots = sizes.groupBy("label").agg(F.max(F.struct("copies", -F.col("uid"), "uid", "n")).alias("p"),
+    sizes = able.select("uid", "n", "copies", *_MARKS, F.explode("labels").alias("label"))
+    pivots = sizes.groupBy("label").agg(F.max(F.struct("copies", -F.col("uid"), "uid", "n", *_MARKS)).alias("p"),
                                         F.count("*").alias("m")).where("m > 1").select(
-        "label", F.col("p.uid").alias("other"), F.col("p.n").alias("other_n"))
-    stars = written(sizes.join(pivots, "label").where((F.col("uid") != F.col("other")) & _sizes_fit(percent))
+        "label", F.col("p.uid").alias("other"), F.col("p.n").alias("other_n"),
+        *(F.col(f"p.{m}").alias(f"other_{m}") for m in _MARKS))
+    stars = written(sizes.join(pivots, "label").where((F.col("uid") != F.col("other")) & _may_link(percent))
                     .select("uid", "other").distinct(), "stars")
     first = _verified(stars, docs, width, percent)
     start = components(first)
 
     # Then pairs of different components that share an entry of the index.
-    entries = written(_index(docs, able, bitmap, width, percent).join(start, "uid", "left")
-                      .withColumn("comp", F.coalesce("comp", "uid")), "index")
-    dropped(able)
-    per_comp = entries.groupBy("sig", "comp").agg(F.count("*").alias("m"))
+    index = written(_index(docs, able, bitmap, width, percent).join(start, "uid", "left")
+                    .withColumn("comp", F.coalesce("comp", "uid")), "index")
+    per_comp = index.groupBy("sig", "comp").agg(F.count("*").alias("m"))
     mixed = per_comp.groupBy("sig").agg(
         F.count("*").alias("comps"), F.max(F.struct("m", "comp")).alias("top")).where("comps > 1").select(
         "sig", F.col("top.comp").alias("major"))
-    entries = written(entries.join(mixed, "sig"), "mixed")
+    marks = able.select("uid", *_MARKS)
+    entries = written(index.join(mixed, "sig").join(small_side(marks, marks.count()), "uid"), "mixed")
+    dropped(able)
+    dropped(index)
     minor = entries.where(F.col("comp") != F.col("major")).drop("major")
-    others = entries.select("sig", F.col("uid").alias("other"), F.col("n").alias("other_n"),
-                            F.col("rest").alias("other_rest"), F.col("comp").alias("other_comp"),
+    others = entries.select("sig", *(F.col(c).alias(f"other_{c}") for c in ("uid", "n", "rest", "comp", *_MARKS)),
                             (F.col("comp") == F.col("major")).alias("in_major"))
-    met = minor.join(others, "sig").where((F.col("comp") != F.col("other_comp")) & _sizes_fit(percent)
-                                          & (F.col("in_major") | (F.col("uid") < F.col("other"))))
-    pairs = (met.select(F.least("uid", "other").alias("uid"), F.greatest("uid", "other").alias("other"),
-                        F.least("n", "other_n").alias("n"), F.greatest("n", "other_n").alias("other_n"),
-                        F.greatest("rest", "other_rest").alias("behind"))
-             .groupBy("uid", "other", "n", "other_n", "behind").agg(F.count("*").alias("shared"))
-             .where(F.col("shared") + F.col("behind") >= _needed(percent)).select("uid", "other"))
-    second = _verified(written(pairs, "pairs"), docs, width, percent)
-    comps = components(first.unionByName(second))
+    met = minor.join(others, "sig").where((F.col("comp") != F.col("other_comp")) & _may_link(percent)
+                                          & (F.col("in_major") | (F.col("uid") < F.col("other_uid"))))
+    keys = ["uid", "other", "n", "other_n", "behind", "apart"]
+    pairs = written(met.select(F.least("uid", "other_uid").alias("uid"), F.greatest("uid", "other_uid").alias("other"),
+                               F.least("n", "other_n").alias("n"), F.greatest("n", "other_n").alias("other_n"),
+                               F.greatest("rest", "other_rest").alias("behind"), _apart().alias("apart"))
+                    .groupBy(*keys).agg(F.count("*").alias("shared"))
+                    .where(F.col("shared") + F.col("behind") >= _needed(percent)).select("uid", "other", "apart"), "pairs")
+    dropped(entries)
+
+    # The nearest pair of each two components first, then what is still apart.
+    nearest = _between(pairs, start).groupBy(F.least("comp", "other_comp"), F.greatest("comp", "other_comp")).agg(
+        F.min(F.struct("apart", "uid", "other")).alias("p")).select("p.uid", "p.other")
+    links = first.unionByName(_verified(written(nearest, "nearest"), docs, width, percent))
+    second = _verified(written(_between(pairs, components(links)).select("uid", "other"), "between"),
+                       docs, width, percent)
+    comps = components(links.unionByName(second))
 
     lows = classes.join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
     lows = lows.join(lows.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select(

@@ -158,6 +158,17 @@ def test_join_of_empty_table(spark):
     assert jaccard_join.linked(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 12, 300, 20_000])
+def test_sketches_never_differ_in_more_bits_than_the_sets(n):
+    rng = np.random.default_rng(n)
+    a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    for changed in (0, n // 20, n // 3, n):
+        b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**63, changed // 2, dtype=np.uint64)]))
+        apart = sum(int(x ^ y).bit_count() for x, y in zip(*(jaccard_join.sketch(t).view(np.uint64).tolist() for t in (a, b)),
+                                                           strict=True))
+        assert apart <= len(np.setxor1d(a, b))
+
+
 def test_prefix_keeps_one_common_signature():
     rng = np.random.default_rng(4)
     bitmap = rng.integers(0, 256, 1 << 21, dtype=np.uint8) | rng.integers(0, 256, 1 << 21, dtype=np.uint8)
