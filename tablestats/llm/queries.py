@@ -150,5 +150,41 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     + 3 * len(regexp_extract_all(whole, '<turn>|<says>|</turn>|<\|endoftext\|>'))) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
 
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _level(below: str, above: str) -> str:
+    """A level of the tree, a row per leaf: its node ``h``, the changed node ``f`` and the siblings so far."""
+    return f"""{above}_runs AS MATERIALIZED (SELECT g, i // 16 AS p, array_agg(h ORDER BY i) AS run
+  FROM (SELECT DISTINCT g, i, h FROM {below}) GROUP BY ALL),
+{above}_sizes AS (SELECT g, max(i) AS last FROM {below} GROUP BY g),
+{above}_beside AS (SELECT b.*, last, array_to_string(run, '') AS whole, array_to_string(run[1:i % 16], '') AS l,
+  array_to_string(run[i % 16 + 2:], '') AS r FROM {below} b JOIN {above}_runs u ON u.g = b.g AND p = i // 16
+  JOIN {above}_sizes s ON s.g = b.g),
+{above} AS MATERIALIZED (SELECT g, i // 16 AS i, CASE WHEN last = 0 THEN h ELSE sha256(whole) END AS h,
+  CASE WHEN last = 0 THEN f ELSE sha256(l || f || r) END AS f,
+  CASE WHEN last = 0 THEN path ELSE path || l || r END AS path, doc_id, source, leaf, subroot FROM {above}_beside)"""
+
+
+#: Folded level by level, six times by source and six times above (16 ** 6 nodes).
+_LEVELS = 6
+_LOWER = ",\n".join(_level(f"low{k}", f"low{k + 1}") for k in range(_LEVELS))
+_UPPER = ",\n".join(_level(f"top{k}", f"top{k + 1}") for k in range(_LEVELS))
+_ID_CRC = """xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+  lambda c, x: list_reduce([xor(c, x)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda b, z: CASE WHEN b % 2 = 1 THEN xor(b // 2, 3988292384) ELSE b // 2 END)),
+  4294967295)"""
+_HEAD = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_MANIFEST = f"""WITH hashed AS (SELECT doc_id, source, sha256({_HEAD} || {_field('text')}) AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND {_ID_CRC} % 5 = 0 THEN sha256({_HEAD} || {_field(_LOWERED)}) END AS changed FROM documents),
+low0 AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+  leaf AS h, coalesce(changed, leaf) AS f, '' AS path, doc_id, source, leaf, '' AS subroot FROM hashed),
+{_LOWER},
+top0 AS MATERIALIZED (SELECT 0 AS g, g AS i, h, f, path, doc_id, source, leaf, h AS subroot FROM low{_LEVELS}),
+{_UPPER}
+SELECT doc_id, leaf, subroot, h AS root, sha256(path) AS proof_sha256, f AS folded_root, f = h AS verified, source FROM top{_LEVELS}"""
+
 ORACLE_SQL: dict[str, str] = {"op3_decontamination": _CONTAMINATED, "op9_jaccard_join": _LINKED,
-                              "op12_ranked_search": _RANKED, "op13_chat_format": _FORMATTED}
+                              "op11_merkle": _MANIFEST, "op12_ranked_search": _RANKED, "op13_chat_format": _FORMATTED}
