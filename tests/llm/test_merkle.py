@@ -84,14 +84,31 @@ def test_sizes_of_one_group(spark, n):
     assert in_order(merkle.documents_manifest(df).collect()) == in_order(plain_manifest(fields_of(df)))
 
 
-def test_awkward_rows_and_many_groups(spark):
+def awkward_documents(spark):
     rows = [(*r, None if i % 3 else f"s{i % 40}") for i, r in enumerate(awkward())]
     rows += [(100 + i, "One Text", f"g{i:02d}é" if i % 2 else "") for i in range(60)]
     rows += [(7, "Same Row", "hot")] * 300
-    df = docs(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
+    return docs(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
+
+
+def test_awkward_rows_and_many_groups(spark):
+    df = awkward_documents(spark)
     assert in_order(merkle.documents_manifest(df).collect()) == in_order(plain_manifest(fields_of(df)))
 
 
+def test_registered_sql(spark, tmp_out):
+    import duckdb
+    df = awkward_documents(spark)
+    df.write.parquet(f"{tmp_out}/documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_out}/documents/*.parquet'")
+    rel = con.sql(queries.ORACLE_SQL["op11_merkle"])
+    columns = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "source"]
+    assert sorted(rel.columns) == sorted(columns)
+    got = con.sql(f"SELECT {', '.join(columns)} FROM ({queries.ORACLE_SQL['op11_merkle']})").fetchall()
+    assert in_order(got) == in_order(plain_manifest(fields_of(df)))
+
+
 def test_binary_tree_and_empty_table(spark):
     df = docs(spark, [(i, f"T{i}", f"s{i % 3}") for i in range(21)])
     got = merkle.manifest(df, ["doc_id", "source", "lang", "n_chars", "text"], "source", "doc_id", arity=2)
