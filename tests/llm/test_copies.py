@@ -158,6 +158,22 @@ def test_join_of_empty_table(spark):
     assert jaccard_join.linked(docs(spark, [])).count() == 0
 
 
+def test_group_of_near_copies_forms_few_candidates(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for at in rng.sample(range(200), 2 if i % 10 == 0 else 8):  # linked with the base, or just not
+            text[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(text)))
+    asked, verified = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *how: asked.append(pairs.count()) or verified(pairs, *how))
+    got = jaccard_join.linked(docs(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(tuple(r) for r in got) == sorted(plain_components(rows, 3, 90))
+    assert len({r.component_id for r in got}) > 200 and sum(asked) < 5 * len(rows)
+
+
 @pytest.mark.parametrize("n", [1, 12, 300, 20_000])
 def test_sketches_never_differ_in_more_bits_than_the_sets(n):
     rng = np.random.default_rng(n)
