@@ -16,7 +16,8 @@ task; repeated rows are told apart by their row number and spread like any
 others.  Nodes of a run share a partition, so the joins of a level cost one
 shuffle of its narrow rows, and a level has an ``arity``-th of the rows below
 it.  Only the number of groups, the largest group's size and the root reach the
-driver.  Tables of the levels are written to the shared folder and dropped.
+driver.  Tables of the levels, on the way up and on the way down, are written to
+the shared folder and dropped, so the driver plans one level at a time.
 
 Defined cases: a null field is hashed as ``-``, an empty one as ``0:``; rows of a null
 group are a group of their own, the first; a null order value comes first; rows
@@ -142,12 +143,15 @@ def tops_of(levels: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def paths_of(levels: Sequence[DataFrame], ends: DataFrame, arity: int, carry: Sequence[str] = ()) -> DataFrame:
+def paths_of(levels: Sequence[DataFrame], ends: DataFrame, arity: int,
+             carry: Sequence[str] = ()) -> tuple[DataFrame, list[DataFrame]]:
     """The lowest level's nodes with ``path``: what stands left and right of them and of each ancestor.
 
-    ``ends`` (grp, path, and more columns, which are handed down) is what the last node of each group begins with."""
+    ``ends`` (grp, path, and more columns, which are handed down) is what the last node of each group begins with.
+    The levels above the lowest are written one by one, so that no plan holds more than one
+    level's joins; the written tables come second."""
     more = [c for c in ends.columns if c not in ("grp", "path")]
-    out = None
+    out, tables = None, []
     for k in range(len(levels) - 1, -1, -1):
         kept = list(carry) if k == 0 else []
         own = levels[k].where("n = 1").join(ends, "grp").select("grp", "index", "digest", *kept, "path", *more)
@@ -157,8 +161,11 @@ def paths_of(levels: Sequence[DataFrame], ends: DataFrame, arity: int, carry: Se
             below = (with_siblings(levels[k].where("n > 1"), arity, kept).join(up, ["grp", "parent"])
                      .select("grp", "index", "digest", *kept, F.concat(step, "above").alias("path"), *more))
             own = own.unionByName(below)
+        if k:
+            own = written(own, f"paths{k}")
+            tables.append(own)
         out = own
-    return out
+    return out, tables
 
 
 def manifest(df: DataFrame, fields: Sequence[str], group: str, order: str, arity: int = ARITY,
@@ -192,17 +199,18 @@ def manifest(df: DataFrame, fields: Sequence[str], group: str, order: str, arity
         # The path of a subroot begins with nothing above the root.
         step = "array<struct<left:string,right:string>>"
         start = spark.range(1).select(F.col("id").alias("grp"), F.array().cast(step).alias("path"))
-        ends = paths_of(upper, start, arity).select(F.col("index").alias("grp"), "path", F.col("digest").alias("subroot"))
-        found = paths_of(levels, ends, arity, ["key", "name", "changed"])
+        subroots, above = paths_of(upper, start, arity)
+        ends = written(subroots.select(F.col("index").alias("grp"), "path", F.col("digest").alias("subroot")), "ends")
+        found, below = paths_of(levels, ends, arity, ["key", "name", "changed"])
         folded = F.aggregate("path", F.coalesce("changed", "digest"),
-                             lambda below, at: digest(at["left"], below, at["right"]))
+                             lambda node, at: digest(at["left"], node, at["right"]))
         proof = digest(F.array_join(F.transform("path", lambda at: F.concat(at["left"], at["right"])), ""))
         top = F.lit(root.digest if root else None).cast("string")
         out = found.select(F.col("key").alias(order), F.col("name").alias(group), F.col("digest").alias("leaf"), "subroot",
                            top.alias("root"), proof.alias("proof_sha256"), folded.alias("folded_root"),
                            (folded == top).alias("verified"))
         result = written(out, "manifest")
-    for used in (placed, groups, ranked, *levels, *upper):
+    for used in (placed, groups, ranked, *levels, *upper, ends, *above, *below):
         dropped(used)
     return result
 

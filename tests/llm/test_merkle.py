@@ -139,3 +139,17 @@ def test_setting_is_put_back(spark):
         assert spark.conf.get(key) == "false"
         raise RuntimeError
     assert spark.conf.get(key) == before
+
+
+def test_no_plan_holds_the_joins_of_several_levels(spark, monkeypatch):
+    joins, whole = [], merkle.written
+
+    def watched(df, name, by=()):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return whole(df, name, by)
+
+    monkeypatch.setattr(merkle, "written", watched)
+    df = docs(spark, [(i, f"text {i}", f"s{i % 3}") for i in range(60)])
+    got = merkle.manifest(df, ["doc_id", "source", "lang", "n_chars", "text"], "source", "doc_id", arity=2)
+    assert got.where("not verified").count() == 0 and got.count() == 60
+    assert max(joins) <= 4
