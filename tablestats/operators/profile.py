@@ -26,6 +26,7 @@ from tablestats.operators.quantiles import (
     approx_quantiles,
     exact_quantiles,
     fused_quantiles,
+    own_percentiles,
     rel_err_to_k,
 )
 
@@ -53,16 +54,16 @@ def median(x: Column, exact: bool = False, rel_err: float = MEDIAN_REL_ERROR) ->
 
 
 def summary_struct(x: Column, exact: bool = False, accuracy: int = SUMMARY_ACCURACY,
-                   mean_of: Column | None = None, with_quantiles: bool = True) -> Column:
+                   mean_of: Column | None = None, with_quantiles: bool = True, q: Column | None = None) -> Column:
     """Aggregate expression: struct of the eight statistics of ``x``.
 
-    ``mean_of`` replaces the input of the mean only (robust summary).  Null
+    ``q``: an aggregate that gives the quartiles (else built here).  ``mean_of`` replaces the input of the mean only (robust summary).  Null
     inputs are ignored, so a filtered summary is the same expression over
     ``when(cond, x)``.  ``with_quantiles=False`` leaves the three quartiles
     null, to be filled from ``exact_quantiles``.
     """
     if with_quantiles:
-        q = quantiles(x, QUARTILES, exact, accuracy)
+        q = quantiles(x, QUARTILES, exact, accuracy) if q is None else q
         q25, q50, q75 = (F.get(q, i).cast("double") for i in range(3))
     else:
         q25 = q50 = q75 = F.lit(None).cast("double")
@@ -117,7 +118,8 @@ def _summary(data: DataFrame, x: Column, exact: bool, accuracy: int,
              mean_of: Column | None = None, sketch: str | None = None,
              method: str | None = None) -> DataFrame:
     if fused_quantiles(exact, sketch, method):
-        one = data.agg(summary_struct(x, exact, accuracy, mean_of).alias("s"))
+        data, (q,) = own_percentiles(data, [x], [QUARTILES]) if exact else (data, (None,))
+        one = data.agg(summary_struct(x, exact, accuracy, mean_of, q=q).alias("s"))
     else:
         qdf = (exact_quantiles(data, x, QUARTILES, method=method) if exact
                else approx_quantiles(data, x, QUARTILES, k=rel_err_to_k(1.0 / accuracy)))
@@ -161,7 +163,8 @@ def center(df: DataFrame, col: str, max_value: float | None = None, exact: bool
     x = known(F.col(col).cast("double"))
     v = F.when(x <= max_value, x) if max_value is not None else x
     if fused_quantiles(exact, sketch, method):
-        return df.agg(F.avg(v).alias("mean"), median(v, exact, rel_err).alias("median"))
+        df, (q,) = own_percentiles(df, [v], [[0.5]]) if exact else (df, (None,))
+        return df.agg(F.avg(v).alias("mean"), (F.get(q, 0) if exact else median(v, rel_err=rel_err)).alias("median"))
     # Count, mean and sketch come from one pass.
     got = (exact_quantiles(df, v, [0.5], method=method) if exact
            else approx_quantiles(df, v, [0.5], k=rel_err_to_k(rel_err)))

@@ -21,7 +21,8 @@ input size:
    by rank, so the shape of the distribution does not matter: each pass leaves
    about a 150th;
 3. gather: the values strictly inside a bracket (counted: ``bound`` of a group
-   and level at most) are ranked by a window.
+   and level at most) are ranked by a window.  Where Spark's ``percentile`` is asked for
+   by name, it takes this place, over values held to their bracket.
 
 The passes are steered by what was counted, so building the result runs Spark
 jobs; only rows per group, ``LOCAL_GROUPS`` at most, reach the driver.  With more
@@ -238,19 +239,12 @@ def _any(df: DataFrame, rows: list[dict] | None, flag: str) -> bool:
     return any(r[flag] for r in rows) if rows is not None else df.where(flag).limit(1).count() > 0
 
 
-def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence[Sequence[float]],
-                 by: Sequence[str] = (), k: int = SKETCH_K, salted: bool = True, bound: int = BOUND,
-                 fences: _Fences | None = None, states: Sequence[Column] = ()) -> DataFrame:
-    """Per group, for series ``s`` of ``values``: ``n{s}``, ``mean{s}``, ``q{s}`` (an exact quantile per level).
+def _bracketed(df: DataFrame, values: Sequence[str | Column], levels: Sequence[Sequence[float]], by: Sequence[str],
+               k: int, salted: bool, bound: int, fences: _Fences | None, states: Sequence[Column]) -> tuple:
+    """Passes 1 and 2: ``targets, data, parts, state, rows``.
 
-    All series go through the same scans; see the module for the passes.  Rows with
-    a null group key are ignored, groups without any known value are absent; without
-    ``by`` there is always one row (n = 0 and null quantiles for an empty input).
-    ``fences`` adds ``whisker_low``, ``whisker_high`` and ``n_out``, unless more than
-    ``bound`` values of a group lie where a fence can be.  ``states`` are aggregates over
-    the rows of ``df`` that the first scan takes as well; ``s0``, ... are arrays of
-    their values, one for each of at most ``SALTS`` parts of the data.
-    """
+    Each bracket in ``state`` holds the ranks of its level and at most ``bound`` values
+    strictly inside, if a rank falls there."""
     by, targets = list(by), _Targets(levels)
     keys = [f"`{b}`" for b in by]
     n_series = len(levels)
@@ -308,6 +302,27 @@ def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence
         sketched = True
     else:
         raise RuntimeError("the brackets of exact_quantiles did not close")
+    return targets, data, parts, state, rows
+
+
+def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence[Sequence[float]],
+                 by: Sequence[str] = (), k: int = SKETCH_K, salted: bool = True, bound: int = BOUND,
+                 fences: _Fences | None = None, states: Sequence[Column] = ()) -> DataFrame:
+    """Per group, for series ``s`` of ``values``: ``n{s}``, ``mean{s}``, ``q{s}`` (an exact quantile per level).
+
+    All series go through the same scans; see the module for the passes.  Rows with
+    a null group key are ignored, groups without any known value are absent; without
+    ``by`` there is always one row (n = 0 and null quantiles for an empty input).
+    ``fences`` adds ``whisker_low``, ``whisker_high`` and ``n_out``, unless more than
+    ``bound`` values of a group lie where a fence can be.  ``states`` are aggregates over
+    the rows of ``df`` that the first scan takes as well; ``s0``, ... are arrays of
+    their values, one for each of at most ``SALTS`` parts of the data.
+    """
+    by, keys, n_series = list(by), [f"`{b}`" for b in by], len(levels)
+    bound = max(bound, LEAST_BOUND)
+    targets, data, parts, state, rows = _bracketed(df, values, levels, by, k, salted, bound, fences, states)
+    brackets = [f"_{end}{t}" for t in targets.all for end in ("lo", "hi")]
+    beside = fences.aggregates if fences else []
 
     # Gather what lies strictly inside a bracket whose ranks fall there.
     open_fences = fences.open(bound) if fences else "true"
@@ -363,6 +378,30 @@ def exact_series(df: DataFrame, values: Sequence[str | Column], levels: Sequence
             .selectExpr(*keys, *[c.split(" AS ")[-1] for c in out], *fences.answers()))
 
 
+def own_percentiles(df: DataFrame, values: Sequence[str | Column], levels: Sequence[Sequence[float]],
+                    by: Sequence[str] = (), k: int = SKETCH_K, bound: int = BOUND) -> tuple[DataFrame, list[Column]]:
+    """``df`` with brackets, and for each series an aggregate: an array of Spark's own ``percentile`` per level.
+
+    Held to a bracket that contains the ranks of its level, values beyond it count as its
+    ends: the order within is as it was, and so is the percentile.  Where no rank falls
+    strictly inside, what is there counts as the lower end.  Of the distinct values in the
+    maps of all tasks, which one task merges, ``bound`` at most are then no ends.
+    Rows with a null group key, or of a group without known values, are left out."""
+    by = list(by)
+    targets, _, _, state, rows = _bracketed(df, values, levels, by, k, True, max(bound, LEAST_BOUND), None, ())
+    state = state.selectExpr("*", *[f"{targets.needed(t)} AS _need{t}" for t in targets.all])
+    if rows is not None:
+        state, rows = settled(state)
+    met = attach(df, state, by, [f"_{c}{t}" for t in targets.all for c in ("lo", "hi", "need")], rows, "_n0")
+
+    def held(s: int, t: int) -> Column:
+        x, lo, hi = _value(values[s]), F.col(f"_lo{t}"), F.col(f"_hi{t}")
+        return F.when((x <= lo) | (~F.col(f"_need{t}") & (x < hi)), lo).when(x >= hi, hi).otherwise(x)
+
+    return met, [F.array(*[F.percentile(held(s, t), F.lit(targets.flat[t][1])) for t in targets.of(s)])
+                 for s in range(len(levels))]
+
+
 def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
                     by: Sequence[str] = (), k: int = SKETCH_K, salted: bool = True,
                     method: str | None = None, bound: int = BOUND) -> DataFrame:
@@ -374,15 +413,14 @@ def exact_quantiles(df: DataFrame, value: str | Column, levels: Sequence[float],
 
     The result and the way to it are the same at every size; ``bound`` is the number
     of values of a group and level that a task may rank (``LEAST_BOUND`` at least), ``salted=False`` merges the sketches of a group in
-    one level, and ``method='percentile'`` asks for Spark's own aggregate, for
-    inputs known to be small.
+    one level, and ``method='percentile'`` asks for Spark's own aggregate, over values held
+    to the counted brackets (``own_percentiles``).
     """
     by = list(by)
     if exact_method(method) == "percentile":
-        lv = F.array(*[F.lit(float(p)) for p in levels])
         x = F.col("_v0")
-        return _values(df, by, [value]).groupBy(*by).agg(
-            F.count(x).alias("n"), F.avg(x).alias("mean"), F.percentile(x, lv).alias("q"))
+        met, (q,) = own_percentiles(_values(df, by, [value]), [x], [levels], by, k, bound)
+        return met.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.when(F.count(x) > 0, q).alias("q"))
     out = exact_series(df, [value], [levels], by, k, salted, bound)
     return out.select(*by, F.col("n0").alias("n"), F.col("mean0").alias("mean"), F.col("q0").alias("q"))
 

@@ -21,6 +21,7 @@ from tablestats.operators.quantiles import (
     exact_box,
     exact_quantiles,
     fused_quantiles,
+    own_percentiles,
     rel_err_to_k,
     settled,
 )
@@ -36,8 +37,9 @@ def bucket_stats(df: DataFrame, bucket: str, col: str, exact: bool = False,
     x = known(F.col(col).cast("double"))
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull())
     if fused_quantiles(exact, sketch, method):
+        data, (q,) = own_percentiles(data, [x], [[0.5]], [bucket]) if exact else (data, (None,))
         return data.groupBy(bucket).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
-                                        median(x, exact, rel_err).alias("median"))
+                                        (F.get(q, 0) if exact else median(x, rel_err=rel_err)).alias("median"))
     # Counts, means and sketches in one pass; exact medians take two more.
     got = (exact_quantiles(data, x, [0.5], by=[bucket], method=method) if exact
            else approx_quantiles(data, x, [0.5], by=[bucket], k=rel_err_to_k(rel_err)))
@@ -56,7 +58,9 @@ def box_stats(df: DataFrame, bucket: str, col: str, k: float = WHISKER_IQR,
     x = known(F.col(col).cast("double"))
     data = df.where(F.col(bucket).isNotNull() & x.isNotNull()).select(F.col(bucket), x.alias("_v"))
     if fused_quantiles(exact, sketch, method):
-        box = data.groupBy(bucket).agg(quantiles(F.col("_v"), QUARTILES, exact, accuracy).alias("q"))
+        met, (q,) = (own_percentiles(data, ["_v"], [QUARTILES], [bucket]) if exact
+                     else (data, [quantiles(F.col("_v"), QUARTILES, accuracy=accuracy)]))
+        box = met.groupBy(bucket).agg(q.alias("q"))
     elif exact:
         box = exact_box(data, "_v", [bucket], k)
     else:

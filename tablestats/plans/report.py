@@ -34,6 +34,7 @@ from tablestats.operators.quantiles import (
     approx_series,
     exact_series,
     fused_quantiles,
+    own_percentiles,
     rel_err_to_k,
 )
 from tablestats.operators.relate import MIN_PAIRS
@@ -165,12 +166,14 @@ def report_lines(clean: DataFrame, digits: int | None = None, exact: bool = Fals
     if separate:
         one = _one_scan(clean, series, (critic, user), exact, rel_err_to_k(1.0 / accuracy))
     else:
-        one = clean.agg(
+        met, q = own_percentiles(clean, series, [QUARTILES] * 3 + [[0.5]]) if exact else (clean, [None] * 4)
+        one = met.agg(
             F.count(F.lit(1)).alias("n_rows"),
-            summary_struct(price, exact, accuracy, mean_of=kept_price).alias("s_price"),
-            summary_struct(series[1], exact, accuracy).alias("s_user"),
-            summary_struct(series[2], exact, accuracy).alias("s_critic"),
-            F.avg(kept_price).alias("c_mean"), median(kept_price, exact, rel_err).alias("c_median"),
+            summary_struct(price, exact, accuracy, mean_of=kept_price, q=q[0]).alias("s_price"),
+            summary_struct(series[1], exact, accuracy, q=q[1]).alias("s_user"),
+            summary_struct(series[2], exact, accuracy, q=q[2]).alias("s_critic"),
+            F.avg(kept_price).alias("c_mean"),
+            (F.get(q[3], 0) if exact else median(kept_price, rel_err=rel_err)).alias("c_median"),
             F.count(F.when(pair, F.lit(1))).alias("r_n"),
             F.try_divide(F.covar_pop(pc, pu), F.stddev_pop(pc) * F.stddev_pop(pu)).alias("r"),
         )

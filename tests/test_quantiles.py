@@ -231,3 +231,40 @@ def test_several_series_share_their_scans(spark):
     np.testing.assert_allclose(r.q1, np.percentile(big, [25, 50]), rtol=1e-12)
     assert r.n1 == len(big)
     assert abs(r.mean1 - np.mean(big)) < 1e-9
+
+
+@pytest.mark.parametrize("by_name", ["center", "summary", "bucket", "box", "quantiles"])
+def test_a_percentile_asked_for_by_name_merges_few_values(spark, monkeypatch, by_name):
+    from tablestats.operators.profile import center, summary
+    from tablestats.operators.spread import box_stats, bucket_stats
+    n = 200_000
+    df = spark.range(n, numPartitions=4).selectExpr("cast(id * id as double) as v", "0 as g")
+    run = {"center": lambda: [center(df, "v", exact=True, method="percentile").first().median],
+           "summary": lambda: [r.value for r in summary(df, "v", exact=True, method="percentile").collect() if "%" in r.stat],
+           "bucket": lambda: [bucket_stats(df, "g", "v", exact=True, method="percentile").first().median],
+           "box": lambda: list(box_stats(df, "g", "v", exact=True, method="percentile").first()[1:4]),
+           "quantiles": lambda: list(exact_quantiles(df, "v", LEVELS, by=["g"], method="percentile").first().q)}[by_name]
+    levels = {"center": [0.5], "bucket": [0.5], "quantiles": LEVELS}.get(by_name, [0.25, 0.5, 0.75])
+    want = np.percentile(np.arange(n, dtype=float) ** 2, [p * 100 for p in levels])
+    np.testing.assert_allclose(run(), want, rtol=1e-13)
+
+    def distinct(x, p):
+        one = F.count_distinct(x).cast("double")
+        return one if isinstance(p._jc.toString(), str) and "array" not in p._jc.toString() else F.array(*[one] * len(levels))
+
+    monkeypatch.setattr(F, "percentile", distinct)
+    monkeypatch.setattr(F, "median", lambda x: distinct(x, F.lit(0.5)))
+    assert max(run()) <= quantiles.BOUND + 2
+
+
+def test_a_percentile_asked_for_by_name_on_ties_and_few_rows(spark):
+    rows = [("a", v) for v in [1.0] * 50 + [2.0] * 50] + [("b", 7.0), ("c", None), (None, 3.0), ("d", float("nan"))]
+    df = spark.createDataFrame(rows + [("e", float("-inf")), ("e", 0.0), ("e", float("inf"))], "g string, v double")
+    got = {r.g: (r.n, r.q) for r in exact_quantiles(df, "v", [0.0, 0.5, 1.0], by=["g"], method="percentile").collect()}
+    assert got == {"a": (100, [1.0, 1.5, 2.0]), "b": (1, [7.0] * 3), "e": (3, [float("-inf"), 0.0, float("inf")])}
+    none = exact_quantiles(df.where("g = 'c'"), "v", [0.5], method="percentile").first()
+    assert none.n == 0 and none.q is None
+    # No rank strictly inside, and more values there than the bound.
+    wide = spark.range(1, 300).selectExpr("explode(array_repeat(CASE WHEN id = 1 THEN 0D ELSE cast(id as double) END, CASE WHEN id = 1 THEN 400 ELSE 1 END)) as v")
+    met, (q,) = quantiles.own_percentiles(wide, ["v"], [[0.5]], k=64, bound=64)
+    assert met.agg(q.alias("q")).first().q == [0.0]
