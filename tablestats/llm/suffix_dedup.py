@@ -6,9 +6,11 @@ a document before, or further left in the same one).
 Shards are made by content, so that equal strings meet: of all grams of ``GRAM``
 bytes in a window of ``SPAN`` bytes the smallest hash is the window's anchor,
 a function of the window alone.  Windows in a row with one anchor form a run, and
-its bytes are its context.  Runs are counted by anchor; those whose anchor occurs
-once in the corpus hold no repeat (nor do they repeat within themselves unless
-the gram occurs twice, which is told apart) and send nothing on.
+its bytes are its context.  A window has at least half of its other bytes on one
+side of its anchor, so windows that repeat share the anchor with that flank.  Flanked
+anchors (two a run) are counted; runs of which none occurs twice in the corpus hold
+no repeat (nor do they repeat within themselves unless the gram occurs twice, which
+is told apart) and send nothing on.
 
 Equal contexts of one anchor are a class: all but its first run go whole.  The
 first runs of anchors with several classes are compared in shards of bounded
@@ -20,7 +22,7 @@ a shard holds is split over several; the earliest windows of each shard are
 then merged: sorted by digest in a shuffle, each shard's window is looked up by
 the digest and goes if another shard has an earlier one.
 
-Scale: per anchor one hash is shuffled (with partial sums); anchors that repeat
+Scale: per run two hashes are shuffled (with partial sums); those that repeat
 are marked in a bitmap of fixed size (``BITMAP_BITS``; chance hits only send a few
 contexts more); contexts move only for repeats.  Neither a text nor a shard is
 ever sent to the driver.  Digests are 64-bit prefix polynomials, and a class is
@@ -88,14 +90,25 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return x if w == width else pick(x[:len(x) - (width - w)], x[width - w:])
 
 
+def _reach(span: int, gram: int) -> int:
+    """Every window of ``span`` bytes has as many beside its anchor, on the left or on the right."""
+    return (span - gram + 1) // 2
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
 def runs(data: np.ndarray, span: int = SPAN, gram: int = GRAM):
-    """``anchor, lo, hi, again, digests`` of each run of windows with one anchor.
+    """``anchor, lo, hi, again, digests, flanks`` of each run of windows with one anchor.
 
-    ``again``: the anchor's gram occurs more than once in the context."""
+    ``again``: the anchor's gram occurs more than once in the context.  ``flanks``: number of
+    the run and digest of the gram with ``_reach`` bytes to its left, and to its right,
+    for each place where that lies in the context."""
     n, width = len(data), span - gram + 1
     if n < span:
         empty = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), empty, empty, np.empty(0, bool), None
+        return np.empty(0, np.uint64), empty, empty, np.empty(0, bool), None, (empty, np.empty(0, np.uint64))
     digests = Digests(data)
     at = np.arange(n - gram + 1)
     hashes = digests(at, at + gram)
@@ -112,7 +125,10 @@ def runs(data: np.ndarray, span: int = SPAN, gram: int = GRAM):
     place = np.repeat(a - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
     equal = hashes[chosen[place]] == np.repeat(anchor, size)
     count = np.add.reduceat(equal.astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]]))
-    return anchor, lo, hi, count > 1, digests
+    run, p, reach = np.repeat(np.arange(len(lo)), count), chosen[place[equal]], _reach(span, gram)
+    left, right = p - reach >= lo[run], p + gram + reach <= hi[run]
+    flanks = np.concatenate([digests(p[left] - reach, p[left] + gram), digests(p[right], p[right] + gram + reach)])
+    return anchor, lo, hi, count > 1, digests, (np.concatenate([run[left], run[right]]), flanks)
 
 
 def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,15 +215,15 @@ def _merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[at], reach[np.append(at[1:], len(lo)) - 1] if len(lo) else hi
 
 
-def _repeated_anchors(docs: DataFrame, span: int, gram: int) -> np.ndarray:
-    """Bitmap of anchors with two runs or more in the corpus."""
-    def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _repeated_flanks(docs: DataFrame, span: int, gram: int) -> np.ndarray:
+    """Bitmap of the flanked anchors that the corpus holds twice or more."""
+    def flanks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [runs(_bytes(t), span, gram)[0] for t in batch["text"]]
-            yield pd.DataFrame({"anchor": np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64)})
+            found = [runs(_bytes(t), span, gram)[-1][1] for t in batch["text"]]
+            yield pd.DataFrame({"flank": np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64)})
 
-    rows = (docs.select("text").mapInPandas(anchors, "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))
-            .where("n > 1").select(F.shiftrightunsigned("anchor", 64 - BITMAP_BITS).cast("int").alias("slot"))
+    rows = (docs.select("text").mapInPandas(flanks, "flank long").groupBy("flank").agg(F.count("*").alias("n"))
+            .where("n > 1").select(F.shiftrightunsigned("flank", 64 - BITMAP_BITS).cast("int").alias("slot"))
             .groupBy(F.floor(F.col("slot") / _BITMAP).alias("b"))
             .agg(F.bitmap_construct_agg(F.col("slot") % _BITMAP).alias("bits")).collect())  # 16 MB at most
     out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
@@ -228,16 +244,17 @@ def _bytes(text: str | None) -> np.ndarray:
 
 
 def _found_runs(docs: DataFrame, bitmap, span: int, gram: int) -> DataFrame:
-    """The runs whose anchor repeats (by the bitmap, or within the context)."""
+    """The runs of which a flank repeats (by the bitmap), or the anchor within the context."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
             for i, text in enumerate(batch["text"]):
-                anchor, lo, hi, again, digests = runs(_bytes(text), span, gram)
+                anchor, lo, hi, again, digests, (run, flanks) = runs(_bytes(text), span, gram)
                 if not len(anchor):
                     continue
-                slot = (anchor >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                use = np.flatnonzero(again | ((bitmap.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
+                slot = _slots(flanks)
+                met = (bitmap.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                use = np.flatnonzero(again | (np.bincount(run[met], minlength=len(anchor)) > 0))
                 if len(use):
                     lo, hi = lo[use], hi[use]
                     parts.append((anchor[use], digests(lo, hi), again[use], np.full(len(use), i), lo, hi))
@@ -312,7 +329,7 @@ def repeats(docs: DataFrame, *, span: int = SPAN, gram: int = GRAM, shard_classe
     """``uid, spans``: stretches to remove per row of ``docs`` (which has ``uid``)."""
     spark = docs.sparkSession
     docs = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
-    bitmap = spark.sparkContext.broadcast(_repeated_anchors(docs, span, gram))
+    bitmap = spark.sparkContext.broadcast(_repeated_flanks(docs, span, gram))
     found = written(_found_runs(docs, bitmap, span, gram), "runs")
     place = F.struct("doc", "uid", "lo", "hi")
     classes = written(found.groupBy("anchor", "digest").agg(F.min(place).alias("first"), F.bool_or("again").alias("again"))

@@ -199,3 +199,33 @@ def test_prefix_keeps_one_common_signature():
             x, _ = jaccard_join.signatures(a, bitmap, 90)
             y, _ = jaccard_join.signatures(b, bitmap, 90)
             assert len(np.intersect1d(x, y))
+
+
+def test_runs_without_a_repeated_flank_send_nothing(spark, monkeypatch):
+    rng = random.Random(11)
+    phrase = "a phrase of fifty bytes which many documents hold."
+    def some(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    rows = [(i, some(300) + phrase + some(300)) for i in range(40)]
+    rows += [(100, some(200) + "x" * 150), (101, rows[0][1][250:420] + some(200))]
+    found, whole = [], suffix_dedup._found_runs
+    monkeypatch.setattr(suffix_dedup, "_found_runs", lambda *a: found.append(whole(*a)) or found[-1])
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.deduplicated(docs(spark, rows)).collect()}
+    assert {k for k, v in got.items() if v} == {100, 101} and got[101] >= 170
+    assert {r.doc for r in found[0].select("doc").distinct().collect()} <= {0, 100, 101}
+
+
+@pytest.mark.parametrize("span, gram", [(100, 32), (9, 4), (8, 3), (6, 6)])
+def test_windows_that_repeat_share_a_flank(span, gram):
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        shared = rng.integers(97, 100, span + int(rng.integers(0, 20)))
+        a, b = (np.concatenate([rng.integers(97, 123, rng.integers(0, 150)), shared, rng.integers(97, 123, rng.integers(0, 150))]).astype(np.uint8)
+                for _ in range(2))
+        (x, _, _, x_again, _, (i, p)), (y, _, _, y_again, _, (j, q)) = (suffix_dedup.runs(d, span, gram) for d in (a, b))
+        same = np.intersect1d(x, y)
+        assert len(same)
+        window = bytes(shared[:span].astype(np.uint8))
+        anchor = suffix_dedup.runs(np.frombuffer(window, np.uint8), span, gram)[0][0]
+        own, other = ({int(k) for r, k in zip(run, keys, strict=True) if anchors[r] == anchor} for anchors, run, keys in ((x, i, p), (y, j, q)))
+        assert own & other
