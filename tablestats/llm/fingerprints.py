@@ -61,9 +61,9 @@ class Hasher:
         found, seen = set(_TERM.findall(text.lower())), self.seen
         if len(seen) > self.memory:
             seen.clear()
-        for t in [t for t in found if t not in seen]:
+        for t in found.difference(seen):
             seen[t] = xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"))
-        out = np.fromiter((seen[t] for t in found), np.uint64, len(found))
+        out = np.fromiter(map(seen.__getitem__, found), np.uint64, len(found))
         out.sort()
         return out
 
@@ -90,13 +90,22 @@ def fingerprint(text: str, hashes: np.ndarray, lexicon: np.ndarray) -> np.ndarra
     if not len(kept):
         kept = np.array([xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))], np.uint64)
     first = np.frombuffer(hashlib.blake2b(kept.tobytes(), digest_size=8).digest(), np.uint16)
-    draws = _mix(kept[None, :] ^ _SEEDS[:, None])
-    out = [first]
-    for bits in RATES:
-        member = (draws >> np.uint64(64 - bits)) == 0
-        sums = _mix(np.where(member, draws * _ODD, np.uint64(0)).sum(1, dtype=np.uint64))
-        out.append(np.where(member.any(1), (sums & np.uint64(0xFFFF)) | np.uint64(1), np.uint64(0)).astype(np.uint16))
-    return np.concatenate(out)
+    draws = _mix(kept[None, :] ^ _SEEDS[:, None]).ravel()
+    at = np.flatnonzero(draws < np.uint64(1 << (64 - RATES[0])))
+    draws, subset = draws[at], at // len(kept)
+    sums, members = np.zeros((len(RATES), SUBSETS), np.uint64), np.zeros((len(RATES), SUBSETS), np.int64)
+    for i, bits in enumerate(RATES):  # each rate's members are among those of the rate before
+        if i:
+            at = np.flatnonzero(draws < np.uint64(1 << (64 - bits)))
+            draws, subset = draws[at], subset[at]
+        members[i] = np.bincount(subset, minlength=SUBSETS)
+        some = np.flatnonzero(members[i])
+        if not len(some):
+            break
+        starts = np.cumsum(members[i]) - members[i]
+        sums[i, some] = np.add.reduceat(draws, starts[some])
+    marks = np.where(members > 0, (_mix(sums * _ODD) & np.uint64(0xFFFF)) | np.uint64(1), np.uint64(0))
+    return np.concatenate([first, marks.astype(np.uint16).ravel()])
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -114,7 +123,8 @@ def lexicon(docs: DataFrame, *, min_docs: int = MIN_DOCS, max_share: float = MAX
         counts, terms = np.zeros(1 << SLOT_BITS, np.int32), Hasher()
         for batch in batches:
             for text in batch["text"]:
-                counts[np.unique(_slots(terms(text or "")))] += 1
+                slots = _slots(terms(text or ""))  # in order, as the hashes are
+                counts[slots[np.diff(slots, prepend=-1) > 0]] += 1
         slots = np.flatnonzero(counts)
         for i in range(0, len(slots), 1 << 16):
             part = slots[i:i + (1 << 16)]

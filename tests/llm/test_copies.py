@@ -229,3 +229,18 @@ def test_windows_that_repeat_share_a_flank(span, gram):
         anchor = suffix_dedup.runs(np.frombuffer(window, np.uint8), span, gram)[0][0]
         own, other = ({int(k) for r, k in zip(run, keys, strict=True) if anchors[r] == anchor} for anchors, run, keys in ((x, i, p), (y, j, q)))
         assert own & other
+
+
+def test_subset_hashes_are_the_sums_of_their_members(monkeypatch):
+    rng = np.random.default_rng(3)
+    lexicon, mixes, mix = np.full(1 << (fingerprints.SLOT_BITS - 3), 255, np.uint8), [], fingerprints._mix
+    monkeypatch.setattr(fingerprints, "_mix", lambda x: mixes.append(1) or mix(x))
+    for n in (1, 2, 7, 300, 3000):
+        hashes = np.sort(rng.integers(0, 2**64, n, dtype=np.uint64))
+        got = fingerprints.fingerprint("", hashes, lexicon)[4:].reshape(len(fingerprints.RATES), fingerprints.SUBSETS)
+        for i, bits in enumerate(fingerprints.RATES):
+            for j, seed in enumerate(fingerprints._SEEDS):
+                members = [int(d) for d in mix(hashes ^ seed) if int(d) >> (64 - bits) == 0]
+                total = np.array([sum(members) * int(fingerprints._ODD) % 2**64], np.uint64)
+                assert got[i, j] == (int(mix(total)[0]) & 0xFFFF | 1 if members else 0)
+    assert len(mixes) == 2 * 5  # draws and sums, each once a text
