@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm.helpers import awkward, docs, vocabulary_texts
 from tablestats.llm import fingerprints, jaccard_join, suffix_dedup
@@ -244,3 +245,52 @@ def test_subset_hashes_are_the_sums_of_their_members(monkeypatch):
                 total = np.array([sum(members) * int(fingerprints._ODD) % 2**64], np.uint64)
                 assert got[i, j] == (int(mix(total)[0]) & 0xFFFF | 1 if members else 0)
     assert len(mixes) == 2 * 5  # draws and sums, each once a text
+
+
+def test_sets_with_enough_tokens_of_their_own_are_not_indexed_by_a_shared_passage(spark, monkeypatch):
+    rng = random.Random(2)
+    passage = " ".join(f"p{i}" for i in range(300))
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(450)) + " " + passage) for i in range(20)]
+    rows += [(50, rows[3][1] + " more"), (51, rows[7][1].replace("p250", "q250"))]
+    sizes, whole = {}, jaccard_join.written
+
+    def watched(df, name, by=()):
+        out = whole(df, name, by)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", watched)
+    got = sorted(map(tuple, jaccard_join.linked(docs(spark, rows), percent=80).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == sorted(plain_components(rows, 3, 80))
+    assert sum(sizes["mixed"]) <= 200  # 22 sets with some 60 tokens of the passage in their prefixes
+
+
+def test_entries_with_the_same_rows_are_one(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(300))
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(450)) + " " + passage) for i in range(3)]
+    sizes, whole = [], jaccard_join.written
+
+    def watched(df, name, by=()):
+        out = whole(df, name, by)
+        if name == "mixed":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", watched)
+    got = sorted(map(tuple, jaccard_join.linked(docs(spark, rows), percent=60).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == sorted(plain_components(rows, 3, 60))
+    assert sizes and 0 < sizes[0] <= 9
+
+
+def test_wide_sketches_differ_by_no_more_than_the_sets(spark):
+    rng, pairs = np.random.default_rng(8), []
+    for n in (200, 257, 500, 512, 513, 900, 1030, 3000):
+        for drop in (0, 1, n // 20, n // 5, n // 2):
+            a = rng.integers(0, 2**63, n, dtype=np.uint64)
+            b = np.concatenate([a[drop:], rng.integers(0, 2**63, drop // 2, dtype=np.uint64)])
+            pairs.append((*(jaccard_join.wide_sketch(t).tolist() for t in (a, b)), len(np.setxor1d(a, b))))
+    df = spark.createDataFrame(pairs, "wide array<long>, other_wide array<long>, d long")
+    got = df.select(jaccard_join._wide_apart().alias("apart"), "d", F.size("wide").alias("s")).collect()
+    assert all(r.apart <= r.d for r in got) and any(r.s and r.apart > 100 for r in got)
+    assert all(r.apart % 2 == r.d % 2 for r in got if r.s and r.apart)
