@@ -14,12 +14,12 @@ is told apart) and send nothing on.
 
 Equal contexts of one anchor are a class: all but its first run go whole.  The
 first runs of anchors with several classes are compared in shards of bounded
-size: the suffix array of their contexts is sorted by the first 8 bytes and then
-refined by doubling, ever only the groups still unsorted (Larsson-Sadakane);
-Kasai's scan gives the common prefixes, and suffixes that share ``SPAN`` bytes are
-one group, of which the earliest start stays.  An anchor with more classes than
-a shard holds is split over several; the earliest windows of each shard are
-then merged: sorted by digest in a shuffle, each shard's window is looked up by
+size, some anchors at a time: the suffix array of their contexts is sorted by the
+first 8 bytes and then refined by doubling, ever only the groups still unsorted
+(Larsson-Sadakane); neighbours are compared for their common prefixes, and suffixes
+that share ``SPAN`` bytes are one group, of which the earliest start stays.  An
+anchor with more classes or bytes than a shard holds is split over several; the
+earliest windows of each shard are then merged: sorted by digest in a shuffle, each shard's window is looked up by
 the digest and goes if another shard has an earlier one.
 
 Scale: per run two hashes are shuffled (with partial sums); those that repeat
@@ -50,6 +50,9 @@ GRAM = 32
 BITMAP_BITS = 27
 SHARD_CLASSES = 4000  # first runs of one anchor that are sorted in one shard
 SHARD_BYTES = 2_000_000
+#: Bytes of contexts in one suffix array (more only for a single anchor, a shard's bytes at most).
+_PIECE_BYTES = 1 << 18
+_PAIRS = 1 << 16
 _BITMAP = 1 << 15
 _BASE = 0x9E3779B97F4A7C15
 _ODD = np.uint64(_BASE)
@@ -169,26 +172,24 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def common_prefixes(data: bytes, order: np.ndarray, most: int) -> np.ndarray:
-    """Kasai: shared prefix of each suffix with the one before it in order, up to ``most``."""
+    """Shared prefix of each suffix with the one before it in order, up to ``most``: eight bytes
+    at a time, and of a bounded number of neighbours at once."""
     n = len(order)
-    before = np.full(n, -1, np.int64)
-    before[order[1:]] = order[:-1]
-    out, size = [0] * n, 0
-    for i, j in enumerate(before.tolist()):
-        if j < 0:
-            size = 0
-            continue
-        if size and data[i:i + size] != data[j:j + size]:
-            size = 0  # suffixes equal beyond the sorted depth stand in any order
-        if data[i + size:i + most] == data[j + size:j + most] and max(i, j) + most <= n:
-            size = most
-        else:
-            end = min(most, n - max(i, j))
-            while size < end and data[i + size] == data[j + size]:
-                size += 1
-        out[i] = size
-        size = size - 1 if size else 0
-    return np.array(out, np.int64)[order]
+    words = np.ndarray(n + most, "<u8", data + bytes(most + 8), strides=(1,))  # those at every byte
+    out = np.zeros(n, np.int64)
+    for at in range(1, n, _PAIRS):
+        a, b = order[at - 1:min(at + _PAIRS, n) - 1], order[at:at + _PAIRS]
+        size = np.minimum(most, n - np.maximum(a, b))
+        left = np.arange(len(b))
+        for depth in range(0, most, 8):
+            x = words[a[left] + depth] ^ words[b[left] + depth]
+            differ = x != 0
+            low, gone = x[differ], left[differ]
+            byte = np.log2((low & (~low + np.uint64(1))).astype(np.float64)).astype(np.int64) // 8
+            size[gone] = np.minimum(size[gone], depth + byte)
+            left = left[~differ]
+        out[at:at + _PAIRS] = size
+    return out
 
 
 def window_groups(contexts: list[bytes], span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -286,10 +287,26 @@ def _contexts(rows: DataFrame) -> DataFrame:
 _SHARD_OUT = "kind int, uid long, lo int, hi int, anchor long, digest long, doc long"
 
 
+def _pieces(anchors: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the contexts of whole anchors, about ``_PIECE_BYTES`` at a time, in their order."""
+    place = np.argsort(anchors, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], anchors[place[1:]] != anchors[place[:-1]]]))
+    bytes_ = np.add.reduceat(sizes[place], starts)
+    cuts, held = [0], 0
+    for at, size in zip(starts.tolist(), bytes_.tolist(), strict=True):
+        if held and held + size > _PIECE_BYTES:
+            cuts.append(at)
+            held = 0
+        held += size
+    for a, b in zip(cuts, [*cuts[1:], len(place)], strict=True):
+        yield np.sort(place[a:b])
+
+
 def _sort_shard(span: int):
-    """One shard: spans to remove, and for a split anchor the earliest of each window."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc", "uid", "lo"], kind="stable").reset_index(drop=True)
+    """One shard: spans to remove, and for a split anchor the earliest of each window.
+
+    Equal windows have one anchor, so the anchors of a shard are worked through in pieces."""
+    def piece(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         contexts = pdf["context"].tolist()
         context, offset, group = window_groups(contexts, span)
         # Rows are in document order: within one document starts decide.
@@ -308,17 +325,22 @@ def _sort_shard(span: int):
         d, s = doc[late], start[late]
         new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + span)])[:len(late)])
         last = np.append(new[1:], len(late))[:len(new)] - 1
-        out = [pd.DataFrame({"kind": 0, "uid": uid[context[late[new]]], "lo": s[new], "hi": s[last] + span,
-                             "anchor": 0, "digest": 0, "doc": 0})]
+        yield pd.DataFrame({"kind": 0, "uid": uid[context[late[new]]], "lo": s[new], "hi": s[last] + span,
+                            "anchor": 0, "digest": 0, "doc": 0})
         if pdf["split"].iloc[0]:
             keep = np.flatnonzero(first)
             data = np.frombuffer(b"".join(contexts), np.uint8)
             begin = np.concatenate([[0], np.cumsum([len(c) for c in contexts])[:-1]])
             at = begin[context[keep]] + offset[keep]
-            out.append(pd.DataFrame({
+            yield pd.DataFrame({
                 "kind": 1, "uid": uid[context[keep]], "lo": start[keep], "hi": start[keep] + span,
                 "anchor": pdf["anchor"].to_numpy()[context[keep]], "digest": Digests(data)(at, at + span).view(np.int64),
-                "doc": doc_id[context[keep]]}))
+                "doc": doc_id[context[keep]]})
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc", "uid", "lo"], kind="stable").reset_index(drop=True)
+        sizes = pdf["context"].str.len().to_numpy(np.int64)
+        out = [part for at in _pieces(pdf["anchor"].to_numpy(), sizes) for part in piece(pdf.iloc[at])]
         return pd.concat(out).astype({"lo": np.int32, "hi": np.int32, "kind": np.int32})
 
     return run
@@ -337,13 +359,14 @@ def repeats(docs: DataFrame, *, span: int = SPAN, gram: int = GRAM, shard_classe
     firsts = classes.select("anchor", "digest", F.col("uid").alias("first_uid"), F.col("lo").alias("first_lo"))
     whole = (found.select("anchor", "digest", "uid", "lo", "hi").join(firsts, ["anchor", "digest"])
              .where((F.col("uid") != F.col("first_uid")) | (F.col("lo") != F.col("first_lo"))).select("uid", "lo", "hi"))
-    several = (classes.groupBy("anchor").agg(F.count("*").alias("n"), F.bool_or("again").alias("some"))
-               .where("n > 1 or some").select("anchor", "n"))
-    rows = written(classes.join(several, "anchor").select("anchor", "digest", "doc", "uid", "lo", "hi", "n"), "firsts")
+    several = (classes.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("hi") - F.col("lo")).alias("size"),
+                                             F.bool_or("again").alias("some"))
+               .where("n > 1 or some").select("anchor", "n", "size"))
+    rows = written(classes.join(several, "anchor").select("anchor", "digest", "doc", "uid", "lo", "hi", "n", "size"), "firsts")
     total = rows.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0))).first()[0]
     shards = max(1, total // shard_bytes)
-    split = F.col("n") > shard_classes
-    parts = F.ceil(F.col("n") / shard_classes)
+    parts = F.least("n", F.greatest(F.ceil(F.col("n") / shard_classes), F.ceil(F.col("size") / shard_bytes)))
+    split = parts > 1
     rows = rows.withColumns({
         "split": split,
         "shard": F.when(split, F.xxhash64("anchor", F.pmod(F.xxhash64("digest"), parts)))

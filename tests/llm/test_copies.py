@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,36 @@ def test_windows_that_repeat_share_a_flank(span, gram):
         assert own & other
 
 
+def test_a_shard_is_sorted_in_pieces_of_whole_anchors(monkeypatch):
+    rng = np.random.default_rng(8)
+    rows, uid = [], 0
+    for anchor in range(300):
+        shared = rng.integers(97, 123, 120, dtype=np.uint8).tobytes()
+        for j in range(int(rng.integers(2, 40))):
+            own = rng.integers(97, 123, int(rng.integers(1, 60)), dtype=np.uint8).tobytes() + bytes([128 + j])
+            rows.append((0, False, anchor, uid, uid, 7, own + shared))
+            uid += 1
+    pdf = pd.DataFrame(rows, columns=["shard", "split", "anchor", "doc", "uid", "lo", "context"])
+    held, whole = [], suffix_dedup.window_groups
+    monkeypatch.setattr(suffix_dedup, "window_groups", lambda c, span: held.append(sum(map(len, c))) or whole(c, span))
+    got = suffix_dedup._sort_shard(100)(pdf.sample(frac=1, random_state=1))
+    assert sum(held) == pdf["context"].str.len().sum() > 800_000 and max(held) <= 1 << 18
+    later = pdf[pdf["anchor"].duplicated()]
+    size = later["context"].str.len()
+    want = sorted(zip(later["uid"], size - 120 + 7, size + 7, strict=True))
+    assert sorted(got[["uid", "lo", "hi"]].itertuples(index=False, name=None)) == want
+
+
+def test_few_long_contexts_of_one_anchor_are_split_by_their_bytes(spark, monkeypatch):
+    rows = [(i, "x" * (3000 + i)) for i in range(12)]
+    held, sort = [], suffix_dedup._contexts
+    monkeypatch.setattr(suffix_dedup, "_contexts", lambda r: held.append(sort(r)) or held[-1])
+    got = suffix_dedup.deduplicated(docs(spark, rows), shard_bytes=9000).collect()
+    assert {r.doc_id: tuple(r)[1:5] for r in got} == plain_removal(rows)
+    sizes = held[0].groupBy("shard").agg(F.sum(F.length("context")).alias("n")).collect()
+    assert sum(r["n"] for r in sizes) > 36_000 and max(r["n"] for r in sizes) < 27_000
+
+
 def test_subset_hashes_are_the_sums_of_their_members(monkeypatch):
     rng = np.random.default_rng(3)
     lexicon, mixes, mix = np.full(1 << (fingerprints.SLOT_BITS - 3), 255, np.uint8), [], fingerprints._mix
