@@ -12,14 +12,15 @@ context stores the total and escape of the next shorter one after exclusion, and
 whole batches of text are scored at once in numpy, one table lookup per symbol
 and order.
 
-Counting is a Spark aggregation over all training texts: each task sorts its
-packed grams and adds up those of shorter contexts, one shuffle adds all tasks.
-Every counted gram takes part in the scores.  A trie of at most ``MAX_NODES``
-grams is broadcast whole.  A larger one stays a written table: the costs of its
-most frequent grams (``MAX_NODES`` at most) are broadcast, and the distinct grams
-of the texts that are not among them, seen or not, are looked up by shuffle
-joins, order by order from the empty context.  A join key is a gram or a context,
-which at most 257 others extend by one symbol, so no key is hot.
+Counting is sharded: each task sorts its packed grams and sends them, as lists, to
+the shard of the last ``DEEP`` symbols of their context, where they are added up and
+those of shorter contexts follow from them.  A gram and its suffixes down to order
+``DEEP`` have one shard; shorter ones (valid UTF-8 has some millions at most, and a
+text far fewer) are summed over the shards.  Every counted gram takes part in the
+scores.  A trie of at most ``MAX_NODES`` grams is broadcast whole.  Of a larger one
+the costs of the grams that texts ask for most often (``MAX_NODES`` at most) are
+broadcast; the other grams of the texts, seen or not, are sent to their shards,
+whose part of the trie gives their costs.
 
 Base scores (word unigrams with add-one smoothing) need the count of every
 word: words among the most frequent (``HOT_WORDS`` at most, broadcast) are summed
@@ -38,8 +39,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tablestats.llm.common import dropped, id_remainder, small_batches, written
 
@@ -51,6 +55,9 @@ MAX_NODES = 2_000_000
 HOT_WORDS = 100_000
 MODULUS, HELD_OUT = 7, 2
 _CHUNK = 1 << 18  # symbols worked on at once
+DEEP = 3  # symbols of a context that tell its shard
+SHARD_BYTES, MAX_SHARDS = 4_000_000, 8191  # training text a shard
+LOW = -1  # in place of a shard: orders below DEEP
 #: Distinct grams or words that a task holds before it sends them on.
 _HELD = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -84,16 +91,19 @@ def chunks(texts, order: int = ORDER) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield tuple(map(np.concatenate, (symbols, known, owner)))
 
 
-def packed(symbols: np.ndarray, order: int) -> list[np.ndarray]:
-    """Per order the symbol with that many before it, oldest in the highest bits."""
-    out = [symbols]
+def packed(symbols: np.ndarray, order: int) -> np.ndarray:
+    """Each symbol with the ``order`` before it, oldest in the highest bits."""
+    out = symbols.copy()
     for k in range(1, order + 1):
-        code = out[-1].copy()
-        code[k:] |= symbols[:-k] << np.uint64(BITS * k)
-        out.append(code)
+        out[k:] |= symbols[:-k] << np.uint64(BITS * k)
     return out
 
 
+def cut(codes: np.ndarray, order: int) -> np.ndarray:
+    """The grams' suffixes of ``order`` symbols before the last."""
+    return codes & np.uint64((1 << BITS * (order + 1)) - 1)
+
+
 def _added(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted codes and their summed counts."""
     if counts is None:
@@ -114,7 +124,7 @@ def count_grams(texts, order: int = ORDER) -> dict[int, tuple[np.ndarray, np.nda
         early = np.flatnonzero((known >= 0) & (known < order))
         for k in range(order + 1):
             at = known == order if k == order else early[known[early] == k]
-            parts[k].append(_added(codes[k][at]))
+            parts[k].append(_added(cut(codes[at], k)))
             if len(parts[k]) >= 16:
                 parts[k] = [_added(*map(np.concatenate, zip(*parts[k])))]
     return {k: _added(*map(np.concatenate, zip(*v))) for k, v in parts.items() if v}
@@ -133,81 +143,98 @@ def with_shorter(grams: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, t
     return out
 
 
+def _level(k: int, codes: np.ndarray, n: np.ndarray, low: dict | None) -> dict:
+    """Costs of the grams and contexts of order ``k``; ``low``: those of the order below."""
+    ctx = codes >> np.uint64(BITS)
+    starts = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
+    total = np.add.reduceat(n, starts).astype(np.float64)
+    kinds = np.diff(np.append(starts, len(codes))).astype(np.float64)
+    group = np.repeat(np.arange(len(starts)), kinds.astype(np.int64))
+    level = {"logp": np.log10(n / (total + kinds)[group]), "logn": np.log10(n),
+             "escape": np.log10(kinds / (total + kinds)), "n": n, "total": total, "kinds": kinds,
+             "codes": codes, "contexts": ctx[starts]}
+    if k == 0:
+        left = np.maximum(SYMBOLS - kinds, 1)
+        level["below"], level["below_escape"] = np.log10(left), np.zeros(1)
+    else:
+        up = np.searchsorted(low["codes"], codes & np.uint64((1 << BITS * k) - 1))
+        home = np.searchsorted(low["contexts"], ctx[starts] & np.uint64((1 << BITS * (k - 1)) - 1))
+        t = low["total"][home] - np.add.reduceat(low["n"][up], starts)
+        d = low["kinds"][home] - kinds
+        den = np.maximum(t + d, 1)
+        level["below"] = np.log10(den)
+        level["below_escape"] = np.where(d > 0, np.log10(np.maximum(d, 1) / den), 0.0)
+    return level
+
+
 class Model:
     """The trie as arrays: per order sorted grams and contexts, found by hashing."""
 
-    def __init__(self, grams: dict[int, tuple[np.ndarray, np.ndarray]]):
-        """``grams[k]``: sorted packed grams of order k and their counts (closed under suffixes)."""
-        self.orders = []
-        for k in range(max(grams, default=-1) + 1):
+    def __init__(self, grams: dict[int, tuple[np.ndarray, np.ndarray]], low: list[dict] | None = None):
+        """``grams[k]``: sorted packed grams of order k and their counts (closed under suffixes).
+
+        ``low``: the ``levels`` of the shortest orders, if ``grams`` is a shard that has only the others."""
+        self.levels = list(low or [])
+        for k in range(len(self.levels), max(grams, default=-1) + 1):
             codes, n = grams[k]
             if not len(codes):
                 break
-            ctx = codes >> np.uint64(BITS)
-            starts = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
-            total = np.add.reduceat(n, starts).astype(np.float64)
-            kinds = np.diff(np.append(starts, len(codes))).astype(np.float64)
-            group = np.repeat(np.arange(len(starts)), kinds.astype(np.int64))
-            level = {"logp": np.log10(n / (total + kinds)[group]), "logn": np.log10(n),
-                     "escape": np.log10(kinds / (total + kinds)), "n": n, "total": total, "kinds": kinds,
-                     "codes": codes, "contexts": ctx[starts]}
-            if k == 0:
-                left = np.maximum(SYMBOLS - kinds, 1)
-                level["below"], level["below_escape"] = np.log10(left), np.zeros(1)
-            else:
-                low = self.orders[k - 1]
-                up = np.searchsorted(low["codes"], codes & np.uint64((1 << BITS * k) - 1))
-                home = np.searchsorted(low["contexts"], ctx[starts] & np.uint64((1 << BITS * (k - 1)) - 1))
-                t = low["total"][home] - np.add.reduceat(low["n"][up], starts)
-                d = low["kinds"][home] - kinds
-                den = np.maximum(t + d, 1)
-                level["below"] = np.log10(den)
-                level["below_escape"] = np.where(d > 0, np.log10(np.maximum(d, 1) / den), 0.0)
-            self.orders.append(level)
-        for level in self.orders:
-            del level["n"], level["total"], level["kinds"]
-            level["gram_table"] = _hashed(level.pop("codes"))
-            level["context_table"] = _hashed(level.pop("contexts"))
+            level = _level(k, codes, n, self.levels[k - 1] if k else None)
+            level["gram_table"], level["context_table"] = _hashed(codes), _hashed(level["contexts"])
+            self.levels.append(level)
+
+    def packed_small(self) -> Model:
+        """Without what only further orders need, and in single precision: to be broadcast."""
+        for level in self.levels:
+            for name in ("n", "total", "kinds", "codes", "contexts"):
+                del level[name]
             for name in ("logp", "logn", "escape", "below", "below_escape"):
                 level[name] = level[name].astype(np.float32)
+        return self
 
     def costs(self, symbols: np.ndarray, known: np.ndarray) -> np.ndarray:
         """log10 probability of each symbol; 0 where ``known`` is -1."""
-        top = len(self.orders) - 1
+        at = np.flatnonzero(known >= 0)
         out = np.zeros(len(symbols))
+        out[at] = self.of(packed(symbols, max(len(self.levels) - 1, 0))[at], known[at])
+        return out
+
+    def of(self, codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """log10 probability of each gram's last symbol; ``known``: its symbols before that."""
+        top = len(self.levels) - 1
+        out = np.zeros(len(codes))
         if top < 0:
-            out[known >= 0] = -math.log10(SYMBOLS)
+            out -= math.log10(SYMBOLS)
             return out
-        codes = packed(symbols, top)
-        left = np.flatnonzero(known >= 0)
+        left = np.arange(len(codes))
         state = np.full(len(left), -1)  # the context just left, by its place among those of order k + 1
         for k in range(top, -1, -1):
-            level = self.orders[k]
+            level = self.levels[k]
             here = known[left] >= k
             wait, wait_state = left[~here], state[~here]
             at, state = left[here], state[here]
-            code = codes[k][at]
+            code = cut(codes[at], k)
             found = _find(level["gram_table"], code)
             hit, free = found >= 0, state < 0
             first = hit & free
             out[at[first]] += level["logp"][found[first]]
             later = hit & ~free
             if later.any():
-                out[at[later]] += level["logn"][found[later]] - self.orders[k + 1]["below"][state[later]]
+                out[at[later]] += level["logn"][found[later]] - self.levels[k + 1]["below"][state[later]]
             at, state, code = at[~hit], state[~hit], code[~hit]
             escaped = state >= 0
             if escaped.any():
-                out[at[escaped]] += self.orders[k + 1]["below_escape"][state[escaped]]
+                out[at[escaped]] += self.levels[k + 1]["below_escape"][state[escaped]]
             ctx = _find(level["context_table"], code >> np.uint64(BITS))
             fresh = ~escaped & (ctx >= 0)
             out[at[fresh]] += level["escape"][ctx[fresh]]
             left, state = np.concatenate([wait, at]), np.concatenate([wait_state, ctx])
-        out[left] -= self.orders[0]["below"][0]
+        out[left] -= self.levels[0]["below"][0]
         return out
 
     def scores(self, texts: list) -> np.ndarray:
         total = np.zeros(len(texts))
-        for symbols, known, owner in chunks(texts, max(len(self.orders) - 1, 0)):
+        for symbols, known, owner in chunks(texts, max(len(self.levels) - 1, 0)):
             total += np.bincount(owner, weights=self.costs(symbols, known), minlength=len(texts))
         return total
 
@@ -220,14 +247,14 @@ class Often:
         self.order = max(grams)
         self.levels = [(_hashed(grams[k][0]), grams[k][1]) for k in range(self.order + 1)]
 
-    def parts(self, texts: list) -> tuple[np.ndarray, pd.DataFrame]:
-        """Sums of the known costs, and ``levels, codes, times`` of each text's other grams."""
-        total, rest = np.zeros(len(texts)), []
+    def parts(self, texts: list) -> tuple[np.ndarray, tuple]:
+        """Sums of the known costs, and ``owner, level, code, times`` of the texts' other grams."""
+        total, rest = np.zeros(len(texts)), [[np.empty(0, kind)] for kind in (np.int64, np.int32, np.uint64, np.int32)]
         for symbols, known, owner in chunks(texts, self.order):
             codes = packed(symbols, self.order)
             for k, (table, costs) in enumerate(self.levels):
                 at = np.flatnonzero(known == k)
-                code, own = codes[k][at], owner[at]
+                code, own = cut(codes[at], k), owner[at]
                 found = _find(table, code)
                 hit = found >= 0
                 total += np.bincount(own[hit], weights=costs[found[hit]], minlength=len(texts))
@@ -237,13 +264,10 @@ class Often:
                 new = np.ones(len(code), bool)
                 new[1:] = (code[1:] != code[:-1]) | (own[1:] != own[:-1])
                 starts = np.flatnonzero(new)
-                rest.append((own[starts], np.full(len(starts), k, np.int32), code[starts].astype(np.int64),
-                             np.diff(np.append(starts, len(code)))))
-        own, *columns = map(np.concatenate, zip(*rest)) if rest else [np.empty(0, np.int64)] * 4
-        place = np.argsort(own, kind="stable")
-        cuts = np.searchsorted(own[place], np.arange(1, len(texts)))
-        return total, pd.DataFrame({name: pd.Series(np.split(c[place], cuts), dtype=object)
-                                    for name, c in zip(("levels", "codes", "times"), columns, strict=True)})
+                for column, values in zip(rest, (own[starts], np.full(len(starts), k), code[starts],
+                                                 np.diff(np.append(starts, len(code)))), strict=True):
+                    column.append(values.astype(column[0].dtype))
+        return total, tuple(map(np.concatenate, rest))
 
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -298,109 +322,137 @@ def _histogram(counts: DataFrame) -> list[tuple[int, int]]:
     return [(r["low"], r["k"]) for r in counts.groupBy(low.alias("low")).agg(F.count("*").alias("k")).collect()]
 
 
-_CONTEXT = f"shiftright(code, {BITS}) as context"
-_TAIL = f"code & (shiftleft(1L, {BITS} * level) - 1) as tail"  # the gram without its oldest symbol
-
-
-def _contexts(grams: DataFrame) -> DataFrame:
-    """``level, context, den, escape, below, below_escape`` of every context, as in ``Model``."""
-    lower = grams.selectExpr("level + 1 as level", "code as tail", "n as up")
-    sums = written(grams.selectExpr("level", "n", _CONTEXT, _TAIL).join(lower, ["level", "tail"], "left")
-                   .groupBy("level", "context")
-                   .agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("up").alias("up")), "sums")
-    low = sums.selectExpr("level + 1 as level", "context as tail", "total as low_total", "kinds as low_kinds")
-    left = (sums.withColumn("tail", F.expr(f"context & (shiftleft(1L, {BITS} * greatest(level - 1, 0)) - 1)"))
-            .join(low, ["level", "tail"], "left")
-            .withColumn("d", F.col("low_kinds") - F.col("kinds"))
-            .withColumn("rest", F.greatest(F.col("low_total") - F.col("up") + F.col("d"), F.lit(1))))
-    out = written(left.select(
-        "level", "context", (F.col("total") + F.col("kinds")).alias("den"),
-        F.log10(F.col("kinds") / (F.col("total") + F.col("kinds"))).alias("escape"),
-        F.when(F.col("level") == 0, F.log10(F.greatest(F.lit(SYMBOLS) - F.col("kinds"), F.lit(1))))
-        .otherwise(F.log10("rest")).alias("below"),
-        F.when(F.col("d") > 0, F.log10(F.col("d") / F.col("rest"))).otherwise(F.lit(0.0)).alias("below_escape")),
-        "contexts")
-    dropped(sums)
-    return out
+def _shard(codes: np.ndarray, deep: int, shards: int) -> np.ndarray:
+    """By the last ``deep`` symbols of the context: those of a gram's suffixes are the same down to order ``deep``."""
+    key = (codes >> np.uint64(BITS)) & np.uint64((1 << BITS * deep) - 1)
+    return (((key + np.uint64(1)) * _ODD) >> np.uint64(40)).astype(np.int64) % shards
+
+
+def _by_shard(deep: int, shards: int, level: np.ndarray, codes: np.ndarray, **more: np.ndarray) -> dict:
+    """A row for each shard met, with lists of its grams; ``LOW`` has those of an order below ``deep``."""
+    shard = np.where(level < deep, LOW, _shard(codes, deep, shards)).astype(np.int32)
+    place = np.argsort(shard, kind="stable")
+    found, starts = np.unique(shard[place], return_index=True)
+    offsets = pa.array(np.append(starts, len(place)).astype(np.int32))
+    columns = {"levels": level, "codes": codes.view(np.int64), **more}
+    return {"shard": pa.array(found)} | {c: pa.ListArray.from_arrays(offsets, pa.array(v[place])) for c, v in columns.items()}
+
+
+def _flat(rows: pa.Table, name: str) -> np.ndarray:
+    """The lists of a column end to end."""
+    return pa.concat_arrays([c.flatten() for c in rows[name].chunks]).to_numpy()
+
+
+_GRAMS = "shard int, level int, codes array<long>, n array<long>, own array<long>, den array<long>"
+
+
+def _merged(order: int, deep: int):
+    """A shard's grams of all orders: count ``n``, times met as the longest of a place ``own``, ``den`` of its context.
+
+    Those of an order below ``deep`` are parts of a sum, all under ``LOW``."""
+    def run(rows: pa.Table) -> pa.Table:
+        level, codes, n = (_flat(rows, c) for c in ("levels", "codes", "n"))
+        codes = codes.view(np.uint64)
+        held = {k: _added(codes[at], n[at]) for k in range(order + 1) for at in [np.flatnonzero(level == k)]}
+        shard, out = rows["shard"][0].as_py(), []
+        for k, (code, count) in with_shorter(held).items():
+            if not len(code):
+                continue
+            own = np.zeros(len(code), np.int64)
+            own[np.searchsorted(code, held[k][0])] = held[k][1]
+            ctx = code >> np.uint64(BITS)
+            starts = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
+            kinds = np.diff(np.append(starts, len(code)))
+            den = np.repeat(np.add.reduceat(count, starts) + kinds, kinds)
+            whole = pa.array(np.array([0, len(code)], np.int32))
+            out.append(pa.table({"shard": pa.array([shard if k >= deep else LOW], pa.int32()), "level": pa.array([k], pa.int32())} | {
+                c: pa.ListArray.from_arrays(whole, pa.array(v))
+                for c, v in (("codes", code.view(np.int64)), ("n", count), ("own", own), ("den", den))}))
+        return pa.concat_tables(out)
+
+    return run
 
 
-def _looked_up(asked: DataFrame, grams: DataFrame, contexts: DataFrame, order: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``level, code, cost`` of the distinct grams ``asked``, and the written tables that it reads.
-
-    A counted gram costs what its own context says.  Only grams that were never
-    counted (those of texts not learnt from, as a rule) look at the next shorter one,
-    so downwards each level holds what was asked of it and the tails of what the level
-    above missed.  Upwards, ``after`` is the cost below a missed gram's own context once that is
-    left; ``cost`` starts at the longest context known."""
-    asked = written(asked.distinct(), "asked")
-    tables, found, tails = [asked], {}, None
-    for k in range(order, -1, -1):
-        own = asked.where(F.col("level") == k).select("code")
-        if tails is not None:
-            own = own.union(tails).distinct()
-        at = (own.withColumn("level", F.lit(k)).selectExpr("code", _CONTEXT, _TAIL)
-              .join(grams.where(F.col("level") == k).select("code", "n"), "code", "left")
-              .join(contexts.where(F.col("level") == k).drop("level"), "context", "left"))
-        cost = F.log10(F.col("n") / F.col("den")).alias("cost")
-        missed = [F.when(F.col("n").isNull(), F.col(c)).alias(c) for c in ("tail", "den", "escape", "below", "below_escape")]
-        found[k] = written(at.select("code", "n", cost, *missed), f"found-{k}")
-        tails = found[k].where("n is null").select(F.col("tail").alias("code"))
-    out = low = None
+def _arrays(rows, order: int) -> dict[int, tuple[np.ndarray, ...]]:
+    """Per order the sorted codes of an Arrow table and its further columns."""
+    levels, codes, *more = (rows[c].to_numpy() for c in rows.column_names)
+    out = {}
     for k in range(order + 1):
-        seen = found[k].where("n is not null").select("code", "n", F.lit(None).cast("double").alias("after"), "cost")
-        at = found[k].where("n is null").drop("cost")
-        if low is None:
-            at = at.withColumn("after", -F.col("below")).withColumn("shorter", F.lit(-math.log10(SYMBOLS)))
-        else:
-            at = at.join(low.selectExpr("code as tail", "n as low_n", "after as low_after", "cost as shorter"), "tail")
-            at = at.withColumn("after", F.when(F.col("low_n").isNotNull(), F.log10("low_n") - F.col("below"))
-                               .otherwise(F.col("below_escape") + F.col("low_after")))
-        cost = F.when(F.col("den").isNull(), F.col("shorter")).otherwise(F.col("escape") + F.col("after"))
-        missed = written(at.select("code", "n", "after", cost.alias("cost")), f"missed-{k}")
-        tables += [found[k], missed]
-        low = seen.unionByName(missed)
-        each = low.select(F.lit(k).alias("level"), "code", "cost")
-        out = each if out is None else out.unionByName(each)
-    return out, tables
+        at = np.flatnonzero(levels == k)
+        at = at[np.argsort(codes[at])]
+        out[k] = codes[at].astype(np.uint64), *(m[at] for m in more)
+    return out
 
 
 def train(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[Model | Often, tuple | None]:
-    """The model of ``docs.text``; at most ``max_nodes`` grams reach the driver.
+    """The model of ``docs.text``; at most ``max_nodes`` grams reach the driver, beside those of the shortest orders.
 
-    A trie with more comes as its frequent grams and the tables (grams, contexts) of all."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A trie with more comes as its frequent grams, and the table of all grams by shard, the
+    model of the shortest orders, their number and the number of shards."""
+    spark, deep = docs.sparkSession, min(DEEP, order)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = 1 + min(MAX_SHARDS, size // SHARD_BYTES)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple] = {}
 
         def rows():
-            for k, (codes, n) in with_shorter(held).items():
-                for i in range(0, len(codes), 1 << 17):
-                    yield pd.DataFrame({"level": np.int32(k), "code": codes[i:i + (1 << 17)].astype(np.int64),
-                                        "n": n[i:i + (1 << 17)].astype(np.int64)})
+            level = np.concatenate([np.full(len(codes), k, np.int32) for k, (codes, _) in held.items()])
+            codes, n = (np.concatenate([h[i] for h in held.values()]) for i in (0, 1))
+            return pa.RecordBatch.from_pydict(_by_shard(deep, shards, level, codes, n=n.astype(np.int64)))
 
         for batch in batches:
-            for k, part in count_grams(batch["text"], order).items():
+            for k, part in count_grams(batch["text"].to_pylist(), order).items():
                 held[k] = _added(*map(np.concatenate, zip(held[k], part, strict=True))) if k in held else part
             if sum(len(codes) for codes, _ in held.values()) > _HELD:
-                yield from rows()
+                yield rows()
                 held.clear()
-        yield from rows()
+        if held:
+            yield rows()
 
-    grams = docs.select("text").mapInPandas(count, "level int, code long, n long")
-    grams = written(grams.groupBy("level", "code").agg(F.sum("n").alias("n")), "grams")
-    floor = least_count(_histogram(grams), max_nodes)
-    whole, contexts, kept = floor <= 1, None, grams.where(F.col("n") >= floor)
-    if not whole:
-        contexts = _contexts(grams)
-        kept = (kept.selectExpr("level", "code", "n", _CONTEXT).join(contexts, ["level", "context"])
-                .select("level", "code", F.log10(F.col("n") / F.col("den")).alias("n")))
-    kept = kept.toArrow()
-    levels, codes, values = (kept[c].to_numpy() for c in ("level", "code", "n"))
-    out = {}
-    for k in range(order + 1):
-        at = np.flatnonzero(levels == k)
-        at = at[np.argsort(codes[at])]
-        out[k] = codes[at].astype(np.uint64), values[at]
-    return (Model(out), None) if whole else (Often(out), (grams, contexts))
+    grams = docs.select("text").mapInArrow(count, "shard int, levels array<int>, codes array<long>, n array<long>")
+    grams = written(grams.groupBy("shard").applyInArrow(_merged(order, deep), _GRAMS), "grams")
+    each = grams.select("shard", "level", F.explode(F.arrays_zip("codes", "n", "own", "den")).alias("g")).select("shard", "level", "g.*")
+    low = _arrays(each.where(F.col("shard") == LOW).groupBy("level", F.col("codes").alias("code"))
+                  .agg(F.sum("n"), F.sum("own")).toArrow(), order)
+    shortest = Model({k: low[k][:2] for k in range(deep)})
+    held = grams.where(F.col("shard") != LOW).agg(F.coalesce(F.sum(F.size("codes")), F.lit(0))).first()[0]
+    each = each.where(F.col("shard") != LOW)
+    whole = held + sum(len(v[0]) for v in low.values()) <= max_nodes
+    if whole:
+        out = _arrays(each.select("level", "codes", "n").toArrow(), order)
+        return Model({k: low[k][:2] if k < deep else out[k] for k in out}).packed_small(), None
+    # The symbols of a text are looked up with their longest context, so grams that stand there often go to all tasks.
+    own = [int(n) for k in range(deep) for n in low[k][2] if n]
+    floor = least_count(_histogram(each.where("own > 0").select(F.col("own").alias("n"))) + list(Counter(own).items()), max_nodes)
+    often = _arrays(each.where(F.col("own") >= floor).select("level", "codes", F.log10(F.col("n") / F.col("den"))).toArrow(), order)
+    for k in range(min(deep, len(shortest.levels))):
+        kept = low[k][2] >= floor
+        often[k] = low[k][0][kept], shortest.levels[k]["logp"][kept]
+    return Often(often), (grams.where(F.col("shard") != LOW).select("shard", "level", "codes", "n"), shortest, deep, shards, grams)
+
+
+def _shard_costs(shortest, order: int):
+    """Costs of the grams that texts ask of one shard, summed by text."""
+    def run(asked: pa.Table, grams: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return pa.table({"uid": pa.array([], pa.int64()), "more": pa.array([], pa.float64())})
+        held = {k: (np.empty(0, np.uint64), np.empty(0, np.int64)) for k in range(order + 1)}
+        for i, k in enumerate(grams["level"].to_pylist()):
+            held[k] = _flat(grams[i:i + 1], "codes").view(np.uint64), _flat(grams[i:i + 1], "n")
+        model = Model(held, shortest.value.levels)
+        sizes = np.concatenate([c.value_lengths().to_numpy() for c in asked["codes"].chunks])
+        level, codes, times, place = (_flat(asked, c) for c in ("levels", "codes", "times", "places"))
+        uid = np.repeat(asked["uid"].to_numpy(), sizes) + place
+        costs = np.empty(len(codes))
+        for k in np.unique(level):
+            at = np.flatnonzero(level == k)
+            distinct, back = np.unique(codes[at].view(np.uint64), return_inverse=True)
+            costs[at] = model.of(distinct, np.full(len(distinct), k))[back]
+        found, back = np.unique(uid, return_inverse=True)
+        return pa.table({"uid": found, "more": np.bincount(back, weights=times * costs)})
+
+    return run
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -432,6 +484,7 @@ def score(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES, ho
     learnt = docs.where("not held_out")
     trained, tables = train(learnt, order=order, max_nodes=max_nodes)
     model, whole = spark.sparkContext.broadcast(trained), tables is None
+    grams, shortest, deep, shards, all_grams = tables or [None] * 5
     counts = written(word_counts(learnt), "words")
     ends = learnt.count()
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -440,48 +493,60 @@ def score(docs: DataFrame, *, order: int = ORDER, max_nodes: int = MAX_NODES, ho
     often = counts.where(F.col("n") >= floor).toArrow()
     hot = spark.sparkContext.broadcast(dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ("uid long, doc_id long, held_out boolean, n_tokens long, near double, seen long, rare array<string>, score double, "
+               "shard int, levels array<int>, codes array<long>, times array<int>, places array<int>")
+    schema = to_arrow_schema(StructType.fromDDL(columns))
+
+    def row_batch(**held) -> pa.RecordBatch:
+        n = len(held["uid"])
+        return pa.RecordBatch.from_arrays([
+            pa.nulls(n, f.type) if f.name not in held else held[f.name].cast(f.type) if isinstance(held[f.name], pa.Array)
+            else pa.array(held[f.name], f.type) for f in schema], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {w.encode("utf-8"): math.log10(n + 1) for w, n in hot.value.items()}
+        get = known.get
         for batch in batches:
-            texts = batch["text"].tolist()
+            if not batch.num_rows:
+                continue
+            texts = batch["text"].to_pylist()
             n_tokens, near, seen, rare = [], [], [], []
             for text in texts:
                 found = normal(text).split()
-                held = [known.get(w, -1.0) for w in found]
-                values = np.array(held, np.float64)
+                values = np.array([get(w, -1.0) for w in found], np.float64)
                 have = values >= 0
                 n_tokens.append(len(found) + 1)
                 near.append(float(values[have].sum()))
                 seen.append(int(have.sum()))
-                rare.append([w.decode("utf-8", "replace") for w, v in zip(found, held, strict=True) if v < 0])
-            out = pd.DataFrame({"uid": batch["uid"], "doc_id": batch["doc_id"], "held_out": batch["held_out"],
-                                "n_tokens": n_tokens, "near": near, "seen": seen, "rare": rare})
+                rare.append([found[i].decode("utf-8", "replace") for i in np.flatnonzero(~have)])
+            uid = batch["uid"].to_numpy()
+            out = {"uid": uid, "doc_id": batch["doc_id"], "held_out": batch["held_out"],
+                   "n_tokens": n_tokens, "near": near, "seen": seen, "rare": rare}
             if whole:
-                yield out.assign(score=model.value.scores(texts), levels=None, codes=None, times=None)
-            else:
-                sums, rest = model.value.parts(texts)
-                yield out.assign(score=sums, **{c: rest[c].tolist() for c in rest})
-
-    rows = written(docs.withColumn("uid", F.monotonically_increasing_id()).mapInPandas(
-        run, "uid long, doc_id long, held_out boolean, n_tokens long, near double, seen long, rare array<string>, "
-             "score double, levels array<int>, codes array<long>, times array<long>"), "scored")
+                yield row_batch(**out, score=model.value.scores(texts))
+                continue
+            sums, (owner, level, code, times) = model.value.parts(texts)
+            yield row_batch(**out, score=sums)
+            asked = _by_shard(deep, shards, level, code, times=times, places=(uid - uid[0])[owner].astype(np.int32))
+            yield row_batch(**asked, uid=np.full(len(asked["shard"]), uid[0]))
+
+    # A row with a shard holds what the texts from ``uid`` on ask of it.
+    table = written(docs.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(run, columns), "scored")
+    rows = table.where("shard is null").select("uid", "doc_id", "held_out", "n_tokens", "near", "seen", "rare", "score")
     # A word that is not learnt adds log10(1) = 0, so only known words are joined.
     far = (rows.select("uid", F.explode("rare").alias("word"))
            .join(counts.where(F.col("n") < floor), "word")
            .groupBy("uid").agg(F.sum(F.log10(F.col("n") + 1)).alias("far"), F.count("*").alias("met")))
     log_end = math.log10(ends + 1)
     per_token = math.log10(total + kinds + 1)
-    scored = rows.drop("rare", "levels", "codes", "times").join(far, "uid", "left")
+    scored = rows.drop("rare").join(far, "uid", "left")
     if not whole:
-        rest = (rows.select("uid", F.explode(F.arrays_zip("levels", "codes", "times")).alias("r"))
-                .select("uid", F.col("r.levels").alias("level"), F.col("r.codes").alias("code"), "r.times"))
-        costs, used = _looked_up(rest.select("level", "code"), *tables, order)
-        for done in tables:
-            dropped(done)
-        more = written(rest.join(costs, ["level", "code"]).groupBy("uid")
-                       .agg(F.sum(F.col("times") * F.col("cost")).alias("more")), "more")
-        for done in used:
-            dropped(done)
+        asked = table.where("shard is not null").select("uid", "shard", "levels", "codes", "times", "places")
+        low = spark.sparkContext.broadcast(shortest)
+        more = written(asked.groupBy("shard").cogroup(grams.groupBy("shard"))
+                       .applyInArrow(_shard_costs(low, order), "uid long, more double")
+                       .groupBy("uid").agg(F.sum("more").alias("more")), "more")
+        dropped(all_grams)
         scored = scored.join(more, "uid", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
     return scored.select(
         "doc_id", "held_out", "n_tokens",

@@ -258,6 +258,24 @@ def test_scores_do_not_depend_on_the_broadcast_bound(spark):
         np.testing.assert_allclose([r.score for r in part], [r.score for r in whole], rtol=1e-5)
 
 
+def test_grams_are_counted_and_looked_up_by_shards(spark, monkeypatch):
+    rows = awkward() + [(i, t) for i, t in enumerate(vocabulary_texts(60, 9), 100)] + [(300, "zq"), (301, "Ω v1")]
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens)
+    whole = sorted(ppm.score(docs(spark, rows)).collect(), key=key)
+    monkeypatch.setattr(ppm, "SHARD_BYTES", 300)
+    tables, first = [], ppm.written
+    monkeypatch.setattr(ppm, "written", lambda df, name: tables.append((name, first(df, name))) or tables[-1][1])
+    monkeypatch.setattr(ppm, "dropped", lambda table: None)
+    part = sorted(ppm.score(docs(spark, rows), max_nodes=50).collect(), key=key)
+    np.testing.assert_allclose([r.score for r in part], [r.score for r in whole], rtol=1e-5)
+    assert {name for name, _ in tables} == {"grams", "words", "scored", "more"}
+    grams, asked = (dict(tables)[name] for name in ("grams", "scored"))
+    assert grams.where("shard >= 0").select("shard").distinct().count() > 5
+    # One row for a shard and order, and no gram of a text that stands in a row of its own.
+    assert grams.where("shard >= 0").groupBy("shard", "level").count().where("count > 1").count() == 0
+    assert asked.where("shard >= 0").count() < asked.where("shard >= 0").selectExpr("sum(size(codes))").first()[0] / 5
+
+
 def test_least_count_keeps_within_the_bound():
     assert ppm.least_count([(1, 100), (2, 50), (3, 10)], 200) == 1
     assert ppm.least_count([(1, 100), (2, 50), (3, 10)], 60) == 2
